@@ -123,3 +123,24 @@ def criticality(value, high, warn, null_value: int = 0) -> Column:
         .when(v > F.lit(warn), F.lit(2))
         .otherwise(F.lit(3))
     )
+
+
+def cents_to_decimal(cents_col) -> Column:
+    """Integer cents -> exact DECIMAL(18,2)."""
+    from decimal import Decimal
+
+    return (c(cents_col).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
+def decimal_div_cents(amount, divisor) -> Column:
+    """Exact decimal amount / positive integer, rounded half away from zero to cents."""
+    return cents_to_decimal(div_half_up(cents(amount), c(divisor)))
+
+
+def exact_ratio(numerator, denominator, dp: int = 4) -> Column:
+    """num / |den| of two exact cent amounts, rounded half away from zero to ``dp`` decimals,
+    returned as double; NULL when the denominator is zero or NULL."""
+    scale = 10 ** dp
+    den = F.abs(cents(denominator))
+    q = div_half_up(cents(numerator) * F.lit(scale), den)
+    return F.when(den != 0, q.cast("double") / F.lit(float(scale)))

@@ -495,3 +495,19 @@ def oracle(body: str) -> str:
     body = body.strip()
     sep = "\n" if body.startswith(",") else "\n"
     return PREAMBLE.rstrip() + sep + body
+
+
+def sql_cents(x: str) -> str:
+    return f"CAST(({x}) * 100 AS BIGINT)"
+
+
+def sql_div_cents(amount: str, divisor: str) -> str:
+    """Exact decimal amount / positive integer rounded half up to cents, as DECIMAL(18,2)."""
+    return f"CAST(CAST({half_up(sql_cents(amount), divisor)} AS DECIMAL(20, 0)) * 0.01 AS DECIMAL(18, 2))"
+
+
+def sql_exact_ratio(num: str, den: str, dp: int = 4) -> str:
+    scale = 10 ** dp
+    d = f"abs({sql_cents(den)})"
+    return (f"(CASE WHEN {d} <> 0 THEN CAST({half_up(sql_cents(num) + f' * {scale}', d)} AS DOUBLE) "
+            f"/ {float(scale)} END)")
