@@ -27,12 +27,12 @@ def _date_range(spark: SparkSession, start: dt.date, end: dt.date, name: str) ->
 def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """CA1: fixed holidays plus Easter-relative ones for every year in the range."""
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    fixed = years.crossJoin(
-        spark.createDataFrame(config.FIXED_HOLIDAYS, "month int, day int")
-    ).select(F.make_date("year", "month", "day").alias("holiday_date"))
-    easter = years.crossJoin(
-        spark.createDataFrame([(o,) for o in config.EASTER_HOLIDAY_OFFSETS], "offset int")
-    ).select(F.date_add(easter_sunday("year"), F.col("offset")).alias("holiday_date"))
+    fixed_days = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d")) for m, d in config.FIXED_HOLIDAYS])
+    fixed = years.select("year", F.explode(fixed_days).alias("md")).select(
+        F.make_date("year", "md.m", "md.d").alias("holiday_date"))
+    offsets = F.array(*[F.lit(o) for o in config.EASTER_HOLIDAY_OFFSETS])
+    easter = years.select(easter_sunday("year").alias("easter"), F.explode(offsets).alias("offset")).select(
+        F.date_add("easter", F.col("offset")).alias("holiday_date"))
     return fixed.unionByName(easter).distinct()
 
 
@@ -169,5 +169,10 @@ def first_working_day_of_period(calendar: DataFrame) -> DataFrame:
     )
 
 
-def period_key_col():
-    return period_key()
+def add_working_day_seq(calendar: DataFrame) -> DataFrame:
+    """L2 calendar view: add the running working-day counter if a stored calendar lacks it."""
+    if "working_day_seq" in calendar.columns:
+        return calendar
+    wd = F.when(F.col("is_working_day"), F.lit(1)).otherwise(F.lit(0))
+    running = Window.orderBy("date_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return calendar.withColumn("working_day_seq", F.sum(wd).over(running).cast("int"))

@@ -262,8 +262,8 @@ def q_budget_phased(ctx: Ctx) -> DataFrame:
 
 
 # ============================================================== KPI-05 run-rate
-def _runrate_sql(year: int, period: int, window: int) -> str:
-    eac = "(actuals_to_date + run_rate * remaining_periods)"
+def runrate_cte(year: int, period: int, window: int) -> str:
+    """CTEs ending in ``rr`` (one row per programme with run-rate inputs)."""
     return f"""
 , rr_monthly AS (
   SELECT programme_id, fiscal_year * 100 + fiscal_period AS period_key, sum(signed_amount_group) AS period_cost
@@ -281,12 +281,22 @@ rr_agg AS (
   FROM rr_ranked GROUP BY programme_id
 ),
 rr AS (
-  SELECT a.programme_id, p.programme_name, p.programme_type, a.actuals_to_date, p.total_budget_eur,
+  SELECT a.programme_id, p.programme_name, p.programme_type, p.lead_company_code, p.status, p.start_date,
+         p.end_date, a.actuals_to_date, p.total_budget_eur,
          {sql_div_cents('a.rr_sum', 'a.rr_n')} AS run_rate,
          CAST(greatest(0, (year(p.end_date) - {year}) * 12 + (month(p.end_date) - {period})) AS INTEGER)
            AS remaining_periods
   FROM rr_agg a JOIN programme p ON p.programme_id = a.programme_id
 )
+"""
+
+
+EAC_SQL = "(actuals_to_date + run_rate * remaining_periods)"
+
+
+def _runrate_sql(year: int, period: int, window: int) -> str:
+    eac = EAC_SQL
+    return runrate_cte(year, period, window) + f"""
 SELECT programme_id, programme_name, programme_type, {year} AS as_of_fiscal_year, {period} AS as_of_fiscal_period,
        {M('actuals_to_date')} AS actuals_to_date, {M('run_rate')} AS run_rate, remaining_periods,
        {M(eac)} AS eac, {M('total_budget_eur')} AS total_budget_eur,

@@ -178,9 +178,10 @@ class DemoLedger:
         years = self.spark.range(config.CALENDAR_START.year, config.CALENDAR_END.year + 1).select(
             F.col("id").cast("int").alias("fiscal_year")
         )
+        currencies = F.array(*[F.lit(c) for c in ("USD", "GBP", "EUR")])
         grid = years.select(
             "fiscal_year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("fiscal_period")
-        ).crossJoin(self.spark.createDataFrame([("USD",), ("GBP",), ("EUR",)], "from_currency string"))
+        ).select("*", F.explode(currencies).alias("from_currency"))
         m = (F.col("fiscal_year") - config.CALENDAR_START.year) * 12 + F.col("fiscal_period") - 1
         month1 = (F.col("fiscal_year") - config.CALENDAR_START.year) * 12
 
@@ -362,6 +363,12 @@ class DemoLedger:
 
         return forecast_build(self.journal, self.dim_date)
 
+    def use_stored_journal(self, journal: DataFrame) -> None:
+        """Serve the journal (and everything derived from it) from a stored copy."""
+        self.__dict__["journal"] = journal
+        for name in ("programme", "budget", "forecast"):
+            self.__dict__.pop(name, None)
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in FINANCE_TABLES}
 
