@@ -116,10 +116,14 @@ cost_center AS (
            || CASE WHEN n_nationkey % 2 = 0 THEN 'ENG' ELSE 'OPS' END
            || '-' || lpad(CAST(n_nationkey % 3 + 1 AS VARCHAR), 2, '0') AS department_id,
          'Department ' || CAST(n_nationkey % 3 + 1 AS VARCHAR) AS department_name,
+         'CO' || CAST(n_regionkey AS VARCHAR) || '-'
+           || CASE WHEN n_nationkey % 2 = 0 THEN 'ENG' ELSE 'OPS' END
+           || '-' || lpad(CAST(n_nationkey % 3 + 1 AS VARCHAR), 2, '0') AS parent_id,
          3 AS hierarchy_level,
          n_nationkey >= 20 AS is_overhead,
          DATE '1995-01-01' AS valid_from,
-         DATE '9999-12-31' AS valid_to
+         DATE '9999-12-31' AS valid_to,
+         printf('USR-%06X', (n_regionkey + 1) * 1048576 + ((n_nationkey + 1000) * 7919) % 1048576) AS manager_user_id
   FROM nation
 ),
 acct_types AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from . import catalog, catalog_checks, catalog_views  # noqa: F401
+    from . import catalog, catalog_base, catalog_checks, catalog_views  # noqa: F401
 
     return catalog
 
