@@ -79,7 +79,8 @@ def flip(dc="debit_credit_ind"):
 def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame) -> DataFrame:
     """LG8: partner-side lines of intercompany postings.
 
-    The partner books the mirror on receipt (the original's entry date), with
+    The partner books the mirror document on receipt (``receipt_date`` when the
+    lines carry one, else the original posting date), with
     entity and partner swapped, no cost centre or programme, the opposite
     side, and the original group amount translated into the partner's local
     currency at the partner's rate of its own period.  Month-end timing and
@@ -89,7 +90,9 @@ def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame)
     partner = dim(company, F.col("company_code").alias("__p_code"),
                   F.col("local_currency").alias("__p_ccy"))
     x = ic.join(partner, F.col("ic_partner_company") == F.col("__p_code"), "inner")
-    x = x.withColumn("__m_fy", F.year("entry_date")).withColumn("__m_fp", F.month("entry_date"))
+    receipt = F.col("receipt_date") if "receipt_date" in ic.columns else F.col("posting_date")
+    x = x.withColumn("__m_date", receipt)
+    x = x.withColumn("__m_fy", F.year("__m_date")).withColumn("__m_fp", F.month("__m_date"))
     x = rate_lookup(x, rates, "__p_ccy", out="__p_rate", year_col="__m_fy", period_col="__m_fp")
     micro = (F.col("__p_rate") * F.lit(1000000)).cast("long")
     local_cents = div_half_up(cents("amount_group_currency") * F.lit(1000000), micro)
@@ -100,9 +103,9 @@ def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame)
         F.concat(F.lit("M"), F.col("document_number")).alias("document_number"),
         "document_line",
         F.lit("IC").alias("document_type"),
-        F.col("entry_date").alias("posting_date"),
+        F.col("__m_date").alias("posting_date"),
         "document_date",
-        "entry_date",
+        F.col("__m_date").alias("entry_date"),
         F.col("__m_fy").alias("fiscal_year"),
         F.col("__m_fp").alias("fiscal_period"),
         "gl_account",

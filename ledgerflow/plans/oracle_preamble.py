@@ -222,6 +222,7 @@ j_rows AS (
     CAST(CAST(o_orderdate AS DATE) - CAST(l_linenumber % 3 AS INTEGER) AS DATE) AS document_date,
     CAST(CAST(o_orderdate AS DATE) + CAST(round(l_discount * 100) AS INTEGER)
          + CASE WHEN region = 3 THEN 3 ELSE 0 END AS DATE) AS entry_date,
+    CAST(CAST(o_orderdate AS DATE) + CAST(l_orderkey % 7 AS INTEGER) AS DATE) AS receipt_date,
     CAST(year(o_orderdate) AS INTEGER) AS fiscal_year,
     CAST(CASE WHEN month(o_orderdate) = 12 AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'
          THEN 13 ELSE month(o_orderdate) END AS INTEGER) AS fiscal_period,
@@ -242,7 +243,7 @@ j_rows AS (
   FROM j_src
 ),
 j_base AS (
-  SELECT (j.l_orderkey * 10 + j.region) * 1000 + j.document_line AS line_key, j.partner_region,
+  SELECT (j.l_orderkey * 10 + j.region) * 1000 + j.document_line AS line_key, j.partner_region, j.receipt_date,
          j.company_code, j.document_number, j.document_line, j.document_type,
          j.posting_date, j.document_date, j.entry_date, j.fiscal_year, j.fiscal_period,
          j.gl_account, j.cost_center, j.programme_id, j.debit_credit_ind,
@@ -260,14 +261,15 @@ j_mirror0 AS (
          CAST(CAST({_MIRROR_LOCAL} AS DECIMAL(18, 0)) * 0.01 AS DECIMAL(15, 2)) AS partner_local
   FROM j_base b
   JOIN company co ON co.company_code = b.ic_partner_company
-  LEFT JOIN rates_m r ON r.from_currency = co.local_currency AND r.fiscal_year = year(b.entry_date)
-                     AND r.fiscal_period = month(b.entry_date)
+  LEFT JOIN rates_m r ON r.from_currency = co.local_currency AND r.fiscal_year = year(b.receipt_date)
+                     AND r.fiscal_period = month(b.receipt_date)
   WHERE b.is_intercompany
 ),
 j_mirror AS (
   SELECT line_key, ic_partner_company AS company_code, 'M' || document_number AS document_number,
-         document_line, 'IC' AS document_type, entry_date AS posting_date, document_date, entry_date,
-         CAST(year(entry_date) AS INTEGER) AS fiscal_year, CAST(month(entry_date) AS INTEGER) AS fiscal_period,
+         document_line, 'IC' AS document_type, receipt_date AS posting_date, document_date,
+         receipt_date AS entry_date,
+         CAST(year(receipt_date) AS INTEGER) AS fiscal_year, CAST(month(receipt_date) AS INTEGER) AS fiscal_period,
          gl_account, CAST(NULL AS VARCHAR) AS cost_center, CAST(NULL AS VARCHAR) AS programme_id,
          CASE WHEN debit_credit_ind = 'S' THEN 'H' ELSE 'S' END AS debit_credit_ind,
          amount_doc_currency, doc_currency,

@@ -15,6 +15,8 @@ Mapping (all deterministic, no random draws):
 * plus derived lines: intercompany mirrors on the partner side (booked on receipt,
   so month-end timing differences surface as open items) and next-period
   reversals of accrual documents (type SB), which carry their original amounts.
+  The partner books a whole mirror document on one receipt date (posting date
+  plus 0-6 days by order key), so the mirror document keeps one period.
 * close tasks, budget and forecast are built by the planning operators.
 
 Scale notes: only the journal grows with the data.  Its derivation is three
@@ -290,6 +292,8 @@ class DemoLedger:
             posting.alias("posting_date"),
             F.date_sub(posting, F.col("l_linenumber") % 3).alias("document_date"),
             F.date_add(posting, lag_days).alias("entry_date"),
+            # The partner books the whole document on receipt, a few days after posting.
+            F.date_add(posting, (F.col("l_orderkey") % 7).cast("int")).alias("receipt_date"),
             F.year(posting).alias("fiscal_year"),
             F.when(special, F.lit(13)).otherwise(F.month(posting)).alias("fiscal_period"),
             (F.col("first_account") + F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).cast("int") * 10)
@@ -314,7 +318,7 @@ class DemoLedger:
         )
         return y.select(
             ((F.col("l_orderkey") * 10 + F.col("region")) * 1000 + F.col("document_line")).alias("__line_key"),
-            "region", "partner_region",
+            "region", "partner_region", "receipt_date",
             "company_code", "document_number", "document_line", "document_type",
             "posting_date", "document_date", "entry_date", "fiscal_year", "fiscal_period",
             "gl_account", "cost_center", "programme_id", "debit_credit_ind",
