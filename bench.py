@@ -34,7 +34,7 @@ BENCH = [
     ("pl_actuals_full", "bench_pl_actuals_full", "bench_pl_actuals_full_agg"),
     ("pl_actuals_one_year", "bench_pl_actuals_one_year", "bench_pl_actuals_one_year_agg"),
     ("budget_variance_one_year", "bench_budget_variance_one_year", "bench_budget_variance_one_year_agg"),
-    ("programme_runrate", "programme_runrate", None),
+    ("programme_runrate", "programme_runrate", "programme_runrate_from_agg"),
     ("close_monitor", "bench_close_monitor", None),
     ("fx_impact", "bench_fx_impact", "bench_fx_impact_agg"),
 ]

@@ -234,11 +234,16 @@ def programme_runrate(vj: DataFrame, programme: DataFrame, fiscal_year: int, fis
     The rank filter is a per-programme ``row_number`` whose window is over the
     small monthly aggregate, not the journal.
     """
+    monthly = vj.where(F.col("programme_id").isNotNull() & (F.col("fiscal_period") <= 12)).groupBy(
+        "programme_id", period_key().alias("period_key")).agg(F.sum("signed_amount_group").alias("period_cost"))
+    return runrate_from_monthly(monthly, programme, fiscal_year, fiscal_period, window)
+
+
+def runrate_from_monthly(monthly: DataFrame, programme: DataFrame, fiscal_year: int, fiscal_period: int,
+                         window: int) -> DataFrame:
+    """KP10 from a (programme_id, period_key, period_cost) table (journal- or aggregate-served)."""
     as_of = fiscal_year * 100 + fiscal_period
-    monthly = vj.where(
-        F.col("programme_id").isNotNull() & (F.col("fiscal_period") <= 12) & (period_key() <= F.lit(as_of))
-    ).groupBy("programme_id", period_key().alias("period_key")).agg(
-        F.sum("signed_amount_group").alias("period_cost"))
+    monthly = monthly.where(F.col("period_key") <= F.lit(as_of))
     w = Window.partitionBy("programme_id").orderBy(F.col("period_key").desc())
     ranked = monthly.withColumn("recency", F.row_number().over(w))
     agg = ranked.groupBy("programme_id").agg(

@@ -58,11 +58,9 @@ def _group_names(gl_account: DataFrame) -> DataFrame:
 
 
 def pl_actuals_from_agg(agg: DataFrame, company: DataFrame, gl_account: DataFrame) -> DataFrame:
-    """AG5: P&L actuals re-aggregated from the monthly aggregate."""
-    a = agg.join(dim(company, "company_code", "company_name"), "company_code", "inner") \
-        .join(_group_names(gl_account), "account_group", "left")
-    return a.groupBy("company_code", "company_name", "fiscal_year", "fiscal_period", "pl_section",
-                     "account_group", "account_group_name").agg(
+    """AG5: P&L actuals re-aggregated from the monthly aggregate; descriptions are attached
+    to the (small) result, not to the aggregate rows."""
+    g = agg.groupBy("company_code", "fiscal_year", "fiscal_period", "pl_section", "account_group").agg(
         F.sum("signed_amount_group").alias("amount_group_currency"),
         F.sum("line_count").cast("long").alias("line_count"),
         F.sum("amount_manual").alias("amount_manual"),
@@ -70,6 +68,8 @@ def pl_actuals_from_agg(agg: DataFrame, company: DataFrame, gl_account: DataFram
         F.sum("line_count_late").cast("long").alias("line_count_late"),
         F.sum("line_count_special_period").cast("long").alias("line_count_year_end_adjustment"),
     )
+    return g.join(dim(company, "company_code", "company_name"), "company_code", "inner") \
+        .join(_group_names(gl_account), "account_group", "left")
 
 
 def fx_impact_from_agg(agg: DataFrame, company: DataFrame) -> DataFrame:
@@ -96,3 +96,10 @@ def actual_cells_from_agg(agg: DataFrame) -> DataFrame:
 def budget_variance_from_agg(agg: DataFrame, budget_cells: DataFrame) -> DataFrame:
     """AG7: KPI-04 with the actual side served from the aggregate."""
     return kpis.budget_variance(actual_cells_from_agg(agg), budget_cells)
+
+
+def programme_monthly_from_agg(agg: DataFrame) -> DataFrame:
+    """KPI-05 input from the aggregate: regular-period cost per programme and period key."""
+    return agg.where(~F.col("is_special_period") & F.col("programme_id").isNotNull()).groupBy(
+        "programme_id", (F.col("fiscal_year") * 100 + F.col("fiscal_period")).alias("period_key")
+    ).agg(F.sum("signed_amount_group").alias("period_cost"))

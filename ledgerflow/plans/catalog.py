@@ -319,6 +319,15 @@ def q_runrate(ctx: Ctx) -> DataFrame:
     return _runrate_out(ctx.runrate())
 
 
+@register("programme_runrate_from_agg",
+          _runrate_sql(config.AS_OF_YEAR, config.AS_OF_PERIOD, config.RUNRATE_WINDOW))
+def q_runrate_agg(ctx: Ctx) -> DataFrame:
+    """KP10 served from the monthly aggregate (benchmark question 4, aggregate path)."""
+    monthly = materialise.programme_monthly_from_agg(ctx.agg)
+    return _runrate_out(kpis.runrate_from_monthly(monthly, ctx.L.programme, config.AS_OF_YEAR,
+                                                  config.AS_OF_PERIOD, config.RUNRATE_WINDOW))
+
+
 @register("programme_runrate_w1", _runrate_sql(config.AS_OF_YEAR, config.AS_OF_PERIOD, 1))
 def q_runrate_w1(ctx: Ctx) -> DataFrame:
     """KP11 — same operator, one-period window."""
@@ -405,9 +414,10 @@ SELECT company_code, avg(days_to_close) AS avg_days FROM close_monitor WHERE tas
 """)
 def q_bench_close(ctx: Ctx) -> DataFrame:
     """Benchmark question 5 — average days to close per entity."""
-    cm = kpis.close_monitor(ctx.tasks_h, ctx.vj)
-    return cm.where(F.col("task_id") == config.HARD_CLOSE_TASK).groupBy("company_code").agg(
-        F.avg("days_to_close").alias("avg_days"))
+    # avg(days_to_close) over the close monitor only reads task columns: the left join to
+    # the entity-period posting measures is pruned by hand (a database prunes it itself).
+    t12 = kpis.days_to_close(ctx.tasks_h)
+    return t12.groupBy("company_code").agg(F.avg("days_to_close").alias("avg_days"))
 
 
 @register("days_to_close_by_entity", _TASKS_H_CTE + """
