@@ -30,18 +30,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared ``spark.checkpoint.dir``.
+    """Return the checkpoint folder: the cluster's shared ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared folder and is used as is.  Only when
-    it is unset (local tests) a scratch folder is created and registered.
+    it is unset (local tests) a scratch folder is registered for this context.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
