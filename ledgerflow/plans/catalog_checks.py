@@ -184,6 +184,99 @@ def q_qc_summary(ctx: Ctx) -> DataFrame:
     return quality.qc_summary(ctx.L)
 
 
+_QC_GROUPS = {
+    # key: (journal row rules, extra (cte, table, rules) parts, spark parts)
+    "qc_foreign_keys": ["fk_company", "fk_gl_account", "fk_cost_center", "fk_programme", "programme_empty_string"],
+    "qc_centre_ownership": ["centre_ownership"],
+    "qc_revenue_no_centre": ["revenue_no_centre"],
+    "qc_programme_window": ["programme_window_non_reversal", "programme_window_reversal"],
+    "qc_date_order": ["date_order"],
+    "qc_period_range": ["period_range", "special_in_incomplete_year", "posting_outside_period"],
+    "qc_unsigned_amounts": ["unsigned_amounts"],
+    "qc_group_reconciles": ["group_reconciles"],
+    "qc_same_currency_identity": ["same_currency_identity"],
+    "qc_normal_balance": ["normal_balance"],
+    "qc_intercompany": ["intercompany_partner"],
+}
+
+
+def _register_row_group(key: str, rules: list[str]):
+    @register(key, _QC_JOURNAL_CTE + _rows("qj", "journal", rules))
+    def q(ctx: Ctx) -> DataFrame:
+        L = ctx.L
+        rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
+        return rows.where(F.col("rule").isin(rules))
+
+    q.__doc__ = f"QC — {key[3:].replace('_', ' ')} rules on the journal (one scan, filtered to {len(rules)} rule(s))."
+    return q
+
+
+for _k, _rules in _QC_GROUPS.items():
+    _register_row_group(_k, _rules)
+
+
+@register("qc_primary_keys", " UNION ALL ".join([
+    _pk_sql("journal", "journal_id"), _pk_sql("journal", "document_number, document_line", "document_line_unique"),
+    _pk_sql("company", "company_code"), _pk_sql("cost_center", "cost_center"), _pk_sql("programme", "programme_id"),
+    _pk_sql("gl_account", "gl_account"), _pk_sql("close_tasks", "close_task_id")]))
+def q_qc_pk(ctx: Ctx) -> DataFrame:
+    """QC1 — primary keys unique; (document, line) unique."""
+    L = ctx.L
+    from .. import schemas
+
+    parts = [quality.primary_key_rule(L.journal, "journal", ["journal_id"]),
+             quality.primary_key_rule(L.journal, "journal", ["document_number", "document_line"],
+                                      "document_line_unique")]
+    parts += [quality.primary_key_rule(getattr(L, t), t, schemas.PRIMARY_KEYS[t])
+              for t in ("company", "cost_center", "programme", "gl_account", "close_tasks")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("qc_line_numbering", _QC_DOC_CTE + _rows("qd", "journal_documents", ["line_numbering", "header_consistency"]))
+def q_qc_docs(ctx: Ctx) -> DataFrame:
+    """QC2/QC3/AG11/AG12 — lines 1..n per document and one header per document (one grouping)."""
+    return quality.document_rules(ctx.L.journal)
+
+
+@register("qc_reversal_match", _QC_DOC_CTE + _rows("qr", "journal_reversals", ["reversal_match"]))
+def q_qc_rev(ctx: Ctx) -> DataFrame:
+    """QC12/JN15 — every reversal matches its original line (self-join on document and line)."""
+    return quality.reversal_rules(ctx.L.journal)
+
+
+@register("qc_user_tokens", _QC_JOURNAL_CTE + _QC_DOC_CTE + _rows("qj", "journal", ["user_token_pattern"])
+          + " UNION ALL " + _rows("qu", "journal_users", ["user_single_entity"]))
+def q_qc_users(ctx: Ctx) -> DataFrame:
+    """QC16/SF16 — user token pattern and one entity per user."""
+    L = ctx.L
+    rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
+    return rows.where(F.col("rule") == "user_token_pattern").unionByName(quality.user_rules(L.journal))
+
+
+@register("qc_plan", _QC_PLAN_CTE + _rows("qb", "budget", ["budget_keys", "budget_version"]) + " UNION ALL "
+          + _rows("qf", "forecast", ["forecast_keys", "forecast_version", "forecast_horizon"]))
+def q_qc_plan(ctx: Ctx) -> DataFrame:
+    """QC17 — plan keys, versions and forecast horizons."""
+    L = ctx.L
+    return quality.plan_rules(L.budget, L.forecast, L.company, L.cost_center, L.gl_account)
+
+
+@register("qc_close_coverage", _QC_PLAN_CTE + _rows("qc", "close_tasks",
+                                                    ["due_on_working_day", "open_rows_clean", "coverage_duplicates"])
+          + " UNION ALL " + _rows("qcov", "close_tasks", ["coverage_missing"]))
+def q_qc_close(ctx: Ctx) -> DataFrame:
+    """QC18 — close coverage, due dates on working days, clean open rows."""
+    L = ctx.L
+    return quality.close_rules(L.close_tasks, L.company, L.dim_date)
+
+
+@register("qc_rate_coverage", _QC_PLAN_CTE + _rows("qrate", "rates", ["rate_coverage"]) + " UNION ALL "
+          + _rows("qbrate", "rates", ["budget_rate_frozen"]))
+def q_qc_rates(ctx: Ctx) -> DataFrame:
+    """QC19 — every needed rate exists; budget rate constant per fiscal year."""
+    return quality.rate_rules(ctx.L.journal, ctx.L.rates)
+
+
 @register("qc_journal_rules", _QC_JOURNAL_CTE + _rows("qj", "journal", [r for r, _ in _JOURNAL_RULES]))
 def q_qc_journal(ctx: Ctx) -> DataFrame:
     """QC4-QC11, QC13-QC16 — row-level journal rules in one scan."""
