@@ -2,6 +2,23 @@
 
 All of these are built-in Spark expressions (no Python UDFs), so they stay
 inside whole-stage code generation.
+
+Scalar-function inventory (SURVEY 2.8) and where it lives:
+SF1 CASE sign flip / flags / bands -> ``signed``, ``criticality``; SF2 LEAST(fp,12)
+-> ``reporting_period``; SF3 GREATEST(0, ...) -> run-rate ``remaining_periods``;
+SF4 COALESCE across an outer join -> ``kpis.budget_variance``; SF5 NULLIF-guarded
+division -> ``ratio`` (``try_divide``); SF6 ABS -> ``exact_ratio`` / late value;
+SF7 decimal cast and half-up rounding -> ``money``, ``div_half_up``; SF8 YEAR/MONTH
+-> run-rate and programme budget; SF9 whole-month MONTHS_BETWEEN ->
+``kpis.programme_burn``; SF10 ``YYYY-PP`` label -> ``period_label``; SF11 unordered
+pair key -> ``pair_key``; SF12 period end -> ``period_end_date``; SF13 period date
+-> ``period_start_date``; SF14 Easter -> ``easter_sunday``; SF15 calendar parts ->
+``operators.calendar.dim_date``; SF16 token regex -> ``quality.journal_row_rules``;
+SF17 period key -> ``period_key``; SF18 fixed-scale division -> ``exact_ratio``;
+SF19 date comparison -> ``ledger.late_posting_flag``; SF20 separator replace ->
+``kpis.ic_open_items``.  Shapes PF3 (regular periods), PF4 (cost lines), PF5
+(as-of cut), PF6 (IN list: ``is_manual``) and PF7 (NULL sentinel:
+``programme_key``) are used by the KPI operators.
 """
 
 from __future__ import annotations

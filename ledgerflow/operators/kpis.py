@@ -39,7 +39,9 @@ def pl_actuals(vj: DataFrame) -> DataFrame:
 
 
 def manual_share(vj: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
-    """KP3: manual share by count and by absolute value per entity x period (+ drill keys)."""
+    """KP3: manual share by count and by absolute value per entity x period (+ drill keys).
+
+    Shares are ratios of sums computed after the aggregation (AG9), never averages of ratios."""
     keys = ["company_code", "fiscal_year", F.col("reporting_period").alias("fiscal_period")] + (extra_keys or [])
     return vj.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("line_count"),
@@ -130,7 +132,7 @@ def days_to_close_by_entity(tasks_h: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- KPI-04
 def budget_cells(budget: DataFrame) -> DataFrame:
-    """KP6 at cell grain: annual budget per entity x FY x centre x group x programme key,
+    """KP6/ST1 at cell grain: annual budget per entity x FY x centre x group x programme key,
     phased evenly over 12 periods and rounded to cents per period.
 
     Aggregating before the 12-way expansion keeps the expansion on the small
@@ -230,7 +232,7 @@ def programme_runrate(vj: DataFrame, programme: DataFrame, fiscal_year: int, fis
     """KP10: actuals to date, run-rate = mean cost of the last ``window`` periods that had
     postings (cents), remaining periods to the programme end, EAC and EAC / budget.
 
-    Programmes with no cost up to the as-of period do not appear (inner joins).
+    Programmes with no cost up to the as-of period do not appear (inner joins, JN9).
     The rank filter is a per-programme ``row_number`` whose window is over the
     small monthly aggregate, not the journal.
     """
@@ -241,7 +243,10 @@ def programme_runrate(vj: DataFrame, programme: DataFrame, fiscal_year: int, fis
 
 def runrate_from_monthly(monthly: DataFrame, programme: DataFrame, fiscal_year: int, fiscal_period: int,
                          window: int) -> DataFrame:
-    """KP10 from a (programme_id, period_key, period_cost) table (journal- or aggregate-served)."""
+    """KP10 from a (programme_id, period_key, period_cost) table (journal- or aggregate-served).
+
+    The last-N filter is ``row_number`` over the small monthly table (WN2); Spark
+    plans the rank filter as a ``WindowGroupLimit`` below the window."""
     as_of = fiscal_year * 100 + fiscal_period
     monthly = monthly.where(F.col("period_key") <= F.lit(as_of))
     w = Window.partitionBy("programme_id").orderBy(F.col("period_key").desc())

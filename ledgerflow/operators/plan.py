@@ -140,7 +140,7 @@ def budget_build(journal: DataFrame, gl_account: DataFrame,
 
 def forecast_build(journal: DataFrame, calendar: DataFrame,
                    min_annual: int = config.FORECAST_MIN_ANNUAL_EUR) -> DataFrame:
-    """PL3: quarterly rolling forecast snapshots at entity x cost centre x programme.
+    """PL3/JN12: quarterly rolling forecast snapshots at entity x cost centre x programme.
 
     Snapshot after P3/P6/P9 (only once that period has closed) forecasts every
     later period of the year with a run-rate base: the mean per-period actual of

@@ -28,6 +28,7 @@ def exposed_user_columns(views: dict[str, DataFrame]) -> list[tuple[str, str]]:
 
 
 def _group_names(gl_account: DataFrame) -> DataFrame:
+    """AG15/JN10: distinct (group, name) pairs, broadcast onto the result."""
     return dim(gl_account.select("account_group", "account_group_name").distinct())
 
 
@@ -58,7 +59,8 @@ def api_budget_variance(variance: DataFrame, company: DataFrame, cost_center: Da
 
 
 def api_programme_burn(burn: DataFrame) -> DataFrame:
-    """PB2: published programme burn with EAC criticality (> 110 % -> 1, > 100 % -> 2, else 3)."""
+    """PB2/JN17: published programme burn (run-rate result joined to the programme) with EAC
+    criticality (> 110 % -> 1, > 100 % -> 2, else 3)."""
     return burn.select(
         "programme_id", "programme_name", "programme_type", "lead_company_code", "status",
         "start_date", "end_date",
@@ -159,7 +161,7 @@ def analytical_query(variance: DataFrame, fiscal_year: int = config.AS_OF_YEAR,
 
 def journal_interface(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame) -> DataFrame:
-    """LG6: journal interface without FX and late flag; lookups behave as to-one associations
+    """LG6/JN16: journal interface without FX and late flag; lookups behave as to-one associations
     (left joins to sides unique on their key, so unused ones are pruned by the optimizer)."""
     co = dim(company, "company_code", "company_name")
     acc = dim(gl_account, "gl_account", "account_group", "pl_section")

@@ -32,7 +32,10 @@ def _stack(agg: DataFrame, table: str, rules: list[str]) -> DataFrame:
 def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame, rates: DataFrame,
                       last_fiscal_year: int = config.LAST_FISCAL_YEAR) -> DataFrame:
-    """QC4-QC11, QC13-QC16 (row part) in one scan of the journal."""
+    """QC4-QC11, QC13-QC16 (row part) in one scan of the journal.
+
+    Foreign keys are orphan checks (JN14) against broadcast master data; the
+    group-currency reconciliation is FX9; the token pattern is SF16."""
     co = dim(company, F.col("company_code").alias("__co"))
     acc = dim(gl_account, F.col("gl_account").alias("__acc"), "account_group", "normal_balance")
     cc = dim(cost_center, F.col("cost_center").alias("__cc"), F.col("company_code").alias("__cc_co"))
@@ -96,7 +99,8 @@ def primary_key_rule(df: DataFrame, table: str, keys: list[str], rule: str | Non
 
 
 def document_rules(journal: DataFrame) -> DataFrame:
-    """QC2 + QC3 in one grouping by document: lines 1..n without gaps, one header per document."""
+    """QC2 + QC3 (AG11/AG12) in one grouping by document: lines 1..n without gaps, one header
+    per document (min <> max per attribute instead of a multi-column distinct count)."""
     d = journal.groupBy("document_number").agg(
         F.min("document_line").alias("lo"), F.max("document_line").alias("hi"), F.count(F.lit(1)).alias("c"),
         *[(F.min(k) != F.max(k)).alias(f"x_{k}") for k in
@@ -118,8 +122,8 @@ def user_rules(journal: DataFrame) -> DataFrame:
 
 
 def reversal_rules(journal: DataFrame) -> DataFrame:
-    """QC12: every reversal matches an original line: same three amounts, flipped side,
-    later posting date."""
+    """QC12/JN15: every reversal matches an original line (self equi-join on document and line):
+    same three amounts, flipped side, later posting date."""
     rev = journal.where("is_reversal").select(
         F.col("reversed_document").alias("__doc"), F.col("document_line").alias("__line"),
         F.col("debit_credit_ind").alias("__dc"), F.col("posting_date").alias("__pd"),

@@ -254,6 +254,7 @@ class DemoLedger:
         )
         region = F.col("s_regionkey")
         doc_no = F.col("l_orderkey") * 10 + region
+        # WN4: line number within document, by a total order of the line's columns.
         w = Window.partitionBy("l_orderkey", "s_regionkey").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
