@@ -359,7 +359,8 @@ def latest_forecast(forecast: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- KPI-08
 def ic_reconciliation(vj: DataFrame, materiality: float = config.IC_MATERIALITY_EUR) -> DataFrame:
-    """KP17: net per unordered entity pair x reporting period, flagged above materiality."""
+    """KP17/AG14: net per unordered entity pair x reporting period, flagged above materiality
+    (the flag is computed on the aggregate)."""
     return vj.where(F.col("is_intercompany")).groupBy(
         "ic_pair", "fiscal_year", F.col("reporting_period").alias("fiscal_period"),
     ).agg(
