@@ -41,6 +41,7 @@ from ..functions.columns import (
     cents, div_half_up, is_manual, period_end_date, period_key, programme_key, signed,
 )
 from ..operators import calendar as cal
+from ..operators.ledger import number_lines
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -68,9 +69,12 @@ def _local_currency(region_col) -> F.Column:
 class DemoLedger:
     """Lazy set of finance tables derived from one driver scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_document_lines: int | None = None):
+        from ..operators.ledger import HOT_DOCUMENT_LINES
+
         self.spark = spark
         self.sf_dir = sf_dir
+        self.hot_document_lines = hot_document_lines or HOT_DOCUMENT_LINES
 
     def _t(self, name: str) -> DataFrame:
         return read_driver_table(self.spark, self.sf_dir, name)
@@ -254,11 +258,11 @@ class DemoLedger:
         )
         region = F.col("s_regionkey")
         doc_no = F.col("l_orderkey") * 10 + region
-        # WN4: line number within document, by a total order of the line's columns.
-        w = Window.partitionBy("l_orderkey", "s_regionkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        )
+        # WN4: line number within document by a total order of the line's columns, computed
+        # with the hot-document-safe numbering (a huge document never lands in one task).
+        line_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                      "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+        x = number_lines(x, ["l_orderkey", "s_regionkey"], line_order, "document_line", self.hot_document_lines)
         posting = F.to_date("o_orderdate")
         is_ic = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("c_regionkey") != region)
         doc_type = (
@@ -288,7 +292,7 @@ class DemoLedger:
             F.col("c_regionkey").alias("partner_region"),
             _company_code(region).alias("company_code"),
             doc_no.cast("string").alias("document_number"),
-            F.row_number().over(w).alias("document_line"),
+            F.col("document_line"),
             doc_type.alias("document_type"),
             posting.alias("posting_date"),
             F.date_sub(posting, F.col("l_linenumber") % 3).alias("document_date"),

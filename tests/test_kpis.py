@@ -118,3 +118,14 @@ def test_close_monitor_repeats_entity_measures_on_every_task(ctx):
         F.countDistinct("line_count").alias("n"), F.count(F.lit(1)).alias("tasks"))
     assert per.where("n > 1").count() == 0
     assert per.where(F.col("tasks") != len(config.CLOSE_TASKS)).count() == 0
+
+
+def test_hot_document_numbering_equals_plain_window(spark):
+    from ledgerflow.sources.demo import DemoLedger
+
+    plain = DemoLedger(spark, "/root/testdata/sf0.001").journal_base.select("__line_key", "document_number",
+                                                                             "document_line", "amount_doc_currency")
+    # threshold 2: every multi-line document goes through the split path
+    split = DemoLedger(spark, "/root/testdata/sf0.001", hot_document_lines=2).journal_base.select(
+        "__line_key", "document_number", "document_line", "amount_doc_currency")
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
