@@ -2,8 +2,7 @@
 
 Steps (one Spark session, local[$BENCH_CPUS], data at $BENCH_SF_DIR):
   1. load      derive the eleven finance tables from the driver tables and write them
-               as Parquet (journal partitioned by fiscal year) — the analogue of the
-               reference's bulk load;
+               as Parquet (journal partitioned by fiscal year) — the bulk-load step;
   2. aggregate build the monthly aggregate from the stored journal and write it;
   3. queries   each question: one cold run, then the median of warm runs, measured
                client-side including result fetch, on both paths.
