@@ -451,7 +451,6 @@ def _l1(table: str):
     sql_cols = ", ".join(M(c) + f" AS {c}" if c in money_c else (f"CAST({c} AS DOUBLE) AS {c}" if c in rate_c else c)
                          for c in cols)
 
-    @register(f"l1_{table}", f"SELECT {sql_cols} FROM {table}")
     def q(ctx: Ctx) -> DataFrame:
         df = files.l1_projection(getattr(ctx.L, table), table).select(*cols)
         df = money_cols(df, *money_c)
@@ -459,8 +458,8 @@ def _l1(table: str):
             df = df.withColumn(rc, F.col(rc).cast("double"))
         return df
 
-    q.__doc__ = f"SC10 — L1 contract projection of {table}."
-    return q
+    q.__doc__ = f"SC10/PF1 — L1 contract projection of {table}."
+    return register(f"l1_{table}", f"SELECT {sql_cols} FROM {table}")(q)
 
 
 for _t in schemas.SCHEMAS:

@@ -200,15 +200,21 @@ _QC_GROUPS = {
 }
 
 
+_QC_IDS = {"qc_foreign_keys": "QC4/JN14", "qc_centre_ownership": "QC5", "qc_revenue_no_centre": "QC6",
+           "qc_programme_window": "QC7/LG9", "qc_date_order": "QC8", "qc_period_range": "QC9",
+           "qc_unsigned_amounts": "QC10", "qc_group_reconciles": "QC11/FX9", "qc_same_currency_identity": "QC13",
+           "qc_normal_balance": "QC14", "qc_intercompany": "QC15"}
+
+
 def _register_row_group(key: str, rules: list[str]):
-    @register(key, _QC_JOURNAL_CTE + _rows("qj", "journal", rules))
     def q(ctx: Ctx) -> DataFrame:
         L = ctx.L
         rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
         return rows.where(F.col("rule").isin(rules))
 
-    q.__doc__ = f"QC — {key[3:].replace('_', ' ')} rules on the journal (one scan, filtered to {len(rules)} rule(s))."
-    return q
+    q.__doc__ = (f"{_QC_IDS[key]} — {key[3:].replace('_', ' ')}: {', '.join(rules)} "
+                 f"(row rules on the journal, one scan).")
+    return register(key, _QC_JOURNAL_CTE + _rows("qj", "journal", rules))(q)
 
 
 for _k, _rules in _QC_GROUPS.items():
