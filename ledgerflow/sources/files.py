@@ -150,7 +150,10 @@ def materialise_ledger(ledger, root: str) -> None:
     for t in schemas.SCHEMAS:
         if t == "journal":
             continue
-        write_table(getattr(ledger, t).select(*schemas.CONTRACT_COLUMNS[t]), f"{root}/{t}")
+        cols = list(schemas.CONTRACT_COLUMNS[t])
+        if t == "dim_date":
+            cols.append("working_day_seq")  # the L2 counter, stored so readers need no window
+        write_table(getattr(ledger, t).select(*cols), f"{root}/{t}")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
