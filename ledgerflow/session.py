@@ -20,6 +20,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.ui.retainedExecutions", "50")
         .config("spark.driver.memory", os.environ.get("LEDGERFLOW_DRIVER_MEMORY", "8g"))
     )
     if shuffle_partitions is not None:

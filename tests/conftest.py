@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
