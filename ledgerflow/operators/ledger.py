@@ -261,25 +261,41 @@ HOT_DOCUMENT_LINES = 1_000_000
 
 
 def number_lines(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "document_line",
-                 hot_threshold: int = HOT_DOCUMENT_LINES, hot_partitions: int | None = None) -> DataFrame:
+                 hot_threshold: int = HOT_DOCUMENT_LINES, hot: DataFrame | None = None,
+                 hot_partitions: int | None = None) -> DataFrame:
     """WN4: ``row_number()`` within each group by ``order_cols``, safe for hot groups.
 
-    Ordinary groups use the plain window.  Groups above ``hot_threshold`` rows
-    (at most ``rows / hot_threshold`` of them, so their key list has a proven
-    broadcast bound) are range-partitioned on (group, order) so one group spans
-    many tasks; each task numbers its slice, and the slice offsets are exclusive
+    ``hot`` lists the keys of groups above ``hot_threshold`` rows (a prefix of
+    ``group_cols`` may be used, e.g. the order of a document); by default it is
+    derived from ``df``.  There are at most ``rows / hot_threshold`` such keys,
+    a proven broadcast bound.  A one-row probe decides the plan: without hot
+    groups it is the plain window.  Otherwise ordinary groups keep the window
+    and hot groups are range-partitioned on (group, order) so one group spans
+    many tasks; each task numbers its slice and the slice offsets are exclusive
     prefix sums of the per-task counts.  Range partitioning sends equal keys to
     one partition and keeps partition ids increasing with the key, so the
-    result equals the plain window's.
+    result equals the plain window's.  The hot slice assignment is checkpointed
+    once (it is read twice), which also cuts its lineage.
     """
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    hot = F.broadcast(sizes.where(F.col("__n") > hot_threshold).select(*group_cols))
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    normal = df.join(hot, group_cols, "left_anti").withColumn(out, F.row_number().over(w))
-
-    big = df.join(hot, group_cols, "left_semi")
+    if hot is None:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
+        hot = sizes.where(F.col("__n") > hot_threshold).select(*group_cols)
+    if hot.limit(1).count() == 0:
+        return df.withColumn(out, F.row_number().over(w))
+    hot_cols = hot.columns
+    hot_b = F.broadcast(hot)
+    normal = df.join(hot_b, hot_cols, "left_anti").withColumn(out, F.row_number().over(w))
+
+    big = df.join(hot_b, hot_cols, "left_semi")
     n = hot_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = big.repartitionByRange(n, *group_cols, *order_cols).withColumn("__pid", F.spark_partition_id())
+    # Range bounds come from sampling: materialise the slice assignment once (reliable
+    # checkpoint in the shared checkpoint folder) so the local ranks and the per-slice
+    # counts below see the same partition ids.
+    from ..session import cut_lineage
+
+    x = cut_lineage(x)
     x = x.withColumn("__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order_cols)))
     counts = x.groupBy(*group_cols, "__pid").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

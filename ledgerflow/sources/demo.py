@@ -262,7 +262,12 @@ class DemoLedger:
         # with the hot-document-safe numbering (a huge document never lands in one task).
         line_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-        x = number_lines(x, ["l_orderkey", "s_regionkey"], line_order, "document_line", self.hot_document_lines)
+        # A document is part of one order, so orders above the threshold (counted on the raw
+        # lineitem keys, partial aggregation) bound the hot documents.
+        hot_orders = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n")) \
+            .where(F.col("__n") > self.hot_document_lines).select("l_orderkey")
+        x = number_lines(x, ["l_orderkey", "s_regionkey"], line_order, "document_line", self.hot_document_lines,
+                         hot=hot_orders)
         posting = F.to_date("o_orderdate")
         is_ic = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("c_regionkey") != region)
         doc_type = (
