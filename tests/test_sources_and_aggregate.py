@@ -59,3 +59,29 @@ def test_parquet_ledger_round_trip(spark, ledger):
     a = kpis.fx_impact(Ctx(spark, ledger_obj=pq).vj).agg(F.sum("fx_impact")).first()[0]
     b = kpis.fx_impact(Ctx(spark, ledger_obj=ledger).vj).agg(F.sum("fx_impact")).first()[0]
     assert a == b
+
+
+def test_json_sink_single_file(spark, tmp_path):
+    df = spark.createDataFrame([("CO0", 1.5)], "company_code string, value double")
+    out = str(tmp_path / "json")
+    files.write_json(df, out)
+    parts = [f for f in os.listdir(out) if f.endswith(".json")]
+    assert len(parts) == 1 and '"company_code":"CO0"' in open(os.path.join(out, parts[0])).read()
+
+
+def test_no_published_view_exposes_user_columns(ctx):
+    """QC20/PF10: published views carry no pseudonymous user column; L1/L2 do."""
+    from ledgerflow.operators import kpis, publish
+
+    L = ctx.L
+    views = {
+        "api_budget_variance": publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme,
+                                                           L.gl_account),
+        "api_close_monitor": publish.api_close_monitor(kpis.close_monitor(ctx.tasks_h, ctx.vj), L.company),
+        "api_pl_actuals": publish.api_pl_actuals(kpis.pl_actuals(ctx.vj)),
+        "api_ic_reconciliation": publish.api_ic_reconciliation(ctx.ic),
+        "journal_interface": publish.journal_interface(L.journal, L.company, L.gl_account, L.cost_center,
+                                                       L.programme),
+    }
+    assert publish.exposed_user_columns(views) == []
+    assert publish.exposed_user_columns({"l2": ctx.vj}) == [("l2", "posting_user_id")]
