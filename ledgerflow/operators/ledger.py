@@ -76,95 +76,138 @@ def flip(dc="debit_credit_ind"):
     return F.when(F.col(dc) == "S", F.lit("H")).otherwise(F.lit("S"))
 
 
-def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame) -> DataFrame:
-    """LG8: partner-side lines of intercompany postings.
+JOURNAL_FIELDS = [
+    "company_code", "document_number", "document_line", "document_type",
+    "posting_date", "document_date", "entry_date", "fiscal_year", "fiscal_period",
+    "gl_account", "cost_center", "programme_id", "debit_credit_ind",
+    "amount_doc_currency", "doc_currency", "amount_local_currency", "local_currency",
+    "amount_group_currency", "group_currency", "is_intercompany", "ic_partner_company",
+    "posting_user_id", "is_reversal", "reversed_document",
+]
+
+
+def prepare_derivations(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+    """Attach what the derived postings need, by broadcast lookups only (no shuffle):
+    the partner's currency and its actual rate in the receipt period (LG8) and the
+    first working day of the next period (LG7)."""
+    partner = dim(company, F.col("company_code").alias("__p_code"), F.col("local_currency").alias("__p_ccy"))
+    x = lines.join(partner, F.col("ic_partner_company") == F.col("__p_code"), "left")
+    receipt = F.col("receipt_date") if "receipt_date" in lines.columns else F.col("posting_date")
+    x = x.withColumn("__m_date", receipt).withColumn("__m_fy", F.year("__m_date")) \
+        .withColumn("__m_fp", F.month("__m_date"))
+    x = rate_lookup(x, rates, "__p_ccy", out="__p_rate", year_col="__m_fy", period_col="__m_fp")
+    x = x.withColumn("__n_fy", F.col("fiscal_year") + F.when(F.col("fiscal_period") == 12, 1).otherwise(0)) \
+        .withColumn("__n_fp", F.col("fiscal_period") % 12 + 1)
+    first = dim(cal.first_working_day_of_period(calendar)).select(
+        F.col("fiscal_year").alias("__f_fy"), F.col("fiscal_period").alias("__f_fp"), "first_working_day")
+    return x.join(first, (F.col("__n_fy") == F.col("__f_fy")) & (F.col("__n_fp") == F.col("__f_fp")), "left")
+
+
+def _struct(cols: dict, kind: int) -> F.Column:
+    return F.struct(F.col("__line_key").alias("__line_key"), F.lit(kind).alias("__kind"),
+                    *[cols.get(c, F.col(c)).alias(c) for c in JOURNAL_FIELDS])
+
+
+def original_line(x: DataFrame | None = None) -> F.Column:
+    return _struct({}, 0)
+
+
+def mirror_condition() -> F.Column:
+    return F.col("is_intercompany") & F.col("__p_code").isNotNull()
+
+
+def mirror_line() -> F.Column:
+    """LG8 column builder: the partner-side line of an intercompany posting.
 
     The partner books the mirror document on receipt (``receipt_date`` when the
-    lines carry one, else the original posting date), with
-    entity and partner swapped, no cost centre or programme, the opposite
-    side, and the original group amount translated into the partner's local
-    currency at the partner's rate of its own period.  Month-end timing and
-    rate differences are what the reconciliation later surfaces.
+    lines carry one, else the original posting date), with entity and partner
+    swapped, no cost centre or programme, the opposite side, and the original
+    group amount translated into the partner's local currency at the partner's
+    rate of its own period (exact cents).  Month-end timing and rate differences
+    are what the reconciliation later surfaces.
     """
-    ic = lines.where("is_intercompany")
-    partner = dim(company, F.col("company_code").alias("__p_code"),
-                  F.col("local_currency").alias("__p_ccy"))
-    x = ic.join(partner, F.col("ic_partner_company") == F.col("__p_code"), "inner")
-    receipt = F.col("receipt_date") if "receipt_date" in ic.columns else F.col("posting_date")
-    x = x.withColumn("__m_date", receipt)
-    x = x.withColumn("__m_fy", F.year("__m_date")).withColumn("__m_fp", F.month("__m_date"))
-    x = rate_lookup(x, rates, "__p_ccy", out="__p_rate", year_col="__m_fy", period_col="__m_fp")
     micro = (F.col("__p_rate") * F.lit(1000000)).cast("long")
     local_cents = div_half_up(cents("amount_group_currency") * F.lit(1000000), micro)
     local = (local_cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
-    return x.select(
-        "__line_key",
-        F.col("ic_partner_company").alias("company_code"),
-        F.concat(F.lit("M"), F.col("document_number")).alias("document_number"),
-        "document_line",
-        F.lit("IC").alias("document_type"),
-        F.col("__m_date").alias("posting_date"),
-        "document_date",
-        F.col("__m_date").alias("entry_date"),
-        F.col("__m_fy").alias("fiscal_year"),
-        F.col("__m_fp").alias("fiscal_period"),
-        "gl_account",
-        F.lit(None).cast("string").alias("cost_center"),
-        F.lit(None).cast("string").alias("programme_id"),
-        flip().alias("debit_credit_ind"),
-        "amount_doc_currency",
-        "doc_currency",
-        local.alias("amount_local_currency"),
-        F.col("__p_ccy").alias("local_currency"),
-        F.round(local * F.col("__p_rate"), 2).cast("decimal(15,2)").alias("amount_group_currency"),
-        "group_currency",
-        F.lit(True).alias("is_intercompany"),
-        F.col("company_code").alias("ic_partner_company"),
-        F.format_string("USR-%06X", (F.col("partner_region") + 1) * F.lit(1048576)
-                        + (F.col("document_line") * 7919) % 1048576).alias("posting_user_id"),
-        F.lit(False).alias("is_reversal"),
-        F.lit(None).cast("string").alias("reversed_document"),
-    )
-
-
-def accrual_reversals(lines: DataFrame, calendar) -> DataFrame:
-    """LG7: reverse every accrual (SB) line of a regular period in the next covered period.
+    return _struct({
+        "company_code": F.col("ic_partner_company"),
+        "document_number": F.concat(F.lit("M"), F.col("document_number")),
+        "document_type": F.lit("IC"),
+        "posting_date": F.col("__m_date"),
+        "entry_date": F.col("__m_date"),
+        "fiscal_year": F.col("__m_fy"),
+        "fiscal_period": F.col("__m_fp"),
+        "cost_center": F.lit(None).cast("string"),
+        "programme_id": F.lit(None).cast("string"),
+        "debit_credit_ind": flip(),
+        "amount_local_currency": local,
+        "local_currency": F.col("__p_ccy"),
+        "amount_group_currency": F.round(local * F.col("__p_rate"), 2).cast("decimal(15,2)"),
+        "is_intercompany": F.lit(True),
+        "ic_partner_company": F.col("company_code"),
+        "posting_user_id": F.format_string("USR-%06X", (F.col("partner_region") + 1) * F.lit(1048576)
+                                           + (F.col("document_line") * 7919) % 1048576),
+        "is_reversal": F.lit(False),
+        "reversed_document": F.lit(None).cast("string"),
+    }, 1)
+
+
+def reversal_condition() -> F.Column:
+    return ((F.col("document_type") == "SB") & (F.col("fiscal_period") <= 12)
+            & (F.col("__n_fy") * 100 + F.col("__n_fp") <= F.lit(config.LAST_COVERED_PERIOD_KEY))
+            & F.col("first_working_day").isNotNull())
+
+
+def reversal_line() -> F.Column:
+    """LG7 column builder: next-period reversal of an accrual (SB) line.
 
     The reversal flips the side, carries all three amounts unchanged (so its
     group amount reflects the original period's rate), gets a new document
     number and posts on the first working day of the target period.  Lines of
     the final covered period have no next period and are not reversed.
     """
-    sb = lines.where((F.col("document_type") == "SB") & (F.col("fiscal_period") <= 12))
-    nfy = F.col("fiscal_year") + F.when(F.col("fiscal_period") == 12, 1).otherwise(0)
-    nfp = F.col("fiscal_period") % 12 + 1
-    x = sb.withColumn("__n_fy", nfy).withColumn("__n_fp", nfp).where(
-        F.col("__n_fy") * 100 + F.col("__n_fp") <= F.lit(config.LAST_COVERED_PERIOD_KEY)
-    )
-    first = dim(cal.first_working_day_of_period(calendar)).select(
-        F.col("fiscal_year").alias("__f_fy"), F.col("fiscal_period").alias("__f_fp"),
-        "first_working_day",
-    )
-    x = x.join(first, (F.col("__n_fy") == F.col("__f_fy")) & (F.col("__n_fp") == F.col("__f_fp")))
-    return x.select(
-        "__line_key",
-        "company_code",
-        F.concat(F.lit("R"), F.col("document_number")).alias("document_number"),
-        "document_line",
-        "document_type",
-        F.col("first_working_day").alias("posting_date"),
-        F.col("first_working_day").alias("document_date"),
-        F.col("first_working_day").alias("entry_date"),
-        F.col("__n_fy").alias("fiscal_year"),
-        F.col("__n_fp").alias("fiscal_period"),
-        "gl_account", "cost_center", "programme_id",
-        flip().alias("debit_credit_ind"),
-        "amount_doc_currency", "doc_currency", "amount_local_currency", "local_currency",
-        "amount_group_currency", "group_currency",
-        "is_intercompany", "ic_partner_company", "posting_user_id",
-        F.lit(True).alias("is_reversal"),
-        F.col("document_number").alias("reversed_document"),
-    )
+    return _struct({
+        "document_number": F.concat(F.lit("R"), F.col("document_number")),
+        "posting_date": F.col("first_working_day"),
+        "document_date": F.col("first_working_day"),
+        "entry_date": F.col("first_working_day"),
+        "fiscal_year": F.col("__n_fy"),
+        "fiscal_period": F.col("__n_fp"),
+        "debit_credit_ind": flip(),
+        "is_reversal": F.lit(True),
+        "reversed_document": F.col("document_number"),
+    }, 2)
+
+
+def _unpack(x: DataFrame, line: F.Column) -> DataFrame:
+    return x.select(line.alias("__r")).select("__r.*").drop("__kind")
+
+
+def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+    """LG8: the partner-side mirror lines on their own (see ``mirror_line``)."""
+    x = prepare_derivations(lines.where("is_intercompany"), rates, company, calendar)
+    return _unpack(x.where(mirror_condition()), mirror_line())
+
+
+def accrual_reversals(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+    """LG7: the next-period reversals on their own (see ``reversal_line``)."""
+    x = prepare_derivations(lines.where(F.col("document_type") == "SB"), rates, company, calendar)
+    return _unpack(x.where(reversal_condition()), reversal_line())
+
+
+def journal_with_derived(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+    """ST3: originals + mirrors + reversals in ONE pass over the original lines.
+
+    Each original line expands to one, two or three journal rows via ``explode``
+    of a filtered array of structs, so the (expensive) derivation of the
+    original lines is computed once instead of once per union branch.
+    ``journal_id`` = line key x 4 + kind (0 original, 1 mirror, 2 reversal).
+    """
+    x = prepare_derivations(lines, rates, company, calendar)
+    rows = F.filter(F.array(original_line(), F.when(mirror_condition(), mirror_line()),
+                            F.when(reversal_condition(), reversal_line())), lambda r: r.isNotNull())
+    out = x.select(F.explode(rows).alias("__r")).select("__r.*")
+    return out.select((F.col("__line_key") * 4 + F.col("__kind")).alias("journal_id"), *JOURNAL_FIELDS)
 
 
 def late_posting_flag(entry_date="entry_date", due_date="due_date", fiscal_period="fiscal_period"):

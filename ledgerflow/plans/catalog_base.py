@@ -258,14 +258,14 @@ _DERIVED_SPARK = ["company_code", "document_number", "document_line", "posting_d
 @register("accrual_reversals", f"SELECT {_DERIVED_COLS} FROM j_rev")
 def q_reversals(ctx: Ctx) -> DataFrame:
     """LG7 — next-period reversals of accrual (SB) lines, amounts carried over."""
-    r = ledger.accrual_reversals(ctx.L.journal_base, ctx.L.dim_date)
+    r = ledger.accrual_reversals(ctx.L.journal_base, ctx.L.rates, ctx.L.company, ctx.L.dim_date)
     return money_cols(r.select(*_DERIVED_SPARK), "amount_local_currency", "amount_group_currency")
 
 
 @register("intercompany_mirrors", f"SELECT {_DERIVED_COLS} FROM j_mirror")
 def q_mirrors(ctx: Ctx) -> DataFrame:
     """LG8 — partner-side mirror lines of intercompany postings."""
-    m = ledger.intercompany_mirrors(ctx.L.journal_base, ctx.L.rates, ctx.L.company)
+    m = ledger.intercompany_mirrors(ctx.L.journal_base, ctx.L.rates, ctx.L.company, ctx.L.dim_date)
     return money_cols(m.select(*_DERIVED_SPARK), "amount_local_currency", "amount_group_currency")
 
 

@@ -26,7 +26,13 @@ class Ctx:
     @cached_property
     def vj(self) -> DataFrame:
         L = self.L
-        return ledger.harmonised_journal(L.journal, L.company, L.gl_account, L.cost_center, L.programme,
+        # The harmonised journal only needs programme id, name and type: take them from the
+        # master data when the ledger has it (the demo programme table also carries a budget
+        # derived from the journal, which would be a second journal derivation).
+        programme = getattr(L, "programme_master", None)
+        if programme is None:
+            programme = L.programme
+        return ledger.harmonised_journal(L.journal, L.company, L.gl_account, L.cost_center, programme,
                                          L.rates, L.close_tasks)
 
     @cached_property

@@ -345,18 +345,9 @@ class DemoLedger:
 
     @cached_property
     def journal(self) -> DataFrame:
-        from ..operators.ledger import accrual_reversals, intercompany_mirrors
+        from ..operators.ledger import journal_with_derived
 
-        base = self.journal_base
-        mirrors = intercompany_mirrors(base, self.rates, self.company)
-        reversals = accrual_reversals(base, self.dim_date)
-        cols = JOURNAL_COLUMNS
-        return (
-            base.withColumn("journal_id", F.col("__line_key") * 4)
-            .select(*cols)
-            .unionByName(mirrors.withColumn("journal_id", F.col("__line_key") * 4 + 1).select(*cols))
-            .unionByName(reversals.withColumn("journal_id", F.col("__line_key") * 4 + 2).select(*cols))
-        )
+        return journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date)
 
     # ----------------------------------------------------- plans and close
     @cached_property
