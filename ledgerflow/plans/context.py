@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
 from ..operators import kpis, ledger, materialise
-from ..sources.demo import DemoLedger
+from ..sources.demo import demo_ledger
 
 
 class Ctx:
@@ -21,7 +21,7 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, ledger_obj=None):
         self.spark = spark
-        self.L = ledger_obj if ledger_obj is not None else DemoLedger(spark, sf_dir)
+        self.L = ledger_obj if ledger_obj is not None else demo_ledger(spark, sf_dir)
 
     @cached_property
     def vj(self) -> DataFrame:

@@ -33,6 +33,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,12 +70,14 @@ def _local_currency(region_col) -> F.Column:
 class DemoLedger:
     """Lazy set of finance tables derived from one driver scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, hot_document_lines: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_document_lines: int | None = None,
+                 persist_journal: bool = False):
         from ..operators.ledger import HOT_DOCUMENT_LINES
 
         self.spark = spark
         self.sf_dir = sf_dir
         self.hot_document_lines = hot_document_lines or HOT_DOCUMENT_LINES
+        self.persist_journal = persist_journal
 
     def _t(self, name: str) -> DataFrame:
         return read_driver_table(self.spark, self.sf_dir, name)
@@ -347,7 +350,11 @@ class DemoLedger:
     def journal(self) -> DataFrame:
         from ..operators.ledger import journal_with_derived
 
-        return journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date)
+        j = journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date)
+        # Shared ledgers persist the derived journal (memory, spilling to disk; lost blocks
+        # are recomputed from lineage) so the tables derived from it and every query of the
+        # session read one derivation.
+        return j.persist(StorageLevel.MEMORY_AND_DISK) if self.persist_journal else j
 
     # ----------------------------------------------------- plans and close
     @cached_property
@@ -393,7 +400,18 @@ FINANCE_TABLES = [
 ]
 
 
+_SHARED: dict[tuple[int, str], DemoLedger] = {}
+
+
 def demo_ledger(spark: SparkSession, sf_dir: str) -> DemoLedger:
-    return DemoLedger(spark, sf_dir)
+    """The session's shared demo ledger for a data folder (derived once, journal persisted)."""
+    import os
+
+    key = (id(spark), os.path.abspath(sf_dir))
+    ledger_obj = _SHARED.get(key)
+    if ledger_obj is None or ledger_obj.spark is not spark:
+        ledger_obj = DemoLedger(spark, sf_dir, persist_journal=True)
+        _SHARED[key] = ledger_obj
+    return ledger_obj
 
 
