@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, tokens
+from . import line_dedup, packing, simhash, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +25,53 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["stop"]))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", spans).alias("removed"))
+
+
+ORACLES["op4_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), placed AS (
+  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS unit
+  FROM lines
+), marked AS (
+  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= 10 AND unit <> ''
+            AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS gone
+  FROM placed
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
+       count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT), ',' ORDER BY k) FILTER (gone), '') AS removed
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return toxicity.classify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "rejected")
+
+
+@query
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
