@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, multiset, packing, simhash, suffix_dedup, tokens, toxicity
+from . import line_dedup, multiset, packing, simhash, suffix_dedup, tokens, toxicity, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op3_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.fingerprints(table(spark, sf_dir, "documents"))
