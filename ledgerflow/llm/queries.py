@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, multiset, packing, simhash, suffix_dedup, tokens, toxicity, wrappers
+from . import dimension_scan, line_dedup, multiset, packing, sentence_pieces, simhash, suffix_dedup, tokens, toxicity, wrappers
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op3_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.fingerprints(table(spark, sf_dir, "documents"))
@@ -69,6 +74,11 @@ def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op6_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
