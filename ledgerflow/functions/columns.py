@@ -90,45 +90,53 @@ def count_if(cond) -> Column:
 
 
 def intdiv(a, b) -> Column:
-    """Integral division truncating toward zero (Spark ``div``)."""
-    return F.call_function("div", c(a).cast("long"), c(b).cast("long"))
+    """Integral division truncating toward zero; operands up to 38 digits, quotient a ``long``."""
+    wide = "decimal(38,0)"
+    return F.call_function("div", c(a).cast(wide), c(b).cast(wide))
 
 
 def div_half_up(numerator, denominator) -> Column:
-    """Integer division rounded half away from zero, exact for ``long`` inputs
-    (positive denominator)."""
-    n = c(numerator).cast("long")
-    d = c(denominator).cast("long")
+    """Integer division rounded half away from zero, exact up to 37 digits (positive denominator)."""
+    n = c(numerator).cast("decimal(37,0)")
+    d = c(denominator).cast("decimal(37,0)")
     return F.when(n >= 0, intdiv(n * 2 + d, d * 2)).otherwise(-intdiv(-n * 2 + d, d * 2))
 
 
 def cents(x) -> Column:
-    """Exact decimal amount -> integer cents."""
-    return (c(x) * F.lit(100)).cast("long")
+    """Exact decimal amount -> whole cents (38 digits)."""
+    return (c(x).cast("decimal(36,2)") * F.lit(100)).cast("decimal(38,0)")
+
+
+#: Digits behind the point that amounts keep between operators (cents are for publishing).
+WIDE_SCALE = 8
+
+
+def wide(x) -> Column:
+    """Amount with WIDE_SCALE digits, so that sums and differences lose none."""
+    return c(x).cast("decimal(30,8)")
+
+
+def wide_div(amount, divisor) -> Column:
+    """Amount / positive integer to WIDE_SCALE digits, for shares that are rounded later."""
+    return F.round(c(amount).cast("decimal(30,8)") / c(divisor).cast("decimal(8,0)"), WIDE_SCALE).cast("decimal(30,8)")
 
 
 def easter_sunday(year) -> Column:
-    """Easter Sunday of a Gregorian year (anonymous Gregorian computus) as a date column."""
+    """Easter Sunday of a Gregorian year as a date column (Gauss's rule with its two exceptions).
+
+    The Paschal full moon falls ``moon`` days after 21 March; Easter is the next Sunday.
+    """
     y = c(year).cast("int")
 
-    def idiv(a, b):
-        return F.floor(a / F.lit(b)).cast("int")
-
-    a = y % 19
-    b = idiv(y, 100)
-    cc = y % 100
-    d = idiv(b, 4)
-    e = b % 4
-    f = idiv(b + 8, 25)
-    g = idiv(b - f + 1, 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i = idiv(cc, 4)
-    k = cc % 4
-    lam = (e * 2 + i * 2 - h - k + 32) % 7
-    m = idiv(a + h * 11 + lam * 22, 451)
-    month = idiv(h + lam - m * 7 + 114, 31)
-    day = (h + lam - m * 7 + 114) % 31 + 1
-    return F.make_date(y, month, day)
+    def part(x, n):
+        return F.floor(x / F.lit(n)).cast("int")
+
+    century, golden = part(y, 100), y % 19
+    epact_shift = (century - part(century, 4) - part(century * 8 + 13, 25) + 15) % 30
+    moon = (golden * 19 + epact_shift) % 30
+    moon = moon - F.when((moon == 29) | ((moon == 28) & (golden > 10)), F.lit(1)).otherwise(F.lit(0))
+    full_moon = F.date_add(F.make_date(y, F.lit(3), F.lit(21)), moon)
+    return F.date_add(full_moon, F.lit(7) - (F.weekday(full_moon) + 1) % 7)
 
 
 def criticality(value, high, warn, null_value: int = 0) -> Column:
@@ -143,10 +151,10 @@ def criticality(value, high, warn, null_value: int = 0) -> Column:
 
 
 def cents_to_decimal(cents_col) -> Column:
-    """Integer cents -> exact DECIMAL(18,2)."""
+    """Whole cents -> exact DECIMAL(28,2)."""
     from decimal import Decimal
 
-    return (c(cents_col).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+    return (c(cents_col).cast("decimal(30,0)") * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
 
 
 def decimal_div_cents(amount, divisor) -> Column:
@@ -155,9 +163,13 @@ def decimal_div_cents(amount, divisor) -> Column:
 
 
 def exact_ratio(numerator, denominator, dp: int = 4) -> Column:
-    """num / |den| of two exact cent amounts, rounded half away from zero to ``dp`` decimals,
-    returned as double; NULL when the denominator is zero or NULL."""
+    """num / |den| of two amounts of up to WIDE_SCALE digits, rounded half away from zero to
+    ``dp`` decimals, returned as double; NULL when the denominator is zero or NULL."""
+    def units(x):
+        return (c(x).cast("decimal(30,8)") * F.lit(10 ** WIDE_SCALE)).cast("decimal(34,0)")
+
     scale = 10 ** dp
-    den = F.abs(cents(denominator))
-    q = div_half_up(cents(numerator) * F.lit(scale), den)
+    den = F.abs(units(denominator))
+    # the division is guarded as well: ANSI mode evaluates it for zero denominators otherwise
+    q = div_half_up(units(numerator).cast("decimal(32,0)") * F.lit(scale), F.when(den != 0, den))
     return F.when(den != 0, q.cast("double") / F.lit(float(scale)))

@@ -1,6 +1,6 @@
 """Working-day calendar operators (CA1-CA8, WN1, WN3, WN6, WN7).
 
-The calendar is a bounded table: one row per day of a fixed window, so it is
+The calendar is a bounded table: one row per day of the years with postings, so it is
 broadcast into every join that needs it and the running working-day counter
 (an unpartitioned window) only ever runs over these few thousand rows, never
 over a fact table.  Working-day distance becomes one subtraction of two
@@ -9,24 +9,25 @@ counters, and "n-th working day after" an equi-join on the counter.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.columns import easter_sunday, period_end_date, period_key
+from ..functions.columns import easter_sunday, period_end_date
 
 
-def _date_range(spark: SparkSession, start: dt.date, end: dt.date, name: str) -> DataFrame:
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias(name)
-    )
+def calendar_years(postings: DataFrame, date_col: str) -> DataFrame:
+    """The calendar years that postings fall in, and the one after (late completions), as ``year``."""
+    span = postings.agg(F.year(F.min(date_col)).alias("lo"), F.year(F.max(date_col)).alias("hi"))
+    return span.select(F.explode(F.sequence("lo", F.col("hi") + 1)).alias("year"))
+
+
+def year_range(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    return spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
 
 
-def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """CA1: fixed holidays plus Easter-relative ones for every year in the range."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+def holidays(years: DataFrame) -> DataFrame:
+    """CA1: fixed holidays plus Easter-relative ones for every ``year``."""
     fixed_days = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d")) for m, d in config.FIXED_HOLIDAYS])
     fixed = years.select("year", F.explode(fixed_days).alias("md")).select(
         F.make_date("year", "md.m", "md.d").alias("holiday_date"))
@@ -36,18 +37,19 @@ def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     return fixed.unionByName(easter).distinct()
 
 
-def dim_date(spark: SparkSession, start: dt.date = config.CALENDAR_START,
-             end: dt.date = config.CALENDAR_END) -> DataFrame:
-    """CA2 + WN1 + WN3: daily calendar with fiscal attributes and working-day counters.
+def dim_date(years: DataFrame) -> DataFrame:
+    """CA2 + WN1 + WN3: daily calendar of the given ``year`` rows with fiscal attributes and
+    working-day counters.
 
     ``working_day_seq`` counts working days from the start of the window up to
     and including the day, so ``seq(to) - seq(from)`` is the number of working
     days in the half-open interval (from, to].
     """
-    hol = holidays(spark, start.year, end.year).withColumn("is_holiday", F.lit(True))
-    days = _date_range(spark, start, end, "date_id")
+    hol = holidays(years).withColumn("is_holiday", F.lit(True))
+    days = years.select(F.explode(F.sequence(
+        F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31)))).alias("date_id"))
     d = (
-        days.join(F.broadcast(hol), days.date_id == hol.holiday_date, "left")
+        days.join(hol, F.col("date_id") == F.col("holiday_date"), "left")
         .select(
             "date_id",
             F.year("date_id").alias("calendar_year"),
@@ -64,7 +66,7 @@ def dim_date(spark: SparkSession, start: dt.date = config.CALENDAR_START,
         .withColumn("period_end_date", period_end_date())
     )
     wd = F.when(F.col("is_working_day"), F.lit(1)).otherwise(F.lit(0))
-    # Bounded window: the calendar has (end - start + 1) rows by construction.
+    # Bounded window: one row a day of the years that hold postings.
     running = Window.orderBy("date_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     in_period = (
         Window.partitionBy("fiscal_year", "fiscal_period")
@@ -137,15 +139,13 @@ def working_days_in_period(calendar: DataFrame) -> DataFrame:
     )
 
 
-def covered_periods(spark: SparkSession) -> DataFrame:
-    """CA6: ordered list of closed regular periods; the final year stops early."""
-    years = spark.range(config.FIRST_FISCAL_YEAR, config.LAST_FISCAL_YEAR + 1).select(
-        F.col("id").cast("int").alias("fiscal_year")
-    )
-    return (
-        years.select("fiscal_year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("fiscal_period"))
-        .where(period_key() <= F.lit(config.LAST_COVERED_PERIOD_KEY))
-    )
+def covered_periods(postings: DataFrame, date_col: str) -> DataFrame:
+    """CA6: the closed regular periods: every month from the first posting's to the last one that
+    is over by the last posting's date."""
+    span = postings.agg(F.trunc(F.min(date_col), "month").alias("lo"),
+                        F.add_months(F.trunc(F.date_add(F.max(date_col), 1), "month"), -1).alias("hi"))
+    months = span.where("lo <= hi").select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    return months.select(F.year("m").alias("fiscal_year"), F.month("m").alias("fiscal_period"))
 
 
 def next_period_map(periods: DataFrame) -> DataFrame:

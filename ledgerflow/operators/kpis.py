@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import (
-    cents, cents_to_decimal, count_if, decimal_div_cents, div_half_up, exact_ratio, period_key,
-    programme_key, ratio, signed,
+    count_if, exact_ratio, period_key, programme_key, ratio, wide, wide_div,
 )
 from ..functions.hints import dim
 
@@ -133,7 +132,7 @@ def days_to_close_by_entity(tasks_h: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- KPI-04
 def budget_cells(budget: DataFrame) -> DataFrame:
     """KP6/ST1 at cell grain: annual budget per entity x FY x centre x group x programme key,
-    phased evenly over 12 periods and rounded to cents per period.
+    phased evenly over 12 periods, unrounded (cents are for publishing), so that they sum back.
 
     Aggregating before the 12-way expansion keeps the expansion on the small
     cell table instead of on every budget row.
@@ -146,7 +145,7 @@ def budget_cells(budget: DataFrame) -> DataFrame:
         "company_code", "fiscal_year",
         F.explode(F.sequence(F.lit(1), F.lit(12))).alias("fiscal_period"),
         "cost_center", "account_group", "programme_key", "amount_annual",
-        decimal_div_cents("amount_annual", F.lit(12)).alias("budget_amount"),
+        wide_div("amount_annual", F.lit(12)).alias("budget_amount"),
     )
 
 
@@ -171,12 +170,12 @@ def budget_variance(actual: DataFrame, budget: DataFrame) -> DataFrame:
     a = actual.select(*VARIANCE_KEYS, "actual_amount")
     b = budget.groupBy(*VARIANCE_KEYS).agg(F.sum("budget_amount").alias("budget_amount"))
     j = a.join(b, VARIANCE_KEYS, "full_outer")
-    act = F.coalesce(F.col("actual_amount"), F.lit(0))
-    bud = F.coalesce(F.col("budget_amount"), F.lit(0))
+    act = F.coalesce(F.col("actual_amount"), F.lit(0)).cast("decimal(28,2)")
+    bud = wide(F.coalesce(F.col("budget_amount"), F.lit(0)))
     return j.select(
         "company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group",
         F.col("programme_key").alias("programme_id"),
-        act.alias("actual_amount"), bud.alias("budget_amount"), (act - bud).alias("variance"),
+        act.alias("actual_amount"), bud.alias("budget_amount"), wide(act - bud).alias("variance"),
         F.when(bud != 0, ratio(act - bud, F.abs(bud))).alias("variance_pct"),
     )
 
@@ -196,8 +195,8 @@ def variance_ytd(variance: DataFrame, last_closed: DataFrame) -> DataFrame:
     v = variance.join(dim(last_closed), "fiscal_year", "inner").where(
         F.col("fiscal_period") <= F.col("last_closed_period"))
     return v.groupBy("company_code", "fiscal_year", "last_closed_period").agg(
-        F.sum("actual_amount").alias("actual_ytd"), F.sum("budget_amount").alias("budget_ytd"),
-    ).withColumn("variance_ytd", F.col("actual_ytd") - F.col("budget_ytd"))
+        F.sum("actual_amount").cast("decimal(28,2)").alias("actual_ytd"), wide(F.sum("budget_amount")).alias("budget_ytd"),
+    ).withColumn("variance_ytd", wide(F.col("actual_ytd") - F.col("budget_ytd")))
 
 
 def variance_by_period(variance: DataFrame) -> DataFrame:
@@ -230,7 +229,7 @@ def variance_hierarchy_rollup(variance: DataFrame, cost_center: DataFrame) -> Da
 def programme_runrate(vj: DataFrame, programme: DataFrame, fiscal_year: int, fiscal_period: int,
                       window: int) -> DataFrame:
     """KP10: actuals to date, run-rate = mean cost of the last ``window`` periods that had
-    postings (cents), remaining periods to the programme end, EAC and EAC / budget.
+    postings (unrounded), remaining periods to the programme end, EAC and EAC / budget.
 
     Programmes with no cost up to the as-of period do not appear (inner joins, JN9).
     The rank filter is a per-programme ``row_number`` whose window is over the
@@ -260,14 +259,14 @@ def runrate_from_monthly(monthly: DataFrame, programme: DataFrame, fiscal_year:
     remaining = F.greatest(
         F.lit(0), (F.year("end_date") - fiscal_year) * 12 + (F.month("end_date") - fiscal_period)
     ).cast("int")
-    rr = cents_to_decimal(div_half_up(cents("__rr_sum"), "__rr_n"))
+    rr = wide_div("__rr_sum", "__rr_n").cast("decimal(26,8)")
     x = agg.join(p, "programme_id", "inner").select(
         "programme_id", "programme_name", "programme_type",
         F.lit(fiscal_year).alias("as_of_fiscal_year"), F.lit(fiscal_period).alias("as_of_fiscal_period"),
         "actuals_to_date", rr.alias("run_rate"), remaining.alias("remaining_periods"),
         "total_budget_eur", "start_date", "end_date", "lead_company_code", "status",
     )
-    x = x.withColumn("eac", F.col("actuals_to_date") + F.col("run_rate") * F.col("remaining_periods"))
+    x = x.withColumn("eac", wide(F.col("actuals_to_date").cast("decimal(28,2)") + F.col("run_rate") * F.col("remaining_periods").cast("decimal(6,0)")))
     return x.withColumn("eac_vs_budget_pct", exact_ratio("eac", "total_budget_eur", 4))
 
 
@@ -311,9 +310,9 @@ def fx_impact_cost_base(vj: DataFrame) -> DataFrame:
 
 
 def fx_reversal_carryover(vj: DataFrame) -> DataFrame:
-    """FX8: booked minus recomputed group amount per entity x period; non-zero only where
-    reversals carried the previous period's rate."""
-    diff = F.col("signed_amount_group") - F.col("signed_amount_at_actual_rate")
+    """FX8: booked minus recomputed group amount (to cents, line by line) per entity x period;
+    non-zero only where reversals carried the previous period's rate."""
+    diff = F.col("signed_amount_group") - F.round("signed_amount_at_actual_rate", 2)
     return vj.groupBy("company_code", "fiscal_year", F.col("reporting_period").alias("fiscal_period")).agg(
         F.sum(diff).alias("carryover"),
         count_if(F.col("is_reversal")).alias("reversal_lines"),

@@ -11,14 +11,12 @@ period only costs one partial row per task).
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import (
-    cents, div_half_up, is_manual, pair_key, reporting_period, signed,
+    cents, cents_to_decimal, div_half_up, is_manual, pair_key, reporting_period, signed,
 )
 from ..functions.hints import dim
 from . import calendar as cal
@@ -59,15 +57,15 @@ def translate_amounts(df: DataFrame, rates: DataFrame, eur_col: str, doc_ccy_col
     """
     x = rate_lookup(df, rates, doc_ccy_col, out="__r_doc")
     x = rate_lookup(x, rates, local_ccy_col, out="__r_local")
-    micro = lambda r: (F.col(r) * F.lit(1000000)).cast("long")
-    doc_cents = div_half_up(cents(eur_col) * F.lit(1000000), micro("__r_doc"))
-    local_cents = div_half_up(doc_cents * micro("__r_doc"), micro("__r_local"))
-    to_dec = lambda x: (x.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
+    micro = lambda r: (F.col(r) * F.lit(1000000)).cast("decimal(20,0)")
+    whole = "decimal(26,0)"
+    doc_cents = div_half_up(cents(eur_col).cast(whole) * F.lit(1000000), micro("__r_doc"))
+    local_cents = div_half_up(doc_cents.cast("decimal(18,0)") * micro("__r_doc"), micro("__r_local"))
     return (
-        x.withColumn("amount_doc_currency", to_dec(doc_cents))
-        .withColumn("amount_local_currency", to_dec(local_cents))
+        x.withColumn("amount_doc_currency", cents_to_decimal(doc_cents))
+        .withColumn("amount_local_currency", cents_to_decimal(local_cents))
         .withColumn("amount_group_currency",
-                    F.round(F.col("amount_local_currency") * F.col("__r_local"), 2).cast("decimal(15,2)"))
+                    F.round(F.col("amount_local_currency") * F.col("__r_local"), 2).cast("decimal(28,2)"))
         .drop("__r_doc", "__r_local")
     )
 
@@ -104,8 +102,7 @@ def prepare_derivations(lines: DataFrame, rates: DataFrame, company: DataFrame,
 
 
 def _struct(cols: dict, kind: int) -> F.Column:
-    return F.struct(F.col("__line_key").alias("__line_key"), F.lit(kind).alias("__kind"),
-                    *[cols.get(c, F.col(c)).alias(c) for c in JOURNAL_FIELDS])
+    return F.struct(F.lit(kind).alias("__kind"), *[cols.get(c, F.col(c)).alias(c) for c in JOURNAL_FIELDS])
 
 
 def original_line(x: DataFrame | None = None) -> F.Column:
@@ -126,9 +123,9 @@ def mirror_line() -> F.Column:
     rate of its own period (exact cents).  Month-end timing and rate differences
     are what the reconciliation later surfaces.
     """
-    micro = (F.col("__p_rate") * F.lit(1000000)).cast("long")
-    local_cents = div_half_up(cents("amount_group_currency") * F.lit(1000000), micro)
-    local = (local_cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
+    micro = (F.col("__p_rate") * F.lit(1000000)).cast("decimal(20,0)")
+    local_cents = div_half_up(cents("amount_group_currency").cast("decimal(26,0)") * F.lit(1000000), micro)
+    local = cents_to_decimal(local_cents).cast("decimal(15,2)")
     return _struct({
         "company_code": F.col("ic_partner_company"),
         "document_number": F.concat(F.lit("M"), F.col("document_number")),
@@ -152,9 +149,9 @@ def mirror_line() -> F.Column:
     }, 1)
 
 
-def reversal_condition() -> F.Column:
+def reversal_condition(last_covered: int) -> F.Column:
     return ((F.col("document_type") == "SB") & (F.col("fiscal_period") <= 12)
-            & (F.col("__n_fy") * 100 + F.col("__n_fp") <= F.lit(config.LAST_COVERED_PERIOD_KEY))
+            & (F.col("__n_fy") * 100 + F.col("__n_fp") <= F.lit(last_covered))
             & F.col("first_working_day").isNotNull())
 
 
@@ -189,25 +186,28 @@ def intercompany_mirrors(lines: DataFrame, rates: DataFrame, company: DataFrame,
     return _unpack(x.where(mirror_condition()), mirror_line())
 
 
-def accrual_reversals(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+def accrual_reversals(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar,
+                      last_covered: int) -> DataFrame:
     """LG7: the next-period reversals on their own (see ``reversal_line``)."""
     x = prepare_derivations(lines.where(F.col("document_type") == "SB"), rates, company, calendar)
-    return _unpack(x.where(reversal_condition()), reversal_line())
+    return _unpack(x.where(reversal_condition(last_covered)), reversal_line())
 
 
-def journal_with_derived(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar) -> DataFrame:
+def journal_with_derived(lines: DataFrame, rates: DataFrame, company: DataFrame, calendar,
+                         last_covered: int) -> DataFrame:
     """ST3: originals + mirrors + reversals in ONE pass over the original lines.
 
     Each original line expands to one, two or three journal rows via ``explode``
     of a filtered array of structs, so the (expensive) derivation of the
     original lines is computed once instead of once per union branch.
-    ``journal_id`` = line key x 4 + kind (0 original, 1 mirror, 2 reversal).
+    ``journal_id`` names the line by its natural key, document number and line: a mirror's or a
+    reversal's document number carries its own prefix, so the key is unique without packed digits.
     """
     x = prepare_derivations(lines, rates, company, calendar)
     rows = F.filter(F.array(original_line(), F.when(mirror_condition(), mirror_line()),
-                            F.when(reversal_condition(), reversal_line())), lambda r: r.isNotNull())
+                            F.when(reversal_condition(last_covered), reversal_line())), lambda r: r.isNotNull())
     out = x.select(F.explode(rows).alias("__r")).select("__r.*")
-    return out.select((F.col("__line_key") * 4 + F.col("__kind")).alias("journal_id"), *JOURNAL_FIELDS)
+    return out.select(F.concat_ws("/", "document_number", "document_line").alias("journal_id"), *JOURNAL_FIELDS)
 
 
 def late_posting_flag(entry_date="entry_date", due_date="due_date", fiscal_period="fiscal_period"):
@@ -299,50 +299,10 @@ def active_programme_window(df: DataFrame, programme: DataFrame,
     ).drop("__ap_id", "__ap_s", "__ap_e")
 
 
-#: Documents with more lines than this are numbered by the split (hot-group) path.
-HOT_DOCUMENT_LINES = 1_000_000
-
-
-def number_lines(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "document_line",
-                 hot_threshold: int = HOT_DOCUMENT_LINES, hot: DataFrame | None = None,
-                 hot_partitions: int | None = None) -> DataFrame:
-    """WN4: ``row_number()`` within each group by ``order_cols``, safe for hot groups.
+def number_lines(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "document_line") -> DataFrame:
+    """WN4: ``row_number()`` within each document by ``order_cols``.
 
-    ``hot`` lists the keys of groups above ``hot_threshold`` rows (a prefix of
-    ``group_cols`` may be used, e.g. the order of a document); by default it is
-    derived from ``df``.  There are at most ``rows / hot_threshold`` such keys,
-    a proven broadcast bound.  A one-row probe decides the plan: without hot
-    groups it is the plain window.  Otherwise ordinary groups keep the window
-    and hot groups are range-partitioned on (group, order) so one group spans
-    many tasks; each task numbers its slice and the slice offsets are exclusive
-    prefix sums of the per-task counts.  Range partitioning sends equal keys to
-    one partition and keeps partition ids increasing with the key, so the
-    result equals the plain window's.  The hot slice assignment is checkpointed
-    once (it is read twice), which also cuts its lineage.
+    One plan at every size: rows are shuffled by document and stream through an external sort,
+    so a long document costs time in its task but no memory.
     """
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    if hot is None:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-        hot = sizes.where(F.col("__n") > hot_threshold).select(*group_cols)
-    if hot.limit(1).count() == 0:
-        return df.withColumn(out, F.row_number().over(w))
-    hot_cols = hot.columns
-    hot_b = F.broadcast(hot)
-    normal = df.join(hot_b, hot_cols, "left_anti").withColumn(out, F.row_number().over(w))
-
-    big = df.join(hot_b, hot_cols, "left_semi")
-    n = hot_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = big.repartitionByRange(n, *group_cols, *order_cols).withColumn("__pid", F.spark_partition_id())
-    # Range bounds come from sampling: materialise the slice assignment once (reliable
-    # checkpoint in the shared checkpoint folder) so the local ranks and the per-slice
-    # counts below see the same partition ids.
-    from ..session import cut_lineage
-
-    x = cut_lineage(x)
-    x = x.withColumn("__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order_cols)))
-    counts = x.groupBy(*group_cols, "__pid").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
-    split = x.join(offsets.select(*group_cols, "__pid", "__off"), [*group_cols, "__pid"]) \
-        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int")).drop("__pid", "__local", "__off")
-    return normal.unionByName(split)
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)))

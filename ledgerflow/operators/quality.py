@@ -129,7 +129,7 @@ def reversal_rules(journal: DataFrame) -> DataFrame:
         F.col("debit_credit_ind").alias("__dc"), F.col("posting_date").alias("__pd"),
         F.col("amount_doc_currency").alias("__a1"), F.col("amount_local_currency").alias("__a2"),
         F.col("amount_group_currency").alias("__a3"))
-    orig = journal.select("document_number", "document_line", "debit_credit_ind", "posting_date",
+    orig = journal.where(F.col("document_type") == "SB").select("document_number", "document_line", "debit_credit_ind", "posting_date",
                           "amount_doc_currency", "amount_local_currency", "amount_group_currency")
     m = rev.join(orig, (F.col("__doc") == F.col("document_number")) & (F.col("__line") == F.col("document_line")),
                  "left")
@@ -166,7 +166,7 @@ def plan_rules(budget: DataFrame, forecast: DataFrame, company: DataFrame, cost_
         _stack(fagg, "forecast", ["forecast_keys", "forecast_version", "forecast_horizon"]))
 
 
-def close_rules(close_tasks: DataFrame, company: DataFrame, calendar: DataFrame) -> DataFrame:
+def close_rules(close_tasks: DataFrame, company: DataFrame, calendar: DataFrame, periods: DataFrame) -> DataFrame:
     """QC18: coverage (every entity x covered period x task present exactly once), due dates
     on working days, open rows carry no completion data."""
     keys = ["company_code", "fiscal_year", "fiscal_period", "task_id"]
@@ -180,11 +180,10 @@ def close_rules(close_tasks: DataFrame, company: DataFrame, calendar: DataFrame)
         .alias("v_open_rows_clean"),
         (F.count(F.lit(1)) - F.countDistinct(*keys)).alias("v_coverage_duplicates"),
     )
-    periods = F.array(*[F.struct(F.lit(y).alias("fiscal_year"), F.lit(p).alias("fiscal_period"))
-                        for y, p in config.covered_periods()])
+    every = periods.agg(F.collect_list(F.struct("fiscal_year", "fiscal_period")).alias("p"))  # one row a month
     task_ids = F.array(*[F.lit(t[0]) for t in config.CLOSE_TASKS])
     expected = (
-        company.select("company_code", F.explode(periods).alias("p"))
+        company.join(F.broadcast(every)).select("company_code", F.explode("p").alias("p"))
         .select("company_code", "p.fiscal_year", "p.fiscal_period", F.explode(task_ids).alias("task_id"))
     )
     present = close_tasks.select(*keys).distinct().withColumn("__present", F.lit(True))
@@ -219,7 +218,7 @@ def qc_summary(ledger) -> DataFrame:
         user_rules(L.journal),
         reversal_rules(L.journal),
         plan_rules(L.budget, L.forecast, L.company, L.cost_center, L.gl_account),
-        close_rules(L.close_tasks, L.company, L.dim_date),
+        close_rules(L.close_tasks, L.company, L.dim_date, L.periods),
         rate_rules(L.journal, L.rates),
     ]
     for t in ("company", "cost_center", "programme", "gl_account", "close_tasks"):

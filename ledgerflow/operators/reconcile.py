@@ -28,7 +28,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], value: str, to
     cond = reduce(lambda a, b: a & b, [F.col(f"__l_{k}").eqNullSafe(F.col(f"__r_{k}")) for k in keys])
     j = l_.join(r_, cond, "full_outer")
     both = F.col("__in_l").isNotNull() & F.col("__in_r").isNotNull()
-    delta = F.when(both, F.abs(F.col("__lv").cast("double") - F.col("__rv").cast("double")))
+    delta = F.when(both, F.abs(F.col("__lv") - F.col("__rv")).cast("double"))
     out = j.agg(
         count_if(both).alias("rows_compared"),
         count_if(F.col("__in_l").isNull()).alias("missing_left"),

@@ -89,8 +89,9 @@ def rate_movement(rates: DataFrame) -> DataFrame:
 
 
 def manual_close_window(vj: DataFrame, calendar: DataFrame, first_wd: int = 1, last_wd: int = 5) -> DataFrame:
-    """SG7: share of manual regular-period entries entered on working day 1..5 after period end."""
-    m = vj.where(F.col("is_manual_posting") & (F.col("fiscal_period") <= 12)).select(
+    """SG7: share of manual regular-period entries, reversals left out, entered on working day 1..5
+    after period end."""
+    m = vj.where(F.col("is_manual_posting") & ~F.col("is_reversal") & (F.col("fiscal_period") <= 12)).select(
         "company_code", "entry_date", F.last_day(F.make_date("fiscal_year", "fiscal_period", F.lit(1))).alias("pe"))
     m = cal.working_days_between(m, "pe", "entry_date", calendar, "wd_after")
     inside = (F.col("wd_after") >= first_wd) & (F.col("wd_after") <= last_wd)

@@ -17,7 +17,7 @@ from .. import config
 from ..functions.columns import money
 from ..operators import kpis, materialise
 from .context import Ctx
-from .oracle_preamble import oracle, sql_div_cents, sql_exact_ratio
+from .oracle_preamble import oracle, sql_exact_ratio, sql_wide_div
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,7 +149,7 @@ bud_cells0 AS (
 ),
 bud_cells AS (
   SELECT company_code, fiscal_year, CAST(p.range AS INTEGER) AS fiscal_period, cost_center, account_group,
-         programme_key, amount_annual, {sql_div_cents('amount_annual', '12')} AS budget_amount
+         programme_key, amount_annual, {sql_wide_div('amount_annual', '12')} AS budget_amount
   FROM bud_cells0, range(1, 13) p
 ),
 variance AS (
@@ -259,11 +259,11 @@ def q_actuals_by_period(ctx: Ctx) -> DataFrame:
 )
 SELECT company_code, fiscal_year, CAST(p.range AS INTEGER) AS fiscal_period, cost_center, account_group,
        programme_key, {M('amount_annual')} AS amount_annual,
-       CAST({sql_div_cents('amount_annual', '12')} AS DOUBLE) AS budget_amount
+       {M(sql_wide_div('amount_annual', '12'))} AS budget_amount
 FROM bud_cells0, range(1, 13) p
 """)
 def q_budget_phased(ctx: Ctx) -> DataFrame:
-    """KP6/JN7 — annual budget phased evenly over twelve periods (cents per period)."""
+    """KP6/JN7 — annual budget phased evenly over twelve periods (published in cents)."""
     return money_cols(ctx.budget_cells, "amount_annual", "budget_amount")
 
 
@@ -289,7 +289,7 @@ rr_agg AS (
 rr AS (
   SELECT a.programme_id, p.programme_name, p.programme_type, p.lead_company_code, p.status, p.start_date,
          p.end_date, a.actuals_to_date, p.total_budget_eur,
-         {sql_div_cents('a.rr_sum', 'a.rr_n')} AS run_rate,
+         {sql_wide_div('a.rr_sum', 'a.rr_n')} AS run_rate,
          CAST(greatest(0, (year(p.end_date) - {year}) * 12 + (month(p.end_date) - {period})) AS INTEGER)
            AS remaining_periods
   FROM rr_agg a JOIN programme p ON p.programme_id = a.programme_id

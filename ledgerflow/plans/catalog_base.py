@@ -20,7 +20,7 @@ from .oracle_preamble import half_up
 @register("holidays", "SELECT holiday_date FROM holidays")
 def q_holidays(ctx: Ctx) -> DataFrame:
     """CA1 — fixed and Easter-relative holidays of the calendar window."""
-    return cal.holidays(ctx.spark, config.CALENDAR_START.year, config.CALENDAR_END.year)
+    return cal.holidays(ctx.L.calendar_years)
 
 
 @register("dim_date", "SELECT * FROM dim_date")
@@ -38,21 +38,13 @@ def q_wd_in_period(ctx: Ctx) -> DataFrame:
     return cal.working_days_in_period(ctx.L.dim_date)
 
 
-_COVERED = """
-, covered AS (
-  SELECT CAST(y.range AS INTEGER) AS fiscal_year, CAST(p.range AS INTEGER) AS fiscal_period
-  FROM range(1995, 2002) y, range(1, 13) p WHERE y.range * 100 + p.range <= 200107
-)
-"""
-
-
-@register("covered_periods", _COVERED + "SELECT * FROM covered")
+@register("covered_periods", "SELECT * FROM covered")
 def q_covered(ctx: Ctx) -> DataFrame:
     """CA6 — closed regular periods; the final year stops early."""
-    return cal.covered_periods(ctx.spark)
+    return ctx.L.periods
 
 
-@register("next_period_map", _COVERED + """
+@register("next_period_map", """
 SELECT fiscal_year, fiscal_period,
        lead(fiscal_year) OVER (ORDER BY fiscal_year, fiscal_period) AS next_fiscal_year,
        lead(fiscal_period) OVER (ORDER BY fiscal_year, fiscal_period) AS next_fiscal_period
@@ -60,10 +52,10 @@ FROM covered
 """)
 def q_next_period(ctx: Ctx) -> DataFrame:
     """WN7 — next covered period per period; the last has none."""
-    return cal.next_period_map(cal.covered_periods(ctx.spark))
+    return cal.next_period_map(ctx.L.periods)
 
 
-@register("nth_working_day", _COVERED + """
+@register("nth_working_day", """
 , pe AS (SELECT c.fiscal_year, c.fiscal_period, last_day(make_date(c.fiscal_year, c.fiscal_period, 1)) AS period_end_date,
                 CAST(n.range AS INTEGER) AS n
          FROM covered c, range(1, 6) n)
@@ -72,7 +64,7 @@ FROM pe LEFT JOIN dim_date d ON d.date_id = pe.period_end_date LEFT JOIN wd w ON
 """)
 def q_nth_wd(ctx: Ctx) -> DataFrame:
     """CA4/WN6 — the 1st..5th working day after every covered period end."""
-    p = cal.covered_periods(ctx.spark).withColumn("period_end_date", period_end_date()) \
+    p = ctx.L.periods.withColumn("period_end_date", period_end_date()) \
         .select("*", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("n"))
     return cal.nth_working_day(p, "period_end_date", "n", ctx.L.dim_date)
 
@@ -154,14 +146,14 @@ def q_budget_rate_freeze(ctx: Ctx) -> DataFrame:
     ).withColumn("frozen_rate", F.col("frozen_rate").cast("double"))
 
 
-_FX4_DOC = half_up("CAST(f.amount_group_currency * 100 AS BIGINT) * 1000000", "CAST(r.exchange_rate * 1000000 AS BIGINT)")
+_FX4_DOC = half_up("CAST(f.amount_group_currency * 100 AS HUGEINT) * 1000000", "CAST(r.exchange_rate * 1000000 AS HUGEINT)")
 
 
 @register("translate_amounts", f"""
 , t0 AS (
   SELECT f.company_code, f.cost_center, f.programme_id, f.fiscal_year, f.fiscal_period, f.version,
          co.local_currency, r.exchange_rate AS rate, {_FX4_DOC} AS doc_cents,
-         CAST(r.exchange_rate * 1000000 AS BIGINT) AS micro
+         CAST(r.exchange_rate * 1000000 AS HUGEINT) AS micro
   FROM forecast f JOIN company co ON co.company_code = f.company_code
   LEFT JOIN rates_m r ON r.from_currency = co.local_currency AND r.fiscal_year = f.fiscal_year
                      AND r.fiscal_period = f.fiscal_period
@@ -190,10 +182,10 @@ def q_translate(ctx: Ctx) -> DataFrame:
 
 @register("fx_reversal_carryover", f"""
 SELECT company_code, fiscal_year, reporting_period AS fiscal_period,
-       {M('sum(signed_amount_group - signed_amount_at_actual_rate)')} AS carryover,
+       {M('sum(signed_amount_group - round(signed_amount_at_actual_rate, 2))')} AS carryover,
        CAST(sum(CASE WHEN is_reversal THEN 1 ELSE 0 END) AS BIGINT) AS reversal_lines
 FROM v_journal GROUP BY company_code, fiscal_year, reporting_period
-HAVING sum(signed_amount_group - signed_amount_at_actual_rate) <> 0
+HAVING sum(signed_amount_group - round(signed_amount_at_actual_rate, 2)) <> 0
 """)
 def q_fx_carryover(ctx: Ctx) -> DataFrame:
     """FX8 — booked minus recomputed group amount (non-zero where reversals carried an old rate)."""
@@ -258,7 +250,7 @@ _DERIVED_SPARK = ["company_code", "document_number", "document_line", "posting_d
 @register("accrual_reversals", f"SELECT {_DERIVED_COLS} FROM j_rev")
 def q_reversals(ctx: Ctx) -> DataFrame:
     """LG7 — next-period reversals of accrual (SB) lines, amounts carried over."""
-    r = ledger.accrual_reversals(ctx.L.journal_base, ctx.L.rates, ctx.L.company, ctx.L.dim_date)
+    r = ledger.accrual_reversals(ctx.L.journal_base, ctx.L.rates, ctx.L.company, ctx.L.dim_date, ctx.L.last_covered)
     return money_cols(r.select(*_DERIVED_SPARK), "amount_local_currency", "amount_group_currency")
 
 
@@ -284,7 +276,7 @@ def q_with_derived(ctx: Ctx) -> DataFrame:
         F.count(F.lit(1)).alias("line_count"), money(F.sum("amount_group_currency")).alias("amount_group_currency"))
 
 
-@register("active_programme_window", _COVERED + """
+@register("active_programme_window", """
 SELECT p.programme_id, c.fiscal_year, c.fiscal_period,
        p.start_date <= last_day(make_date(c.fiscal_year, c.fiscal_period, 1))
        AND p.end_date >= make_date(c.fiscal_year, c.fiscal_period, 1) AS is_programme_active
@@ -292,13 +284,13 @@ FROM programme p, covered c
 """)
 def q_active_window(ctx: Ctx) -> DataFrame:
     """LG9 — is each programme running in each covered period (interval overlap)."""
-    periods = F.array(*[F.struct(F.lit(y).alias("fiscal_year"), F.lit(p).alias("fiscal_period"))
-                        for y, p in config.covered_periods()])
-    g = ctx.L.programme.select("programme_id", F.explode(periods).alias("p")).select(
+    every = ctx.L.periods.agg(F.collect_list(F.struct("fiscal_year", "fiscal_period")).alias("p"))  # one row a month
+    master = ctx.L.programme_master
+    g = master.select("programme_id").join(F.broadcast(every)).select("programme_id", F.explode("p").alias("p")).select(
         "programme_id", "p.fiscal_year", "p.fiscal_period")
     g = g.withColumn("period_start", F.make_date("fiscal_year", "fiscal_period", F.lit(1))) \
         .withColumn("period_end", period_end_date())
-    return ledger.active_programme_window(g, ctx.L.programme).select(
+    return ledger.active_programme_window(g, master).select(
         "programme_id", "fiscal_year", "fiscal_period", "is_programme_active")
 
 
@@ -463,7 +455,8 @@ def _l1(table: str):
 
 
 for _t in schemas.SCHEMAS:
-    _l1(_t)
+    if _t != "close_task":  # the fixed catalogue of tasks; it reads no table
+        _l1(_t)
 
 
 # ======================================================================== sources

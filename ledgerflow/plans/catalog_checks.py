@@ -127,9 +127,7 @@ qc AS (
   FROM close_tasks t LEFT JOIN dim_date d ON d.date_id = t.due_date
 ),
 qc_expected AS (
-  SELECT co.company_code, CAST(y.range AS INTEGER) AS fiscal_year, CAST(p.range AS INTEGER) AS fiscal_period, t.task_id
-  FROM company co, range(1995, 2002) y, range(1, 13) p, close_task t
-  WHERE y.range * 100 + p.range <= 200107
+  SELECT co.company_code, c.fiscal_year, c.fiscal_period, t.task_id FROM company co, covered c, close_task t
 ),
 qcov AS (
   SELECT count(*) AS n, sum(CASE WHEN x.task_id IS NULL THEN 1 ELSE 0 END) AS v_coverage_missing
@@ -273,7 +271,7 @@ def q_qc_plan(ctx: Ctx) -> DataFrame:
 def q_qc_close(ctx: Ctx) -> DataFrame:
     """QC18 — close coverage, due dates on working days, clean open rows."""
     L = ctx.L
-    return quality.close_rules(L.close_tasks, L.company, L.dim_date)
+    return quality.close_rules(L.close_tasks, L.company, L.dim_date, L.periods)
 
 
 @register("qc_rate_coverage", _QC_PLAN_CTE + _rows("qrate", "rates", ["rate_coverage"]) + " UNION ALL "
@@ -483,7 +481,7 @@ def q_rate_movement(ctx: Ctx) -> DataFrame:
   FROM v_journal j
   LEFT JOIN dim_date dp ON dp.date_id = last_day(make_date(j.fiscal_year, j.fiscal_period, 1))
   LEFT JOIN dim_date de ON de.date_id = j.entry_date
-  WHERE j.is_manual_posting AND j.fiscal_period <= 12
+  WHERE j.is_manual_posting AND NOT j.is_reversal AND j.fiscal_period <= 12
 )
 SELECT company_code, count(*) AS manual_lines,
        CAST(sum(CASE WHEN wd_after BETWEEN 1 AND 5 THEN 1 ELSE 0 END) AS BIGINT) AS in_close_window,

@@ -33,7 +33,7 @@ class Ctx:
         if programme is None:
             programme = L.programme
         return ledger.harmonised_journal(L.journal, L.company, L.gl_account, L.cost_center, programme,
-                                         L.rates, L.close_tasks)
+                                         L.rates, getattr(L, "close_schedule", None) or L.close_tasks)
 
     @cached_property
     def tasks_h(self) -> DataFrame:

@@ -17,35 +17,50 @@ def half_up(n: str, d: str) -> str:
 
 
 _MIRROR_LOCAL = half_up(
-    "CAST(b.amount_group_currency * 100 AS BIGINT) * 1000000",
-    "CAST(r.exchange_rate * 1000000 AS BIGINT)",
+    "CAST(b.amount_group_currency * 100 AS HUGEINT) * 1000000",
+    "CAST(r.exchange_rate * 1000000 AS HUGEINT)",
 )
 
-_FORECAST_BASE = half_up("s", "n")
+_FORECAST_MEAN = half_up("sum(c)", "count(*)")
+_FORECAST_AMOUNT = half_up("base_c * 12 + (pull_c - base_c) * (fp - after)", "12")
+_BUDGET_CENTS = half_up(
+    "CAST(b.total * 100 AS HUGEINT) * 105 * ((year(m.end_date) - year(m.start_date)) * 12 + month(m.end_date)"
+    " - month(m.start_date) + 1)", "b.n * 100")
 
 PREAMBLE = f"""
 WITH
+bounds AS (
+  SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders
+),
 years AS (
-  SELECT CAST(range AS INTEGER) AS y FROM range(1995, 2003)
+  SELECT CAST(unnest(generate_series(year(lo), year(hi) + 1)) AS INTEGER) AS y FROM bounds
+),
+covered AS (
+  SELECT CAST(year(m) AS INTEGER) AS fiscal_year, CAST(month(m) AS INTEGER) AS fiscal_period
+  FROM (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi + 1) - INTERVAL 1 MONTH,
+                                      INTERVAL 1 MONTH)) AS m FROM bounds)
 ),
-easter_parts AS (
-  SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years
+last_covered AS (
+  SELECT max(fiscal_year * 100 + fiscal_period) AS last_key FROM covered
 ),
-easter_parts2 AS (
-  SELECT y, a, b, c, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f, c // 4 AS i, c % 4 AS k
-  FROM easter_parts
+-- Easter by search: the first Sunday after the ecclesiastical full moon, whose age in the 30-day
+-- cycle follows from the golden number and the century's corrections
+moons AS (
+  SELECT y, y % 19 + 1 AS golden, 3 * (y // 100 + 1) // 4 - 12 AS solar, (8 * (y // 100 + 1) + 5) // 25 - 5 AS lunar
+  FROM years
 ),
-easter_parts3 AS (
-  SELECT *, (19 * a + b - d - ((b - f + 1) // 3) + 15) % 30 AS h FROM easter_parts2
+epacts AS (
+  SELECT y, golden, (11 * golden + 20 + lunar - solar + 30) % 30 AS e FROM moons
 ),
-easter_parts4 AS (
-  SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS lam FROM easter_parts3
+full_moons AS (
+  SELECT y, CASE WHEN 44 - ee < 21 THEN 74 - ee ELSE 44 - ee END AS march_day
+  FROM (SELECT y, CASE WHEN (e = 25 AND golden > 11) OR e = 24 THEN e + 1 ELSE e END AS ee FROM epacts)
 ),
 easter AS (
-  SELECT y,
-         make_date(y, (h + lam - 7 * ((a + 11 * h + 22 * lam) // 451) + 114) // 31,
-                      (h + lam - 7 * ((a + 11 * h + 22 * lam) // 451) + 114) % 31 + 1) AS easter_sunday
-  FROM easter_parts4
+  SELECT f.y, min(make_date(f.y, 3, 1) + (f.march_day - 1 + k.range)::INTEGER) AS easter_sunday
+  FROM full_moons f, range(1, 8) k
+  WHERE isodow(make_date(f.y, 3, 1) + (f.march_day - 1 + k.range)::INTEGER) = 7
+  GROUP BY f.y
 ),
 holidays AS (
   SELECT make_date(y, m, dd) AS holiday_date
@@ -55,8 +70,8 @@ holidays AS (
   FROM easter, (VALUES (-2), (1)) eo(off)
 ),
 cal_days AS (
-  SELECT CAST(range AS DATE) AS date_id
-  FROM range(DATE '1995-01-01', DATE '2003-01-01', INTERVAL 1 DAY)
+  SELECT CAST(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY)) AS DATE) AS date_id
+  FROM years
 ),
 cal_base AS (
   SELECT d.date_id,
@@ -159,23 +174,41 @@ close_task AS (
     ('T12', 'Hard close / period lock', 12, 5, TRUE)
   ) t(task_id, task_name, task_sequence, target_working_day, is_milestone)
 ),
+order_values AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS fiscal_year, CAST(month(o.o_orderdate) AS INTEGER) AS fiscal_period,
+         n.n_regionkey AS region, CAST(CAST(o.o_totalprice AS DECIMAL(15, 2)) * 100 AS HUGEINT) AS v
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+month_levels AS (
+  SELECT o.fiscal_year, o.fiscal_period, k.ccy,
+         CAST(sum(CASE WHEN o.region = k.region THEN o.v ELSE 0 END) AS HUGEINT) AS s_own,
+         CAST(sum(CASE WHEN o.region = k.region THEN 1 ELSE 0 END) AS HUGEINT) AS n_own,
+         CAST(sum(o.v) AS HUGEINT) AS s_all, CAST(count(*) AS HUGEINT) AS n_all
+  FROM order_values o, (VALUES ('USD', 1), ('GBP', 2)) k(ccy, region)
+  GROUP BY o.fiscal_year, o.fiscal_period, k.ccy
+),
 rate_grid AS (
-  SELECT CAST(yy.range AS INTEGER) AS fiscal_year, CAST(pp.range AS INTEGER) AS fiscal_period, c.ccy,
-         (CAST(yy.range AS INTEGER) - 1995) * 12 + CAST(pp.range AS INTEGER) - 1 AS m,
-         (CAST(yy.range AS INTEGER) - 1995) * 12 AS m1
-  FROM range(1995, 2003) yy, range(1, 13) pp, (VALUES ('USD'), ('GBP'), ('EUR')) c(ccy)
+  SELECT y.y AS fiscal_year, CAST(p.range AS INTEGER) AS fiscal_period, c.ccy,
+         CASE WHEN c.ccy = 'EUR' THEN 1000000
+              WHEN m.s_own > 0 AND m.s_all > 0 THEN (2 * m.s_own * m.n_all * 1000000 + m.n_own * m.s_all) // (2 * m.n_own * m.s_all)
+         END AS micro
+  FROM years y CROSS JOIN range(1, 13) p CROSS JOIN (VALUES ('USD'), ('GBP'), ('EUR')) c(ccy)
+  LEFT JOIN month_levels m ON m.fiscal_year = y.y AND m.fiscal_period = p.range AND m.ccy = c.ccy
+),
+rate_filled AS (
+  SELECT ccy, fiscal_year, fiscal_period,
+         CAST(CAST(coalesce(
+           last_value(micro IGNORE NULLS) OVER (PARTITION BY ccy ORDER BY fiscal_year, fiscal_period
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           first_value(micro IGNORE NULLS) OVER (PARTITION BY ccy ORDER BY fiscal_year, fiscal_period
+                                                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+           1000000) AS DECIMAL(18, 0)) * 0.000001 AS DECIMAL(15, 6)) AS rate_m
+  FROM rate_grid
 ),
 rate_vals AS (
-  SELECT ccy AS from_currency, 'EUR' AS to_currency, fiscal_year, fiscal_period,
-         CAST(CASE ccy
-           WHEN 'USD' THEN 0.880000 + 0.000900 * m + 0.012000 * ((m * 7) % 5 - 2)
-           WHEN 'GBP' THEN 1.150000 + 0.001100 * m + 0.008000 * ((m * 3) % 4)
-           ELSE 1.000000 END AS DECIMAL(15, 6)) AS rate_m,
-         CAST(CASE ccy
-           WHEN 'USD' THEN 0.880000 + 0.000900 * m1 + 0.012000 * ((m1 * 7) % 5 - 2)
-           WHEN 'GBP' THEN 1.150000 + 0.001100 * m1 + 0.008000 * ((m1 * 3) % 4)
-           ELSE 1.000000 END AS DECIMAL(15, 6)) AS rate_b
-  FROM rate_grid
+  SELECT ccy AS from_currency, 'EUR' AS to_currency, fiscal_year, fiscal_period, rate_m,
+         first_value(rate_m) OVER (PARTITION BY ccy, fiscal_year ORDER BY fiscal_period) AS rate_b
+  FROM rate_filled
 ),
 rates AS (
   SELECT from_currency, to_currency, fiscal_year, fiscal_period, 'M' AS rate_type, rate_m AS exchange_rate FROM rate_vals
@@ -208,7 +241,7 @@ j_rows AS (
   SELECT
     l_orderkey, region, partner_region,
     'CO' || CAST(region AS VARCHAR) AS company_code,
-    CAST(l_orderkey * 10 + region AS VARCHAR) AS document_number,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(region AS VARCHAR) AS document_number,
     CAST(row_number() OVER (PARTITION BY l_orderkey, region ORDER BY l_linenumber, l_partkey, l_suppkey,
          l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INTEGER)
       AS document_line,
@@ -243,7 +276,7 @@ j_rows AS (
   FROM j_src
 ),
 j_base AS (
-  SELECT (j.l_orderkey * 10 + j.region) * 1000 + j.document_line AS line_key, j.partner_region, j.receipt_date,
+  SELECT j.partner_region, j.receipt_date,
          j.company_code, j.document_number, j.document_line, j.document_type,
          j.posting_date, j.document_date, j.entry_date, j.fiscal_year, j.fiscal_period,
          j.gl_account, j.cost_center, j.programme_id, j.debit_credit_ind,
@@ -266,7 +299,7 @@ j_mirror0 AS (
   WHERE b.is_intercompany
 ),
 j_mirror AS (
-  SELECT line_key, ic_partner_company AS company_code, 'M' || document_number AS document_number,
+  SELECT ic_partner_company AS company_code, 'M' || document_number AS document_number,
          document_line, 'IC' AS document_type, receipt_date AS posting_date, document_date,
          receipt_date AS entry_date,
          CAST(year(receipt_date) AS INTEGER) AS fiscal_year, CAST(month(receipt_date) AS INTEGER) AS fiscal_period,
@@ -286,7 +319,7 @@ j_rev0 AS (
   FROM j_base WHERE document_type = 'SB' AND fiscal_period <= 12
 ),
 j_rev AS (
-  SELECT line_key, company_code, 'R' || document_number AS document_number, document_line, document_type,
+  SELECT company_code, 'R' || document_number AS document_number, document_line, document_type,
          f.first_working_day AS posting_date, f.first_working_day AS document_date,
          f.first_working_day AS entry_date,
          CAST(nfy AS INTEGER) AS fiscal_year, CAST(nfp AS INTEGER) AS fiscal_period,
@@ -296,24 +329,24 @@ j_rev AS (
          amount_group_currency, group_currency, is_intercompany, ic_partner_company, posting_user_id,
          TRUE AS is_reversal, document_number AS reversed_document
   FROM j_rev0 b JOIN first_wd f ON f.fiscal_year = b.nfy AND f.fiscal_period = b.nfp
-  WHERE b.nfy * 100 + b.nfp <= 200107
+  WHERE b.nfy * 100 + b.nfp <= (SELECT last_key FROM last_covered)
 ),
 journal AS (
-  SELECT line_key * 4 AS journal_id, company_code, document_number, document_line, document_type,
+  SELECT document_number || '/' || CAST(document_line AS VARCHAR) AS journal_id, company_code, document_number, document_line, document_type,
          posting_date, document_date, entry_date, fiscal_year, fiscal_period, gl_account, cost_center,
          programme_id, debit_credit_ind, amount_doc_currency, doc_currency, amount_local_currency,
          local_currency, amount_group_currency, group_currency, is_intercompany, ic_partner_company,
          posting_user_id, is_reversal, reversed_document
   FROM j_base
   UNION ALL
-  SELECT line_key * 4 + 1, company_code, document_number, document_line, document_type,
+  SELECT document_number || '/' || CAST(document_line AS VARCHAR), company_code, document_number, document_line, document_type,
          posting_date, document_date, entry_date, fiscal_year, fiscal_period, gl_account, cost_center,
          programme_id, debit_credit_ind, amount_doc_currency, doc_currency, amount_local_currency,
          local_currency, amount_group_currency, group_currency, is_intercompany, ic_partner_company,
          posting_user_id, is_reversal, reversed_document
   FROM j_mirror
   UNION ALL
-  SELECT line_key * 4 + 2, company_code, document_number, document_line, document_type,
+  SELECT document_number || '/' || CAST(document_line AS VARCHAR), company_code, document_number, document_line, document_type,
          posting_date, document_date, entry_date, fiscal_year, fiscal_period, gl_account, cost_center,
          programme_id, debit_credit_ind, amount_doc_currency, doc_currency, amount_local_currency,
          local_currency, amount_group_currency, group_currency, is_intercompany, ic_partner_company,
@@ -340,43 +373,53 @@ prog_budget AS (
 ),
 programme AS (
   SELECT m.programme_id, m.programme_name, m.programme_type, m.lead_company_code, m.start_date, m.end_date,
-         CAST(coalesce(round(CAST(b.total AS DOUBLE) / b.n
-              * ((year(m.end_date) - year(m.start_date)) * 12 + month(m.end_date) - month(m.start_date) + 1)
-              * CAST(1.05 AS DOUBLE), 0), 0) AS DECIMAL(15, 2)) AS total_budget_eur,
+         CAST(coalesce(CAST({_BUDGET_CENTS} AS DECIMAL(30, 0)) * 0.01, 0) AS DECIMAL(28, 2)) AS total_budget_eur,
          CASE WHEN m.end_date < DATE '2001-06-30' THEN 'CLOSED' ELSE 'ACTIVE' END AS status
   FROM prog_master m LEFT JOIN prog_budget b ON b.programme_id = m.programme_id
 ),
 ct_grid AS (
   SELECT co.company_code, CAST(regexp_extract(co.company_code, '(\\d+)$', 1) AS INTEGER) AS entity_no,
-         CAST(yy.range AS INTEGER) AS fiscal_year, CAST(pp.range AS INTEGER) AS fiscal_period,
-         t.task_id, t.task_sequence, t.target_working_day,
-         last_day(make_date(CAST(yy.range AS INTEGER), CAST(pp.range AS INTEGER), 1)) AS period_end_date
-  FROM company co, range(1995, 2002) yy, range(1, 13) pp, close_task t
-  WHERE yy.range * 100 + pp.range <= 200107
+         c.fiscal_year, c.fiscal_period, t.task_id, t.task_sequence, t.target_working_day,
+         last_day(make_date(c.fiscal_year, c.fiscal_period, 1)) AS period_end_date
+  FROM company co, covered c, close_task t
+),
+ct_entered AS (
+  SELECT company_code, fiscal_year, fiscal_period, entry_date, count(*) AS n
+  FROM j_base WHERE fiscal_period <= 12 GROUP BY company_code, fiscal_year, fiscal_period, entry_date
+),
+ct_done AS (
+  SELECT *, sum(n) OVER (PARTITION BY company_code, fiscal_year, fiscal_period ORDER BY entry_date) AS done,
+         sum(n) OVER (PARTITION BY company_code, fiscal_year, fiscal_period) AS total
+  FROM ct_entered
+),
+ct_ready AS (
+  SELECT g.company_code, g.fiscal_year, g.fiscal_period, g.task_sequence,
+         greatest(min(e.entry_date), g.period_end_date + 1) AS ready
+  FROM ct_grid g JOIN ct_done e ON e.company_code = g.company_code AND e.fiscal_year = g.fiscal_year
+                               AND e.fiscal_period = g.fiscal_period AND e.done * 100 >= e.total * (g.task_sequence + 88)
+  GROUP BY g.company_code, g.fiscal_year, g.fiscal_period, g.task_sequence, g.period_end_date
 ),
 ct_calc AS (
-  SELECT *,
-         greatest(1, target_working_day
-           + CASE WHEN (fiscal_year * 13 + fiscal_period * 7 + task_sequence * 3 + entity_no * 5) % 7 < 4 THEN 0
-                  WHEN (fiscal_year * 13 + fiscal_period * 7 + task_sequence * 3 + entity_no * 5) % 7 < 6 THEN 1
-                  ELSE 2 END
-           + CASE WHEN company_code = 'CO3' THEN fiscal_period % 3 + 2 ELSE 0 END) AS actual_wd,
-         (company_code = 'CO3' AND fiscal_year * 100 + fiscal_period = 200107 AND task_sequence >= 11) AS is_open_row
-  FROM ct_grid
+  SELECT g.*, w.working_date AS due_date, wd2.working_day_seq - d.working_day_seq AS actual_wd,
+         CASE WHEN nx.working_date <= (SELECT hi FROM bounds) THEN nx.working_date END AS finished
+  FROM ct_grid g
+  LEFT JOIN dim_date d ON d.date_id = g.period_end_date
+  LEFT JOIN wd w ON w.wd_seq = d.working_day_seq + g.target_working_day
+  LEFT JOIN ct_ready r ON r.company_code = g.company_code AND r.fiscal_year = g.fiscal_year
+                      AND r.fiscal_period = g.fiscal_period AND r.task_sequence = g.task_sequence
+  LEFT JOIN dim_date pd ON pd.date_id = r.ready - 1
+  LEFT JOIN wd nx ON nx.wd_seq = pd.working_day_seq + 1
+  LEFT JOIN dim_date wd2 ON wd2.date_id = nx.working_date
 ),
 close_tasks AS (
-  SELECT ((CAST(g.entity_no AS BIGINT) * 10000 + g.fiscal_year) * 100 + g.fiscal_period) * 100 + g.task_sequence
+  SELECT ((CAST(entity_no AS BIGINT) * 10000 + fiscal_year) * 100 + fiscal_period) * 100 + task_sequence
            AS close_task_id,
-         g.company_code, g.fiscal_year, g.fiscal_period, g.task_id, g.period_end_date,
-         w1.working_date AS due_date,
-         CASE WHEN NOT g.is_open_row THEN w2.working_date END AS actual_completion_date,
-         CASE WHEN NOT g.is_open_row THEN printf('USR-%06X', (g.entity_no + 1) * 1048576
-              + ((g.fiscal_period * 12 + g.task_sequence) * 7919) % 1048576) END AS completed_by_user_id,
-         CASE WHEN NOT g.is_open_row THEN g.actual_wd - g.target_working_day END AS delay_working_days
-  FROM ct_calc g
-  LEFT JOIN dim_date d ON d.date_id = g.period_end_date
-  LEFT JOIN wd w1 ON w1.wd_seq = d.working_day_seq + g.target_working_day
-  LEFT JOIN wd w2 ON w2.wd_seq = d.working_day_seq + g.actual_wd
+         company_code, fiscal_year, fiscal_period, task_id, period_end_date, due_date,
+         finished AS actual_completion_date,
+         CASE WHEN finished IS NOT NULL THEN printf('USR-%06X', (entity_no + 1) * 1048576
+              + ((fiscal_period * 12 + task_sequence) * 7919) % 1048576) END AS completed_by_user_id,
+         CASE WHEN finished IS NOT NULL THEN CAST(actual_wd - target_working_day AS INTEGER) END AS delay_working_days
+  FROM ct_calc
 ),
 plan_act AS (
   SELECT j.company_code, j.fiscal_year, j.fiscal_period, j.cost_center, a.account_group,
@@ -405,7 +448,7 @@ b_rows AS (
 budget AS (
   SELECT company_code, CAST(fiscal_year AS INTEGER) AS fiscal_year, cost_center, account_group,
          CASE WHEN programme_key <> '(none)' THEN programme_key END AS programme_id,
-         'BUDGET' AS version, CAST(amount AS DECIMAL(15, 2)) AS amount_group_currency
+         'BUDGET' AS version, CAST(amount AS DECIMAL(28, 2)) AS amount_group_currency
   FROM b_rows WHERE abs(amount) >= 5000
 ),
 f_per AS (
@@ -416,31 +459,31 @@ f_per AS (
   GROUP BY company_code, fiscal_year, fiscal_period, cost_center, coalesce(programme_id, '(none)')
 ),
 f_combo AS (
-  SELECT company_code, fiscal_year, cost_center, programme_key,
-         sum(CASE WHEN fiscal_period <= 3 THEN c ELSE 0 END) AS s3,
-         sum(CASE WHEN fiscal_period <= 3 THEN 1 ELSE 0 END) AS n3,
-         sum(CASE WHEN fiscal_period <= 6 THEN c ELSE 0 END) AS s6,
-         sum(CASE WHEN fiscal_period <= 6 THEN 1 ELSE 0 END) AS n6,
-         sum(CASE WHEN fiscal_period <= 9 THEN c ELSE 0 END) AS s9,
-         sum(CASE WHEN fiscal_period <= 9 THEN 1 ELSE 0 END) AS n9
+  SELECT company_code, fiscal_year, cost_center, programme_key, {_FORECAST_MEAN} AS mean_c
   FROM f_per GROUP BY company_code, fiscal_year, cost_center, programme_key
   HAVING abs(sum(c)) >= 5000000
 ),
 f_snap AS (
-  SELECT f.company_code, f.fiscal_year, f.cost_center, f.programme_key, v.version, v.after,
-         CAST(CASE v.after WHEN 3 THEN f.s3 WHEN 6 THEN f.s6 ELSE f.s9 END AS BIGINT) AS s,
-         CAST(CASE v.after WHEN 3 THEN f.n3 WHEN 6 THEN f.n6 ELSE f.n9 END AS BIGINT) AS n
+  SELECT f.company_code, f.fiscal_year, f.cost_center, f.programme_key, f.mean_c, v.version, v.after,
+         last_day(make_date(f.fiscal_year, v.after, 1)) AS snap_end
   FROM f_combo f, (VALUES ('FC-Q1', 3), ('FC-Q2', 6), ('FC-Q3', 9)) v(version, after)
-),
-f_snap2 AS (
-  SELECT *, {_FORECAST_BASE} AS base_cents,
-         last_day(make_date(fiscal_year, after, 1)) AS snap_end
-  FROM f_snap
-  WHERE after <= CASE WHEN fiscal_year = 2001 THEN 7 ELSE 12 END AND n > 0
-),
-f_snap3 AS (
-  SELECT s.*, w.working_date AS snapshot_date
-  FROM f_snap2 s
+  WHERE v.after <= CASE WHEN f.fiscal_year = 2001 THEN 7 ELSE 12 END
+),
+f_upto AS (
+  SELECT v.version, p.company_code, p.fiscal_year, p.cost_center, p.programme_key, {_FORECAST_MEAN} AS pull_c
+  FROM f_per p JOIN (VALUES ('FC-Q1', 3), ('FC-Q2', 6), ('FC-Q3', 9)) v(version, after) ON p.fiscal_period <= v.after
+  GROUP BY v.version, p.company_code, p.fiscal_year, p.cost_center, p.programme_key
+),
+f_rows AS (
+  SELECT s.*, t.fp, w.working_date AS snapshot_date, CAST(coalesce(a.c, s.mean_c) AS HUGEINT) AS base_c,
+         CAST(coalesce(u.pull_c, s.mean_c) AS HUGEINT) AS pull_c
+  FROM (SELECT *, unnest(generate_series(after + 1, 12)) AS fp FROM f_snap) t
+  JOIN f_snap s ON s.company_code = t.company_code AND s.fiscal_year = t.fiscal_year AND s.cost_center = t.cost_center
+               AND s.programme_key = t.programme_key AND s.version = t.version
+  LEFT JOIN f_per a ON a.company_code = s.company_code AND a.fiscal_year = s.fiscal_year AND a.cost_center = s.cost_center
+                   AND a.programme_key = s.programme_key AND a.fiscal_period = t.fp
+  LEFT JOIN f_upto u ON u.company_code = s.company_code AND u.fiscal_year = s.fiscal_year AND u.cost_center = s.cost_center
+                    AND u.programme_key = s.programme_key AND u.version = s.version
   LEFT JOIN dim_date d ON d.date_id = s.snap_end
   LEFT JOIN wd w ON w.wd_seq = d.working_day_seq + 5
 ),
@@ -448,8 +491,8 @@ forecast AS (
   SELECT company_code, cost_center, CASE WHEN programme_key <> '(none)' THEN programme_key END AS programme_id,
          CAST(fiscal_year AS INTEGER) AS fiscal_year, CAST(fp AS INTEGER) AS fiscal_period, version,
          snapshot_date, CAST(fp - after AS INTEGER) AS horizon_periods,
-         CAST(CAST(base_cents AS DECIMAL(18, 0)) * 0.01 AS DECIMAL(15, 2)) AS amount_group_currency
-  FROM (SELECT *, unnest(generate_series(after + 1, 12)) AS fp FROM f_snap3)
+         CAST(CAST({_FORECAST_AMOUNT} AS DECIMAL(30, 0)) * 0.01 AS DECIMAL(28, 2)) AS amount_group_currency
+  FROM f_rows
 ),
 soft_close AS (
   SELECT company_code, fiscal_year, fiscal_period, due_date FROM close_tasks WHERE task_id = 'T10'
@@ -504,16 +547,26 @@ def oracle(body: str) -> str:
 
 
 def sql_cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS BIGINT)"
+    return f"CAST(({x}) * 100 AS HUGEINT)"
 
 
 def sql_div_cents(amount: str, divisor: str) -> str:
-    """Exact decimal amount / positive integer rounded half up to cents, as DECIMAL(18,2)."""
-    return f"CAST(CAST({half_up(sql_cents(amount), divisor)} AS DECIMAL(20, 0)) * 0.01 AS DECIMAL(18, 2))"
+    """Exact decimal amount / positive integer rounded half up to cents, as DECIMAL(28,2)."""
+    return f"CAST(CAST({half_up(sql_cents(amount), divisor)} AS DECIMAL(30, 0)) * 0.01 AS DECIMAL(28, 2))"
+
+
+def sql_wide_div(amount: str, divisor: str) -> str:
+    """Amount in cents / positive integer rounded half up to eight decimals, as DECIMAL(30,8)."""
+    n = f"{sql_cents(amount)} * 1000000"
+    return f"CAST(CAST({half_up(n, divisor)} AS DECIMAL(29, 0)) * 0.00000001 AS DECIMAL(30, 8))"
 
 
 def sql_exact_ratio(num: str, den: str, dp: int = 4) -> str:
+    """Ratio of two amounts of up to eight decimals, half up to ``dp`` decimals, as DOUBLE."""
+    def units(x):
+        return f"CAST(CAST({x} AS DECIMAL(30, 8)) * 100000000 AS HUGEINT)"
+
     scale = 10 ** dp
-    d = f"abs({sql_cents(den)})"
-    return (f"(CASE WHEN {d} <> 0 THEN CAST({half_up(sql_cents(num) + f' * {scale}', d)} AS DOUBLE) "
+    d = f"abs({units(den)})"
+    return (f"(CASE WHEN {d} <> 0 THEN CAST({half_up(units(num) + f' * {scale}', d)} AS DOUBLE) "
             f"/ {float(scale)} END)")

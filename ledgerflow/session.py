@@ -37,10 +37,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is unset (local tests) a scratch folder is registered for this context.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
-    sc.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
     return current
 
 

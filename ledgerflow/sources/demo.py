@@ -30,16 +30,16 @@ catalogue, five programmes).
 
 from __future__ import annotations
 
+import threading
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import (
-    cents, div_half_up, is_manual, period_end_date, period_key, programme_key, signed,
+    div_half_up, period_key,
 )
 from ..operators import calendar as cal
 from ..operators.ledger import number_lines
@@ -70,14 +70,12 @@ def _local_currency(region_col) -> F.Column:
 class DemoLedger:
     """Lazy set of finance tables derived from one driver scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, hot_document_lines: int | None = None,
-                 persist_journal: bool = False):
-        from ..operators.ledger import HOT_DOCUMENT_LINES
-
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 store: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.hot_document_lines = hot_document_lines or HOT_DOCUMENT_LINES
-        self.persist_journal = persist_journal
+        self.store = store
+        self._lock, self._written = threading.Lock(), set()
 
     def _t(self, name: str) -> DataFrame:
         return read_driver_table(self.spark, self.sf_dir, name)
@@ -117,7 +115,7 @@ class DemoLedger:
             department_id.alias("parent_id"),
             F.lit(3).alias("hierarchy_level"),
             (F.col("n_nationkey") >= 20).alias("is_overhead"),
-            F.lit(config.CALENDAR_START).alias("valid_from"),
+            F.lit(config.VALID_FROM).alias("valid_from"),
             F.to_date(F.lit("9999-12-31")).alias("valid_to"),
             user_token(F.col("n_regionkey"), F.col("n_nationkey") + 1000).alias("manager_user_id"),
         )
@@ -163,8 +161,8 @@ class DemoLedger:
             .select(
                 "programme_id", "programme_name", "programme_type", "lead_company_code",
                 "start_date", "end_date",
-                F.coalesce(F.col("total_budget_eur"), F.lit(0).cast("decimal(15,2)"))
-                .cast("decimal(15,2)").alias("total_budget_eur"),
+                F.coalesce(F.col("total_budget_eur"), F.lit(0).cast("decimal(28,2)"))
+                .cast("decimal(28,2)").alias("total_budget_eur"),
                 F.when(F.col("end_date") < F.lit(config.AS_OF_DATE), F.lit("CLOSED"))
                 .otherwise(F.lit("ACTIVE")).alias("status"),
             )
@@ -172,7 +170,26 @@ class DemoLedger:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return cal.dim_date(self.spark)
+        return cal.dim_date(self.calendar_years)
+
+    @cached_property
+    def calendar_years(self) -> DataFrame:
+        return cal.calendar_years(self._t("orders"), "o_orderdate")
+
+    @cached_property
+    def periods(self) -> DataFrame:
+        """The closed regular periods, read off the order dates."""
+        return cal.covered_periods(self._t("orders"), "o_orderdate")
+
+    @cached_property
+    def as_of(self) -> DataFrame:
+        """One row: the last posting's date."""
+        return self._t("orders").agg(F.to_date(F.max("o_orderdate")).alias("as_of"))
+
+    @cached_property
+    def last_covered(self) -> int:
+        """Key of the last closed period (one value; 0 without postings)."""
+        return self.periods.agg(F.max(period_key())).first()[0] or 0
 
     @cached_property
     def close_task(self) -> DataFrame:
@@ -184,36 +201,51 @@ class DemoLedger:
 
     @cached_property
     def rates(self) -> DataFrame:
-        years = self.spark.range(config.CALENDAR_START.year, config.CALENDAR_END.year + 1).select(
-            F.col("id").cast("int").alias("fiscal_year")
+        """Actual (M) and budget (B) rates to EUR, read off the orders.
+
+        A currency's actual rate of a month is the price level of its region: the mean order value
+        of the region's customers over that of all customers, to six digits.  A month without
+        orders keeps the last month's rate (the first known one at the start), and EUR is 1.  The
+        budget rate is that of the fiscal year's first month.
+        """
+        nation = self._t("nation").select("n_nationkey", "n_regionkey")
+        orders = (
+            self._t("orders").select("o_custkey", "o_orderdate", "o_totalprice")
+            .join(self._t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         )
-        currencies = F.array(*[F.lit(c) for c in ("USD", "GBP", "EUR")])
-        grid = years.select(
-            "fiscal_year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("fiscal_period")
-        ).select("*", F.explode(currencies).alias("from_currency"))
-        m = (F.col("fiscal_year") - config.CALENDAR_START.year) * 12 + F.col("fiscal_period") - 1
-        month1 = (F.col("fiscal_year") - config.CALENDAR_START.year) * 12
-
-        def rate(mm):
-            # Fixed closed-form demo rates (units of EUR per unit of currency).
-            usd = F.lit(Decimal("0.880000")) + F.lit(Decimal("0.000900")) * mm + \
-                F.lit(Decimal("0.012000")) * ((mm * 7) % 5 - 2)
-            gbp = F.lit(Decimal("1.150000")) + F.lit(Decimal("0.001100")) * mm + \
-                F.lit(Decimal("0.008000")) * ((mm * 3) % 4)
-            return (
-                F.when(F.col("from_currency") == "USD", usd)
-                .when(F.col("from_currency") == "GBP", gbp)
-                .otherwise(F.lit(Decimal("1.000000")))
-                .cast("decimal(15,6)")
-            )
-
-        base = grid.select(
-            "from_currency", F.lit(config.GROUP_CURRENCY).alias("to_currency"),
-            "fiscal_year", "fiscal_period",
-            rate(m).alias("rate_m"), rate(month1).alias("rate_b"),
-        )
-        return base.select(
-            "from_currency", "to_currency", "fiscal_year", "fiscal_period",
+        value = F.round(F.col("o_totalprice").cast("decimal(15,2)") * 100, 0).cast("decimal(18,0)")
+        sums = [F.sum(value).cast("decimal(20,0)").alias("s_all"), F.count(F.lit(1)).cast("decimal(10,0)").alias("n_all")]
+        for key in config.REGION_CURRENCY:
+            own = F.col("n_regionkey") == key
+            sums += [F.sum(F.when(own, value).otherwise(0)).cast("decimal(20,0)").alias(f"s{key}"),
+                     F.sum(F.when(own, 1).otherwise(0)).cast("decimal(10,0)").alias(f"n{key}")]
+        by_month = orders.groupBy(F.year("o_orderdate").alias("fiscal_year"), F.month("o_orderdate").alias("fiscal_period")).agg(*sums)
+
+        def level(key):
+            million = F.lit(1000000).cast("decimal(7,0)")
+            micro = div_half_up(F.col(f"s{key}") * F.col("n_all") * million, F.col(f"n{key}") * F.col("s_all"))
+            known = (F.col(f"n{key}") > 0) & (F.col("s_all") > 0) & (F.col(f"s{key}") > 0)
+            return F.when(known, (micro.cast("decimal(18,0)") * F.lit(Decimal("0.000001"))).cast("decimal(15,6)"))
+
+        levels = by_month.select("fiscal_year", "fiscal_period", *[level(k).alias(f"r{k}") for k in config.REGION_CURRENCY])
+        grid = self.calendar_years.select(
+            F.col("year").alias("fiscal_year"), F.explode(F.sequence(F.lit(1), F.lit(12))).alias("fiscal_period"))
+        grid = grid.join(levels, ["fiscal_year", "fiscal_period"], "left")
+        one = F.lit(Decimal("1.000000")).cast("decimal(15,6)")
+        each = F.array(*[F.struct(F.lit(ccy).alias("from_currency"), F.col(f"r{k}").alias("r"))
+                         for k, ccy in config.REGION_CURRENCY.items()],
+                       F.struct(F.lit(config.GROUP_CURRENCY).alias("from_currency"), one.alias("r")))
+        rows = grid.select("fiscal_year", "fiscal_period", F.explode(each).alias("e")).select("fiscal_year", "fiscal_period", "e.*")
+        time = Window.partitionBy("from_currency").orderBy("fiscal_year", "fiscal_period")  # one row a month
+        before = time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        after = time.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        rate = F.coalesce(F.last("r", True).over(before), F.first("r", True).over(after), one)
+        rows = rows.withColumn("rate_m", rate)
+        year = Window.partitionBy("from_currency", "fiscal_year").orderBy("fiscal_period")
+        rows = rows.withColumn("rate_b", F.first("rate_m").over(year))
+        return rows.select(
+            "from_currency", F.lit(config.GROUP_CURRENCY).alias("to_currency"), "fiscal_year", "fiscal_period",
             F.explode(F.array(
                 F.struct(F.lit("M").alias("rate_type"), F.col("rate_m").alias("exchange_rate")),
                 F.struct(F.lit("B").alias("rate_type"), F.col("rate_b").alias("exchange_rate")),
@@ -260,17 +292,11 @@ class DemoLedger:
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         )
         region = F.col("s_regionkey")
-        doc_no = F.col("l_orderkey") * 10 + region
-        # WN4: line number within document by a total order of the line's columns, computed
-        # with the hot-document-safe numbering (a huge document never lands in one task).
+        doc_no = F.concat_ws("-", "l_orderkey", region)
+        # WN4: line number within document by a total order of the line's columns.
         line_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-        # A document is part of one order, so orders above the threshold (counted on the raw
-        # lineitem keys, partial aggregation) bound the hot documents.
-        hot_orders = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n")) \
-            .where(F.col("__n") > self.hot_document_lines).select("l_orderkey")
-        x = number_lines(x, ["l_orderkey", "s_regionkey"], line_order, "document_line", self.hot_document_lines,
-                         hot=hot_orders)
+        x = number_lines(x, ["l_orderkey", "s_regionkey"], line_order, "document_line")
         posting = F.to_date("o_orderdate")
         is_ic = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("c_regionkey") != region)
         doc_type = (
@@ -299,7 +325,7 @@ class DemoLedger:
             region.alias("region"),
             F.col("c_regionkey").alias("partner_region"),
             _company_code(region).alias("company_code"),
-            doc_no.cast("string").alias("document_number"),
+            doc_no.alias("document_number"),
             F.col("document_line"),
             doc_type.alias("document_type"),
             posting.alias("posting_date"),
@@ -330,7 +356,6 @@ class DemoLedger:
             "left",
         )
         return y.select(
-            ((F.col("l_orderkey") * 10 + F.col("region")) * 1000 + F.col("document_line")).alias("__line_key"),
             "region", "partner_region", "receipt_date",
             "company_code", "document_number", "document_line", "document_type",
             "posting_date", "document_date", "entry_date", "fiscal_year", "fiscal_period",
@@ -350,18 +375,46 @@ class DemoLedger:
     def journal(self) -> DataFrame:
         from ..operators.ledger import journal_with_derived
 
-        j = journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date)
-        # Shared ledgers persist the derived journal (memory, spilling to disk; lost blocks
-        # are recomputed from lineage) so the tables derived from it and every query of the
-        # session read one derivation.
-        return j.persist(StorageLevel.MEMORY_AND_DISK) if self.persist_journal else j
+        j = journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date, self.last_covered)
+        return self._kept("journal", j, "fiscal_year")
+
+    def _kept(self, name: str, df: DataFrame, *by: str) -> DataFrame:
+        """A shared ledger writes ``df`` to its store once, partitioned, and reads it from there, so
+        that filters and columns reach the files; without a store the frame itself."""
+        if self.store is None:
+            return df
+        path = f"{self.store}/{name}"
+        with self._lock:  # queries may run side by side in one session
+            if name not in self._written:
+                df.write.partitionBy(*by).parquet(path)
+                self._written.add(name)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    @cached_property
+    def agg_journal_monthly(self) -> DataFrame | None:
+        """The stored monthly aggregate; None without a store."""
+        if self.store is None:
+            return None
+        from ..operators import ledger as lg
+        from ..operators import materialise
+
+        vj = lg.harmonised_journal(self.journal, self.company, self.gl_account, self.cost_center,
+                                   self.programme_master, self.rates, self.close_schedule)
+        return self._kept("agg_journal_monthly", materialise.agg_journal_monthly(vj), "fiscal_year")
 
     # ----------------------------------------------------- plans and close
     @cached_property
     def close_tasks(self) -> DataFrame:
         from ..operators.plan import close_calendar
 
-        return close_calendar(self.spark, self.company, self.close_task, self.dim_date)
+        return close_calendar(self.close_schedule, self.journal_base, self.dim_date, self.as_of)
+
+    @cached_property
+    def close_schedule(self) -> DataFrame:
+        """Tasks with due dates alone; completion dates take a pass over the lines."""
+        from ..operators.plan import close_schedule
+
+        return close_schedule(self.company, self.periods, self.dim_date)
 
     @cached_property
     def budget(self) -> DataFrame:
@@ -404,14 +457,16 @@ _SHARED: dict[tuple[int, str], DemoLedger] = {}
 
 
 def demo_ledger(spark: SparkSession, sf_dir: str) -> DemoLedger:
-    """The session's shared demo ledger for a data folder (derived once, journal persisted)."""
-    import os
+    """The session's ledger for a data folder; journal and aggregate are written to the shared
+    checkpoint folder once and read back by every query."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
 
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (id(spark), sf_dir.rstrip("/"))
     ledger_obj = _SHARED.get(key)
     if ledger_obj is None or ledger_obj.spark is not spark:
-        ledger_obj = DemoLedger(spark, sf_dir, persist_journal=True)
+        store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+        ledger_obj = DemoLedger(spark, sf_dir, store=store)
         _SHARED[key] = ledger_obj
     return ledger_obj
-
-

@@ -128,11 +128,17 @@ class ParquetLedger:
         raise AttributeError(name)
 
     @cached_property
-    def agg_journal_monthly(self) -> DataFrame | None:
-        import os
+    def periods(self) -> DataFrame:
+        from ..operators.calendar import covered_periods
+
+        return covered_periods(self.journal, "posting_date")
 
+    @cached_property
+    def agg_journal_monthly(self) -> DataFrame | None:
         path = f"{self.root}/agg_journal_monthly"
-        return self.spark.read.parquet(path) if os.path.exists(path) else None
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        there = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+        return self.spark.read.parquet(path) if there else None
 
 
 def materialise_ledger(ledger, root: str) -> None:

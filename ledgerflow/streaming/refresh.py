@@ -59,19 +59,33 @@ def start_refresh(spark: SparkSession, incoming: str, dims, deltas_path: str, ch
     return writer.start()
 
 
-def served_aggregate(spark: SparkSession, base_path: str, deltas_path: str) -> DataFrame:
-    """Base aggregate plus all deltas, merged."""
-    import os
+def _batches(spark: SparkSession, deltas_path: str) -> list[str]:
+    """Paths of the delta batches, in any file system that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{deltas_path.rstrip('/')}/batch_id=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or ())
+
 
+def served_aggregate(spark: SparkSession, base_path: str, deltas_path: str) -> DataFrame:
+    """Base aggregate plus all deltas that are not folded into it yet, merged."""
     base = spark.read.parquet(base_path)
-    if not os.path.exists(deltas_path) or not any(n.startswith("batch_id=") for n in os.listdir(deltas_path)):
+    batches = _batches(spark, deltas_path)
+    if not batches:
         return base
-    deltas = spark.read.parquet(deltas_path).drop("batch_id")
+    deltas = spark.read.parquet(*batches)
     return merge_aggregates(base.select(*materialise.AGG_KEYS, *MEASURES),
                             deltas.select(*materialise.AGG_KEYS, *MEASURES))
 
 
 def compact(spark: SparkSession, base_path: str, deltas_path: str, new_base_path: str) -> None:
-    """Fold the deltas into a new base aggregate (partitioned by fiscal year)."""
+    """Fold the deltas into a new base aggregate (partitioned by fiscal year) and retire them: they
+    move to ``<deltas_path>-folded``, so the new base with the same folder counts them once."""
+    batches = _batches(spark, deltas_path)
     merged = cut_lineage(served_aggregate(spark, base_path, deltas_path))
     materialise.write_aggregate(merged, new_base_path)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    folded = hadoop.Path(f"{deltas_path.rstrip('/')}-folded")
+    fs = folded.getFileSystem(conf)
+    fs.mkdirs(folded)
+    for b in batches:
+        fs.rename(hadoop.Path(b), hadoop.Path(folded, hadoop.Path(b).getName()))

@@ -20,7 +20,7 @@ def test_easter(spark, year, expected):
 
 
 def test_holidays_2025_include_good_friday_and_easter_monday(spark):
-    days = {r.holiday_date for r in cal.holidays(spark, 2025, 2025).collect()}
+    days = {r.holiday_date for r in cal.holidays(cal.year_range(spark, 2025, 2025)).collect()}
     assert D(2025, 4, 18) in days and D(2025, 4, 21) in days
     assert {D(2025, 1, 1), D(2025, 5, 1), D(2025, 12, 25), D(2025, 12, 26)} <= days
     assert len(days) == 6
@@ -38,7 +38,7 @@ def test_period_end(spark, fy, fp, expected):
 
 @pytest.fixture(scope="module")
 def cal2025(spark):
-    return cal.dim_date(spark, D(2025, 1, 1), D(2025, 12, 31))
+    return cal.dim_date(cal.year_range(spark, 2025, 2025))
 
 
 @pytest.mark.parametrize("ref,n,expected", [
@@ -72,9 +72,15 @@ def test_calendar_counters(spark, cal2025):
 
 
 def test_covered_periods_stop_at_last_closed(spark):
-    from ledgerflow import config
+    def last(*days):
+        df = spark.createDataFrame([(d,) for d in days], "d date")
+        return [(r.fiscal_year, r.fiscal_period) for r in cal.covered_periods(df, "d").orderBy("fiscal_year", "fiscal_period").collect()]
 
-    rows = cal.covered_periods(spark).collect()
-    assert len(rows) == len(config.covered_periods())
-    assert max((r.fiscal_year, r.fiscal_period) for r in rows) == (
-        config.LAST_FISCAL_YEAR, config.LAST_CLOSED_PERIOD_IN_FINAL_YEAR)
+    assert last(D(2024, 11, 20), D(2025, 2, 10)) == [(2024, 11), (2024, 12), (2025, 1)]
+    assert last(D(2025, 1, 5), D(2025, 2, 28)) == [(2025, 1), (2025, 2)]  # the month is over
+    assert last(D(2025, 1, 5)) == [] and last() == []
+
+
+def test_calendar_covers_the_years_of_the_postings_and_one_more(spark):
+    df = spark.createDataFrame([(D(2010, 5, 1),), (D(2012, 1, 1),)], "d date")
+    assert [r.year for r in cal.calendar_years(df, "d").orderBy("year").collect()] == [2010, 2011, 2012, 2013]

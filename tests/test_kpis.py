@@ -120,12 +120,73 @@ def test_close_monitor_repeats_entity_measures_on_every_task(ctx):
     assert per.where(F.col("tasks") != len(config.CLOSE_TASKS)).count() == 0
 
 
-def test_hot_document_numbering_equals_plain_window(spark):
+def test_long_documents_keep_unique_keys_and_gapless_lines(spark, tmp_path):
+    """Two documents of 1,500 lines in neighbouring entities, and amounts a million times larger."""
+    import shutil
+
+    from ledgerflow.operators import quality
     from ledgerflow.sources.demo import DemoLedger
 
-    plain = DemoLedger(spark, "/root/testdata/sf0.001").journal_base.select("__line_key", "document_number",
-                                                                             "document_line", "amount_doc_currency")
-    # threshold 2: every multi-line document goes through the split path
-    split = DemoLedger(spark, "/root/testdata/sf0.001", hot_document_lines=2).journal_base.select(
-        "__line_key", "document_number", "document_line", "amount_doc_currency")
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    folder = tmp_path / "sf"
+    folder.mkdir()
+    for t in ("region", "nation", "customer", "supplier", "part", "orders"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", folder)
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    order = li.agg(F.min("l_orderkey")).first()[0]
+    supp = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.001/nation.parquet"), F.col("s_nationkey") == F.col("n_nationkey"))
+    one, two = (supp.where(F.col("n_regionkey") == r).agg(F.min("s_suppkey")).first()[0] for r in (1, 2))
+    many = li.where(F.col("l_orderkey") == order).limit(1).crossJoin(spark.range(1500)).withColumn(
+        "l_linenumber", F.col("id").cast(li.schema["l_linenumber"].dataType))
+    li = li.withColumn("l_extendedprice", F.col("l_extendedprice") * 1e6)
+    for s in (one, two):
+        li = li.unionByName(many.withColumn("l_suppkey", F.lit(s).cast(li.schema["l_suppkey"].dataType)).select(*li.columns))
+    li.write.parquet(str(folder / "lineitem.parquet"))
+    L = DemoLedger(spark, str(folder))
+    assert L.journal.groupBy("journal_id").count().where("count > 1").count() == 0
+    lines = L.journal_base.groupBy("document_number").agg(F.count(F.lit(1)).alias("n"), F.max("document_line").alias("last"))
+    assert lines.where("n <> last").count() == 0 and lines.agg(F.max("n")).first()[0] >= 1500
+    assert quality.primary_key_rule(L.journal, "journal", ["journal_id"]).first()["violations"] == 0
+    # planned sums and ratios hold far beyond 64 bits of cents
+    from ledgerflow.plans.context import Ctx
+
+    for r in Ctx(spark, ledger_obj=L).runrate().collect():
+        assert r.eac is not None and abs(float(r.eac)) > 1e9
+
+
+def test_phased_budget_sums_back_to_the_annual_budget(ctx):
+    x = ctx.budget_cells.groupBy("company_code", "fiscal_year", "cost_center", "account_group", "programme_key").agg(
+        F.sum("budget_amount").alias("s"), F.max("amount_annual").alias("a"), F.count(F.lit(1)).alias("n"))
+    assert x.where((F.round("s", 2) != F.col("a")) | (F.col("n") != 12)).count() == 0
+
+
+def test_run_rate_is_not_rounded_before_eac(spark):
+    monthly = spark.createDataFrame([("P", 200001, Decimal("0.01")), ("P", 200002, Decimal("0.01")), ("P", 200003, Decimal("0.00"))],
+                                    "programme_id string, period_key int, period_cost decimal(18,2)")
+    programme = spark.createDataFrame([("P", "n", "t", D(2000, 1, 1), D(2010, 3, 31), "CO0", "ACTIVE", Decimal("100.00"))],
+                                      "programme_id string, programme_name string, programme_type string, start_date date, "
+                                      "end_date date, lead_company_code string, status string, total_budget_eur decimal(28,2)")
+    r = kpis.runrate_from_monthly(monthly, programme, 2000, 3, 3).first()
+    assert r.remaining_periods == 120 and abs(float(r.eac) - (0.02 + 0.02 / 3 * 120)) < 1e-5
+
+
+def test_fx_carryover_only_where_reversals_post(ctx):
+    rows = kpis.fx_reversal_carryover(ctx.vj)
+    assert rows.where("reversal_lines = 0").count() == 0
+    assert kpis.fx_reversal_carryover(ctx.vj.where("not is_reversal")).count() == 0
+
+
+def test_forecast_covers_every_combination_and_knows_the_base(spark, ctx):
+    from ledgerflow.operators import plan
+
+    journal = spark.createDataFrame(
+        [("C", 2000, p, "CC1", None, "S", Decimal(a), False) for p, a in ((10, "60000.00"), (11, "30000.00"))],
+        "company_code string, fiscal_year int, fiscal_period int, cost_center string, programme_id string, "
+        "debit_credit_ind string, amount_group_currency decimal(15,2), is_reversal boolean")
+    got = {(r.version, r.fiscal_period): float(r.amount_group_currency)
+           for r in plan.forecast_build(journal, ctx.L.dim_date).collect()}
+    assert len(got) == 9 + 6 + 3  # no posting up to any snapshot, yet all are forecast
+    mean = 45000.0
+    assert got[("FC-Q3", 12)] == mean                      # unknown period: the year's mean
+    assert got[("FC-Q3", 10)] == round(60000 + (mean - 60000) * 1 / 12, 2)
+    assert got[("FC-Q1", 11)] == round(30000 + (mean - 30000) * 8 / 12, 2)
