@@ -112,7 +112,8 @@ def linked_pairs(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     key = F.xxhash64("k.i", F.col("fp").bitwiseAND(F.col("k.m")).bitwiseXOR(F.col("k.x")))
     index = fps.select("fp", _keys(F.col("fp"), distance, False).alias("k")).select(key.alias("key"), F.col("fp").alias("a"))
     probe = fps.select("fp", _keys(F.col("fp"), distance, True).alias("k")).select(key.alias("key"), F.col("fp").alias("b"))
-    return (index.join(probe, "key").where((F.col("a") < F.col("b")) & _close(F.col("a"), F.col("b"), distance))
+    # the planner takes the sides before explode for small and would broadcast them
+    return (index.hint("merge").join(probe.hint("merge"), "key").where((F.col("a") < F.col("b")) & _close(F.col("a"), F.col("b"), distance))
             .select("a", "b").distinct())
 
 
@@ -130,8 +131,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = stored(classes)
     roots = components(linked_pairs(classes.select("fp"), distance), "a", "b")
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n_fps"))
-    named = join_keyed(rooted, lowest, "root", "n_fps", total).select("fp", "n_rows", "component_id")
+    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = rooted.join(lowest, "root").select("fp", "n_rows", "component_id")
     found = join_keyed(rows, named, "fp", "n_rows", total)
     return found.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
