@@ -1,12 +1,12 @@
 """Broadcast policy for dimension tables.
 
-Master data (entities, cost centres, accounts, programmes, rates, calendar,
-close schedule) is small, and every operator joins it to the journal with a
-broadcast so the journal is never shuffled for a lookup.  The bound is either
-known by construction (demo adapter) or checked when a ledger is loaded from
-files (``ParquetLedger`` counts rows from Parquet footers).  A dimension that
-fails the check is marked, and ``dim`` then leaves the join strategy to the
-planner and AQE (sort-merge join, or a runtime broadcast if it turns out small).
+Master data (entities, cost centres, accounts, programmes, rates, calendar, close schedule) is
+small, and joining it to the journal by broadcast spares the journal a shuffle for each lookup.
+The hint is set where the bound is known, on the ledger's frame itself: the demo adapter's
+dimensions are bounded by construction, and a ledger read from files counts rows from the Parquet
+footers first.  A hint survives projections, filters and aggregates on top of the frame, so the
+operators set none of their own; a dimension without it is left to the planner and to adaptive
+execution (sort-merge join, or a runtime broadcast if it turns out small).
 """
 
 from __future__ import annotations
@@ -14,21 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Row bound under which a dimension is broadcast.
-DIM_BROADCAST_MAX_ROWS = 2_000_000
+#: Rows of a dimension read from files up to which it is broadcast (a few hundred bytes each).
+DIM_BROADCAST_MAX_ROWS = 200_000
 
 
-def mark_large(df: DataFrame) -> DataFrame:
-    df._ledgerflow_large = True  # type: ignore[attr-defined]
-    return df
-
-
-def is_large(df: DataFrame) -> bool:
-    return bool(getattr(df, "_ledgerflow_large", False))
+def bounded(df: DataFrame) -> DataFrame:
+    """Mark a frame whose size has a proven bound for broadcast."""
+    return F.broadcast(df)
 
 
 def dim(df: DataFrame, *cols) -> DataFrame:
-    """Broadcast a dimension (optionally projected) unless it failed the size check."""
-    large = is_large(df)
-    out = df.select(*cols) if cols else df
-    return out if large else F.broadcast(out)
+    """The columns of a dimension that a join needs."""
+    return df.select(*cols) if cols else df

@@ -41,12 +41,22 @@ from .. import config
 from ..functions.columns import (
     div_half_up, period_key,
 )
+from ..functions.hints import bounded
 from ..operators import calendar as cal
 from ..operators.ledger import number_lines
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
+def _bounded_table(fn):
+    """A ledger table whose size has a bound by construction, marked for broadcast."""
+    def build(self) -> DataFrame:
+        return bounded(fn(self))
+
+    build.__doc__ = fn.__doc__
+    return cached_property(build)
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -81,7 +91,7 @@ class DemoLedger:
         return read_driver_table(self.spark, self.sf_dir, name)
 
     # ------------------------------------------------------------------ dims
-    @cached_property
+    @_bounded_table
     def company(self) -> DataFrame:
         r = self._t("region")
         return r.select(
@@ -94,7 +104,7 @@ class DemoLedger:
             F.lit(5).alias("hard_close_target_wd"),
         )
 
-    @cached_property
+    @_bounded_table
     def cost_center(self) -> DataFrame:
         n = self._t("nation")
         even = F.col("n_nationkey") % 2 == 0
@@ -120,7 +130,7 @@ class DemoLedger:
             user_token(F.col("n_regionkey"), F.col("n_nationkey") + 1000).alias("manager_user_id"),
         )
 
-    @cached_property
+    @_bounded_table
     def account_types(self) -> DataFrame:
         return self.spark.createDataFrame(
             config.ACCOUNT_TYPES,
@@ -128,7 +138,7 @@ class DemoLedger:
             "normal_balance string, first_account int",
         )
 
-    @cached_property
+    @_bounded_table
     def gl_account(self) -> DataFrame:
         p = self._t("part").select("p_type", "p_brand").distinct()
         brand_no = F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).cast("int")
@@ -142,7 +152,7 @@ class DemoLedger:
             "normal_balance",
         )
 
-    @cached_property
+    @_bounded_table
     def programme_master(self) -> DataFrame:
         return self.spark.createDataFrame(
             [(seg, pid, name, ptype, f"CO{lead}", start, end)
@@ -151,7 +161,7 @@ class DemoLedger:
             "lead_company_code string, start_date date, end_date date",
         )
 
-    @cached_property
+    @_bounded_table
     def programme(self) -> DataFrame:
         from ..operators.plan import programme_budget_derive
 
@@ -168,7 +178,7 @@ class DemoLedger:
             )
         )
 
-    @cached_property
+    @_bounded_table
     def dim_date(self) -> DataFrame:
         return cal.dim_date(self.calendar_years)
 
@@ -191,7 +201,7 @@ class DemoLedger:
         """Key of the last closed period (one value; 0 without postings)."""
         return self.periods.agg(F.max(period_key())).first()[0] or 0
 
-    @cached_property
+    @_bounded_table
     def close_task(self) -> DataFrame:
         return self.spark.createDataFrame(
             config.CLOSE_TASKS,
@@ -199,7 +209,7 @@ class DemoLedger:
             "is_milestone boolean",
         )
 
-    @cached_property
+    @_bounded_table
     def rates(self) -> DataFrame:
         """Actual (M) and budget (B) rates to EUR, read off the orders.
 
@@ -255,13 +265,11 @@ class DemoLedger:
 
     # --------------------------------------------------------------- journal
     def _actual_rates(self) -> DataFrame:
-        return F.broadcast(
-            self.rates.where("rate_type = 'M'").select(
-                F.col("from_currency").alias("__ccy"),
-                F.col("fiscal_year").alias("__fy"),
-                F.col("fiscal_period").alias("__fp"),
-                F.col("exchange_rate").alias("__rate"),
-            )
+        return self.rates.where("rate_type = 'M'").select(
+            F.col("from_currency").alias("__ccy"),
+            F.col("fiscal_year").alias("__fy"),
+            F.col("fiscal_period").alias("__fp"),
+            F.col("exchange_rate").alias("__rate"),
         )
 
     @cached_property
@@ -403,13 +411,13 @@ class DemoLedger:
         return self._kept("agg_journal_monthly", materialise.agg_journal_monthly(vj), "fiscal_year")
 
     # ----------------------------------------------------- plans and close
-    @cached_property
+    @_bounded_table
     def close_tasks(self) -> DataFrame:
         from ..operators.plan import close_calendar
 
         return close_calendar(self.close_schedule, self.journal_base, self.dim_date, self.as_of)
 
-    @cached_property
+    @_bounded_table
     def close_schedule(self) -> DataFrame:
         """Tasks with due dates alone; completion dates take a pass over the lines."""
         from ..operators.plan import close_schedule

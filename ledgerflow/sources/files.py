@@ -15,7 +15,7 @@ from pyspark.sql.types import BooleanType, DateType, DecimalType, IntegerType, L
 
 from .. import schemas
 from ..functions.columns import count_if
-from ..functions.hints import DIM_BROADCAST_MAX_ROWS, mark_large
+from ..functions.hints import DIM_BROADCAST_MAX_ROWS, bounded
 
 
 class MissingColumnError(ValueError):
@@ -99,8 +99,8 @@ def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 class ParquetLedger:
     """The eleven finance tables (plus an optional monthly aggregate) read from a folder.
 
-    Dimension row counts are read from Parquet footers at load; a dimension above
-    the broadcast bound is marked so operators leave its join to the planner.
+    Dimension row counts are read from Parquet footers at load; a dimension within the bound
+    carries the broadcast hint, and the joins of any other are left to the planner.
     """
 
     def __init__(self, spark: SparkSession, root: str, check_dims: bool = True):
@@ -117,8 +117,8 @@ class ParquetLedger:
             if check_dims and t in schemas.DIMENSIONS:
                 n = df.count()
                 self.dimension_rows[t] = n
-                if n > DIM_BROADCAST_MAX_ROWS:
-                    mark_large(df)
+                if n <= DIM_BROADCAST_MAX_ROWS:
+                    df = bounded(df)
             self._frames[t] = df
 
     def __getattr__(self, name):
