@@ -149,29 +149,33 @@ def budget_cells(budget: DataFrame) -> DataFrame:
     )
 
 
-def actual_cells(vj: DataFrame) -> DataFrame:
-    """KP8: actual side of the variance (regular periods, cost lines only)."""
-    return vj.where(F.col("cost_center").isNotNull() & (F.col("fiscal_period") <= 12)).groupBy(
+def actual_lines(vj: DataFrame) -> DataFrame:
+    """Journal lines that count as actuals of the variance (regular periods, cost lines only)."""
+    return vj.where(F.col("cost_center").isNotNull() & (F.col("fiscal_period") <= 12)).select(
         "company_code", "fiscal_year", F.col("reporting_period").alias("fiscal_period"), "cost_center",
-        "account_group", programme_key().alias("programme_key"),
-    ).agg(F.sum("signed_amount_group").alias("actual_amount"))
+        "account_group", programme_key().alias("programme_key"), F.col("signed_amount_group").alias("actual_amount"))
+
+
+def actual_cells(vj: DataFrame) -> DataFrame:
+    """KP8: actual side of the variance, summed to cells."""
+    return actual_lines(vj).groupBy(*VARIANCE_KEYS).agg(F.sum("actual_amount").alias("actual_amount"))
 
 
 VARIANCE_KEYS = ["company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group", "programme_key"]
 
 
 def budget_variance(actual: DataFrame, budget: DataFrame) -> DataFrame:
-    """KP7/JN6: full outer join of actual and budget cells; unmatched rows on both sides survive.
+    """KP7/JN6: actuals and budget by cell; cells of either side alone survive.
 
-    ``variance_pct`` is NULL where the budget is zero or absent.  Both inputs are
-    aggregates hash-partitioned on the same six keys, so the sort-merge join
-    adds no further exchange.
+    The full outer match is one aggregation: both sides are stacked, each with zero for the other
+    measure, and grouped once, so the lines are shuffled once, as partial sums.  ``actual`` may be
+    journal lines or cells.  ``variance_pct`` is NULL where the budget is zero or absent.
     """
-    a = actual.select(*VARIANCE_KEYS, "actual_amount")
-    b = budget.groupBy(*VARIANCE_KEYS).agg(F.sum("budget_amount").alias("budget_amount"))
-    j = a.join(b, VARIANCE_KEYS, "full_outer")
-    act = F.coalesce(F.col("actual_amount"), F.lit(0)).cast("decimal(28,2)")
-    bud = wide(F.coalesce(F.col("budget_amount"), F.lit(0)))
+    zero = F.lit(0).cast("decimal(30,8)")
+    a = actual.select(*VARIANCE_KEYS, wide("actual_amount").alias("a"), zero.alias("b"))
+    b = budget.select(*VARIANCE_KEYS, zero.alias("a"), wide("budget_amount").alias("b"))
+    j = a.unionByName(b).groupBy(*VARIANCE_KEYS).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    act, bud = F.col("a").cast("decimal(28,2)"), wide("b")
     return j.select(
         "company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group",
         F.col("programme_key").alias("programme_id"),

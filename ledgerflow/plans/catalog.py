@@ -452,6 +452,33 @@ def q_manual_share(ctx: Ctx) -> DataFrame:
     return money_cols(kpis.manual_share(ctx.vj), "total_value", "manual_value", "amount_manual")
 
 
+_MANUAL_DRILL_SQL = f"""
+SELECT company_code, fiscal_year, reporting_period AS fiscal_period, {{key}}, count(*) AS line_count,
+       CAST(sum(CASE WHEN is_manual_posting THEN 1 ELSE 0 END) AS BIGINT) AS manual_line_count,
+       {M('sum(abs(amount_group_currency))')} AS total_value,
+       {M('sum(CASE WHEN is_manual_posting THEN abs(amount_group_currency) ELSE 0 END)')} AS manual_value
+FROM v_journal GROUP BY company_code, fiscal_year, reporting_period, {{key}}
+"""
+
+
+def _manual_drill(ctx: Ctx, key: str) -> DataFrame:
+    x = kpis.manual_share(ctx.vj, [key]).select("company_code", "fiscal_year", "fiscal_period", key, "line_count",
+                                                "manual_line_count", "total_value", "manual_value")
+    return money_cols(x, "total_value", "manual_value")
+
+
+@register("manual_share_by_doc_type", _MANUAL_DRILL_SQL.format(key="document_type"))
+def q_manual_share_doc(ctx: Ctx) -> DataFrame:
+    """KP3 drill-down by document type."""
+    return _manual_drill(ctx, "document_type")
+
+
+@register("manual_share_by_cost_center", _MANUAL_DRILL_SQL.format(key="cost_center"))
+def q_manual_share_centre(ctx: Ctx) -> DataFrame:
+    """KP3 drill-down by cost centre (lines without one in a group of their own)."""
+    return _manual_drill(ctx, "cost_center")
+
+
 _LATE_SQL = """
 SELECT company_code, fiscal_year, reporting_period AS fiscal_period{extra}, count(*) AS line_count,
        CAST(sum(CASE WHEN is_late_posting THEN 1 ELSE 0 END) AS BIGINT) AS late_line_count,
@@ -477,6 +504,14 @@ def q_late_postings_doc(ctx: Ctx) -> DataFrame:
     return money_cols(kpis.late_postings(ctx.vj, ["document_type"]), "late_value")
 
 
+@register("late_postings_by_cost_center", _LATE_SQL.format(
+    extra=", cost_center",
+    late_value=M("sum(CASE WHEN is_late_posting THEN abs(amount_group_currency) ELSE 0 END)")))
+def q_late_postings_centre(ctx: Ctx) -> DataFrame:
+    """KP4 drill-down by cost centre."""
+    return money_cols(kpis.late_postings(ctx.vj, ["cost_center"]), "late_value")
+
+
 # ============================================================== KPI-06 FX
 _FX_SQL = f"""
 SELECT company_code, company_name, local_currency, fiscal_year, reporting_period AS fiscal_period, account_group,

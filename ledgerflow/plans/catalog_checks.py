@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.columns import money, ratio
+from ..functions.columns import period_key, money, ratio
 from ..operators import kpis, materialise, publish, quality, reconcile, signals, slicing
 from .catalog import (
     EAC_SQL, FULL_YEAR, M, _FC_CTE, _PL_SQL, _TASKS_H_CTE, _VARIANCE_CTE, money_cols, register, runrate_cte,
@@ -724,9 +724,18 @@ plrows AS (SELECT count(*) AS n FROM (SELECT 1 FROM v_journal GROUP BY company_c
 SELECT 'pl_actuals' AS check_name, n AS rows_compared, CAST(0 AS BIGINT) AS missing_left,
        CAST(0 AS BIGINT) AS missing_right, 0.0::DOUBLE AS max_abs_delta, TRUE AS passed FROM plrows
 UNION ALL
-SELECT 'fx_impact', n, 0, 0, 0.0, TRUE FROM fxrows
+SELECT k, n, 0, 0, 0.0, TRUE FROM plrows, (VALUES ('pl_amount_manual'), ('pl_line_count'), ('pl_line_count_manual'),
+                                                  ('pl_line_count_late'), ('pl_line_count_year_end')) c(k)
 UNION ALL
-SELECT 'budget_variance', count(*), 0, 0, 0.0, TRUE FROM variance
+SELECT k, n, 0, 0, 0.0, TRUE FROM fxrows, (VALUES ('fx_impact'), ('fx_amount_booked'), ('fx_at_actual_rate'),
+                                                  ('fx_at_budget_rate'), ('fx_gross_at_budget_rate')) c(k)
+UNION ALL
+SELECT k, count(*), 0, 0, 0.0, TRUE FROM variance, (VALUES ('budget_variance'), ('variance_actual'), ('variance_budget')) c(k)
+GROUP BY k
+UNION ALL
+SELECT 'programme_monthly_cost', count(*), 0, 0, 0.0, TRUE
+FROM (SELECT 1 FROM v_journal WHERE programme_id IS NOT NULL AND fiscal_period <= 12
+      GROUP BY programme_id, fiscal_year, fiscal_period)
 """)
 def q_reconcile(ctx: Ctx) -> DataFrame:
     """RC1/RC2 — aggregate-served views equal the base views (keys on both sides, zero delta)."""
@@ -735,14 +744,23 @@ def q_reconcile(ctx: Ctx) -> DataFrame:
                "account_group_name"]
     fx_keys = ["company_code", "company_name", "local_currency", "fiscal_year", "fiscal_period", "account_group"]
     v_keys = ["company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group", "programme_id"]
-    return reconcile.reconcile_many([
-        ("pl_actuals", kpis.pl_actuals(ctx.vj), materialise.pl_actuals_from_agg(ctx.agg, L.company, L.gl_account),
-         pl_keys, "amount_group_currency", 0.0),
-        ("fx_impact", kpis.fx_impact(ctx.vj), materialise.fx_impact_from_agg(ctx.agg, L.company), fx_keys,
-         "fx_impact", 0.0),
-        ("budget_variance", ctx.variance, materialise.budget_variance_from_agg(ctx.agg, ctx.budget_cells), v_keys,
-         "variance", 0.0),
-    ])
+    pl = kpis.pl_actuals(ctx.vj), materialise.pl_actuals_from_agg(ctx.agg, L.company, L.gl_account)
+    fx = kpis.fx_impact(ctx.vj), materialise.fx_impact_from_agg(ctx.agg, L.company)
+    var = ctx.variance, materialise.budget_variance_from_agg(ctx.agg, ctx.budget_cells)
+    monthly = ctx.vj.where(F.col("programme_id").isNotNull() & (F.col("fiscal_period") <= 12)).groupBy(
+        "programme_id", period_key().alias("period_key")).agg(F.sum("signed_amount_group").alias("period_cost"))
+    prog = monthly, materialise.programme_monthly_from_agg(ctx.agg)
+    checks = [(name, *pl, pl_keys, col) for name, col in (
+        ("pl_actuals", "amount_group_currency"), ("pl_amount_manual", "amount_manual"), ("pl_line_count", "line_count"),
+        ("pl_line_count_manual", "line_count_manual"), ("pl_line_count_late", "line_count_late"),
+        ("pl_line_count_year_end", "line_count_year_end_adjustment"))]
+    checks += [(name, *fx, fx_keys, col) for name, col in (
+        ("fx_impact", "fx_impact"), ("fx_amount_booked", "amount_group_booked"), ("fx_at_actual_rate", "amount_at_actual_rate"),
+        ("fx_at_budget_rate", "amount_at_budget_rate"), ("fx_gross_at_budget_rate", "gross_at_budget_rate"))]
+    checks += [(name, *var, v_keys, col) for name, col in (
+        ("budget_variance", "variance"), ("variance_actual", "actual_amount"), ("variance_budget", "budget_amount"))]
+    checks.append(("programme_monthly_cost", *prog, ["programme_id", "period_key"], "period_cost"))
+    return reconcile.reconcile_many([(*c, 0.0) for c in checks])
 
 
 @register("published_views_nonempty", _VARIANCE_CTE + _TASKS_H_CTE + f"""
@@ -751,6 +769,9 @@ UNION ALL SELECT 'api_close_monitor', count(*), count(*) > 0 FROM close_monitor
 UNION ALL SELECT 'api_pl_actuals', count(*), count(*) > 0 FROM ({_PL_SQL})
 UNION ALL SELECT 'api_ic_reconciliation', count(*), count(*) > 0
           FROM (SELECT 1 FROM v_journal WHERE is_intercompany GROUP BY ic_pair, fiscal_year, reporting_period)
+UNION ALL SELECT 'api_programme_burn', count(*), count(*) > 0
+          FROM (SELECT DISTINCT programme_id FROM v_journal WHERE programme_id IS NOT NULL AND fiscal_period <= 12
+                AND fiscal_year * 100 + fiscal_period <= {config.AS_OF_YEAR * 100 + config.AS_OF_PERIOD})
 """)
 def q_views_nonempty(ctx: Ctx) -> DataFrame:
     """RC3 — every published view resolves and returns rows."""
@@ -761,6 +782,7 @@ def q_views_nonempty(ctx: Ctx) -> DataFrame:
         "api_close_monitor": publish.api_close_monitor(kpis.close_monitor(ctx.tasks_h, ctx.vj), L.company),
         "api_pl_actuals": publish.api_pl_actuals(kpis.pl_actuals(ctx.vj)),
         "api_ic_reconciliation": publish.api_ic_reconciliation(ctx.ic),
+        "api_programme_burn": kpis.programme_burn(ctx.runrate(), config.AS_OF_DATE),
     }
     return reconcile.published_views_nonempty(views)
 

@@ -45,7 +45,7 @@ class Ctx:
 
     @cached_property
     def variance(self) -> DataFrame:
-        return kpis.budget_variance(kpis.actual_cells(self.vj), self.budget_cells)
+        return kpis.budget_variance(kpis.actual_lines(self.vj), self.budget_cells)
 
     @cached_property
     def agg(self) -> DataFrame:
