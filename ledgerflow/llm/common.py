@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1000
 
 
+#: Rows of one Arrow batch of whole texts; with few kilobytes a text a batch stays small.
+TEXT_BATCH_ROWS = 512
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to TEXT_BATCH_ROWS rows where they are larger."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= TEXT_BATCH_ROWS:
+        conf.set(key, str(TEXT_BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

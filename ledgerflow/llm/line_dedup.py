@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_keyed, stored
+from .common import join_keyed, stored, text_batches
 
 #: Lines of fewer words are left alone: they are headings, list marks and common sentences.
 MIN_WORDS = 10
@@ -52,7 +52,7 @@ def line_units(rows: DataFrame, min_words: int) -> DataFrame:
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(digest, pa.binary()), pa.array(start, pa.int64())],
                 names=["row_id", "row_hash", "digest", "start"])
 
-    return rows.mapInArrow(units, f"row_id {id_type}, row_hash long, digest binary, start long")
+    return text_batches(rows).mapInArrow(units, f"row_id {id_type}, row_hash long, digest binary, start long")
 
 
 def removed_starts(rows: DataFrame, min_words: int) -> DataFrame:
@@ -100,4 +100,4 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             yield batch.set_column(batch.schema.get_field_index("removed"), "removed", pa.array(spans, span))
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema]
-    return joined.mapInArrow(cut, ", ".join([*fields, "removed array<struct<start:bigint,stop:bigint>>"]))
+    return text_batches(joined).mapInArrow(cut, ", ".join([*fields, "removed array<struct<start:bigint,stop:bigint>>"]))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import text_batches
 from .tokens import IdEncoder, encoder
 
 #: Documents and tokens at which a shard is closed (a longer document makes a shard by itself).
@@ -182,4 +183,4 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             yield flush()
 
     schema = f"`{id_col}` {id_type}, " + ", ".join(f"{c} long" for c in names[1:7]) + ", ids array<int>" * with_ids
-    return df.select(id_col, text_col).mapInArrow(packed, schema)
+    return text_batches(df).select(id_col, text_col).mapInArrow(packed, schema)

@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import text_batches
+
 MARK = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -300,7 +302,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
+    return text_batches(df).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -312,7 +314,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
             texts = [pieces_of(path).decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
-    return df.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {id_type}, text string")
+    return text_batches(df).select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {id_type}, text string")
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,4 +339,4 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(crc, pa.int64()),
                                               pa.array(same, pa.bool_())], names=[id_col, "n_pieces", "n_byte_pieces", "ids_crc32", "restored"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_pieces long, n_byte_pieces long, ids_crc32 long, restored boolean")
+    return text_batches(df).select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n_pieces long, n_byte_pieces long, ids_crc32 long, restored boolean")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_keyed, stored
+from .common import join_keyed, stored, text_batches
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -61,7 +61,7 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle_words: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64), pa.int64())],
                                              names=[id_col, "fp"])
 
-    return df.select(id_col, text_col).mapInArrow(hashed, f"`{id_col}` {id_type}, fp long")
+    return text_batches(df).select(id_col, text_col).mapInArrow(hashed, f"`{id_col}` {id_type}, fp long")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:

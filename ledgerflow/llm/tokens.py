@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import text_batches
+
 #: A safe boundary; Python's \S is never true where a tokenizer sees white space.
 SAFE = re.compile(r"(?<=\S)(?= )")
 #: Entries at which a worker's table of encoded parts keeps only its short parts (or none).
@@ -185,5 +187,5 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                  pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
                 names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
-    return df.select(id_col, text_col).mapInArrow(
+    return text_batches(df).select(id_col, text_col).mapInArrow(
         lengths, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 #: Partial wrappers of a host are aligned in so many groups first, and pages joined in so many parts.
 PARTS = 16
 #: A constant slot is template text if so many pages of the host agree on it.
@@ -338,7 +340,7 @@ def host_of(url: str):
 
 def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(host, wrapper)``: the wrapper of all pages of each host, as JSON."""
-    partial = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(_inferred, "host string, wrapper string")
+    partial = text_batches(pages).select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(_inferred, "host string, wrapper string")
     schema = "host string, wrapper string"
     some = partial.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS))).groupBy("host", "part").applyInArrow(_aligned_group, schema)
     return some.groupBy("host").applyInArrow(_aligned_group, schema)
