@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, text_batches
 from .induced import sorted_suffixes
 
 LENGTH = 400
@@ -100,7 +100,7 @@ def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
                  batch.column(0).take(index), batch.column(1).take(index), pa.array(join(los, np.int32)), pa.array(join(his, np.int32))],
                 names=["anchor", "ctx", "id", "h", "lo", "hi"])
 
-    return rows.mapInArrow(found, f"anchor long, ctx long, id {id_type}, h long, lo int, hi int")
+    return text_batches(rows).mapInArrow(found, f"anchor long, ctx long, id {id_type}, h long, lo int, hi int")
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +201,8 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     found = _anchor_rows(rows, length)
     repeated = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min(k).alias("home")).where("n > 1")
     place = F.xxhash64("home.id", "home.h", F.floor(F.col("home.lo") / HOME_BLOCK))
-    occurrences = stored(found.join(repeated, "anchor").select("anchor", "ctx", "id", "h", "lo", "hi", place.alias("place")))
+    repeated = stored(repeated.select("anchor", place.alias("place")))  # a plain side: a hot anchor's join can be split
+    occurrences = stored(found.join(repeated, "anchor").select("anchor", "ctx", "id", "h", "lo", "hi", "place"))
     contexts = stored(occurrences.groupBy("anchor", "ctx").agg(
         F.min(F.struct("id", "h", "lo", "hi")).alias("rep"), F.count("*").alias("n"), F.min("place").alias("place")))
     size = contexts.agg(F.sum(F.col("rep.hi") - F.col("rep.lo"))).first()[0] or 0
