@@ -50,7 +50,7 @@ SCHEMAS: dict[str, StructType] = {
         ("from_currency", S, False), ("to_currency", S, False), ("fiscal_year", I, False),
         ("fiscal_period", I, False), ("rate_type", S, False), ("exchange_rate", RATE, False)),
     "journal": _st(
-        ("journal_id", L, False), ("company_code", S, False), ("document_number", S, False),
+        ("journal_id", S, False), ("company_code", S, False), ("document_number", S, False),
         ("document_line", I, False), ("document_type", S, False), ("posting_date", D, False),
         ("document_date", D, False), ("entry_date", D, False), ("fiscal_year", I, False),
         ("fiscal_period", I, False), ("gl_account", S, False), ("cost_center", S, True),

@@ -37,3 +37,7 @@ def test_incremental_refresh_matches_full_rebuild(spark, ledger):
     new_base = os.path.join(root, "agg_v2")
     refresh.compact(spark, base_path, deltas, new_base)
     assert spark.read.parquet(new_base).agg(F.sum("line_count")).first()[0] == journal.count()
+    # the folded deltas are retired: the new base with the same folder counts them once, in any file system
+    for folder in (deltas, "file://" + deltas):
+        again = refresh.served_aggregate(spark, new_base, folder)
+        assert again.agg(F.sum("line_count")).first()[0] == journal.count()
