@@ -353,13 +353,6 @@ def forecast_accuracy_by_horizon(acc: DataFrame) -> DataFrame:
         F.avg("mape").alias("mean_mape"), F.sum("observations").cast("long").alias("observations"))
 
 
-def latest_forecast(forecast: DataFrame) -> DataFrame:
-    """WN5: latest snapshot per target cell = smallest horizon (ties broken by version)."""
-    w = Window.partitionBy("company_code", "cost_center", programme_key().alias("pk"), "fiscal_year",
-                           "fiscal_period").orderBy("horizon_periods", "version")
-    return forecast.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
-
-
 # ----------------------------------------------------------------- KPI-08
 def ic_reconciliation(vj: DataFrame, materiality: float = config.IC_MATERIALITY_EUR) -> DataFrame:
     """KP17/AG14: net per unordered entity pair x reporting period, flagged above materiality

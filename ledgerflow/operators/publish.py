@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.columns import criticality, exact_ratio, period_label, programme_key, ratio
+from ..functions.columns import criticality, exact_ratio, period_label, ratio, wide
 from ..functions.hints import dim
 
 
@@ -159,6 +159,14 @@ def analytical_query(variance: DataFrame, fiscal_year: int = config.AS_OF_YEAR,
     ).withColumn("variance_pct", ratio("variance", F.abs(F.col("budget_amount"))))
 
 
+def analytical_runrate(runrate: DataFrame, group_by: tuple[str, ...] = ("lead_company_code", "programme_type")) -> DataFrame:
+    """PB8: default-sum analytical query over run-rate; the ratio is taken of the sums."""
+    x = runrate.groupBy(*group_by).agg(
+        F.sum("actuals_to_date").alias("actuals_to_date"), F.sum("run_rate").alias("run_rate"),
+        wide(F.sum("eac")).alias("eac"), F.sum("total_budget_eur").alias("total_budget_eur"))
+    return x.withColumn("eac_vs_budget_pct", exact_ratio("eac", "total_budget_eur", 4))
+
+
 def journal_interface(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame) -> DataFrame:
     """LG6/JN16: journal interface without FX and late flag; lookups behave as to-one associations
@@ -193,7 +201,3 @@ def master_data_interface(cost_center: DataFrame, gl_account: DataFrame, program
         "fiscal_periods": calendar.select("fiscal_year", "fiscal_period").distinct()
         .where(F.col("fiscal_period") <= 12),
     }
-
-
-def criticality_programme_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("programme_key", programme_key())

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config
 from ..functions.columns import count_if, period_key, ratio
 from ..functions.hints import dim
 from . import calendar as cal
@@ -74,13 +73,6 @@ def programme_over_annual_budget(vj: DataFrame, budget: DataFrame, fiscal_year:
     return j.withColumn("actual_over_budget", ratio("actual", "budget"))
 
 
-def fx_net_vs_gross(fx: DataFrame) -> DataFrame:
-    """SG5: |net FX impact| over gross exposure at budget rate, per entity."""
-    g = fx.groupBy("company_code").agg(F.sum("fx_impact").alias("fx_impact"),
-                                       F.sum(F.abs("gross_at_budget_rate")).alias("gross_exposure"))
-    return g.withColumn("net_over_gross", ratio(F.abs("fx_impact"), "gross_exposure"))
-
-
 def rate_movement(rates: DataFrame) -> DataFrame:
     """SG6: max / min actual rate per currency and the relative move."""
     g = rates.where(F.col("rate_type") == "M").groupBy("from_currency").agg(
@@ -145,6 +137,3 @@ def open_year_flattery(variance: DataFrame, fiscal_year: int, last_closed_period
     )
     return g.withColumn("vs_full_year", ratio("actual_ytd", "budget_full_year")) \
         .withColumn("vs_ytd", ratio("actual_ytd", "budget_ytd"))
-
-
-SLOW_ENTITY = f"CO{config.SLOW_CLOSE_REGION}"

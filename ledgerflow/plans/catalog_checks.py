@@ -11,7 +11,7 @@ from .. import config
 from ..functions.columns import period_key, money, ratio
 from ..operators import kpis, materialise, publish, quality, reconcile, signals, slicing
 from .catalog import (
-    EAC_SQL, FULL_YEAR, M, _FC_CTE, _PL_SQL, _TASKS_H_CTE, _VARIANCE_CTE, money_cols, register, runrate_cte,
+    EAC_SQL, FULL_YEAR, M, _PL_SQL, _TASKS_H_CTE, _VARIANCE_CTE, money_cols, register, runrate_cte,
 )
 from .oracle_preamble import sql_exact_ratio
 from .context import Ctx
@@ -621,7 +621,15 @@ def q_entity_summary(ctx: Ctx) -> DataFrame:
 
 
 @register("kpi_tiles", _TASKS_H_CTE + runrate_cte(config.AS_OF_YEAR, config.AS_OF_PERIOD, config.RUNRATE_WINDOW) + f"""
-, rr2 AS (SELECT programme_id, {sql_exact_ratio(EAC_SQL, 'total_budget_eur', 4)} AS eac_pct FROM rr),
+, rr2 AS (SELECT programme_id, programme_name, {sql_exact_ratio(EAC_SQL, 'total_budget_eur', 4)} AS eac_pct, {M(EAC_SQL)} AS eac
+         FROM rr),
+closed AS (
+  SELECT CAST(sum(CASE WHEN j.is_manual_posting THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS share
+  FROM tasks_h t JOIN v_journal j ON j.company_code = t.company_code AND j.fiscal_year = t.fiscal_year
+                                 AND j.reporting_period = t.fiscal_period
+  WHERE t.task_id = 'T12' AND t.days_to_close IS NOT NULL
+  GROUP BY t.company_code, t.fiscal_year, t.fiscal_period
+),
 ent AS (SELECT company_code, avg(days_to_close) AS d FROM tasks_h WHERE task_id = 'T12' GROUP BY company_code),
 ic AS (SELECT sum(signed_amount_group) AS net FROM v_journal WHERE is_intercompany
        GROUP BY ic_pair, fiscal_year, reporting_period)
@@ -638,16 +646,26 @@ FROM v_journal WHERE fiscal_period <= 12
 UNION ALL
 SELECT 'programmes_over_budget', CAST(sum(CASE WHEN eac_pct > 1 THEN 1 ELSE 0 END) AS DOUBLE), NULL FROM rr2
 UNION ALL
+SELECT 'programmes', CAST(count(*) AS DOUBLE), NULL FROM rr2
+UNION ALL
+SELECT 'worst_programme', max(eac_pct), arg_max(programme_name, eac_pct) FROM rr2
+UNION ALL
+SELECT 'worst_programme_eac', arg_max(eac, eac_pct), arg_max(programme_id, eac_pct) FROM rr2
+UNION ALL
+SELECT 'mean_period_manual_share', round(avg(share), 9), NULL FROM closed
+UNION ALL
 SELECT 'open_ic_items', CAST(sum(CASE WHEN abs(net) > 1000 THEN 1 ELSE 0 END) AS DOUBLE), NULL FROM ic
 UNION ALL
 SELECT 'open_periods', CAST(sum(CASE WHEN is_open THEN 1 ELSE 0 END) AS DOUBLE), NULL FROM tasks_h WHERE task_id = 'T12'
 """)
 def q_kpi_tiles(ctx: Ctx) -> DataFrame:
-    """KP20 — one tile per headline figure (group average days, slowest entity, shares, counts)."""
+    """KP20 — one tile per headline figure (average days, slowest entity, worst programme, shares, counts)."""
     t12 = kpis.days_to_close(ctx.tasks_h)
     ent = t12.groupBy("company_code").agg(F.avg("days_to_close").alias("d"))
     reg = ctx.vj.where(F.col("fiscal_period") <= 12)
     rr = ctx.runrate()
+    closed = kpis.close_monitor(ctx.tasks_h, ctx.vj).where(
+        (F.col("task_id") == config.HARD_CLOSE_TASK) & F.col("days_to_close").isNotNull())
     tiles = [
         t12.agg(F.lit("avg_days_to_close").alias("tile"), F.avg("days_to_close").alias("value"),
                 F.lit(None).cast("string").alias("label")),
@@ -660,6 +678,14 @@ def q_kpi_tiles(ctx: Ctx) -> DataFrame:
         rr.agg(F.lit("programmes_over_budget").alias("tile"),
                F.sum((F.col("eac_vs_budget_pct") > 1).cast("long")).cast("double").alias("value"),
                F.lit(None).cast("string").alias("label")),
+        rr.agg(F.lit("programmes").alias("tile"), F.count(F.lit(1)).cast("double").alias("value"),
+               F.lit(None).cast("string").alias("label")),
+        rr.agg(F.lit("worst_programme").alias("tile"), F.max("eac_vs_budget_pct").alias("value"),
+               F.max_by("programme_name", "eac_vs_budget_pct").alias("label")),
+        rr.agg(F.lit("worst_programme_eac").alias("tile"), money(F.max_by("eac", "eac_vs_budget_pct")).alias("value"),
+               F.max_by("programme_id", "eac_vs_budget_pct").alias("label")),
+        closed.agg(F.lit("mean_period_manual_share").alias("tile"), F.round(F.avg("manual_share"), 9).alias("value"),
+                   F.lit(None).cast("string").alias("label")),
         ctx.ic.agg(F.lit("open_ic_items").alias("tile"), F.sum(F.col("is_mismatch").cast("long")).cast("double")
                    .alias("value"), F.lit(None).cast("string").alias("label")),
         t12.agg(F.lit("open_periods").alias("tile"), F.sum(F.col("is_open").cast("long")).cast("double").alias("value"),
@@ -787,11 +813,22 @@ def q_views_nonempty(ctx: Ctx) -> DataFrame:
     return reconcile.published_views_nonempty(views)
 
 
-@register("dataset_profile", """
+@register("dataset_profile", _TASKS_H_CTE + """
 SELECT 'volume' AS section, 'journal_lines' AS metric, CAST(count(*) AS DOUBLE) AS value FROM journal
 UNION ALL SELECT 'volume', 'special_period_lines', CAST(count(*) FILTER (WHERE fiscal_period > 12) AS DOUBLE) FROM journal
 UNION ALL SELECT 'volume', 'budget_rows', CAST(count(*) AS DOUBLE) FROM budget
 UNION ALL SELECT 'volume', 'forecast_rows', CAST(count(*) AS DOUBLE) FROM forecast
+UNION ALL SELECT 'volume', 'company_rows', CAST(count(*) AS DOUBLE) FROM company
+UNION ALL SELECT 'volume', 'cost_center_rows', CAST(count(*) AS DOUBLE) FROM cost_center
+UNION ALL SELECT 'volume', 'gl_account_rows', CAST(count(*) AS DOUBLE) FROM gl_account
+UNION ALL SELECT 'volume', 'calendar_days', CAST(count(*) AS DOUBLE) FROM dim_date
+UNION ALL SELECT 'volume', 'rate_rows', CAST(count(*) AS DOUBLE) FROM rates
+UNION ALL SELECT 'volume', 'reversal_lines', CAST(count(*) FILTER (WHERE is_reversal) AS DOUBLE) FROM journal
+UNION ALL SELECT 'kpi', 'avg_days_to_close', avg(days_to_close) FROM tasks_h WHERE task_id = 'T12'
+UNION ALL SELECT 'kpi', 'revenue', CAST(round(-sum(CASE WHEN account_group = 'REV' THEN signed_amount_group ELSE 0 END), 2) AS DOUBLE)
+          FROM v_journal WHERE fiscal_period <= 12
+UNION ALL SELECT 'kpi', 'cost', CAST(round(sum(CASE WHEN account_group <> 'REV' THEN signed_amount_group ELSE 0 END), 2) AS DOUBLE)
+          FROM v_journal WHERE fiscal_period <= 12
 UNION ALL SELECT 'volume', 'close_task_rows', CAST(count(*) AS DOUBLE) FROM close_tasks
 UNION ALL SELECT 'kpi', 'manual_share', CAST(sum(CASE WHEN is_manual_posting THEN 1 ELSE 0 END) AS DOUBLE) / count(*)
           FROM v_journal WHERE fiscal_period <= 12
@@ -806,13 +843,20 @@ def q_dataset_profile(ctx: Ctx) -> DataFrame:
     parts = [
         reconcile.profile_rows("volume", L.journal, {
             "journal_lines": F.count(F.lit(1)),
-            "special_period_lines": F.sum((F.col("fiscal_period") > 12).cast("long"))}),
+            "special_period_lines": F.sum((F.col("fiscal_period") > 12).cast("long")),
+            "reversal_lines": F.sum(F.col("is_reversal").cast("long"))}),
         reconcile.profile_rows("volume", L.budget, {"budget_rows": F.count(F.lit(1))}),
         reconcile.profile_rows("volume", L.forecast, {"forecast_rows": F.count(F.lit(1))}),
         reconcile.profile_rows("volume", L.close_tasks, {"close_task_rows": F.count(F.lit(1))}),
+        *[reconcile.profile_rows("volume", df, {name: F.count(F.lit(1))}) for name, df in (
+            ("company_rows", L.company), ("cost_center_rows", L.cost_center), ("gl_account_rows", L.gl_account),
+            ("calendar_days", L.dim_date), ("rate_rows", L.rates))],
+        reconcile.profile_rows("kpi", kpis.days_to_close(ctx.tasks_h), {"avg_days_to_close": F.avg("days_to_close")}),
         reconcile.profile_rows("kpi", reg, {
             "manual_share": F.sum(F.col("is_manual_posting").cast("long")) / F.count(F.lit(1)),
-            "late_share": F.sum(F.col("is_late_posting").cast("long")) / F.count(F.lit(1))}),
+            "late_share": F.sum(F.col("is_late_posting").cast("long")) / F.count(F.lit(1)),
+            "revenue": F.round(-F.sum(F.when(F.col("account_group") == "REV", F.col("signed_amount_group")).otherwise(0)), 2),
+            "cost": F.round(F.sum(F.when(F.col("account_group") != "REV", F.col("signed_amount_group")).otherwise(0)), 2)}),
         reconcile.profile_rows("kpi", ctx.vj, {"ic_lines": F.sum(F.col("is_intercompany").cast("long"))}),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -268,6 +268,54 @@ def q_retention(ctx: Ctx) -> DataFrame:
     return full.unionByName(mid).unionByName(old)
 
 
+@register("retention_full", f"""
+SELECT journal_id, posting_date, posting_user_id, {M('amount_group_currency')} AS amount_group_currency
+FROM journal WHERE posting_date > DATE '2001-06-30'
+""")
+def q_retention_full(ctx: Ctx) -> DataFrame:
+    """PB7 — the lines of the youngest tier, with their user id."""
+    full = publish.retention_tiers(ctx.L.journal, RETENTION_AS_OF)["full"]
+    return money_cols(full.select("journal_id", "posting_date", "posting_user_id", "amount_group_currency"),
+                      "amount_group_currency")
+
+
+@register("retention_pseudonymised", f"""
+SELECT journal_id, posting_date, gl_account, {M('amount_group_currency')} AS amount_group_currency
+FROM journal WHERE posting_date <= DATE '2001-06-30' AND posting_date > DATE '1996-06-30'
+""")
+def q_retention_pseudonymised(ctx: Ctx) -> DataFrame:
+    """PB7/QC20 — the lines of the middle tier; no pseudonym column is left."""
+    mid = publish.retention_tiers(ctx.L.journal, RETENTION_AS_OF)["pseudonymised"]
+    exposed = set(mid.columns) & set(config.PSEUDONYM_COLUMNS)
+    if exposed:
+        raise ValueError(f"pseudonym columns in a published tier: {sorted(exposed)}")
+    return money_cols(mid.select("journal_id", "posting_date", "gl_account", "amount_group_currency"),
+                      "amount_group_currency")
+
+
+@register("retention_aggregate_only", f"""
+SELECT company_code, fiscal_year, fiscal_period, gl_account,
+       {M("sum(CASE WHEN debit_credit_ind = 'S' THEN amount_group_currency ELSE -amount_group_currency END)")} AS signed_amount_group,
+       count(*) AS line_count
+FROM journal WHERE posting_date <= DATE '1996-06-30'
+GROUP BY company_code, fiscal_year, fiscal_period, gl_account
+""")
+def q_retention_aggregate(ctx: Ctx) -> DataFrame:
+    """PB7 — the oldest tier, left as sums by entity, period and account."""
+    return money_cols(publish.retention_tiers(ctx.L.journal, RETENTION_AS_OF)["aggregate_only"], "signed_amount_group")
+
+
+@register("analytical_query_runrate", runrate_cte(config.AS_OF_YEAR, config.AS_OF_PERIOD, config.RUNRATE_WINDOW) + f"""
+SELECT lead_company_code, programme_type, {M('sum(actuals_to_date)')} AS actuals_to_date,
+       {M('sum(run_rate)')} AS run_rate, {M('sum(' + EAC_SQL + ')')} AS eac, {M('sum(total_budget_eur)')} AS total_budget_eur,
+       {sql_exact_ratio('sum(' + EAC_SQL + ')', 'sum(total_budget_eur)', 4)} AS eac_vs_budget_pct
+FROM rr GROUP BY lead_company_code, programme_type
+""")
+def q_analytical_runrate(ctx: Ctx) -> DataFrame:
+    """PB8 — the same default-sum query over run-rate, by lead entity and programme type."""
+    return money_cols(publish.analytical_runrate(ctx.runrate()), "actuals_to_date", "run_rate", "eac", "total_budget_eur")
+
+
 @register("analytical_query", _VARIANCE_CTE + f"""
 SELECT company_code, programme_id, {M('sum(actual_amount)')} AS actual_amount,
        {M('sum(budget_amount)')} AS budget_amount, {M('sum(variance)')} AS variance,

@@ -415,7 +415,9 @@ class DemoLedger:
     def close_tasks(self) -> DataFrame:
         from ..operators.plan import close_calendar
 
-        return close_calendar(self.close_schedule, self.journal_base, self.dim_date, self.as_of)
+        # the original lines: no reversals, and no mirrors (whose document numbers start with M)
+        lines = self.journal.where(~F.col("is_reversal") & ~F.col("document_number").startswith("M"))
+        return close_calendar(self.close_schedule, lines, self.dim_date, self.as_of)
 
     @_bounded_table
     def close_schedule(self) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DecimalType, IntegerType, LongType
 
 from .. import schemas
-from ..functions.columns import count_if
 from ..functions.hints import DIM_BROADCAST_MAX_ROWS, bounded
 
 
@@ -89,13 +88,6 @@ def sample_slice(df: DataFrame, n: int, order_by: list[str], keep_together: str
     return df.join(docs, keep_together, "left_semi")
 
 
-def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """SC4: one row per table with its row count (one job per table, Parquet counts use footers)."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(name, int(df.count())) for name, df in tables.items()]
-    return spark.createDataFrame(rows, "table_name string, row_count long")
-
-
 class ParquetLedger:
     """The eleven finance tables (plus an optional monthly aggregate) read from a folder.
 
@@ -160,8 +152,3 @@ def materialise_ledger(ledger, root: str) -> None:
         if t == "dim_date":
             cols.append("working_day_seq")  # the L2 counter, stored so readers need no window
         write_table(getattr(ledger, t).select(*cols), f"{root}/{t}")
-
-
-def null_counts(df: DataFrame) -> DataFrame:
-    """Per-column NULL counts in one pass."""
-    return df.agg(*[count_if(F.col(c).isNull()).alias(c) for c in df.columns])
