@@ -4,10 +4,10 @@ import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-import __spark_entry__ as entry  # noqa: E402
+from ledgerflow.plans import registry  # noqa: E402
 
 rows = []
-for name, fn in sorted(entry.queries().items()):
+for name, fn in sorted(registry.all_queries().items()):
     doc = (fn.__doc__ or "").strip().splitlines()[0] if fn.__doc__ else ""
     ids, _, text = doc.partition(" — ")
     if not text:
