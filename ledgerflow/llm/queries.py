@@ -27,22 +27,26 @@ def vocabulary(name: str) -> str:
 
 @query
 def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by its host's wrapper."""
     found = wrappers.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 @query
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether decoding restores its text."""
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 @query
 def op3_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
     return multiset.fingerprints(table(spark, sf_dir, "documents"))
 
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that occur earlier, with their offsets."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["stop"]))
     return line_dedup.dedup_lines(docs).select(
@@ -71,16 +75,19 @@ FROM marked GROUP BY doc_id
 
 @query
 def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 @query
 def op6_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
     return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 400 bytes cover."""
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
@@ -89,6 +96,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -98,9 +106,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
