@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config, schemas
-from ..functions.columns import count_if, reporting_period
+from ..functions.columns import count_if, period_end_date, period_start_date, ratio, reporting_period
 from ..functions.hints import dim
+from .ledger import active_programme_window
 
 RULE_SCHEMA = "rule string, table_name string, rows_checked long, violations long"
 
@@ -166,6 +167,23 @@ def plan_rules(budget: DataFrame, forecast: DataFrame, company: DataFrame, cost_
         _stack(fagg, "forecast", ["forecast_keys", "forecast_version", "forecast_horizon"]))
 
 
+def programme_window_share(journal: DataFrame, programme: DataFrame, limit: float = 0.01) -> DataFrame:
+    """QC7: per programme the lines outside its dates, reversals and others, against the limit.
+
+    A reversal may fall behind its programme's end, but the lines outside must stay under ``limit``
+    of all, and no other line may be among them.
+    """
+    x = journal.where(F.col("programme_id").isNotNull())
+    x = x.withColumn("period_start", period_start_date()).withColumn("period_end", period_end_date())
+    x = active_programme_window(x, programme)
+    outside = ~F.coalesce(F.col("is_programme_active"), F.lit(False))
+    return x.groupBy("programme_id").agg(
+        F.count(F.lit(1)).alias("line_count"), count_if(outside).alias("outside"),
+        count_if(outside & ~F.col("is_reversal")).alias("outside_not_reversal"),
+    ).withColumn("outside_share", ratio("outside", "line_count")) \
+     .withColumn("passed", (F.col("outside_share") < limit) & (F.col("outside_not_reversal") == 0))
+
+
 def close_rules(close_tasks: DataFrame, company: DataFrame, calendar: DataFrame, periods: DataFrame) -> DataFrame:
     """QC18: coverage (every entity x covered period x task present exactly once), due dates
     on working days, open rows carry no completion data."""

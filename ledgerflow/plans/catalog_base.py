@@ -469,6 +469,21 @@ def q_row_counts(ctx: Ctx) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+_CSV_COLS = list(schemas.CONTRACT_COLUMNS["cost_center"])
+
+
+@register("scan_typed_csv", f"SELECT {', '.join(_CSV_COLS)} FROM cost_center")
+def q_scan_typed_csv(ctx: Ctx) -> DataFrame:
+    """SC1/SC5 — cost centres written as CSV to the shared folder and read back by their contract."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    files.write_csv(files.l1_projection(ctx.L.cost_center, "cost_center"), path)
+    return files.read_typed_csv(ctx.spark, "cost_center", path)
+
+
 @register("sample_slice", f"""
 , head AS (SELECT document_number FROM journal ORDER BY journal_id LIMIT 500)
 SELECT journal_id, document_number, document_line, {M('amount_group_currency')} AS amount_group_currency

@@ -265,6 +265,25 @@ def q_qc_plan(ctx: Ctx) -> DataFrame:
     return quality.plan_rules(L.budget, L.forecast, L.company, L.cost_center, L.gl_account)
 
 
+@register("qc_programme_window_limit", """
+, pw AS (
+  SELECT j.programme_id, j.is_reversal,
+         NOT coalesce(p.start_date <= last_day(make_date(j.fiscal_year, least(j.fiscal_period, 12), 1))
+                      AND p.end_date >= make_date(j.fiscal_year, least(j.fiscal_period, 12), 1), FALSE) AS outside
+  FROM journal j LEFT JOIN prog_master p ON p.programme_id = j.programme_id WHERE j.programme_id IS NOT NULL
+)
+SELECT programme_id, count(*) AS line_count, count(*) FILTER (WHERE outside) AS outside,
+       count(*) FILTER (WHERE outside AND NOT is_reversal) AS outside_not_reversal,
+       CAST(count(*) FILTER (WHERE outside) AS DOUBLE) / count(*) AS outside_share,
+       CAST(count(*) FILTER (WHERE outside) AS DOUBLE) / count(*) < 0.01
+         AND count(*) FILTER (WHERE outside AND NOT is_reversal) = 0 AS passed
+FROM pw GROUP BY programme_id
+""")
+def q_qc_programme_limit(ctx: Ctx) -> DataFrame:
+    """QC7 — share of each programme's lines outside its dates against the 1 % limit."""
+    return quality.programme_window_share(ctx.L.journal, ctx.L.programme_master)
+
+
 @register("qc_close_coverage", _QC_PLAN_CTE + _rows("qc", "close_tasks",
                                                     ["due_on_working_day", "open_rows_clean", "coverage_duplicates"])
           + " UNION ALL " + _rows("qcov", "close_tasks", ["coverage_missing"]))

@@ -31,7 +31,7 @@ def cast_to_contract(df: DataFrame, table: str) -> DataFrame:
     for f in schema.fields:
         col = F.when(F.col(f.name) == "", F.lit(None)).otherwise(F.col(f.name))
         if isinstance(f.dataType, (IntegerType, LongType)):
-            col = col.cast("double").cast(f.dataType)
+            col = col.cast("decimal(38,6)").cast(f.dataType)  # "12.0" is 12; a double would lose long keys
         elif isinstance(f.dataType, BooleanType):
             col = F.lower(col).cast("boolean")
         elif isinstance(f.dataType, DateType):
