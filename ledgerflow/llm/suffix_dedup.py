@@ -29,6 +29,8 @@ LENGTH = 400
 #: Bytes of the first occurrence's text that share a shard, and context bytes meant for a bucket.
 HOME_BLOCK = 1024
 BUCKET_BYTES = 12_000_000
+#: Windows of a text whose anchors are looked for at a time.
+RUN_WINDOWS = 1 << 20
 SEPARATOR, FIRST_BYTE, SYMBOLS = 1, 2, 258
 
 
@@ -52,7 +54,25 @@ def _sliding(x, width: int, op):
 
 
 def anchors(data: bytes, length: int):
-    """Positions and hashes of the k-grams that are the smallest of some window of ``length``."""
+    """Positions and hashes of the k-grams that are the smallest of some window of ``length``.
+
+    A long text is taken in runs of windows, so that memory does not grow with it.
+    """
+    import numpy as np
+
+    windows = len(data) - length + 1
+    if windows <= RUN_WINDOWS:
+        return _anchors(data, length)
+    at, h = [], []
+    for start in range(0, windows, RUN_WINDOWS):
+        own, hashes = _anchors(data[start:min(len(data), start + RUN_WINDOWS + length - 1)], length)
+        at.append(own + start)
+        h.append(hashes)
+    at, first = np.unique(np.concatenate(at), return_index=True)
+    return at, np.concatenate(h)[first]
+
+
+def _anchors(data: bytes, length: int):
     import numpy as np
 
     k = kgram(length)

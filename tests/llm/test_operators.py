@@ -247,6 +247,15 @@ def test_suffix_dedup_equals_brute_force(spark, length):
         assert (sum(s["stop"] - s["start"] for s in got[k]["spans"]), len(got[k]["spans"])) == (removed, spans)
 
 
+def test_anchors_of_a_long_text_are_those_of_its_windows(monkeypatch):
+    data = (prose(1, 400) + "ab" * 60 + prose(2, 200)).encode()
+    at, h = suffix_dedup.anchors(data, 50)
+    monkeypatch.setattr(suffix_dedup, "RUN_WINDOWS", 37)
+    again, hashes = suffix_dedup.anchors(data, 50)
+    assert again.tolist() == at.tolist() and hashes.tolist() == h.tolist()
+    assert all(any(p <= q <= p + 50 - suffix_dedup.kgram(50) for q in at.tolist()) for p in range(len(data) - 49))
+
+
 # ---------------------------------------------------------------- fingerprints
 
 def test_multiset_fingerprints(spark):
