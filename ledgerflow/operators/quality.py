@@ -32,8 +32,11 @@ def _stack(agg: DataFrame, table: str, rules: list[str]) -> DataFrame:
 
 def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame, rates: DataFrame,
-                      last_fiscal_year: int = config.LAST_FISCAL_YEAR) -> DataFrame:
-    """QC4-QC11, QC13-QC16 (row part) in one scan of the journal.
+                      last_fiscal_year: int = config.LAST_FISCAL_YEAR,
+                      rules: list[str] | None = None) -> DataFrame:
+    """QC4-QC11, QC13-QC16 (row part) in one scan of the journal; ``rules`` names those wanted (all).
+
+    Only the lookups that the wanted rules use are joined, so columns and joins of others fall away.
 
     Foreign keys are orphan checks (JN14) against broadcast master data; the
     group-currency reconciliation is FX9; the token pattern is SF16."""
@@ -45,14 +48,19 @@ def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFr
     rm = dim(rates.where(F.col("rate_type") == "M"), F.col("from_currency").alias("__r_ccy"),
              F.col("fiscal_year").alias("__r_fy"), F.col("fiscal_period").alias("__r_fp"),
              F.col("exchange_rate").alias("__rate"))
-    j = (
-        journal.join(co, F.col("company_code") == F.col("__co"), "left")
-        .join(acc, F.col("gl_account") == F.col("__acc"), "left")
-        .join(cc, F.col("cost_center") == F.col("__cc"), "left")
-        .join(pg, F.col("programme_id") == F.col("__pg"), "left")
-        .join(rm, (F.col("local_currency") == F.col("__r_ccy")) & (F.col("fiscal_year") == F.col("__r_fy"))
-              & (reporting_period() == F.col("__r_fp")), "left")
-    )
+    rate_key = (F.col("local_currency") == F.col("__r_ccy")) & (F.col("fiscal_year") == F.col("__r_fy")) \
+        & (reporting_period() == F.col("__r_fp"))
+    lookups = {  # each side is unique on its key; the rules that need it
+        "fk_company": (co, F.col("company_code") == F.col("__co")),
+        "fk_gl_account revenue_no_centre normal_balance": (acc, F.col("gl_account") == F.col("__acc")),
+        "fk_cost_center centre_ownership": (cc, F.col("cost_center") == F.col("__cc")),
+        "fk_programme programme_window_non_reversal programme_window_reversal": (pg, F.col("programme_id") == F.col("__pg")),
+        "group_reconciles": (rm, rate_key),
+    }
+    j = journal
+    for users, (side, on) in lookups.items():
+        if rules is None or set(users.split()) & set(rules):
+            j = j.join(side, on, "left")
     regular = F.col("fiscal_period") <= 12
     outside = (F.col("posting_date") < F.col("__pg_s")) | (F.col("posting_date") > F.col("__pg_e"))
     recomputed = F.round(F.col("amount_local_currency") * F.col("__rate"), 2)
@@ -84,6 +92,7 @@ def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFr
         | (~F.col("is_intercompany") & F.col("ic_partner_company").isNotNull()),
         "user_token_pattern": ~F.col("posting_user_id").rlike(config.USER_TOKEN_PATTERN),
     }
+    checks = {name: cond for name, cond in checks.items() if rules is None or name in rules}
     agg = j.agg(F.count(F.lit(1)).alias("n"),
                 *[count_if(F.coalesce(cond, F.lit(False))).alias(f"v_{name}") for name, cond in checks.items()])
     return _stack(agg, "journal", list(checks))

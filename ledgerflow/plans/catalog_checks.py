@@ -207,8 +207,8 @@ _QC_IDS = {"qc_foreign_keys": "QC4/JN14", "qc_centre_ownership": "QC5", "qc_reve
 def _register_row_group(key: str, rules: list[str]):
     def q(ctx: Ctx) -> DataFrame:
         L = ctx.L
-        rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
-        return rows.where(F.col("rule").isin(rules))
+        return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates,
+                                         rules=rules)
 
     q.__doc__ = (f"{_QC_IDS[key]} — {key[3:].replace('_', ' ')}: {', '.join(rules)} "
                  f"(row rules on the journal, one scan).")
@@ -253,7 +253,7 @@ def q_qc_rev(ctx: Ctx) -> DataFrame:
 def q_qc_users(ctx: Ctx) -> DataFrame:
     """QC16/SF16 — user token pattern and one entity per user."""
     L = ctx.L
-    rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
+    rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates)
     return rows.where(F.col("rule") == "user_token_pattern").unionByName(quality.user_rules(L.journal))
 
 
@@ -304,7 +304,7 @@ def q_qc_rates(ctx: Ctx) -> DataFrame:
 def q_qc_journal(ctx: Ctx) -> DataFrame:
     """QC4-QC11, QC13-QC16 — row-level journal rules in one scan."""
     L = ctx.L
-    return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates)
+    return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates)
 
 
 @register("qc_driver_tables", f"""
@@ -822,7 +822,7 @@ def q_views_nonempty(ctx: Ctx) -> DataFrame:
     """RC3 — every published view resolves and returns rows."""
     L = ctx.L
     views = {
-        "api_budget_variance": publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme,
+        "api_budget_variance": publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme_master,
                                                            L.gl_account),
         "api_close_monitor": publish.api_close_monitor(kpis.close_monitor(ctx.tasks_h, ctx.vj), L.company),
         "api_pl_actuals": publish.api_pl_actuals(kpis.pl_actuals(ctx.vj)),

@@ -46,7 +46,7 @@ LEFT JOIN grp g ON g.account_group = v.account_group
 def q_api_budget_variance(ctx: Ctx) -> DataFrame:
     """PB1 — published budget variance with descriptions and criticality."""
     L = ctx.L
-    df = publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme, L.gl_account)
+    df = publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme_master, L.gl_account)
     return money_cols(df, "actual_amount", "budget_amount", "variance")
 
 
@@ -349,7 +349,7 @@ LEFT JOIN programme p ON p.programme_id = j.programme_id
 def q_journal_interface(ctx: Ctx) -> DataFrame:
     """LG6/PF10 — journal interface without FX, late flag or user columns."""
     L = ctx.L
-    df = publish.journal_interface(L.journal, L.company, L.gl_account, L.cost_center, L.programme)
+    df = publish.journal_interface(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master)
     return money_cols(df, "signed_amount_group", "signed_amount_local")
 
 
