@@ -144,6 +144,11 @@ def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     found = near_duplicates(df, id_col, text_col, shingle_words, distance)
     keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
-    kept = df.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
+    keep = stored(keep)
+    # the join leaves rows dealt out by id, which the window needs as well
+    kept = df.join(keep, F.col(id_col) == F.col("__keep"), "left_semi")
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    return kept.withColumn("__copy", first).where("__copy = 1").select(*df.columns)
+    named = kept.withColumn("__copy", first).where("__copy = 1").select(*df.columns)
+    nameless = df.where(F.col(id_col).isNull()).orderBy(text_col).limit(1).withColumn("__one", F.lit(1))
+    stays = keep.where("__keep is null").select(F.lit(1).alias("__one")).distinct()
+    return named.unionByName(nameless.join(stays, "__one", "left_semi").select(*df.columns))
