@@ -111,8 +111,13 @@ class LengthEncoder:
             totals[k] += sum(map(self.known.__getitem__, parts))
 
 
+class Irregular(Exception):
+    """A text's spaces are not all safe boundaries."""
+
+
 class IdEncoder(dict):
-    """Ids of a byte-level file as little-endian bytes; the entries are the parts known so far.
+    """Ids of a byte-level file as little-endian bytes; the entries are the words known so far,
+    each for a space and the word.
 
     ``tokenizers`` defines the ids.  The file's vocabulary is in the order of its merges, so
     merging by rank gives the same ids several times faster; this is used for parts of plain
@@ -121,7 +126,6 @@ class IdEncoder(dict):
 
     def __init__(self, path: str):
         import tiktoken
-        import tokenizers
 
         self.tokenizer = library(path)
         with open(path, encoding="utf-8") as f:
@@ -130,26 +134,41 @@ class IdEncoder(dict):
         self.special = [s[:2] for s in special]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = "<u2" if size <= 1 << 16 else "<u4"
-        unshown = {c: bytes([b]) for b, c in zip(range(256), byte_letters(), strict=True)}
-        assert set(unshown) <= set(tokenizers.pre_tokenizers.ByteLevel.alphabet())
+        unshown = {c: bytes([b]) for b, c in enumerate(byte_letters())}
         ranks = {b"".join(map(unshown.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.ranked = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, part: str) -> bytes:
+    def encode(self, part: str) -> bytes:
         import numpy as np
 
         if part and max(part) < PLAIN_BELOW and not any(s in part for s in self.special):
             ids = self.ranked.encode_ordinary(part)
         else:
             ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return np.array(ids, dtype=self.width).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if not word or word[-1].isspace():
+            raise Irregular
         if len(self) >= TABLE_ENTRIES:
             trimmed(self)
-        self[part] = got = np.array(ids, dtype=self.width).tobytes()
+        self[word] = got = self.encode(" " + word)
         return got
 
+    def _slice(self, text: str) -> bytes:
+        words = text.split(" ")
+        head = words[0]
+        if head[-1:].isspace() or len(words) == 1:
+            return b"".join(map(self.encode, SAFE.split(text)))
+        try:  # a slice behind another one starts with its space
+            rest = b"".join(map(self.__getitem__, words[1:]))
+            return self.encode(head) + rest if head else rest
+        except Irregular:
+            return b"".join(map(self.encode, SAFE.split(text)))
+
     def ids(self, text: str) -> bytes:
-        return b"".join(b"".join(map(self.__getitem__, parts_of(s))) for s in slices(text)) if text else b""
+        return b"".join(map(self._slice, slices(text))) if text else b""
 
 
 def byte_letters() -> list[str]:
