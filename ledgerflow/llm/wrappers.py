@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import join_keyed, stored, text_batches
 
-#: Partial wrappers of a host are aligned in so many groups first, and pages joined in so many parts.
+#: Partial wrappers of a host are aligned in so many groups first.
 PARTS = 16
 #: A constant slot is template text if so many pages of the host agree on it.
 TEMPLATE_PAGES = 5
@@ -352,11 +352,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null or empty html gives empty text; pages without a host share one; repeated rows are pages
     of their own.  Columns of other names are not read.
     """
-    parts = F.explode(F.array(*[F.lit(k) for k in range(PARTS)])).alias("part")
-    known = infer(pages, url_col, html_col).select("host", "wrapper", parts)
+    known = stored(infer(pages, url_col, html_col))
+    known = known.withColumn("n_pages", F.get_json_object("wrapper", "$[4]").cast("long"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("url", "id", F.length("html")), F.lit(PARTS)).cast("int"))
-    joined = rows.join(known, ["host", "part"], "left").select("id", "url", "html", "wrapper")
+    total = known.agg(F.sum("n_pages")).first()[0] or 0
+    # a host with more than a thousandth of all pages gets its wrapper by broadcast, any other by a shuffle
+    joined = join_keyed(rows, known, "host", "n_pages", total, "left").select("id", "url", "html", "wrapper")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions: dict[str, tuple] = {}
