@@ -1,16 +1,21 @@
-"""SentencePiece encoding and decoding with the unigram model's search (operator 2).
-
-A model file's pieces and their log scores are put into a double-array trie over bytes.  A text is
-marked (space becomes the marker, one marker in front) and cut in front of every marker that
-follows another letter; no piece crosses such a place, so the best segmentation of the text is
-that of its parts.  All new parts of a batch are segmented together: at each byte position the
-trie is walked for all of them at once in numpy, and the Viterbi score of every later position is
-updated.  A letter that no piece covers becomes its bytes, and decoding joins bytes again.
+"""SentencePiece encoding and decoding by the search of the file's own model (operator 2).
+
+The trainer type in a model file says what its scores are.  A unigram model's are log scores
+(``Pieces``): its pieces are put into a double-array trie over bytes, all new parts of a batch are
+segmented together, the trie is walked for all of them at once in numpy, and the Viterbi score of
+every later position is updated.  A BPE model's are minus the rank of a merge and must not be added
+up (``MergedPieces``): neighbours that make a piece are merged, the best score first, the leftmost
+of equal ones.
+
+A text is marked (space becomes the marker, one marker in front) and cut where no piece can cross,
+so its segmentation is that of its parts.  A letter that no piece covers becomes its bytes, and
+decoding joins bytes again.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 import struct
 import zlib
@@ -24,6 +29,10 @@ from .common import text_batches
 MARK = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: Trainer type of a model whose scores are ranks of merges.
+BPE = 2
+#: Parts of more letters are merged with a queue.
+QUEUE_LETTERS = 100
 #: An unknown letter scores this much below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
@@ -74,6 +83,12 @@ def read_model(path: str) -> tuple[list[tuple[str, float, int]], bool]:
     return pieces, prefix
 
 
+def model_type(path: str) -> int:
+    """Trainer type of a model file; 1 (unigram) where it names none."""
+    with open(path, "rb") as f:
+        return next((int(dict(_fields(value)).get(3, 1)) for number, value in _fields(f.read()) if number == 2), 1)
+
+
 class DoubleArray:
     """Trie over bytes in two arrays: child of state s by byte b is base[s] + b + 1 if check names s."""
 
@@ -123,13 +138,22 @@ class DoubleArray:
 
 
 class Pieces:
-    """Encoder and decoder of one model file."""
+    """Encoder and decoder of one model file, by best sum of scores."""
 
     def __init__(self, path: str):
-        import numpy as np
-
         self.pieces, self.prefix = read_model(path)
         plain = [k for k, (_, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER, UNUSED)]
+        self.unknown = next((k for k, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
+        self.byte_ids = {int(p[0][3:5], 16): k for k, p in enumerate(self.pieces) if p[2] == BYTE}
+        self.bytes_of = {k: bytes([b]) for b, k in self.byte_ids.items()}
+        self.shown = [p[0].replace(MARK, " ") for p in self.pieces]
+        self.ordinary = frozenset(plain)
+        self.known: dict[str, bytes] = {}
+        self._prepare(plain)
+
+    def _prepare(self, plain: list[int]) -> None:
+        import numpy as np
+
         self.trie = DoubleArray([self.pieces[k][0].encode("utf-8") for k in plain], plain)
         normal = [s for _, s, kind in self.pieces if kind == NORMAL]
         self.scores = np.array([s for _, s, _ in self.pieces], np.float32)
@@ -139,12 +163,9 @@ class Pieces:
             if self.pieces[k][2] == USER:
                 self.scores[k] = len(self.pieces[k][0]) * top - 0.1
         self.unknown_score = np.float32(min(normal, default=0.0) - UNKNOWN_PENALTY)
-        self.unknown = next((k for k, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
-        self.byte_ids = {int(p[0][3:5], 16): k for k, p in enumerate(self.pieces) if p[2] == BYTE}
-        self.bytes_of = {k: bytes([b]) for b, k in self.byte_ids.items()}
-        self.shown = [p[0].replace(MARK, " ") for p in self.pieces]
-        self.ordinary = frozenset(plain)
-        self.known: dict[str, bytes] = {}
+
+    def parts(self, text: str) -> list[str]:
+        return CUT.split(self.marked(text)) if text else []
 
     def marked(self, text: str) -> str:
         return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
@@ -239,7 +260,7 @@ class Pieces:
         group: list[list[str]] = []
         size = 0
         for text in texts:
-            group.append(CUT.split(self.marked(text)) if text else [])
+            group.append(self.parts(text))
             size += len(text)
             if size >= SLICE_CHARS:
                 out += self._group(group)
@@ -282,10 +303,108 @@ class Pieces:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class MergedPieces(Pieces):
+    """Encoder and decoder of one model file, by its order of merges."""
+
+    def _prepare(self, plain: list[int]) -> None:
+        text = {k: self.pieces[k][0] for k in plain}
+        user = sorted((t for k, t in text.items() if self.pieces[k][2] == USER), key=len, reverse=True)
+        self.id_of = {t: k for k, t in text.items()}
+        self.rank = {t: -self.pieces[k][1] for k, t in text.items()}
+        self.unused = {t for k, t in text.items() if self.pieces[k][2] == UNUSED}
+        self.user = re.compile(f"({'|'.join(map(re.escape, user))})") if user else None
+        # a letter in no piece of several letters is a part by itself, like a user's piece
+        merging = {c for t in text.values() if len(t) > 1 for c in t}
+        inner = "".join(map(re.escape, sorted(merging - {MARK})))
+        if any(CUT.search(t) for t in text.values()) or not inner:
+            self.cut = re.compile(f"[{inner}{MARK}]+|.", re.S)
+        else:
+            self.cut = re.compile(f"{MARK}*[{inner}]+|{MARK}+|.", re.S)
+
+    def parts(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if self.user is None:
+            return self.cut.findall(self.marked(text))
+        out: list[str] = []
+        for k, stretch in enumerate(self.user.split(self.marked(text))):
+            out += [stretch] if k % 2 else self.cut.findall(stretch)
+        return out
+
+    def learn(self, parts: set[str]) -> None:
+        self.known.update((p, self._ids(p)) for p in parts)
+
+    def _ids(self, part: str) -> bytes:
+        ids: list[int] = []
+        whole = self.user is not None and self.user.fullmatch(part)
+        for symbol in [part] if whole else self.merge(part):
+            k = self.id_of.get(symbol)
+            if k is not None:
+                ids.append(k)
+            elif self.byte_ids:
+                ids += [self.byte_ids[b] for b in symbol.encode("utf-8")]
+            else:
+                ids.append(self.unknown)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def merge(self, part: str) -> list[str]:
+        """The part's symbols when no two neighbours make a piece any more."""
+        rank, never = self.rank, float("inf")
+        made: dict[str, tuple[str, str]] = {}
+        if len(part) > QUEUE_LETTERS:
+            out = self._merge_long(part, made)
+        else:
+            out = list(part)
+            ranks = [rank.get(x + y, never) for x, y in zip(out, out[1:], strict=False)]
+            while ranks:
+                best = min(ranks)
+                if best == never:
+                    break
+                k = ranks.index(best)
+                if self.unused:
+                    made[out[k] + out[k + 1]] = out[k], out[k + 1]
+                out[k:k + 2] = [out[k] + out[k + 1]]
+                del ranks[k]
+                if k:
+                    ranks[k - 1] = rank.get(out[k - 1] + out[k], never)
+                if k < len(ranks):
+                    ranks[k] = rank.get(out[k] + out[k + 1], never)
+        return [s for x in out for s in self._opened(x, made)] if self.unused else out
+
+    def _merge_long(self, part: str, made: dict[str, tuple[str, str]]) -> list[str]:
+        symbols, n = list(part), len(part)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        queue: list[tuple[float, int, str, int]] = []
+
+        def offer(a: int, b: int) -> None:
+            if a >= 0 and b >= 0 and (r := self.rank.get(symbols[a] + symbols[b])) is not None:
+                heapq.heappush(queue, (r, a, symbols[a] + symbols[b], b))
+
+        for k in range(n - 1):
+            offer(k, k + 1)
+        while queue:
+            _, a, piece, b = heapq.heappop(queue)
+            if not symbols[a] or after[a] != b or symbols[a] + symbols[b] != piece:
+                continue  # one of the two has been merged since
+            if self.unused:
+                made[piece] = symbols[a], symbols[b]
+            symbols[a], symbols[b], after[a] = piece, "", after[b]
+            if after[a] >= 0:
+                before[after[a]] = a
+            offer(before[a], a)
+            offer(a, after[a])
+        return [s for s in symbols if s]
+
+    def _opened(self, symbol: str, made: dict[str, tuple[str, str]]) -> list[str]:
+        if symbol not in self.unused or symbol not in made:
+            return [symbol]
+        return [s for x in made[symbol] for s in self._opened(x, made)]
+
+
 @functools.lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
     """One for each Python worker."""
-    return Pieces(path)
+    return MergedPieces(path) if model_type(path) == BPE else Pieces(path)
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -431,6 +431,19 @@ def _decodes(data):
         return False
 
 
+def test_ids_of_a_merge_model_equal_the_library(given, monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = vocabulary("piece_bpe_32k.model")
+    library, pieces = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.pieces_of(path)
+    texts = [t or "" for t in odd_texts()] + [t[:1500] for _, t in given[:60]] + [
+        "information about the", "   " * 50 + "x  \t y\n\n z", "\u4e00\u65e5\u672c\u8a9e" * 90, "abcdefghij" * 40, "e\u0301 \ufb01 \u2581x \u2581\u2581 y"]
+    for queue in (sentence_pieces.QUEUE_LETTERS, 1):
+        monkeypatch.setattr(sentence_pieces, "QUEUE_LETTERS", queue)
+        pieces.known.clear()
+        for text, data in zip(texts, pieces.encode_all(texts), strict=True):
+            assert np.frombuffer(data, "<u4").tolist() == library.encode(text), text[:60]
+
+
 def test_trie_holds_exactly_its_words():
     words = sorted({w.encode() for w in ["a", "ab", "abc", "b", "bcd", "ü", "▁t", "▁the", "the", "zz"]})
     trie = sentence_pieces.DoubleArray(words, list(range(len(words))))
