@@ -47,11 +47,17 @@ FURNITURE_WORDS = frozenset("""ad ads adsense advert advertisement adverts banne
     cookie cookies dialog disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice pagination popup
     promo promotion recommended related replies reply respond search share sharing sidebar social sponsor sponsored subscribe
     toolbar widget complementary contentinfo""".split())
+#: Words that may stand beside a furniture word in a name of furniture (site-footer, share-buttons).
+LAYOUT_WORDS = frozenset("""area article bar block bottom box button buttons container content entry form global group icons inner item items left
+    link links list main outer page panel post primary right secondary section site top unit wrap wrapper""".split())
+#: Elements that a class, id or role never makes furniture.
+NEVER_FURNITURE = frozenset("html body main article".split())
 ARTICLE_WORDS = frozenset("article articlebody content entry main maincontent post postbody story".split())
 
-TOKEN = re.compile(rf"""<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)|
+TOKEN = re.compile(rf"""<!--.*?(?:-->|$)|<(?:{RAW})/>|<(?P<raw>{RAW})(?![\w:-])(?:[^>"']|"[^"]*"|'[^']*')*+>(?:(?<=[\s"']/>)|.*?(?:</(?P=raw)\s*>|$))|
     <(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>|(?P<text>[^<]+|<)""", re.S | re.X | re.I)
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'=/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""")
+NAMES = frozenset(("class", "id", "role"))
 WORDS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 HOST = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
@@ -65,11 +71,13 @@ class Node:
 
 
 def _key(tag: str, attrs: str) -> str:
-    """Name of an element in a wrapper: its tag and the words of its class, id and role."""
+    """Name of an element in a wrapper: its tag and the names in its class, id and role, each cut to
+    its words (``div.has-sidebar.post`` of class "post-12 has_sidebar")."""
     if "=" not in attrs:
         return tag
-    words = {w for _, value in NAMED.findall(attrs) for w in WORDS.findall(value.lower())}
-    return f"{tag}.{'.'.join(sorted(words))}" if words else tag
+    names = {"-".join(WORDS.findall(name)) for a, value in ATTRIBUTE.findall(attrs) if a.lower() in NAMES
+             for name in value.strip("\"'").lower().split()} - {""}
+    return f"{tag}.{'.'.join(sorted(names))}" if names else tag
 
 
 def parse(page: str) -> Node:
@@ -200,28 +208,71 @@ def aligned(a: list, b: list) -> list:
     return folded(out + [_optional(x) for x in a[i:]] + [_optional(x) for x in b[j:]])
 
 
-def is_furniture(key: str) -> bool:
-    tag, *words = key.split(".")
-    return tag in FURNITURE_TAGS or any(w in FURNITURE_WORDS for w in words)
+def is_furniture(key: str, kept: frozenset[str] = frozenset()) -> bool:
+    """Whether an element's subtree is page furniture: by its tag, or by a name that says so as a whole.
+
+    A name of one furniture word decides.  One beside layout words (share-buttons, content-sidebar),
+    beside a name of an article, or ``widget`` does so unless the wrapper speaks against it (``kept``).
+    Names with any other word (has-sidebar, social-science) say nothing.
+    """
+    tag, *names = key.split(".")
+    if tag in FURNITURE_TAGS:
+        return True
+    if not names or tag in NEVER_FURNITURE:
+        return False
+    if any(n in FURNITURE_WORDS and n != "widget" for n in names) and not any(n in ARTICLE_WORDS for n in names):
+        return True
+    return key not in kept and any(map(_names_furniture, names))
+
+
+def _names_furniture(name: str) -> bool:
+    words = set(name.split("-"))
+    if "header" in words and words & ARTICLE_WORDS:  # the header of an entry holds its title
+        return False
+    return bool(words & FURNITURE_WORDS) and words <= FURNITURE_WORDS | LAYOUT_WORDS
+
+
+def _names_article(key: str) -> bool:
+    tag, *names = key.split(".")
+    return tag in ("article", "main") or any(w in ARTICLE_WORDS for n in names for w in n.split("-"))
+
+
+def text_holders(wrapper: list) -> frozenset[str]:
+    """Names of elements that hold at least half of the wrapper's open text (of all, if none is open)."""
+    sizes: dict[str, int] = {}
+
+    def below(node: list, constants: bool) -> int:
+        n = 0
+        for child in node[2]:
+            if child[0] != "#":
+                n += below(child, constants)
+            elif constants or child[2] is None:
+                n += child[3]
+        sizes[node[0]] = max(n, sizes.get(node[0], 0))
+        return n
+
+    total = below(wrapper, False) or below(wrapper, True)
+    return frozenset(key for key, n in sizes.items() if total and 2 * n >= total)
 
 
-def region(wrapper: list) -> tuple[list[str], set[str]]:
-    """Path of names to the element that holds the article, and its template texts.
+def region(wrapper: list) -> tuple[list[str], set[str], frozenset[str]]:
+    """Path of names to the element that holds the article, its template texts, and the names that
+    are no furniture since they hold most of the text.
 
     An article or main element, or one that its class, id or role names so, if it holds text; the
     one with most.  Otherwise the way down from the root is taken as long as one child that is no
     furniture holds most of the text.
     """
     found: list[tuple[int, list[str], list]] = []
+    kept = text_holders(wrapper)
 
     def look(node: list, path: list[str]) -> None:
         for child in node[2]:
-            if child[0] == "#" or is_furniture(child[0]):
+            if child[0] == "#" or is_furniture(child[0], kept):
                 continue
-            tag, *words = child[0].split(".")
             here = [*path, child[0]]
-            if child[3] and (tag in ("article", "main") or any(w in ARTICLE_WORDS for w in words)):
-                found.append((child[3] * (2 if tag == "article" else 1), here, child))
+            if child[3] and _names_article(child[0]):
+                found.append((child[3] * (2 if child[0].split(".")[0] == "article" else 1), here, child))
             look(child, here)
 
     look(wrapper, [])
@@ -230,7 +281,7 @@ def region(wrapper: list) -> tuple[list[str], set[str]]:
     else:
         path, node = [], wrapper
         while True:
-            inner = [c for c in node[2] if c[0] != "#" and not is_furniture(c[0])]
+            inner = [c for c in node[2] if c[0] != "#" and not is_furniture(c[0], kept)]
             own = sum(c[3] for c in inner) + sum(c[3] for c in node[2] if c[0] == "#")
             big = max(inner, key=lambda c: c[3], default=None)
             if big is None or big[3] * 5 < own * 3 or big[0].split(".")[0] not in BLOCK or big[1] in ("+", "*"):
@@ -248,10 +299,10 @@ def region(wrapper: list) -> tuple[list[str], set[str]]:
 
     if wrapper[4] >= 2 * TEMPLATE_PAGES:
         constants(node)
-    return path, template
+    return path, template, kept
 
 
-def blocks(node: Node, template: set[str]) -> list[str]:
+def blocks(node: Node, template: set[str], kept: frozenset[str]) -> list[str]:
     """Texts of the blocks below an element, without furniture, in page order."""
     out: list[str] = []
     pieces: list[str] = []
@@ -270,7 +321,7 @@ def blocks(node: Node, template: set[str]) -> list[str]:
                     pieces.append(child)
             elif child.tag == "br":
                 pieces.append(" ")
-            elif not is_furniture(child.key):
+            elif not is_furniture(child.key, kept):
                 block = child.tag in BLOCK
                 if block:
                     close()
@@ -283,7 +334,7 @@ def blocks(node: Node, template: set[str]) -> list[str]:
     return out
 
 
-def article(page: str | None, path: list[str], template: set[str]) -> str:
+def article(page: str | None, path: list[str], template: set[str], kept: frozenset[str]) -> str:
     """Main text of a page by its host's region; by its own wrapper if it lacks that region."""
     if not page:
         return ""
@@ -292,10 +343,10 @@ def article(page: str | None, path: list[str], template: set[str]) -> str:
         level = [root]
         for key in path:
             level = [c for n in level for c in n.children if not isinstance(c, str) and c.key == key]
-        texts = [t for n in level for t in blocks(n, template)]
+        texts = [t for n in level for t in blocks(n, template, kept)]
         if texts or attempt:
             return "\n".join(texts)
-        path, template = region(wrapper_of(root))
+        path, template, kept = region(wrapper_of(root))
     return ""
 
 
@@ -368,7 +419,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 if w not in regions:
                     if len(regions) > 5000:
                         regions.clear()
-                    regions[w] = region(_load(w)) if w else ([], set())
+                    regions[w] = region(_load(w)) if w else ([], set(), frozenset())
                 texts.append(article(page.as_py(), *regions[w]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_col, url_col, "text"])
 

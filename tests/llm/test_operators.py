@@ -389,6 +389,19 @@ def test_extraction(spark):
     assert wrappers.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shell", [
+    "<body class='has-sidebar'>{}</body>", "<body class=sidebar>{}</body>", "<article class='post no-comments'>{}</article>",
+    "<div class='content-with-sidebar'>{}</div>", "<div class='entry social-science'>{}</div>", "<div class='content-sidebar-wrap'>{}</div>",
+    "<div data-id='search'>{}</div>", "<div title='a class=menu'>{}</div>", "<div class='entry social'>{}</div>"])
+def test_names_that_mention_furniture_keep_their_text(shell):
+    inner = ("<div class='site-footer'>foot</div><div class='share-buttons'>share</div><div class=comments>said</div>"
+             "<h1>Head</h1><p>" + "body text " * 20 + "</p><svg width='3' /><p>after svg</p><video-player>clip</video-player><script src='a.js'/><p>end</p>"
+             "<svg/><svg><text>drawn</text></svg><p>last</p>")
+    page = "<html>" + shell.format(inner) + "</html>"
+    assert wrappers.article(page, *wrappers.region(wrappers.wrapper_of(wrappers.parse(page)))).split("\n") == [
+        "Head", ("body text " * 20).strip(), "after svg", "clip", "end", "last"]
+
+
 # ---------------------------------------------------------------- pieces
 
 def test_pieces_are_the_best_segmentation_and_decode(spark, docs, given):
