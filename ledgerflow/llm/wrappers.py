@@ -25,8 +25,6 @@ from .common import join_keyed, stored, text_batches
 
 #: Partial wrappers of a host are aligned in so many groups first.
 PARTS = 16
-#: A constant slot is template text if so many pages of the host agree on it.
-TEMPLATE_PAGES = 5
 #: Longest repeated group of different elements that is looked for.
 LONGEST_GROUP = 3
 #: Children of one element that are aligned; more are first merged by name, in order.
@@ -255,9 +253,9 @@ def text_holders(wrapper: list) -> frozenset[str]:
     return frozenset(key for key, n in sizes.items() if total and 2 * n >= total)
 
 
-def region(wrapper: list) -> tuple[list[str], set[str], frozenset[str]]:
-    """Path of names to the element that holds the article, its template texts, and the names that
-    are no furniture since they hold most of the text.
+def region(wrapper: list) -> tuple[list[str], frozenset[str]]:
+    """Path of names to the element that holds the article, and the names that are no furniture
+    since they hold most of the text.
 
     An article or main element, or one that its class, id or role names so, if it holds text; the
     one with most.  Otherwise the way down from the root is taken as long as one child that is no
@@ -287,23 +285,15 @@ def region(wrapper: list) -> tuple[list[str], set[str], frozenset[str]]:
             if big is None or big[3] * 5 < own * 3 or big[0].split(".")[0] not in BLOCK or big[1] in ("+", "*"):
                 break
             path, node = [*path, big[0]], big
-    template: set[str] = set()
+    return path, kept
 
-    def constants(node: list) -> None:
-        for child in node[2]:
-            if child[0] == "#":
-                if child[2] is not None and child[4] >= TEMPLATE_PAGES and child[4] * 2 > wrapper[4]:
-                    template.add(child[2])
-            else:
-                constants(child)
 
-    if wrapper[4] >= 2 * TEMPLATE_PAGES:
-        constants(node)
-    return path, template, kept
+def blocks(node: Node, kept: frozenset[str]) -> list[str]:
+    """Texts of the blocks below an element, without furniture, in page order.
 
-
-def blocks(node: Node, template: set[str], kept: frozenset[str]) -> list[str]:
-    """Texts of the blocks below an element, without furniture, in page order."""
+    Text that all pages of a host agree on stays: it may as well be a subhead as a notice, and
+    only an element's tag and names tell which.
+    """
     out: list[str] = []
     pieces: list[str] = []
 
@@ -317,8 +307,7 @@ def blocks(node: Node, template: set[str], kept: frozenset[str]) -> list[str]:
     def walk(n: Node) -> None:
         for child in n.children:
             if isinstance(child, str):
-                if not template or SPACE.sub(" ", child).strip() not in template:
-                    pieces.append(child)
+                pieces.append(child)
             elif child.tag == "br":
                 pieces.append(" ")
             elif not is_furniture(child.key, kept):
@@ -334,7 +323,7 @@ def blocks(node: Node, template: set[str], kept: frozenset[str]) -> list[str]:
     return out
 
 
-def article(page: str | None, path: list[str], template: set[str], kept: frozenset[str]) -> str:
+def article(page: str | None, path: list[str], kept: frozenset[str]) -> str:
     """Main text of a page by its host's region; by its own wrapper if it lacks that region."""
     if not page:
         return ""
@@ -343,10 +332,10 @@ def article(page: str | None, path: list[str], template: set[str], kept: frozens
         level = [root]
         for key in path:
             level = [c for n in level for c in n.children if not isinstance(c, str) and c.key == key]
-        texts = [t for n in level for t in blocks(n, template, kept)]
+        texts = [t for n in level for t in blocks(n, kept)]
         if texts or attempt:
             return "\n".join(texts)
-        path, template, kept = region(wrapper_of(root))
+        path, kept = region(wrapper_of(root))
     return ""
 
 
@@ -419,7 +408,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 if w not in regions:
                     if len(regions) > 5000:
                         regions.clear()
-                    regions[w] = region(_load(w)) if w else ([], set(), frozenset())
+                    regions[w] = region(_load(w)) if w else ([], frozenset())
                 texts.append(article(page.as_py(), *regions[w]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_col, url_col, "text"])
 

@@ -402,6 +402,20 @@ def test_names_that_mention_furniture_keep_their_text(shell):
         "Head", ("body text " * 20).strip(), "after svg", "clip", "end", "last"]
 
 
+@pytest.mark.parametrize("n", [3, 9, 12])
+def test_constant_article_text_stays_at_every_host_size(spark, n):
+    def page(k):
+        return (f"<html><body><nav>menu</nav><article><h1>Cake {k}</h1><h2>Ingredients</h2><p>flour {k} {'and so on ' * 9}</p>"
+                f"<div class='notice'>we use cookies</div><h2>Method</h2><p>bake {k} minutes</p></article><footer>us</footer></body></html>")
+
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(n)] + [(100 + k, f"http://mirror.example/{k}", page(0)) for k in range(n)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()}
+    for k in range(n):
+        assert got[k].split("\n") == [f"Cake {k}", "Ingredients", f"flour {k} {'and so on ' * 9}".strip(), "Method", f"bake {k} minutes"]
+        assert got[100 + k] == got[0]
+
+
 # ---------------------------------------------------------------- pieces
 
 def test_pieces_are_the_best_segmentation_and_decode(spark, docs, given):
