@@ -5,8 +5,8 @@ the vectors are summed lane by lane modulo 2**32, so the order of paragraphs doe
 a paragraph is inserted or deleted by adding or subtracting its vector (``combine``).
 
 A paragraph's vector has two blocks.  EXACT lanes are hashes of the whole paragraph; they decide
-equality.  SKETCH lanes are sums of +1/-1 signs hashed from the paragraph's phrases, and serve
-likeness: the inner product of two such sums estimates what the multisets share.  A sum of signs
+equality.  SKETCH lanes are sums of +1/-1 signs hashed from the paragraph's phrases (pairs of
+neighbouring words, or of letters in long runs without white space), and serve likeness: the inner product of two such sums estimates what the multisets share.  A sum of signs
 is kept as the number of +1 in each lane beside the number of phrases.
 """
 
@@ -24,8 +24,9 @@ SKETCH_LANES = 64 * SKETCH_HASHES
 #: Two 32-bit lanes share a long while they are summed; no text has 2**31 phrases.
 PAIR = (1 << 32) | 1
 MODULUS = 1 << 32
-#: A phrase ends at white space after one of these; other scripts end it at punctuation alone.
-PHRASE_END = r"(?<=[enEN\p{Punct}])\s+"
+#: What parts words, and the UTF-8 bytes beyond which a run without it is taken letter by letter.
+SPACES = r"[\s\u00a0\u2000-\u200a\u3000]+"
+LONG_RUN_BYTES = 24
 #: Rows in a block of neighbouring ids; quantiles of the ids that divide them, and parts of each.
 #: Both bounds together keep the table of blocks under 65,536 rows; beyond, blocks hold more rows.
 BLOCK_ROWS = 2048
@@ -37,19 +38,29 @@ EXACT = [f"e{k}" for k in range(EXACT_LANES // 2)]
 SKETCH = [f"s{k}" for k in range(SKETCH_LANES // 2)]
 
 
+def phrases_of(paragraph: Column) -> Column:
+    """Pairs of neighbouring words (letters in long runs) of a paragraph; a single one by itself."""
+    words = F.split(paragraph, SPACES)
+    units = F.flatten(F.transform(words, lambda w: F.when(F.octet_length(w) > LONG_RUN_BYTES, F.split(w, "")).otherwise(F.array(w))))
+    pairs = F.zip_with(units, F.slice(units, F.lit(2), F.size(units)), lambda x, y: F.concat(x, F.lit(" "), y))
+    return F.when(F.size(units) < 2, units).otherwise(F.slice(pairs, F.lit(1), F.size(units) - 1))
+
+
 def paragraph_rows(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
-    """One row a phrase: ``keys``, ``phrase``, and ``paragraph`` on the first phrase of each."""
+    """One row a phrase: ``keys``, the paragraph's hashes, ``at`` (0 on its first phrase) and ``phrase``."""
     paragraphs = df.select(*keys, F.explode(F.split(text, "\n")).alias("paragraph"))
-    return paragraphs.select(*keys, "paragraph", F.posexplode(F.split("paragraph", PHRASE_END)).alias("at", "phrase"))
+    # the lane comes first: after the paragraph it would only hash the paragraph's one hash again
+    hashes = [F.xxhash64(F.lit(k + 101), "paragraph").alias(name) for k, name in enumerate(EXACT)]
+    return paragraphs.select(*keys, *hashes, F.posexplode(phrases_of(F.col("paragraph"))).alias("at", "phrase"))
 
 
 def summed_lanes() -> list[Column]:
     """Aggregates that sum the vectors of a text's paragraphs."""
     first = F.col("at") == 0
     out = [F.sum(F.when(first, F.lit(1)).otherwise(0)).alias("paragraphs"), F.count("*").alias("phrases")]
-    for k, name in enumerate(EXACT):
+    for name in EXACT:
         # both halves of a 64-bit hash, summed apart: 31 bits each keep the packed sum in range
-        h = F.xxhash64("paragraph", F.lit(k + 101))
+        h = F.col(name)
         out.append(F.sum(F.when(first, h.bitwiseAND(F.lit(MODULUS - 1)))).alias(f"{name}_lo"))
         out.append(F.sum(F.when(first, F.shiftrightunsigned(h, 32))).alias(f"{name}_hi"))
     for k, name in enumerate(SKETCH):
@@ -71,8 +82,8 @@ def vector() -> Column:
 def text_vectors(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
     """``keys`` and ``lanes``: the summed vector of ``text`` for each distinct ``keys``."""
     rows = paragraph_rows(df, text, keys)
-    hashes = [F.xxhash64("phrase", F.lit(k + 1)).alias(f"h{k}") for k in range(SKETCH_HASHES)]
-    rows = rows.select(*keys, "paragraph", "at", *hashes)
+    hashes = [F.xxhash64(F.lit(k + 1), "phrase").alias(f"h{k}") for k in range(SKETCH_HASHES)]
+    rows = rows.select(*keys, *EXACT, "at", *hashes)
     return rows.groupBy(*keys).agg(*summed_lanes()).select(*keys, vector().alias("lanes"))
 
 

@@ -276,6 +276,29 @@ def test_multiset_fingerprints(spark):
     assert len(twice) == 3
 
 
+def test_likeness_of_half_edited_texts_in_every_script(spark):
+    def text(seed, letters, space, n):
+        rng = random.Random(seed)
+        return space.join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"
+    scripts = [(han, "、", 60), (han, "", 60), ("กขคงจฉชซญดตถทนบปผพฟมยรลวสหอ", "", 60), ("абвгдежзиклмнопрстуфхцчшщ", " ", 120),
+               ("ابتثجحخدذرزسشصضطظعغفقكلمنهوي", " ", 120), ("abcdfghijklm", " ", 24)]
+    # two unrelated texts of each; in descending order of id the second of a script is followed by the first
+    texts = [text(2 * k + j, *script) for k, script in enumerate(scripts) for j in range(2)]
+    for r in multiset.fingerprints(frame(spark, texts)).collect():
+        if r["doc_id"] % 2:
+            assert 0.25 < r["near_edited"] < 0.95 and r["near_edited"] > r["near_next"] + 0.1, r["doc_id"]
+
+
+def test_exact_lanes_are_hashed_apart(spark):
+    from pyspark.sql import functions as F
+
+    rows = multiset.paragraph_rows(spark.createDataFrame([(1, "some words")], "k int, t string"), F.col("t"), ["k"])
+    chained = rows.select(*multiset.EXACT, *[F.xxhash64(F.lit("some words"), F.lit(k + 101)).alias(f"c{k}") for k in range(4)]).first()
+    assert len(set(chained)) == 2 * len(multiset.EXACT)
+
+
 def test_multiset_hash_is_homomorphic(spark):
     from pyspark.sql import functions as F
 
