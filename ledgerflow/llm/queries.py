@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dimension_scan, line_dedup, multiset, packing, sentence_pieces, simhash, suffix_dedup, tokens, toxicity, wrappers
+from . import (
+    chat, dimension_scan, fill_middle, importance, line_dedup, multiset, packing, sentence_pieces, simhash, suffix_dedup, tokens, toxicity,
+    wrappers,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +117,68 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, and the text rebuilt from that."""
+    moved = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || doc_id) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS y,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS first
+  FROM cut
+), parts AS (
+  SELECT *, array_to_string(units[1:least(x, y)], '') AS p, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(units[greatest(x, y) + 1:], '') AS s,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') AS plain
+  FROM drawn
+)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN first THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(p) END AS prefix_chars, CASE WHEN NOT plain THEN length(m) END AS middle_chars,
+       sha256(CASE WHEN plain THEN text WHEN first THEN '<S>' || s || '<P>' || p || '<M>' || m
+                   ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and its turns and the text under the loss mask read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    turns = rows.unionByName(more).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.digests(chat.conversations(chat.format_turns(turns)))
+
+
+ORACLES["op12_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), escaped AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\|<s>|</s>|\[/?INST\]|<image>|<audio>|<document>|<file>')) AS n
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + n + CASE role WHEN 'assistant' THEN 14 ELSE 13 END) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the rank of those drawn."""
+    docs, wanted = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, wanted)
