@@ -18,6 +18,15 @@ SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, n string, output string, rank string, weight string"
 
 
+@pytest.fixture
+def spread(spark):
+    """Small tables stay in as many partitions as asked for."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
 def sha(x):
     return hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
 
@@ -123,7 +132,7 @@ def chat_brute(rows, conv):
 
 
 @pytest.mark.parametrize("chunk", [1 << 20, 40])
-def test_conversations_read_back(spark, monkeypatch, chunk):
+def test_conversations_read_back(spark, spread, monkeypatch, chunk):
     monkeypatch.setattr(chat, "CHUNK_BYTES", chunk)
     rng = random.Random(1)
     bits = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "s>", "<image>", "é🙂", "\n", "", " word", "<\\s>", "x" * 3000]
@@ -177,7 +186,7 @@ def test_importance_query_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize("percent", [0, 5, 60, 100])
-def test_importance_on_odd_rows(spark, monkeypatch, percent):
+def test_importance_on_odd_rows(spark, spread, monkeypatch, percent):
     monkeypatch.setattr(importance, "CHUNK", 7)
     rng = random.Random(2)
     words = ["the", "of", "é", "日本", "a1", "B", "\x7f", "-", "zz", "\n"]
