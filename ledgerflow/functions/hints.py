@@ -18,11 +18,39 @@ from pyspark.sql import functions as F
 DIM_BROADCAST_MAX_ROWS = 200_000
 
 
+_MARK = "_ledgerflow_bounded"
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Mark a frame whose size has a proven bound for broadcast."""
-    return F.broadcast(df)
+    out = F.broadcast(df)
+    setattr(out, _MARK, True)
+    return out
+
+
+def is_bounded(df: DataFrame) -> bool:
+    return getattr(df, _MARK, False)
+
+
+def no_larger(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df``, which has no more rows than ``source``, with the same mark."""
+    setattr(df, _MARK, is_bounded(source))
+    return df
 
 
 def dim(df: DataFrame, *cols) -> DataFrame:
     """The columns of a dimension that a join needs."""
-    return df.select(*cols) if cols else df
+    return no_larger(df.select(*cols), df) if cols else df
+
+
+def in_one_place(df: DataFrame) -> DataFrame:
+    """A bounded frame as one partition, so that grouping it needs no shuffle; any other as it is."""
+    return no_larger(df.coalesce(1), df) if is_bounded(df) else df
+
+
+def to_one(df: DataFrame, keys: list[str], *cols: str) -> DataFrame:
+    """JN16: ``df`` as the side of a to-one association: one row a key with ``cols`` (of repeated keys the smallest).
+
+    The grouping tells the optimizer that the side is unique, so a left join to it goes where no column of it is used.
+    """
+    return no_larger(in_one_place(df).groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__one")).select(*keys, "__one.*"), df)

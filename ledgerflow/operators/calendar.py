@@ -9,6 +9,8 @@ counters, and "n-th working day after" an equi-join on the counter.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -148,6 +150,25 @@ def covered_periods(postings: DataFrame, date_col: str) -> DataFrame:
     return months.select(F.year("m").alias("fiscal_year"), F.month("m").alias("fiscal_period"))
 
 
+@dataclass(frozen=True)
+class FiscalSpan:
+    """First fiscal year, the year that is still open, its last closed period, and the last closed period's key."""
+
+    first_year: int
+    open_year: int
+    last_closed: int
+    last_key: int
+
+
+def fiscal_span(periods: DataFrame) -> FiscalSpan:
+    """Read off the covered periods (one row to the driver); without any, a span that holds no year."""
+    row = periods.agg(F.min("fiscal_year").alias("lo"), F.max(F.col("fiscal_year") * 100 + F.col("fiscal_period")).alias("hi")).first()
+    if row["hi"] is None:
+        return FiscalSpan(0, 0, 0, 0)
+    year, period = divmod(row["hi"], 100)
+    return FiscalSpan(row["lo"], year + 1 if period == 12 else year, 0 if period == 12 else period, row["hi"])
+
+
 def next_period_map(periods: DataFrame) -> DataFrame:
     """WN7: each covered period mapped to the next covered one (the last has none).
 

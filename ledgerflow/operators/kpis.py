@@ -18,6 +18,8 @@ from ..functions.columns import (
     count_if, exact_ratio, period_key, programme_key, ratio, wide, wide_div,
 )
 from ..functions.hints import dim
+from ..session import cut_lineage
+from .ordering import exact_median
 
 
 # ----------------------------------------------------------------- KPI-02/03
@@ -184,6 +186,17 @@ def budget_variance(actual: DataFrame, budget: DataFrame) -> DataFrame:
     )
 
 
+def variance_totals(actual: DataFrame, budget: DataFrame, keys: list[str]) -> DataFrame:
+    """KP9/JN6: actual and budget by some of the variance keys without the period, in one exchange.
+
+    ``actual`` may be lines, aggregate rows or cells; a budget row counts with its twelve phased shares.
+    """
+    zero, phased = F.lit(0).cast("decimal(30,8)"), wide_div("amount_group_currency", F.lit(12))
+    b = budget.withColumn("programme_key", programme_key()).select(*keys, zero.alias("a"), wide(phased * 12).alias("b"))
+    rows = actual.select(*keys, wide("actual_amount").alias("a"), zero.alias("b")).unionByName(b)
+    return rows.groupBy(*keys).agg(F.sum("a").alias("actual"), F.sum("b").alias("budget"))
+
+
 def last_closed_period(close_tasks: DataFrame) -> DataFrame:
     """Per fiscal year, the last period whose hard close completed for every entity."""
     t12 = close_tasks.where(F.col("task_id") == config.HARD_CLOSE_TASK)
@@ -324,11 +337,16 @@ def fx_reversal_carryover(vj: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- KPI-07
-def forecast_accuracy_rows(vj: DataFrame, forecast: DataFrame) -> DataFrame:
-    """JN11: forecast cells matched to actuals on 5 keys; zero actuals excluded."""
-    act = vj.where((F.col("fiscal_period") <= 12) & F.col("cost_center").isNotNull()).groupBy(
+def forecast_actuals(vj: DataFrame) -> DataFrame:
+    """Actuals at the grain of the forecast: entity x centre x programme x period."""
+    return vj.where((F.col("fiscal_period") <= 12) & F.col("cost_center").isNotNull()).groupBy(
         "company_code", "cost_center", programme_key().alias("programme_key"), "fiscal_year", "fiscal_period",
     ).agg(F.sum("signed_amount_group").alias("actual"))
+
+
+def forecast_accuracy_rows(vj: DataFrame, forecast: DataFrame) -> DataFrame:
+    """JN11: forecast cells matched to actuals on 5 keys; zero actuals excluded."""
+    act = forecast_actuals(vj)
     f = forecast.select("company_code", "cost_center", programme_key().alias("programme_key"),
                         "fiscal_year", "fiscal_period", "version", "horizon_periods",
                         F.col("amount_group_currency").alias("forecast"))
@@ -372,11 +390,14 @@ def ic_open_items(ic: DataFrame) -> DataFrame:
 
 
 def ic_open_item_stats(ic: DataFrame) -> DataFrame:
-    """AG13: pair-periods, flagged count and share, max and median absolute net."""
-    return ic.agg(
+    """AG13: pair-periods, flagged count and share, max and median absolute net.
+
+    The median is found by counting value ranges (``ordering.exact_median``), so no task holds all values.
+    """
+    items = cut_lineage(ic.select("is_mismatch", F.abs("net_amount").alias("size")))
+    return items.agg(
         F.count(F.lit(1)).alias("pair_periods"),
         count_if(F.col("is_mismatch")).alias("flagged"),
         F.avg(F.col("is_mismatch").cast("double")).alias("flagged_share"),
-        F.max(F.abs("net_amount")).alias("max_abs_net"),
-        F.median(F.abs("net_amount").cast("double")).alias("median_abs_net"),
-    )
+        F.max("size").alias("max_abs_net"),
+    ).withColumn("median_abs_net", F.lit(exact_median(items, "size")).cast("double"))

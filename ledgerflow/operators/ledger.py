@@ -11,15 +11,16 @@ period only costs one partial row per task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import (
     cents, cents_to_decimal, div_half_up, is_manual, pair_key, reporting_period, signed,
 )
-from ..functions.hints import dim
+from ..functions.hints import dim, in_one_place, no_larger, to_one
 from . import calendar as cal
+from .ordering import number_rows
 
 
 def fx_rate_pair(rates: DataFrame) -> DataFrame:
@@ -219,10 +220,10 @@ def late_posting_flag(entry_date="entry_date", due_date="due_date", fiscal_perio
 
 def soft_close_due(close_tasks: DataFrame) -> DataFrame:
     """Due date of the soft-close task per entity and period (JN4)."""
-    return close_tasks.where(F.col("task_id") == config.SOFT_CLOSE_TASK).select(
+    return no_larger(close_tasks.where(F.col("task_id") == config.SOFT_CLOSE_TASK).select(
         F.col("company_code").alias("__sc_co"), F.col("fiscal_year").alias("__sc_fy"),
         F.col("fiscal_period").alias("__sc_fp"), "due_date",
-    )
+    ), close_tasks)
 
 
 def harmonised_journal(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
@@ -233,15 +234,16 @@ def harmonised_journal(journal: DataFrame, company: DataFrame, gl_account: DataF
     co = dim(company, "company_code", "company_name", "country_key")
     acc = dim(gl_account, "gl_account", "gl_account_name", "account_group", "account_group_name",
               "pl_section")
-    cc = dim(cost_center, "cost_center", "cost_center_name", "division_id", "division_name",
-             "department_id", "department_name", "is_overhead")
-    pg = dim(programme, "programme_id", "programme_name", "programme_type")
-    fx = dim(fx_rate_pair(rates)).select(
+    # the sides of the left joins are unique on their keys, so a question pays for those it uses
+    cc = to_one(cost_center, ["cost_center"], "cost_center_name", "division_id", "division_name",
+                "department_id", "department_name", "is_overhead")
+    pg = to_one(programme, ["programme_id"], "programme_name", "programme_type")
+    fx = fx_rate_pair(in_one_place(rates)).select(
         F.col("from_currency").alias("__fx_from"), F.col("to_currency").alias("__fx_to"),
         F.col("fiscal_year").alias("__fx_fy"), F.col("fiscal_period").alias("__fx_fp"),
         "rate_actual", "rate_budget",
     )
-    due = dim(soft_close_due(close_tasks))
+    due = to_one(soft_close_due(close_tasks), ["__sc_co", "__sc_fy", "__sc_fp"], "due_date")
     x = (
         j.join(co, "company_code", "inner")
         .join(acc, "gl_account", "inner")
@@ -300,9 +302,9 @@ def active_programme_window(df: DataFrame, programme: DataFrame,
 
 
 def number_lines(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "document_line") -> DataFrame:
-    """WN4: ``row_number()`` within each document by ``order_cols``.
+    """WN4: ``row_number()`` within each document by ``order_cols``, one plan at every size.
 
-    One plan at every size: rows are shuffled by document and stream through an external sort,
-    so a long document costs time in its task but no memory.
+    Rows are dealt to slices by document and line order, so a document of any length is spread over tasks
+    (``ordering.number_rows``).
     """
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)))
+    return number_rows(df, group_cols, order_cols, out)

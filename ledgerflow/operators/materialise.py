@@ -81,12 +81,16 @@ def fx_impact_from_agg(agg: DataFrame, company: DataFrame) -> DataFrame:
     )
 
 
-def actual_cells_from_agg(agg: DataFrame) -> DataFrame:
-    """AG7 actual side: regular periods and cost lines from the aggregate."""
-    return agg.where(~F.col("is_special_period") & F.col("cost_center").isNotNull()).groupBy(
+def actual_rows_from_agg(agg: DataFrame) -> DataFrame:
+    """AG7 actual side: the aggregate's rows of regular periods and cost lines, in the columns of the variance."""
+    return agg.where(~F.col("is_special_period") & F.col("cost_center").isNotNull()).select(
         "company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group",
-        programme_key().alias("programme_key"),
-    ).agg(F.sum("signed_amount_group").alias("actual_amount"))
+        programme_key().alias("programme_key"), F.col("signed_amount_group").alias("actual_amount"))
+
+
+def actual_cells_from_agg(agg: DataFrame) -> DataFrame:
+    """AG7 actual side, summed to cells."""
+    return actual_rows_from_agg(agg).groupBy(*kpis.VARIANCE_KEYS).agg(F.sum("actual_amount").alias("actual_amount"))
 
 
 def budget_variance_from_agg(agg: DataFrame, budget_cells: DataFrame) -> DataFrame:
@@ -94,6 +98,18 @@ def budget_variance_from_agg(agg: DataFrame, budget_cells: DataFrame) -> DataFra
     return kpis.budget_variance(actual_cells_from_agg(agg), budget_cells)
 
 
+def shares_from_agg(agg: DataFrame) -> DataFrame:
+    """Line, manual and late counts per entity and period from the aggregate (the parts of KPI-02 and KPI-03)."""
+    return agg.groupBy("company_code", "fiscal_year", "fiscal_period").agg(
+        *[F.sum(c).alias(c) for c in ("line_count", "line_count_manual", "amount_manual", "line_count_late")])
+
+
+def forecast_actuals_from_agg(agg: DataFrame) -> DataFrame:
+    """Actuals at the grain of the forecast from the aggregate (KPI-07)."""
+    return actual_rows_from_agg(agg).groupBy("company_code", "cost_center", "programme_key", "fiscal_year", "fiscal_period").agg(
+        F.sum("actual_amount").alias("actual"))
+
+
 def programme_monthly_from_agg(agg: DataFrame) -> DataFrame:
     """KPI-05 input from the aggregate: regular-period cost per programme and period key."""
     return agg.where(~F.col("is_special_period") & F.col("programme_id").isNotNull()).groupBy(

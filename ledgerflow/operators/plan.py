@@ -115,12 +115,12 @@ def close_calendar(schedule: DataFrame, lines: DataFrame, calendar: DataFrame, a
     )
 
 
-def budget_build(journal: DataFrame, gl_account: DataFrame,
+def budget_build(journal: DataFrame, gl_account: DataFrame, span: cal.FiscalSpan,
                  growth: str = config.BUDGET_GROWTH_RATE,
                  min_annual: int = config.BUDGET_MIN_ANNUAL_EUR) -> DataFrame:
     """PL2: annual budget = prior complete year's actual x growth.
 
-    The first year anchors on itself (x 1.00); the final, incomplete year never
+    The first year anchors on itself (x 1.00); the open year never
     anchors.  Cells whose absolute budget is below ``min_annual`` are dropped.
     """
     annual = (
@@ -128,12 +128,12 @@ def budget_build(journal: DataFrame, gl_account: DataFrame,
         .groupBy("company_code", "fiscal_year", "cost_center", "account_group", "programme_key")
         .agg(F.sum("actual_amount").cast("decimal(24,2)").alias("actual_annual"))
     )
-    self_anchor = annual.where(F.col("fiscal_year") == config.FIRST_FISCAL_YEAR).select(
+    self_anchor = annual.where(F.col("fiscal_year") == span.first_year).select(
         "company_code", "fiscal_year", "cost_center", "account_group", "programme_key",
         F.round(F.col("actual_annual") * F.lit(Decimal("1.00")), 2).alias("amount"),
     )
     prior = annual.where(
-        (F.col("fiscal_year") >= config.FIRST_FISCAL_YEAR) & (F.col("fiscal_year") < config.LAST_FISCAL_YEAR)
+        (F.col("fiscal_year") >= span.first_year) & (F.col("fiscal_year") < span.open_year)
     ).select(
         "company_code", (F.col("fiscal_year") + 1).alias("fiscal_year"), "cost_center", "account_group",
         "programme_key", F.round(F.col("actual_annual") * F.lit(Decimal(growth)), 2).alias("amount"),
@@ -149,7 +149,7 @@ def budget_build(journal: DataFrame, gl_account: DataFrame,
     )
 
 
-def forecast_build(journal: DataFrame, calendar: DataFrame,
+def forecast_build(journal: DataFrame, calendar: DataFrame, span: cal.FiscalSpan,
                    min_annual: int = config.FORECAST_MIN_ANNUAL_EUR) -> DataFrame:
     """PL3/JN12: quarterly rolling forecast snapshots at entity x cost centre x programme.
 
@@ -179,8 +179,7 @@ def forecast_build(journal: DataFrame, calendar: DataFrame,
                  .otherwise(F.col("mean_c")).alias("pull_c"))
         for v, a in config.FORECAST_SNAPSHOT_AFTER_PERIOD.items()
     ])
-    last_closed = F.when(F.col("fiscal_year") == config.LAST_FISCAL_YEAR,
-                         F.lit(config.LAST_CLOSED_PERIOD_IN_FINAL_YEAR)).otherwise(F.lit(12))
+    last_closed = F.when(F.col("fiscal_year") == span.open_year, F.lit(span.last_closed)).otherwise(F.lit(12))
     snaps = (
         combos.select(*keys, "mean_c", F.explode(versions).alias("v")).select(*keys, "mean_c", "v.*")
         .where(F.col("after") <= last_closed)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import criticality, exact_ratio, period_label, ratio, wide
-from ..functions.hints import dim
+from ..functions.hints import dim, to_one
 
 
 def drop_user_columns(df: DataFrame) -> DataFrame:
@@ -170,11 +170,11 @@ def analytical_runrate(runrate: DataFrame, group_by: tuple[str, ...] = ("lead_co
 def journal_interface(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame) -> DataFrame:
     """LG6/JN16: journal interface without FX and late flag; lookups behave as to-one associations
-    (left joins to sides unique on their key, so unused ones are pruned by the optimizer)."""
-    co = dim(company, "company_code", "company_name")
-    acc = dim(gl_account, "gl_account", "account_group", "pl_section")
-    cc = dim(cost_center, "cost_center", "cost_center_name")
-    pg = dim(programme, "programme_id", "programme_name")
+    (left joins to sides made unique on their key, so the optimizer drops those that are not used)."""
+    co = to_one(company, ["company_code"], "company_name")
+    acc = to_one(gl_account, ["gl_account"], "account_group", "pl_section")
+    cc = to_one(cost_center, ["cost_center"], "cost_center_name")
+    pg = to_one(programme, ["programme_id"], "programme_name")
     j = (journal.join(co, "company_code", "left").join(acc, "gl_account", "left")
          .join(cc, "cost_center", "left").join(pg, "programme_id", "left"))
     sign = F.when(F.col("debit_credit_ind") == "S", F.lit(1)).otherwise(F.lit(-1))

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config, schemas
 from ..functions.columns import count_if, period_end_date, period_start_date, ratio, reporting_period
 from ..functions.hints import dim
+from ..sources.files import DOCUMENT_KEY, with_document_key
 from .ledger import active_programme_window
 
 RULE_SCHEMA = "rule string, table_name string, rows_checked long, violations long"
@@ -32,9 +33,10 @@ def _stack(agg: DataFrame, table: str, rules: list[str]) -> DataFrame:
 
 def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFrame,
                       cost_center: DataFrame, programme: DataFrame, rates: DataFrame,
-                      last_fiscal_year: int = config.LAST_FISCAL_YEAR,
+                      open_year: int | None = None,
                       rules: list[str] | None = None) -> DataFrame:
     """QC4-QC11, QC13-QC16 (row part) in one scan of the journal; ``rules`` names those wanted (all).
+    Special periods are wrong from ``open_year`` on (None: nowhere).
 
     Only the lookups that the wanted rules use are joined, so columns and joins of others fall away.
 
@@ -76,7 +78,7 @@ def journal_row_rules(journal: DataFrame, company: DataFrame, gl_account: DataFr
         "programme_window_reversal": F.col("__pg").isNotNull() & F.col("is_reversal") & outside,
         "date_order": (F.col("document_date") > F.col("posting_date")) | (F.col("posting_date") > F.col("entry_date")),
         "period_range": (F.col("fiscal_period") < 1) | (F.col("fiscal_period") > 16),
-        "special_in_incomplete_year": (F.col("fiscal_period") > 12) & (F.col("fiscal_year") >= last_fiscal_year),
+        "special_in_incomplete_year": (F.col("fiscal_period") > 12) & (F.col("fiscal_year") >= F.lit(open_year).cast("int")),
         "posting_outside_period": regular & ((F.year("posting_date") != F.col("fiscal_year"))
                                              | (F.month("posting_date") != F.col("fiscal_period"))),
         "unsigned_amounts": (F.col("amount_doc_currency") < 0) | (F.col("amount_local_currency") < 0)
@@ -110,8 +112,9 @@ def primary_key_rule(df: DataFrame, table: str, keys: list[str], rule: str | Non
 
 def document_rules(journal: DataFrame) -> DataFrame:
     """QC2 + QC3 (AG11/AG12) in one grouping by document: lines 1..n without gaps, one header
-    per document (min <> max per attribute instead of a multi-column distinct count)."""
-    d = journal.groupBy("document_number").agg(
+    per document (min <> max per attribute instead of a multi-column distinct count).  A journal
+    that is bucketed by ``document_key`` is grouped where it lies."""
+    d = journal.groupBy(*[k for k in (DOCUMENT_KEY, "document_number") if k in journal.columns]).agg(
         F.min("document_line").alias("lo"), F.max("document_line").alias("hi"), F.count(F.lit(1)).alias("c"),
         *[(F.min(k) != F.max(k)).alias(f"x_{k}") for k in
           ("company_code", "fiscal_year", "fiscal_period", "document_type")],
@@ -132,22 +135,22 @@ def user_rules(journal: DataFrame) -> DataFrame:
 
 
 def reversal_rules(journal: DataFrame) -> DataFrame:
-    """QC12/JN15: every reversal matches an original line (self equi-join on document and line):
-    same three amounts, flipped side, later posting date."""
-    rev = journal.where("is_reversal").select(
-        F.col("reversed_document").alias("__doc"), F.col("document_line").alias("__line"),
-        F.col("debit_credit_ind").alias("__dc"), F.col("posting_date").alias("__pd"),
-        F.col("amount_doc_currency").alias("__a1"), F.col("amount_local_currency").alias("__a2"),
-        F.col("amount_group_currency").alias("__a3"))
-    orig = journal.where(F.col("document_type") == "SB").select("document_number", "document_line", "debit_credit_ind", "posting_date",
-                          "amount_doc_currency", "amount_local_currency", "amount_group_currency")
-    m = rev.join(orig, (F.col("__doc") == F.col("document_number")) & (F.col("__line") == F.col("document_line")),
-                 "left")
-    bad = (
-        F.col("document_number").isNull() | (F.col("__dc") == F.col("debit_credit_ind"))
-        | (F.col("__pd") <= F.col("posting_date")) | (F.col("__a1") != F.col("amount_doc_currency"))
-        | (F.col("__a2") != F.col("amount_local_currency")) | (F.col("__a3") != F.col("amount_group_currency"))
-    )
+    """QC12/JN15: every reversal matches an original line: same three amounts, flipped side, later posting date.
+
+    A document and its reversal share their ``document_key``, so the match is a window over (key, line); a journal
+    that is bucketed by the key needs no shuffle for it.
+    """
+    j = journal if DOCUMENT_KEY in journal.columns else with_document_key(journal)
+    amounts = ["amount_doc_currency", "amount_local_currency", "amount_group_currency"]
+    j = j.where(F.col("is_reversal") | (F.col("document_type") == "SB")).select(
+        DOCUMENT_KEY, "document_line", "is_reversal", "debit_credit_ind", "posting_date", *amounts)
+    line = Window.partitionBy(DOCUMENT_KEY, "document_line")
+    orig = F.max(F.when(~F.col("is_reversal"), F.struct("debit_credit_ind", "posting_date", *amounts))).over(line)
+    m = j.withColumn("__o", orig).where("is_reversal")
+    bad = F.col("__o").isNull() | (F.col("__o.debit_credit_ind") == F.col("debit_credit_ind")) \
+        | (F.col("posting_date") <= F.col("__o.posting_date"))
+    for a in amounts:
+        bad = bad | (F.col(a) != F.col(f"__o.{a}"))
     agg = m.agg(F.count(F.lit(1)).alias("n"), count_if(bad).alias("v_reversal_match"))
     return _stack(agg, "journal_reversals", ["reversal_match"])
 
@@ -240,10 +243,10 @@ def qc_summary(ledger) -> DataFrame:
     parts = [
         primary_key_rule(L.journal, "journal", ["journal_id"]),
         primary_key_rule(L.journal, "journal", ["document_number", "document_line"], "document_line_unique"),
-        journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates),
-        document_rules(L.journal),
+        journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme, L.rates, L.fiscal_span.open_year),
+        document_rules(L.journal_by_document),
         user_rules(L.journal),
-        reversal_rules(L.journal),
+        reversal_rules(L.journal_by_document),
         plan_rules(L.budget, L.forecast, L.company, L.cost_center, L.gl_account),
         close_rules(L.close_tasks, L.company, L.dim_date, L.periods),
         rate_rules(L.journal, L.rates),
@@ -253,6 +256,37 @@ def qc_summary(ledger) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def hierarchy_rules(nodes: DataFrame, faults: DataFrame) -> DataFrame:
+    """The faults of a hierarchy as rule rows, one a kind of fault."""
+    checked = nodes.select("node_id").distinct().agg(F.count(F.lit(1)).alias("n"))
+    kinds = ["two_parents", "missing_parent", "cycle", "below_cycle"]
+    seen = faults.agg(*[F.coalesce(count_if(F.col("fault") == k), F.lit(0)).alias(f"v_hierarchy_{k}") for k in kinds])
+    return _stack(checked.crossJoin(seen), "cost_center", [f"hierarchy_{k}" for k in kinds])  # one row and one row
+
+
+def raw_line_rules(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame,
+                   part: DataFrame, nation: DataFrame) -> DataFrame:
+    """QC4/JN14 on the raw lines, before the adapter's inner joins drop those without master data: lines without
+    supplier, part, order or customer, and the lines that the journal lacks for any of these."""
+    def known(df: DataFrame, key: str, flag: str) -> DataFrame:
+        return df.select(key).distinct().withColumn(flag, F.lit(True))
+
+    nations = F.broadcast(known(nation, "n_nationkey", "__n"))
+    homes = supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    buyers = customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    buys = orders.select("o_orderkey", "o_custkey").join(known(buyers, "c_custkey", "__c"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    buys = buys.groupBy("o_orderkey").agg(F.max("__c").alias("__c")).withColumn("__o", F.lit(True))
+    x = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
+         .join(known(homes, "s_suppkey", "__s"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+         .join(known(part, "p_partkey", "__p"), F.col("l_partkey") == F.col("p_partkey"), "left")
+         .join(buys, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+    lacks = {"raw_line_supplier": F.col("__s").isNull(), "raw_line_part": F.col("__p").isNull(), "raw_line_order": F.col("__o").isNull(),
+             "raw_line_customer": F.col("__o").isNotNull() & F.col("__c").isNull()}
+    lacks["raw_line_dropped"] = reduce(lambda a, b: a | b, list(lacks.values()))
+    agg = x.agg(F.count(F.lit(1)).alias("n"), *[count_if(c).alias(f"v_{k}") for k, c in lacks.items()])
+    return _stack(agg, "lineitem", list(lacks))
+
+
 def driver_table_rules(spark, sf_dir: str) -> DataFrame:
     """QC1/QC4/QC8 on the raw driver tables, where real violations exist."""
     from ..sources.demo import read_driver_table

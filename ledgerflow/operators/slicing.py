@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import page
+
 _AGGS = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count}
 
 
@@ -59,8 +61,8 @@ def topcount(df: DataFrame, keys: list[str], measure: str, n: int, largest: bool
 
 
 def slice_page(df: DataFrame, order_by: list[str], skip: int, top: int) -> DataFrame:
-    """TK3: ``orderby`` + ``skip`` + ``top`` (order by a total order)."""
-    return df.orderBy(*order_by).offset(skip).limit(top)
+    """TK3: ``orderby`` + ``skip`` + ``top`` (order by a total order); a deep page costs no more than a first one."""
+    return page(df, order_by, skip, top)
 
 
 def ranked(df: DataFrame, measure: str, keys: list[str], rank_col: str = "rank") -> DataFrame:
@@ -76,7 +78,22 @@ def top_n_trend(df: DataFrame, entity: str, measure: str, n: int, period_cols: l
     return x.groupBy(entity, *period_cols).agg(F.sum(measure).alias(measure))
 
 
-def query_concat(parts: dict[str, DataFrame]) -> DataFrame:
-    """ST4: concatenate several aggregations of the same set, tagged by ``level``."""
-    tagged = [df.withColumn("level", F.lit(name)) for name, df in parts.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+def query_concat(df: DataFrame, levels: dict[str, list[str]], measures: list[tuple[str, str, str]]) -> DataFrame:
+    """ST4: several aggregations of the same set, each tagged by its ``level``, in one pass (GROUPING SETS).
+
+    ``levels`` names the columns that each aggregation groups by; columns that a level does not group by are null.
+    Two levels may not group by the same columns.
+    """
+    if len({frozenset(c) for c in levels.values()}) < len(levels):
+        raise ValueError("two levels group by the same columns")
+    keys = list(dict.fromkeys(c for columns in levels.values() for c in columns))
+    # grouping_id has a bit for each key, the first key's highest, set where the level does not group by it
+    bits = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in columns) for name, columns in levels.items()}
+    if not keys:
+        return df.agg(*[_AGGS[fn](col).alias(name) for name, fn, col in measures]).withColumn("level", F.lit(next(iter(levels))))
+    grouped = df.groupingSets([[F.col(c) for c in columns] for columns in levels.values()], *[F.col(k) for k in keys])
+    out = grouped.agg(*[_AGGS[fn](col).alias(name) for name, fn, col in measures], F.grouping_id().alias("__level"))
+    level = F.lit(None).cast("string")
+    for name, bit in bits.items():
+        level = F.when(F.col("__level") == bit, F.lit(name)).otherwise(level)
+    return out.withColumn("level", level).drop("__level")

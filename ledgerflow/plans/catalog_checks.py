@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.columns import period_key, money, ratio
-from ..operators import kpis, materialise, publish, quality, reconcile, signals, slicing
+from ..operators import (
+    hierarchy, kpis, lineage, materialise, publish, quality, reconcile, signals, slicing, sql_functions,
+)
 from .catalog import (
-    EAC_SQL, FULL_YEAR, M, _PL_SQL, _TASKS_H_CTE, _VARIANCE_CTE, money_cols, register, runrate_cte,
+    EAC_SQL, FULL_YEAR, M, _PL_SQL, _TASKS_H_CTE, _VARIANCE_CTE, _runrate_out, _runrate_sql, money_cols, register, runrate_cte,
 )
 from .oracle_preamble import sql_exact_ratio
 from .context import Ctx
@@ -31,7 +33,7 @@ _JOURNAL_RULES = [
      "p.programme_id IS NOT NULL AND j.is_reversal AND (j.posting_date < p.start_date OR j.posting_date > p.end_date)"),
     ("date_order", "j.document_date > j.posting_date OR j.posting_date > j.entry_date"),
     ("period_range", "j.fiscal_period < 1 OR j.fiscal_period > 16"),
-    ("special_in_incomplete_year", f"j.fiscal_period > 12 AND j.fiscal_year >= {config.LAST_FISCAL_YEAR}"),
+    ("special_in_incomplete_year", "j.fiscal_period > 12 AND j.fiscal_year >= (SELECT open_year FROM span)"),
     ("posting_outside_period",
      "j.fiscal_period <= 12 AND (year(j.posting_date) <> j.fiscal_year OR month(j.posting_date) <> j.fiscal_period)"),
     ("unsigned_amounts", "j.amount_doc_currency < 0 OR j.amount_local_currency < 0 OR j.amount_group_currency < 0"),
@@ -208,7 +210,7 @@ def _register_row_group(key: str, rules: list[str]):
     def q(ctx: Ctx) -> DataFrame:
         L = ctx.L
         return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates,
-                                         rules=rules)
+                                         L.fiscal_span.open_year, rules)
 
     q.__doc__ = (f"{_QC_IDS[key]} — {key[3:].replace('_', ' ')}: {', '.join(rules)} "
                  f"(row rules on the journal, one scan).")
@@ -239,13 +241,13 @@ def q_qc_pk(ctx: Ctx) -> DataFrame:
 @register("qc_line_numbering", _QC_DOC_CTE + _rows("qd", "journal_documents", ["line_numbering", "header_consistency"]))
 def q_qc_docs(ctx: Ctx) -> DataFrame:
     """QC2/QC3/AG11/AG12 — lines 1..n per document and one header per document (one grouping)."""
-    return quality.document_rules(ctx.L.journal)
+    return quality.document_rules(ctx.L.journal_by_document)
 
 
 @register("qc_reversal_match", _QC_DOC_CTE + _rows("qr", "journal_reversals", ["reversal_match"]))
 def q_qc_rev(ctx: Ctx) -> DataFrame:
-    """QC12/JN15 — every reversal matches its original line (self-join on document and line)."""
-    return quality.reversal_rules(ctx.L.journal)
+    """QC12/JN15 — every reversal matches its original line (a window over document and line)."""
+    return quality.reversal_rules(ctx.L.journal_by_document)
 
 
 @register("qc_user_tokens", _QC_JOURNAL_CTE + _QC_DOC_CTE + _rows("qj", "journal", ["user_token_pattern"])
@@ -253,8 +255,9 @@ def q_qc_rev(ctx: Ctx) -> DataFrame:
 def q_qc_users(ctx: Ctx) -> DataFrame:
     """QC16/SF16 — user token pattern and one entity per user."""
     L = ctx.L
-    rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates)
-    return rows.where(F.col("rule") == "user_token_pattern").unionByName(quality.user_rules(L.journal))
+    rows = quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates,
+                                     rules=["user_token_pattern"])
+    return rows.unionByName(quality.user_rules(L.journal))
 
 
 @register("qc_plan", _QC_PLAN_CTE + _rows("qb", "budget", ["budget_keys", "budget_version"]) + " UNION ALL "
@@ -304,7 +307,8 @@ def q_qc_rates(ctx: Ctx) -> DataFrame:
 def q_qc_journal(ctx: Ctx) -> DataFrame:
     """QC4-QC11, QC13-QC16 — row-level journal rules in one scan."""
     L = ctx.L
-    return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates)
+    return quality.journal_row_rules(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master, L.rates,
+                                     L.fiscal_span.open_year)
 
 
 @register("qc_driver_tables", f"""
@@ -618,6 +622,154 @@ def q_rollup(ctx: Ctx) -> DataFrame:
                       "actual_amount", "budget_amount", "variance")
 
 
+def _node_levels(facts: str, measures: list[str], levels: list[tuple[str, str, int]]) -> str:
+    """Oracle of node sums: one grouping a level.  ``levels``: (node column, parent expression, depth)."""
+    sums = ", ".join(f"{M(f'sum(f.{m})')} AS {m}" for m in measures)
+    return " UNION ALL ".join(f"""SELECT n.node AS node_id, n.parent AS parent_id, {depth} AS depth, {str(depth == len(levels) - 1).upper()} AS is_leaf, {sums}
+      FROM (SELECT DISTINCT {node} AS node, {parent} AS parent FROM h) n LEFT JOIN ({facts}) f ON f.{node} = n.node GROUP BY n.node, n.parent"""
+                              for node, parent, depth in levels)
+
+
+@register("variance_node_rollup", _VARIANCE_CTE + """
+, h AS (SELECT company_code AS n0, division_id AS n1, department_id AS n2, cost_center AS n3 FROM cost_center),
+f AS (SELECT h.*, v.actual_amount, v.budget_amount, v.variance FROM variance v JOIN h ON h.n3 = v.cost_center)
+""" + _node_levels("SELECT * FROM f", ["actual_amount", "budget_amount", "variance"],
+                   [("n0", "CAST(NULL AS VARCHAR)", 0), ("n1", "n0", 1), ("n2", "n1", 2), ("n3", "n2", 3)]))
+def q_node_rollup(ctx: Ctx) -> DataFrame:
+    """AG16 — variance on every node of the parent-child table of cost centres, walked along its parent ids."""
+    tree = hierarchy.walk(hierarchy.cost_center_nodes(ctx.L.cost_center))
+    measures = ["actual_amount", "budget_amount", "variance"]
+    return money_cols(hierarchy.node_sums(ctx.variance, "cost_center", measures, tree), *measures)
+
+
+@register("pl_node_rollup", """
+, h AS (SELECT 'P&L' AS n0, pl_section AS n1, account_group AS n2, gl_account AS n3 FROM gl_account),
+f AS (SELECT h.*, j.signed_amount_group FROM v_journal j JOIN h ON h.n3 = j.gl_account)
+""" + _node_levels("SELECT * FROM f", ["signed_amount_group"],
+                   [("n0", "CAST(NULL AS VARCHAR)", 0), ("n1", "n0", 1), ("n2", "n1", 2), ("n3", "n2", 3)]))
+def q_pl_nodes(ctx: Ctx) -> DataFrame:
+    """AG16 — the P&L on every node of the account hierarchy (account, group, section, total)."""
+    tree = hierarchy.walk(hierarchy.account_nodes(ctx.L.gl_account))
+    return money_cols(hierarchy.node_sums(ctx.vj, "gl_account", ["signed_amount_group"], tree), "signed_amount_group")
+
+
+@register("qc_hierarchy", """
+, n AS (SELECT DISTINCT cost_center AS node, parent_id AS parent FROM cost_center
+        UNION SELECT department_id, division_id FROM cost_center UNION SELECT division_id, company_code FROM cost_center
+        UNION SELECT company_code, NULL FROM cost_center),
+reached AS (SELECT DISTINCT a.node FROM n a LEFT JOIN n b ON b.node = a.parent LEFT JOIN n c ON c.node = b.parent
+            LEFT JOIN n d ON d.node = c.parent WHERE a.parent IS NULL OR b.parent IS NULL OR c.parent IS NULL OR d.parent IS NULL)
+SELECT 'hierarchy_' || fault AS rule, 'cost_center' AS table_name, (SELECT count(DISTINCT node) FROM n) AS rows_checked, CAST(v AS BIGINT) AS violations
+FROM (SELECT 'two_parents' AS fault, (SELECT count(*) FROM (SELECT node FROM n GROUP BY node HAVING count(DISTINCT parent) > 1)) AS v
+      UNION ALL SELECT 'missing_parent', (SELECT count(DISTINCT node) FROM n WHERE parent IS NOT NULL AND parent NOT IN (SELECT node FROM n))
+      UNION ALL SELECT 'cycle', (SELECT count(DISTINCT node) FROM n WHERE node NOT IN (SELECT node FROM reached))
+      UNION ALL SELECT 'below_cycle', 0)
+""")
+def q_qc_hierarchy(ctx: Ctx) -> DataFrame:
+    """AG16 — nodes on or below a cycle, with two parents or with a parent that does not exist."""
+    nodes = hierarchy.cost_center_nodes(ctx.L.cost_center)
+    faults = hierarchy.hierarchy_faults(nodes, hierarchy.walk(nodes))
+    return quality.hierarchy_rules(nodes, faults)
+
+
+@register("qc_pseudonym_exposure", _VARIANCE_CTE + _TASKS_H_CTE + f"""
+, counted AS (
+  SELECT 'api_budget_variance' AS view_name, count(*) AS n FROM variance
+  UNION ALL SELECT 'api_close_monitor', count(*) FROM close_monitor
+  UNION ALL SELECT 'api_pl_actuals', count(*) FROM ({_PL_SQL})
+  UNION ALL SELECT 'api_ic_reconciliation', count(*) FROM (SELECT 1 FROM v_journal WHERE is_intercompany GROUP BY ic_pair, fiscal_year, reporting_period)
+  UNION ALL SELECT 'api_programme_burn', count(*)
+            FROM (SELECT DISTINCT programme_id FROM v_journal WHERE programme_id IS NOT NULL AND fiscal_period <= 12
+                  AND fiscal_year * 100 + fiscal_period <= {config.AS_OF_YEAR * 100 + config.AS_OF_PERIOD})
+  UNION ALL SELECT 'journal_interface', count(*) FROM journal
+  UNION ALL SELECT 'md_cost_center', count(*) FROM cost_center
+  UNION ALL SELECT 'planted_clerk', count(*) FROM journal
+), leaks AS (
+  SELECT count(*) FILTER (WHERE regexp_matches(posting_user_id, '^USR-[0-9A-F]{{6}}$')) > 0 AS shown FROM journal
+)
+SELECT c.view_name, c.n AS rows_checked, c.view_name LIKE 'planted%' AS planted,
+       CASE WHEN c.view_name LIKE 'planted%' THEN 2 ELSE 0 END AS columns_by_lineage,
+       CAST(CASE WHEN c.view_name LIKE 'planted%' AND l.shown THEN 1 ELSE 0 END AS BIGINT) AS columns_with_tokens,
+       c.view_name NOT LIKE 'planted%' AS passed
+FROM counted c, leaks l
+""")
+def q_exposure(ctx: Ctx) -> DataFrame:
+    """QC20/PF10 — user columns that a published view shows by lineage or by value, over all views and one with a planted leak."""
+    L = ctx.L
+    planted = L.journal.select("company_code", F.col("posting_user_id").alias("clerk"), "amount_group_currency",
+                               F.concat(F.lit("by "), F.col("posting_user_id")).alias("remark"))
+    views = {
+        "api_budget_variance": publish.api_budget_variance(ctx.variance, L.company, L.cost_center, L.programme_master, L.gl_account),
+        "api_close_monitor": publish.api_close_monitor(kpis.close_monitor(ctx.tasks_h, ctx.vj), L.company),
+        "api_pl_actuals": publish.api_pl_actuals(kpis.pl_actuals(ctx.vj)),
+        "api_ic_reconciliation": publish.api_ic_reconciliation(ctx.ic),
+        "api_programme_burn": publish.api_programme_burn(kpis.programme_burn(ctx.runrate(), config.AS_OF_DATE)),
+        "journal_interface": publish.journal_interface(L.journal, L.company, L.gl_account, L.cost_center, L.programme_master),
+        "md_cost_center": publish.drop_user_columns(L.cost_center),
+        "planted_clerk": planted,
+    }
+    return lineage.exposure(views).select(
+        "view_name", "rows_checked", F.col("view_name").startswith("planted").alias("planted"),
+        F.col("columns_by_lineage").cast("int").alias("columns_by_lineage"), "columns_with_tokens", "passed")
+
+
+@register("qc_raw_lines", """
+, raw AS (
+  SELECT s.s_suppkey IS NULL AS no_s, p.p_partkey IS NULL AS no_p, o.o_orderkey IS NULL AS no_o, o.o_orderkey IS NOT NULL AND c.c_custkey IS NULL AS no_c
+  FROM lineitem l
+  LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation)) s ON s.s_suppkey = l.l_suppkey
+  LEFT JOIN (SELECT DISTINCT p_partkey FROM part) p ON p.p_partkey = l.l_partkey
+  LEFT JOIN (SELECT o_orderkey, max(o_custkey) AS o_custkey FROM orders GROUP BY o_orderkey) o ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN (SELECT DISTINCT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation)) c ON c.c_custkey = o.o_custkey
+)
+SELECT unnest(['raw_line_supplier', 'raw_line_part', 'raw_line_order', 'raw_line_customer', 'raw_line_dropped']) AS rule, 'lineitem' AS table_name,
+       count(*) AS rows_checked,
+       unnest([count(*) FILTER (WHERE no_s), count(*) FILTER (WHERE no_p), count(*) FILTER (WHERE no_o), count(*) FILTER (WHERE no_c),
+               count(*) FILTER (WHERE no_s OR no_p OR no_o OR no_c)]) AS violations
+FROM raw
+""")
+def q_qc_raw(ctx: Ctx) -> DataFrame:
+    """QC4/JN14 — orphans among the raw lines, before the journal's inner joins drop them."""
+    L = ctx.L
+    return quality.raw_line_rules(*[L.driver_table(t) for t in ("lineitem", "orders", "customer", "supplier", "part", "nation")])
+
+
+@register("programme_runrate_function", _runrate_sql(config.AS_OF_YEAR, config.AS_OF_PERIOD, config.RUNRATE_WINDOW))
+def q_runrate_function(ctx: Ctx) -> DataFrame:
+    """KP10, SURVEY 2.20 — the run-rate as an SQL table function of year, period and window."""
+    import uuid
+
+    name = sql_functions.register_runrate(ctx.spark, ctx.vj, ctx.L.programme, f"tf_programme_runrate_{uuid.uuid4().hex[:8]}")
+    return _runrate_out(sql_functions.runrate(ctx.spark, name))
+
+
+@register("close_slippage_alerts", """
+, ev AS (SELECT greatest(max(period_end_date), max(actual_completion_date)) AS hi FROM close_tasks),
+late AS (
+  SELECT t.*, t.due_date + 1 AS due_end FROM close_tasks t, ev
+  WHERE t.actual_completion_date >= t.due_date + 1 OR (t.actual_completion_date IS NULL AND t.due_date + 1 < ev.hi)
+)
+SELECT close_task_id, company_code, fiscal_year, fiscal_period, task_id, 'overdue' AS alert, due_date, CAST(due_end AS TIMESTAMP) AS alert_time, 0 AS days_late
+FROM late
+UNION ALL
+SELECT close_task_id, company_code, fiscal_year, fiscal_period, task_id, 'completed_late', due_date, CAST(actual_completion_date AS TIMESTAMP),
+       CAST(actual_completion_date - due_date AS INTEGER)
+FROM late WHERE actual_completion_date IS NOT NULL
+""")
+def q_alerts(ctx: Ctx) -> DataFrame:
+    """SURVEY 2.21 — alerts of a stateful stream over the events of all close tasks."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming import alerts
+
+    root = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/alerts-{uuid.uuid4().hex}"
+    alerts.close_events(ctx.L.close_tasks).write.parquet(f"{root}/events")
+    stream = ctx.spark.readStream.schema(alerts.EVENTS).parquet(f"{root}/events")
+    alerts.start_alerts(stream, f"{root}/alerts", f"{root}/checkpoint", "0 seconds").awaitTermination()
+    return ctx.spark.read.parquet(f"{root}/alerts")
+
+
 # ======================================================================== KPI digests
 @register("kpi_entity_summary", _TASKS_H_CTE + """
 , per AS (
@@ -678,39 +830,40 @@ UNION ALL
 SELECT 'open_periods', CAST(sum(CASE WHEN is_open THEN 1 ELSE 0 END) AS DOUBLE), NULL FROM tasks_h WHERE task_id = 'T12'
 """)
 def q_kpi_tiles(ctx: Ctx) -> DataFrame:
-    """KP20 — one tile per headline figure (average days, slowest entity, worst programme, shares, counts)."""
-    t12 = kpis.days_to_close(ctx.tasks_h)
-    ent = t12.groupBy("company_code").agg(F.avg("days_to_close").alias("d"))
-    reg = ctx.vj.where(F.col("fiscal_period") <= 12)
-    rr = ctx.runrate()
-    closed = kpis.close_monitor(ctx.tasks_h, ctx.vj).where(
-        (F.col("task_id") == config.HARD_CLOSE_TASK) & F.col("days_to_close").isNotNull())
-    tiles = [
-        t12.agg(F.lit("avg_days_to_close").alias("tile"), F.avg("days_to_close").alias("value"),
-                F.lit(None).cast("string").alias("label")),
-        ent.agg(F.lit("slowest_entity").alias("tile"), F.max("d").alias("value"),
-                F.max_by("company_code", "d").alias("label")),
-        reg.agg(F.lit("manual_share").alias("tile"), ratio(F.sum(F.col("is_manual_posting").cast("long")),
-                                                          F.count(F.lit(1))).alias("value"), F.lit(None).cast("string").alias("label")),
-        reg.agg(F.lit("late_share").alias("tile"), ratio(F.sum(F.col("is_late_posting").cast("long")),
-                                                        F.count(F.lit(1))).alias("value"), F.lit(None).cast("string").alias("label")),
-        rr.agg(F.lit("programmes_over_budget").alias("tile"),
-               F.sum((F.col("eac_vs_budget_pct") > 1).cast("long")).cast("double").alias("value"),
-               F.lit(None).cast("string").alias("label")),
-        rr.agg(F.lit("programmes").alias("tile"), F.count(F.lit(1)).cast("double").alias("value"),
-               F.lit(None).cast("string").alias("label")),
-        rr.agg(F.lit("worst_programme").alias("tile"), F.max("eac_vs_budget_pct").alias("value"),
-               F.max_by("programme_name", "eac_vs_budget_pct").alias("label")),
-        rr.agg(F.lit("worst_programme_eac").alias("tile"), money(F.max_by("eac", "eac_vs_budget_pct")).alias("value"),
-               F.max_by("programme_id", "eac_vs_budget_pct").alias("label")),
-        closed.agg(F.lit("mean_period_manual_share").alias("tile"), F.round(F.avg("manual_share"), 9).alias("value"),
-                   F.lit(None).cast("string").alias("label")),
-        ctx.ic.agg(F.lit("open_ic_items").alias("tile"), F.sum(F.col("is_mismatch").cast("long")).cast("double")
-                   .alias("value"), F.lit(None).cast("string").alias("label")),
-        t12.agg(F.lit("open_periods").alias("tile"), F.sum(F.col("is_open").cast("long")).cast("double").alias("value"),
-                F.lit(None).cast("string").alias("label")),
-    ]
-    return reduce(DataFrame.unionByName, tiles)
+    """KP20 — one tile per headline figure (average days, slowest entity, worst programme, shares, counts); one pass a source."""
+    hard = kpis.days_to_close(ctx.tasks_h)
+    ent = hard.groupBy("company_code").agg(F.avg("days_to_close").alias("d"), F.sum("days_to_close").alias("days"),
+                                           F.count("days_to_close").alias("n"), F.sum(F.col("is_open").cast("long")).alias("open"))
+    close = ent.agg(ratio(F.sum("days"), F.sum("n")).alias("v0"), F.max("d").alias("v1"), F.max_by("company_code", "d").alias("l1"),
+                    F.sum("open").cast("double").alias("v2"))
+    eac = "eac_vs_budget_pct"
+    rr = ctx.runrate().agg(
+        F.sum((F.col(eac) > 1).cast("long")).cast("double").alias("v0"), F.count(F.lit(1)).cast("double").alias("v1"),
+        F.max(eac).alias("v2"), F.max_by("programme_name", eac).alias("l2"),
+        money(F.max_by("eac", eac)).alias("v3"), F.max_by("programme_id", eac).alias("l3"))
+    period = ["company_code", "fiscal_year", "fiscal_period"]
+    regular = (F.col("__fp") <= 12).cast("long")
+    lines = ctx.vj.withColumn("__fp", F.col("fiscal_period")).groupBy("company_code", "fiscal_year", F.col("reporting_period").alias("fiscal_period")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_manual_posting").cast("long")).alias("manual"), F.sum(regular).alias("reg"),
+        F.sum(F.col("is_manual_posting").cast("long") * regular).alias("reg_manual"),
+        F.sum(F.col("is_late_posting").cast("long") * regular).alias("reg_late"))
+    shares = lines.join(hard, period, "left").agg(
+        ratio(F.sum("reg_manual"), F.sum("reg")).alias("v0"), ratio(F.sum("reg_late"), F.sum("reg")).alias("v1"),
+        F.round(F.avg(F.when(F.col("days_to_close").isNotNull(), ratio("manual", "n"))), 9).alias("v2"))
+    items = ctx.ic.agg(F.sum(F.col("is_mismatch").cast("long")).cast("double").alias("v0"))
+    return reduce(DataFrame.unionByName, [
+        _tiles(close, [("avg_days_to_close", "v0", None), ("slowest_entity", "v1", "l1"), ("open_periods", "v2", None)]),
+        _tiles(shares, [("manual_share", "v0", None), ("late_share", "v1", None), ("mean_period_manual_share", "v2", None)]),
+        _tiles(rr, [("programmes_over_budget", "v0", None), ("programmes", "v1", None), ("worst_programme", "v2", "l2"),
+                    ("worst_programme_eac", "v3", "l3")]),
+        _tiles(items, [("open_ic_items", "v0", None)])])
+
+
+def _tiles(row: DataFrame, tiles: list[tuple[str, str, str | None]]) -> DataFrame:
+    """One aggregated row as (tile, value, label) rows."""
+    each = [F.struct(F.lit(name).alias("tile"), F.col(value).cast("double").alias("value"),
+                     (F.col(label) if label else F.lit(None)).cast("string").alias("label")) for name, value, label in tiles]
+    return row.select(F.explode(F.array(*each)).alias("t")).select("t.*")
 
 
 @register("group_financials", """
@@ -725,15 +878,17 @@ FROM v_journal WHERE fiscal_period <= 12
     rev_m=M("-sum(signed_amount_group)")))
 def q_group_financials(ctx: Ctx) -> DataFrame:
     """AG18 — revenue, cost, margin, revenue per year and lines per month (regular periods)."""
-    reg = ctx.vj.where(F.col("fiscal_period") <= 12)
-    rev = -F.sum(F.when(F.col("account_group") == "REV", F.col("signed_amount_group")).otherwise(0))
-    cost = F.sum(F.when(F.col("account_group") != "REV", F.col("signed_amount_group")).otherwise(0))
-    return reg.agg(
-        money(rev).alias("revenue"), money(cost).alias("cost"), money(-F.sum("signed_amount_group")).alias("margin"),
-        (F.round(rev, 2).cast("double") / F.countDistinct("fiscal_year")).alias("revenue_per_year"),
-        (F.count(F.lit(1)).cast("double") / F.countDistinct(F.col("fiscal_year") * 100 + F.col("fiscal_period")))
-        .alias("lines_per_month"),
-    )
+    signed = F.col("signed_amount_group")
+    periods = ctx.vj.where(F.col("fiscal_period") <= 12).groupBy("fiscal_year", "fiscal_period").agg(
+        F.sum(F.when(F.col("account_group") == "REV", -signed).otherwise(0)).alias("rev"),
+        F.sum(F.when(F.col("account_group") != "REV", signed).otherwise(0)).alias("cost"), F.sum(-signed).alias("margin"),
+        F.count(F.lit(1)).alias("n"))
+    # one row a period from here on, so the distinct counts are counts of few rows
+    years = periods.groupBy("fiscal_year").agg(*[F.sum(c).alias(c) for c in ("rev", "cost", "margin", "n")], F.count(F.lit(1)).alias("periods"))
+    return years.agg(
+        money(F.sum("rev")).alias("revenue"), money(F.sum("cost")).alias("cost"), money(F.sum("margin")).alias("margin"),
+        (F.round(F.sum("rev"), 2).cast("double") / F.count(F.lit(1))).alias("revenue_per_year"),
+        (F.sum("n").cast("double") / F.sum("periods")).alias("lines_per_month"))
 
 
 @register("special_period_profile", """
@@ -758,54 +913,115 @@ def q_special_profile(ctx: Ctx) -> DataFrame:
 
 
 # ======================================================================== reconciliation
-_PL_ROWS = f"(SELECT count(*) FROM ({_PL_SQL}))"
+# The oracle builds the aggregate itself, serves each view from it and computes what differs.
+_RC_VIEWS = {
+    # view: (base, from the aggregate, keys, {check: column})
+    "pl": ("""SELECT company_code, company_name, fiscal_year, reporting_period AS fiscal_period, pl_section, account_group, account_group_name,
+                     sum(signed_amount_group) AS amount, sum(CASE WHEN is_manual_posting THEN signed_amount_group ELSE 0 END) AS manual,
+                     count(*) AS lines, count(*) FILTER (WHERE is_manual_posting) AS manual_lines,
+                     count(*) FILTER (WHERE is_late_posting) AS late_lines, count(*) FILTER (WHERE fiscal_period > 12) AS special_lines
+              FROM v_journal GROUP BY ALL""",
+           """SELECT a.company_code, co.company_name, a.fiscal_year, a.fiscal_period, a.pl_section, a.account_group, g.account_group_name,
+                     sum(a.amount) AS amount, sum(a.manual) AS manual, sum(a.lines) AS lines, sum(a.manual_lines) AS manual_lines,
+                     sum(a.late_lines) AS late_lines, sum(CASE WHEN a.is_special THEN a.lines ELSE 0 END) AS special_lines
+              FROM agg0 a JOIN company co ON co.company_code = a.company_code
+              LEFT JOIN (SELECT DISTINCT account_group, account_group_name FROM gl_account) g ON g.account_group = a.account_group GROUP BY ALL""",
+           ["company_code", "company_name", "fiscal_year", "fiscal_period", "pl_section", "account_group", "account_group_name"],
+           {"pl_actuals": "amount", "pl_amount_manual": "manual", "pl_line_count": "lines", "pl_line_count_manual": "manual_lines",
+            "pl_line_count_late": "late_lines", "pl_line_count_year_end": "special_lines"}),
+    "fx": ("""SELECT company_code, company_name, local_currency, fiscal_year, reporting_period AS fiscal_period, account_group,
+                     sum(signed_amount_group) AS amount, sum(signed_amount_at_actual_rate) AS actual, sum(signed_amount_at_budget_rate) AS budget,
+                     sum(signed_amount_at_actual_rate) - sum(signed_amount_at_budget_rate) AS impact, sum(amount_local_currency * rate_budget) AS gross
+              FROM v_journal GROUP BY ALL""",
+           """SELECT a.company_code, co.company_name, a.local_currency, a.fiscal_year, a.fiscal_period, a.account_group, sum(a.amount) AS amount,
+                     sum(a.actual) AS actual, sum(a.budget) AS budget, sum(a.actual) - sum(a.budget) AS impact, sum(a.gross) AS gross
+              FROM agg0 a JOIN company co ON co.company_code = a.company_code GROUP BY ALL""",
+           ["company_code", "company_name", "local_currency", "fiscal_year", "fiscal_period", "account_group"],
+           {"fx_impact": "impact", "fx_amount_booked": "amount", "fx_at_actual_rate": "actual", "fx_at_budget_rate": "budget",
+            "fx_gross_at_budget_rate": "gross"}),
+    "var": ("SELECT company_code, fiscal_year, fiscal_period, cost_center, account_group, programme_id, actual_amount, budget_amount, variance FROM variance",
+            """SELECT coalesce(a.company_code, b.company_code) AS company_code, coalesce(a.fiscal_year, b.fiscal_year) AS fiscal_year,
+                      coalesce(a.fiscal_period, b.fiscal_period) AS fiscal_period, coalesce(a.cost_center, b.cost_center) AS cost_center,
+                      coalesce(a.account_group, b.account_group) AS account_group, coalesce(a.programme_key, b.programme_key) AS programme_id,
+                      coalesce(a.amount, 0) AS actual_amount, coalesce(b.budget_amount, 0) AS budget_amount,
+                      coalesce(a.amount, 0) - coalesce(b.budget_amount, 0) AS variance
+               FROM (SELECT company_code, fiscal_year, fiscal_period, cost_center, account_group, coalesce(programme_id, '(none)') AS programme_key,
+                            sum(amount) AS amount FROM agg0 WHERE NOT is_special AND cost_center IS NOT NULL GROUP BY ALL) a
+               FULL OUTER JOIN bud_cells b ON a.company_code = b.company_code AND a.fiscal_year = b.fiscal_year AND a.fiscal_period = b.fiscal_period
+                AND a.cost_center = b.cost_center AND a.account_group = b.account_group AND a.programme_key = b.programme_key""",
+            ["company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group", "programme_id"],
+            {"budget_variance": "variance", "variance_actual": "actual_amount", "variance_budget": "budget_amount"}),
+    "prog": ("""SELECT programme_id, fiscal_year * 100 + fiscal_period AS period_key, sum(signed_amount_group) AS cost
+                FROM v_journal WHERE programme_id IS NOT NULL AND fiscal_period <= 12 GROUP BY ALL""",
+             """SELECT programme_id, fiscal_year * 100 + fiscal_period AS period_key, sum(amount) AS cost
+                FROM agg0 WHERE programme_id IS NOT NULL AND NOT is_special GROUP BY ALL""",
+             ["programme_id", "period_key"], {"programme_monthly_cost": "cost"}),
+    "share": ("""SELECT company_code, fiscal_year, reporting_period AS fiscal_period, count(*) AS lines,
+                        count(*) FILTER (WHERE is_manual_posting) AS manual_lines,
+                        sum(CASE WHEN is_manual_posting THEN signed_amount_group ELSE 0 END) AS manual,
+                        count(*) FILTER (WHERE is_late_posting) AS late_lines
+                 FROM v_journal GROUP BY ALL""",
+              """SELECT company_code, fiscal_year, fiscal_period, sum(lines) AS lines, sum(manual_lines) AS manual_lines, sum(manual) AS manual,
+                        sum(late_lines) AS late_lines FROM agg0 GROUP BY ALL""",
+              ["company_code", "fiscal_year", "fiscal_period"],
+              {"share_line_count": "lines", "share_manual_count": "manual_lines", "share_amount_manual": "manual", "share_late_count": "late_lines"}),
+    "fc": ("""SELECT company_code, cost_center, programme_key, fiscal_year, fiscal_period, actual FROM fc_base""",
+           """SELECT company_code, cost_center, coalesce(programme_id, '(none)') AS programme_key, fiscal_year, fiscal_period, sum(amount) AS actual
+              FROM agg0 WHERE NOT is_special AND cost_center IS NOT NULL GROUP BY ALL""",
+           ["company_code", "cost_center", "programme_key", "fiscal_year", "fiscal_period"], {"forecast_actuals": "actual"}),
+}
 
 
-@register("reconcile_agg_vs_base", _VARIANCE_CTE + f"""
-, fxrows AS (SELECT count(*) AS n FROM (SELECT 1 FROM v_journal GROUP BY company_code, company_name, local_currency,
-             fiscal_year, reporting_period, account_group)),
-plrows AS (SELECT count(*) AS n FROM (SELECT 1 FROM v_journal GROUP BY company_code, company_name, fiscal_year,
-             reporting_period, pl_section, account_group, account_group_name))
-SELECT 'pl_actuals' AS check_name, n AS rows_compared, CAST(0 AS BIGINT) AS missing_left,
-       CAST(0 AS BIGINT) AS missing_right, 0.0::DOUBLE AS max_abs_delta, TRUE AS passed FROM plrows
-UNION ALL
-SELECT k, n, 0, 0, 0.0, TRUE FROM plrows, (VALUES ('pl_amount_manual'), ('pl_line_count'), ('pl_line_count_manual'),
-                                                  ('pl_line_count_late'), ('pl_line_count_year_end')) c(k)
-UNION ALL
-SELECT k, n, 0, 0, 0.0, TRUE FROM fxrows, (VALUES ('fx_impact'), ('fx_amount_booked'), ('fx_at_actual_rate'),
-                                                  ('fx_at_budget_rate'), ('fx_gross_at_budget_rate')) c(k)
-UNION ALL
-SELECT k, count(*), 0, 0, 0.0, TRUE FROM variance, (VALUES ('budget_variance'), ('variance_actual'), ('variance_budget')) c(k)
-GROUP BY k
-UNION ALL
-SELECT 'programme_monthly_cost', count(*), 0, 0, 0.0, TRUE
-FROM (SELECT 1 FROM v_journal WHERE programme_id IS NOT NULL AND fiscal_period <= 12
-      GROUP BY programme_id, fiscal_year, fiscal_period)
-""")
+def _rc_sql() -> str:
+    ctes, checks = [], []
+    for view, (base, served, keys, measures) in _RC_VIEWS.items():
+        on = " AND ".join(f"b.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+        deltas = ", ".join(f"abs(b.{c} - s.{c}) AS d_{c}" for c in measures.values())
+        ctes.append(f"{view}_b AS ({base}), {view}_s AS ({served}), {view}_j AS (SELECT b.here AS in_b, s.here AS in_s, {deltas} "
+                    f"FROM (SELECT *, TRUE AS here FROM {view}_b) b FULL OUTER JOIN (SELECT *, TRUE AS here FROM {view}_s) s ON {on})")
+        for check, c in measures.items():
+            checks.append(f"""SELECT '{check}' AS check_name, count(*) FILTER (WHERE in_b AND in_s) AS rows_compared,
+              count(*) FILTER (WHERE in_b IS NULL) AS missing_left, count(*) FILTER (WHERE in_s IS NULL) AS missing_right,
+              CAST(coalesce(max(d_{c}), 0) AS DOUBLE) AS max_abs_delta,
+              count(*) FILTER (WHERE in_b IS NULL OR in_s IS NULL) = 0 AND coalesce(max(d_{c}), 0) = 0 AS passed FROM {view}_j""")
+    agg = """, agg0 AS (
+  SELECT company_code, fiscal_year, reporting_period AS fiscal_period, account_group, pl_section, programme_id, cost_center,
+         fiscal_period > 12 AS is_special, local_currency, sum(signed_amount_group) AS amount,
+         sum(CASE WHEN is_manual_posting THEN signed_amount_group ELSE 0 END) AS manual, sum(signed_amount_at_actual_rate) AS actual,
+         sum(signed_amount_at_budget_rate) AS budget, sum(amount_local_currency * rate_budget) AS gross, count(*) AS lines,
+         count(*) FILTER (WHERE is_manual_posting) AS manual_lines, count(*) FILTER (WHERE is_late_posting) AS late_lines
+  FROM v_journal GROUP BY ALL
+), fc_base AS (
+  SELECT company_code, cost_center, coalesce(programme_id, '(none)') AS programme_key, fiscal_year, fiscal_period, sum(signed_amount_group) AS actual
+  FROM v_journal WHERE fiscal_period <= 12 AND cost_center IS NOT NULL GROUP BY ALL
+), """
+    return _VARIANCE_CTE + agg + ", ".join(ctes) + " " + " UNION ALL ".join(checks)
+
+
+@register("reconcile_agg_vs_base", _rc_sql())
 def q_reconcile(ctx: Ctx) -> DataFrame:
-    """RC1/RC2 — aggregate-served views equal the base views (keys on both sides, zero delta)."""
+    """RC1/RC2 — what the aggregate serves of six KPIs equals the base views at their grains (20 measures), by digests of key ranges."""
     L = ctx.L
-    pl_keys = ["company_code", "company_name", "fiscal_year", "fiscal_period", "pl_section", "account_group",
-               "account_group_name"]
-    fx_keys = ["company_code", "company_name", "local_currency", "fiscal_year", "fiscal_period", "account_group"]
-    v_keys = ["company_code", "fiscal_year", "fiscal_period", "cost_center", "account_group", "programme_id"]
-    pl = kpis.pl_actuals(ctx.vj), materialise.pl_actuals_from_agg(ctx.agg, L.company, L.gl_account)
-    fx = kpis.fx_impact(ctx.vj), materialise.fx_impact_from_agg(ctx.agg, L.company)
-    var = ctx.variance, materialise.budget_variance_from_agg(ctx.agg, ctx.budget_cells)
-    monthly = ctx.vj.where(F.col("programme_id").isNotNull() & (F.col("fiscal_period") <= 12)).groupBy(
+
+    def checks(view: str, base: DataFrame, served: DataFrame, columns: list[str]) -> DataFrame:
+        return reconcile.reconcile_measures(base, served, _RC_VIEWS[view][2], dict(zip(_RC_VIEWS[view][3], columns, strict=True)))
+
+    vj, regular = ctx.vj, F.col("fiscal_period") <= 12
+    monthly = vj.where(F.col("programme_id").isNotNull() & regular).groupBy(
         "programme_id", period_key().alias("period_key")).agg(F.sum("signed_amount_group").alias("period_cost"))
-    prog = monthly, materialise.programme_monthly_from_agg(ctx.agg)
-    checks = [(name, *pl, pl_keys, col) for name, col in (
-        ("pl_actuals", "amount_group_currency"), ("pl_amount_manual", "amount_manual"), ("pl_line_count", "line_count"),
-        ("pl_line_count_manual", "line_count_manual"), ("pl_line_count_late", "line_count_late"),
-        ("pl_line_count_year_end", "line_count_year_end_adjustment"))]
-    checks += [(name, *fx, fx_keys, col) for name, col in (
-        ("fx_impact", "fx_impact"), ("fx_amount_booked", "amount_group_booked"), ("fx_at_actual_rate", "amount_at_actual_rate"),
-        ("fx_at_budget_rate", "amount_at_budget_rate"), ("fx_gross_at_budget_rate", "gross_at_budget_rate"))]
-    checks += [(name, *var, v_keys, col) for name, col in (
-        ("budget_variance", "variance"), ("variance_actual", "actual_amount"), ("variance_budget", "budget_amount"))]
-    checks.append(("programme_monthly_cost", *prog, ["programme_id", "period_key"], "period_cost"))
-    return reconcile.reconcile_many([(*c, 0.0) for c in checks])
+    shares = vj.groupBy("company_code", "fiscal_year", F.col("reporting_period").alias("fiscal_period")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum(F.col("is_manual_posting").cast("long")).alias("line_count_manual"),
+        F.sum(F.when(F.col("is_manual_posting"), F.col("signed_amount_group")).otherwise(0)).alias("amount_manual"),
+        F.sum(F.col("is_late_posting").cast("long")).alias("line_count_late"))
+    return reduce(DataFrame.unionByName, [
+        checks("pl", kpis.pl_actuals(vj), materialise.pl_actuals_from_agg(ctx.agg, L.company, L.gl_account),
+               ["amount_group_currency", "amount_manual", "line_count", "line_count_manual", "line_count_late", "line_count_year_end_adjustment"]),
+        checks("fx", kpis.fx_impact(vj), materialise.fx_impact_from_agg(ctx.agg, L.company),
+               ["fx_impact", "amount_group_booked", "amount_at_actual_rate", "amount_at_budget_rate", "gross_at_budget_rate"]),
+        checks("var", ctx.variance, materialise.budget_variance_from_agg(ctx.agg, ctx.budget_cells), ["variance", "actual_amount", "budget_amount"]),
+        checks("prog", monthly, materialise.programme_monthly_from_agg(ctx.agg), ["period_cost"]),
+        checks("share", shares, materialise.shares_from_agg(ctx.agg), ["line_count", "line_count_manual", "amount_manual", "line_count_late"]),
+        checks("fc", kpis.forecast_actuals(vj), materialise.forecast_actuals_from_agg(ctx.agg), ["actual"])])
 
 
 @register("published_views_nonempty", _VARIANCE_CTE + _TASKS_H_CTE + f"""
@@ -858,25 +1074,26 @@ UNION ALL SELECT 'kpi', 'ic_lines', CAST(count(*) FILTER (WHERE is_intercompany)
 def q_dataset_profile(ctx: Ctx) -> DataFrame:
     """RC4 — table volumes and a KPI digest as (section, metric, value) rows."""
     L = ctx.L
-    reg = ctx.vj.where(F.col("fiscal_period") <= 12)
+    names = {"journal": "journal_lines", "budget": "budget_rows", "forecast": "forecast_rows", "close_tasks": "close_task_rows",
+             "company": "company_rows", "cost_center": "cost_center_rows", "gl_account": "gl_account_rows", "dim_date": "calendar_days",
+             "rates": "rate_rows"}
+    metric = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    volumes = L.row_counts().where(F.col("table_name").isin(list(names))).select(
+        F.lit("volume").alias("section"), metric[F.col("table_name")].alias("metric"), F.col("row_count").cast("double").alias("value"))
+    regular = F.col("fiscal_period") <= 12
+    signed, count = F.when(regular, F.col("signed_amount_group")), F.sum(regular.cast("long"))
     parts = [
+        volumes,
         reconcile.profile_rows("volume", L.journal, {
-            "journal_lines": F.count(F.lit(1)),
             "special_period_lines": F.sum((F.col("fiscal_period") > 12).cast("long")),
             "reversal_lines": F.sum(F.col("is_reversal").cast("long"))}),
-        reconcile.profile_rows("volume", L.budget, {"budget_rows": F.count(F.lit(1))}),
-        reconcile.profile_rows("volume", L.forecast, {"forecast_rows": F.count(F.lit(1))}),
-        reconcile.profile_rows("volume", L.close_tasks, {"close_task_rows": F.count(F.lit(1))}),
-        *[reconcile.profile_rows("volume", df, {name: F.count(F.lit(1))}) for name, df in (
-            ("company_rows", L.company), ("cost_center_rows", L.cost_center), ("gl_account_rows", L.gl_account),
-            ("calendar_days", L.dim_date), ("rate_rows", L.rates))],
         reconcile.profile_rows("kpi", kpis.days_to_close(ctx.tasks_h), {"avg_days_to_close": F.avg("days_to_close")}),
-        reconcile.profile_rows("kpi", reg, {
-            "manual_share": F.sum(F.col("is_manual_posting").cast("long")) / F.count(F.lit(1)),
-            "late_share": F.sum(F.col("is_late_posting").cast("long")) / F.count(F.lit(1)),
-            "revenue": F.round(-F.sum(F.when(F.col("account_group") == "REV", F.col("signed_amount_group")).otherwise(0)), 2),
-            "cost": F.round(F.sum(F.when(F.col("account_group") != "REV", F.col("signed_amount_group")).otherwise(0)), 2)}),
-        reconcile.profile_rows("kpi", ctx.vj, {"ic_lines": F.sum(F.col("is_intercompany").cast("long"))}),
+        reconcile.profile_rows("kpi", ctx.vj, {
+            "manual_share": F.sum((F.col("is_manual_posting") & regular).cast("long")) / count,
+            "late_share": F.sum((F.col("is_late_posting") & regular).cast("long")) / count,
+            "revenue": F.round(-F.sum(F.when(F.col("account_group") == "REV", signed).otherwise(0)), 2),
+            "cost": F.round(F.sum(F.when(F.col("account_group") != "REV", signed).otherwise(0)), 2),
+            "ic_lines": F.sum(F.col("is_intercompany").cast("long"))}),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -976,10 +1193,8 @@ SELECT CAST(NULL AS VARCHAR), programme_id, {M('sum(actual_amount)')}, 'by_progr
 FROM variance WHERE fiscal_year = 2000 GROUP BY programme_id
 """)
 def q_concat(ctx: Ctx) -> DataFrame:
-    """ST4 — two aggregations of the same set concatenated with a level tag."""
+    """ST4 — two aggregations of the same set with a level tag, in one pass (grouping sets)."""
     v = ctx.variance.where(F.col("fiscal_year") == 2000)
-    out = slicing.query_concat({
-        "by_company": v.groupBy("company_code").agg(F.sum("actual_amount").alias("actual")),
-        "by_programme": v.groupBy("programme_id").agg(F.sum("actual_amount").alias("actual")),
-    })
+    out = slicing.query_concat(v, {"by_company": ["company_code"], "by_programme": ["programme_id"]},
+                               [("actual", "sum", "actual_amount")])
     return money_cols(out.select("company_code", "programme_id", "actual", "level"), "actual")

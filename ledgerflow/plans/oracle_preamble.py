@@ -43,6 +43,12 @@ covered AS (
 last_covered AS (
   SELECT max(fiscal_year * 100 + fiscal_period) AS last_key FROM covered
 ),
+span AS (
+  SELECT (SELECT min(fiscal_year) FROM covered) AS first_year,
+         CASE WHEN last_key % 100 = 12 THEN last_key // 100 + 1 ELSE last_key // 100 END AS open_year,
+         CASE WHEN last_key % 100 = 12 THEN 0 ELSE last_key % 100 END AS last_closed
+  FROM last_covered
+),
 -- Easter by search: the first Sunday after the ecclesiastical full moon, whose age in the 30-day
 -- cycle follows from the golden number and the century's corrections
 moons AS (
@@ -439,11 +445,11 @@ b_annual AS (
 b_rows AS (
   SELECT company_code, fiscal_year, cost_center, account_group, programme_key,
          round(actual_annual * 1.00, 2) AS amount
-  FROM b_annual WHERE fiscal_year = 1995
+  FROM b_annual WHERE fiscal_year = (SELECT first_year FROM span)
   UNION ALL
   SELECT company_code, fiscal_year + 1, cost_center, account_group, programme_key,
          round(actual_annual * 1.03, 2) AS amount
-  FROM b_annual WHERE fiscal_year >= 1995 AND fiscal_year < 2001
+  FROM b_annual WHERE fiscal_year >= (SELECT first_year FROM span) AND fiscal_year < (SELECT open_year FROM span)
 ),
 budget AS (
   SELECT company_code, CAST(fiscal_year AS INTEGER) AS fiscal_year, cost_center, account_group,
@@ -467,7 +473,7 @@ f_snap AS (
   SELECT f.company_code, f.fiscal_year, f.cost_center, f.programme_key, f.mean_c, v.version, v.after,
          last_day(make_date(f.fiscal_year, v.after, 1)) AS snap_end
   FROM f_combo f, (VALUES ('FC-Q1', 3), ('FC-Q2', 6), ('FC-Q3', 9)) v(version, after)
-  WHERE v.after <= CASE WHEN f.fiscal_year = 2001 THEN 7 ELSE 12 END
+  WHERE v.after <= CASE WHEN f.fiscal_year = (SELECT open_year FROM span) THEN (SELECT last_closed FROM span) ELSE 12 END
 ),
 f_upto AS (
   SELECT v.version, p.company_code, p.fiscal_year, p.cost_center, p.programme_key, {_FORECAST_MEAN} AS pull_c

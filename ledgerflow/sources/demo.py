@@ -31,6 +31,7 @@ catalogue, five programmes).
 from __future__ import annotations
 
 import threading
+import uuid
 from decimal import Decimal
 from functools import cached_property
 
@@ -38,12 +39,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.columns import (
-    div_half_up, period_key,
-)
+from ..functions.columns import div_half_up
 from ..functions.hints import bounded
 from ..operators import calendar as cal
 from ..operators.ledger import number_lines
+from ..session import cut_lineage
+from . import versions
+from .files import load_counts, with_document_key, write_by_document
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -85,11 +87,13 @@ class DemoLedger:
         self.spark = spark
         self.sf_dir = sf_dir
         self.store = store
-        self._lock, self._written = threading.Lock(), set()
+        self._lock, self._written = threading.RLock(), {}
 
     def _t(self, name: str) -> DataFrame:
         return read_driver_table(self.spark, self.sf_dir, name)
 
+    driver_table = _t
+
     # ------------------------------------------------------------------ dims
     @_bounded_table
     def company(self) -> DataFrame:
@@ -166,7 +170,7 @@ class DemoLedger:
         from ..operators.plan import programme_budget_derive
 
         budget = programme_budget_derive(self.journal, self.programme_master)
-        return (
+        return self._kept("programme", (
             self.programme_master.join(budget, "programme_id", "left")
             .select(
                 "programme_id", "programme_name", "programme_type", "lead_company_code",
@@ -176,30 +180,48 @@ class DemoLedger:
                 F.when(F.col("end_date") < F.lit(config.AS_OF_DATE), F.lit("CLOSED"))
                 .otherwise(F.lit("ACTIVE")).alias("status"),
             )
-        )
+        ))
 
     @_bounded_table
     def dim_date(self) -> DataFrame:
-        return cal.dim_date(self.calendar_years)
+        return cut_lineage(cal.dim_date(self.calendar_years))
+
+    @cached_property
+    def order_days(self) -> DataFrame:
+        """Orders by day and region of the customer (null without one): number and value in cents.
+
+        The one pass over the orders that calendar, periods and rates need; a few rows a day.
+        """
+        nation = F.broadcast(self._t("nation").select("n_nationkey", "n_regionkey"))
+        customer = self._t("customer").select("c_custkey", "c_nationkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        value = F.round(F.col("o_totalprice").cast("decimal(15,2)") * 100, 0).cast("decimal(18,0)")
+        days = (self._t("orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+                .join(customer.select("c_custkey", "n_regionkey"), F.col("o_custkey") == F.col("c_custkey"), "left")
+                .groupBy("day", F.col("n_regionkey").alias("region")).agg(F.count(F.lit(1)).alias("orders"), F.sum(value).alias("cents")))
+        return cut_lineage(days)
 
     @cached_property
     def calendar_years(self) -> DataFrame:
-        return cal.calendar_years(self._t("orders"), "o_orderdate")
+        return cut_lineage(cal.calendar_years(self.order_days, "day"))
 
     @cached_property
     def periods(self) -> DataFrame:
         """The closed regular periods, read off the order dates."""
-        return cal.covered_periods(self._t("orders"), "o_orderdate")
+        return cut_lineage(cal.covered_periods(self.order_days, "day"))
 
     @cached_property
     def as_of(self) -> DataFrame:
         """One row: the last posting's date."""
-        return self._t("orders").agg(F.to_date(F.max("o_orderdate")).alias("as_of"))
+        return cut_lineage(self.order_days.agg(F.max("day").alias("as_of")))
 
     @cached_property
+    def fiscal_span(self) -> cal.FiscalSpan:
+        return cal.fiscal_span(self.periods)
+
+    @property
     def last_covered(self) -> int:
-        """Key of the last closed period (one value; 0 without postings)."""
-        return self.periods.agg(F.max(period_key())).first()[0] or 0
+        """Key of the last closed period (0 without postings)."""
+        return self.fiscal_span.last_key
 
     @_bounded_table
     def close_task(self) -> DataFrame:
@@ -218,19 +240,13 @@ class DemoLedger:
         orders keeps the last month's rate (the first known one at the start), and EUR is 1.  The
         budget rate is that of the fiscal year's first month.
         """
-        nation = self._t("nation").select("n_nationkey", "n_regionkey")
-        orders = (
-            self._t("orders").select("o_custkey", "o_orderdate", "o_totalprice")
-            .join(self._t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        )
-        value = F.round(F.col("o_totalprice").cast("decimal(15,2)") * 100, 0).cast("decimal(18,0)")
-        sums = [F.sum(value).cast("decimal(20,0)").alias("s_all"), F.count(F.lit(1)).cast("decimal(10,0)").alias("n_all")]
+        orders = self.order_days.where(F.col("region").isNotNull())
+        sums = [F.sum("cents").cast("decimal(20,0)").alias("s_all"), F.sum("orders").cast("decimal(10,0)").alias("n_all")]
         for key in config.REGION_CURRENCY:
-            own = F.col("n_regionkey") == key
-            sums += [F.sum(F.when(own, value).otherwise(0)).cast("decimal(20,0)").alias(f"s{key}"),
-                     F.sum(F.when(own, 1).otherwise(0)).cast("decimal(10,0)").alias(f"n{key}")]
-        by_month = orders.groupBy(F.year("o_orderdate").alias("fiscal_year"), F.month("o_orderdate").alias("fiscal_period")).agg(*sums)
+            own = F.col("region") == key
+            sums += [F.sum(F.when(own, F.col("cents")).otherwise(0)).cast("decimal(20,0)").alias(f"s{key}"),
+                     F.sum(F.when(own, F.col("orders")).otherwise(0)).cast("decimal(10,0)").alias(f"n{key}")]
+        by_month = orders.groupBy(F.year("day").alias("fiscal_year"), F.month("day").alias("fiscal_period")).agg(*sums)
 
         def level(key):
             million = F.lit(1000000).cast("decimal(7,0)")
@@ -254,14 +270,14 @@ class DemoLedger:
         rows = rows.withColumn("rate_m", rate)
         year = Window.partitionBy("from_currency", "fiscal_year").orderBy("fiscal_period")
         rows = rows.withColumn("rate_b", F.first("rate_m").over(year))
-        return rows.select(
+        return cut_lineage(rows.select(
             "from_currency", F.lit(config.GROUP_CURRENCY).alias("to_currency"), "fiscal_year", "fiscal_period",
             F.explode(F.array(
                 F.struct(F.lit("M").alias("rate_type"), F.col("rate_m").alias("exchange_rate")),
                 F.struct(F.lit("B").alias("rate_type"), F.col("rate_b").alias("exchange_rate")),
             )).alias("r"),
         ).select("from_currency", "to_currency", "fiscal_year", "fiscal_period", "r.rate_type",
-                 "r.exchange_rate")
+                 "r.exchange_rate"))
 
     # --------------------------------------------------------------- journal
     def _actual_rates(self) -> DataFrame:
@@ -386,17 +402,42 @@ class DemoLedger:
         j = journal_with_derived(self.journal_base, self.rates, self.company, self.dim_date, self.last_covered)
         return self._kept("journal", j, "fiscal_year")
 
+    @cached_property
+    def journal_by_document(self) -> DataFrame:
+        """SC9: the journal bucketed by document; without a store the journal with the same columns."""
+        if self.store is None:
+            return with_document_key(self.journal)
+        journal = self.journal
+        with self._lock:
+            if "by_document" not in self._written:
+                self._written["by_document"] = f"journal_by_document_{uuid.uuid4().hex}"
+                table = self._written["by_document"]
+                try:
+                    write_by_document(journal, table, f"{self.store}/{table}")
+                except BaseException:
+                    del self._written["by_document"]
+                    raise
+        return self.spark.table(self._written["by_document"])
+
     def _kept(self, name: str, df: DataFrame, *by: str) -> DataFrame:
         """A shared ledger writes ``df`` to its store once, partitioned, and reads it from there, so
-        that filters and columns reach the files; without a store the frame itself."""
+        that filters and columns reach the files; without a store the frame itself.  A write that fails
+        leaves no commit, so the next question writes again."""
         if self.store is None:
             return df
         path = f"{self.store}/{name}"
         with self._lock:  # queries may run side by side in one session
             if name not in self._written:
-                df.write.partitionBy(*by).parquet(path)
-                self._written.add(name)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+                self._written[name] = str(versions.replace_table(df, path, list(by)))
+        return versions.read_table(self.spark, path).select(*df.columns)
+
+    def row_counts(self) -> DataFrame:
+        """SC4: rows of every finance table, counted while the tables are written; none is scanned for it."""
+        if self.store is None:
+            return load_counts(self, None)
+        for name, df in self.tables().items():
+            self._kept(name, df)
+        return versions.row_counts(self.spark, self.store, FINANCE_TABLES)
 
     @cached_property
     def agg_journal_monthly(self) -> DataFrame | None:
@@ -417,26 +458,26 @@ class DemoLedger:
 
         # the original lines: no reversals, and no mirrors (whose document numbers start with M)
         lines = self.journal.where(~F.col("is_reversal") & ~F.col("document_number").startswith("M"))
-        return close_calendar(self.close_schedule, lines, self.dim_date, self.as_of)
+        return self._kept("close_tasks", close_calendar(self.close_schedule, lines, self.dim_date, self.as_of))
 
     @_bounded_table
     def close_schedule(self) -> DataFrame:
         """Tasks with due dates alone; completion dates take a pass over the lines."""
         from ..operators.plan import close_schedule
 
-        return close_schedule(self.company, self.periods, self.dim_date)
+        return cut_lineage(close_schedule(self.company, self.periods, self.dim_date))
 
     @cached_property
     def budget(self) -> DataFrame:
         from ..operators.plan import budget_build
 
-        return budget_build(self.journal, self.gl_account)
+        return self._kept("budget", budget_build(self.journal, self.gl_account, self.fiscal_span))
 
     @cached_property
     def forecast(self) -> DataFrame:
         from ..operators.plan import forecast_build
 
-        return forecast_build(self.journal, self.dim_date)
+        return self._kept("forecast", forecast_build(self.journal, self.dim_date, self.fiscal_span))
 
     def use_stored_journal(self, journal: DataFrame) -> None:
         """Serve the journal (and everything derived from it) from a stored copy."""
@@ -469,8 +510,6 @@ _SHARED: dict[tuple[int, str], DemoLedger] = {}
 def demo_ledger(spark: SparkSession, sf_dir: str) -> DemoLedger:
     """The session's ledger for a data folder; journal and aggregate are written to the shared
     checkpoint folder once and read back by every query."""
-    import uuid
-
     from ..session import ensure_checkpoint_dir
 
     key = (id(spark), sf_dir.rstrip("/"))

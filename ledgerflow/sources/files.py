@@ -7,7 +7,7 @@ that a pandas writer rendered as ``0.0`` are cast through ``double``.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,13 @@ from pyspark.sql.types import BooleanType, DateType, DecimalType, IntegerType, L
 
 from .. import schemas
 from ..functions.hints import DIM_BROADCAST_MAX_ROWS, bounded
+from . import versions
+
+#: Rows up to which a JSON result is written as one file.
+JSON_ONE_FILE_ROWS = 100_000
+#: Column that keeps a document and its reversal together, and the buckets of the document layout.
+DOCUMENT_KEY = "document_key"
+DOCUMENT_BUCKETS = 64
 
 
 class MissingColumnError(ValueError):
@@ -66,16 +73,44 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """SC7: JSON sink for small aggregates (one file)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """SC7: JSON sink; a result of up to JSON_ONE_FILE_ROWS rows is one file, a larger one a file a partition."""
+    small = df.limit(JSON_ONE_FILE_ROWS + 1).count() <= JSON_ONE_FILE_ROWS
+    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """SC3/SC9: full-load refresh, optionally partitioned (e.g. by fiscal year); the rows written (SC4).
+
+    Readers of ``versions.read_table`` see the old rows until the new ones are whole.
+    """
+    return versions.replace_table(df, path, partition_by)
+
+
+def with_document_key(journal: DataFrame) -> DataFrame:
+    """The journal with the document that a line belongs to or reverses."""
+    return journal.withColumn(DOCUMENT_KEY, F.coalesce("reversed_document", "document_number"))
+
 
+def write_by_document(journal: DataFrame, table: str, path: str, buckets: int = DOCUMENT_BUCKETS) -> DataFrame:
+    """SC9, hash half: the journal as a catalogue table partitioned by year and bucketed by document beside it.
+
+    Groupings, windows and joins by document then need no shuffle.  Rows are dealt to their buckets once, so each
+    bucket is one file a year.
+    """
+    dealt = with_document_key(journal).repartition(buckets, DOCUMENT_KEY)
+    (dealt.write.partitionBy("fiscal_year").bucketBy(buckets, DOCUMENT_KEY).sortBy(DOCUMENT_KEY)
+     .option("path", path).saveAsTable(table))
+    return journal.sparkSession.table(table)
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """SC3/SC9: full-load refresh as Parquet, optionally partitioned (e.g. by fiscal year)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+
+def load_counts(ledger, root: str | None) -> DataFrame:
+    """SC4: rows of every finance table.  Of a ledger that was loaded into ``root`` they are read off the commits;
+    of one that is not stored they are counted."""
+    spark = ledger.spark
+    if root is not None and all(versions.is_versioned(spark, f"{root}/{t}") for t in schemas.SCHEMAS):
+        return versions.row_counts(spark, root, list(schemas.SCHEMAS))
+    parts = [getattr(ledger, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in schemas.SCHEMAS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sample_slice(df: DataFrame, n: int, order_by: list[str], keep_together: str | None = None) -> DataFrame:
@@ -101,7 +136,7 @@ class ParquetLedger:
         self._frames: dict[str, DataFrame] = {}
         self.dimension_rows: dict[str, int] = {}
         for t in schemas.SCHEMAS:
-            df = spark.read.parquet(f"{self.root}/{t}")
+            df = versions.read_table(spark, f"{self.root}/{t}")
             if t == "dim_date":
                 from ..operators.calendar import add_working_day_seq
 
@@ -125,12 +160,25 @@ class ParquetLedger:
 
         return covered_periods(self.journal, "posting_date")
 
+    @cached_property
+    def fiscal_span(self):
+        from ..operators.calendar import fiscal_span
+
+        return fiscal_span(self.periods)
+
+    @property
+    def journal_by_document(self) -> DataFrame:
+        return with_document_key(self.journal)
+
+    def row_counts(self) -> DataFrame:
+        return load_counts(self, self.root)
+
     @cached_property
     def agg_journal_monthly(self) -> DataFrame | None:
         path = f"{self.root}/agg_journal_monthly"
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         there = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
-        return self.spark.read.parquet(path) if there else None
+        return versions.read_table(self.spark, path) if there else None
 
 
 def materialise_ledger(ledger, root: str) -> None:
@@ -142,7 +190,7 @@ def materialise_ledger(ledger, root: str) -> None:
     """
     root = root.rstrip("/")
     write_table(ledger.journal.select(*schemas.CONTRACT_COLUMNS["journal"]), f"{root}/journal", ["fiscal_year"])
-    stored = ledger.spark.read.parquet(f"{root}/journal")
+    stored = versions.read_table(ledger.spark, f"{root}/journal")
     if hasattr(ledger, "use_stored_journal"):
         ledger.use_stored_journal(stored)
     for t in schemas.SCHEMAS:

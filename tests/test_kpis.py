@@ -184,7 +184,7 @@ def test_forecast_covers_every_combination_and_knows_the_base(spark, ctx):
         "company_code string, fiscal_year int, fiscal_period int, cost_center string, programme_id string, "
         "debit_credit_ind string, amount_group_currency decimal(15,2), is_reversal boolean")
     got = {(r.version, r.fiscal_period): float(r.amount_group_currency)
-           for r in plan.forecast_build(journal, ctx.L.dim_date).collect()}
+           for r in plan.forecast_build(journal, ctx.L.dim_date, ctx.L.fiscal_span).collect()}
     assert len(got) == 9 + 6 + 3  # no posting up to any snapshot, yet all are forecast
     mean = 45000.0
     assert got[("FC-Q3", 12)] == mean                      # unknown period: the year's mean
