@@ -1,12 +1,16 @@
-"""Substring dedup by line hashing (operator 4).
-
-Every line of every text is normalised (case, white space) and hashed to 128 bits.  Digests are
-grouped globally with partial aggregation; the earliest ranked occurrence keeps its line, every
-other one is cut out of its text, and the removed spans keep their offsets in the original.
+"""Substring dedup by hashing units below the line (operator 4).
+
+A line is cut into units at the punctuation of every script, so a passage that stands inside a longer
+line shares all but its outermost units with its copies.  Units are normalised (case, white space, end marks)
+and hashed to 64 bits.  Digests are grouped globally with partial aggregation; the earliest ranked text keeps a
+unit, and within a text its first place.  A unit alone says little, common clauses repeat by chance: what is cut
+out are runs of neighbouring units that all occur earlier and together have MIN_CHARS characters.  Removed spans
+keep their offsets in the original.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,65 +19,113 @@ from pyspark.sql import functions as F
 
 from .common import join_keyed, stored, text_batches
 
-#: Lines of fewer words are left alone: they are headings, list marks and common sentences.
-MIN_WORDS = 10
+#: Characters of a repeated run, with one space a unit; about 25 words, or a passage without spaces as long.
+MIN_CHARS = 150
+#: Marks that end a unit (fixed: sentence and clause marks of Latin, Greek, Arabic, Indic, Ethiopic and East Asian scripts).
+MARKS = ".,;:!?…。、，；：！？·،؛؟।॥፣፤፥።"
+UNIT = re.compile(f"[^{MARKS}]*[{MARKS}]+|[^{MARKS}]+")
+
+
+def units_of(line: str) -> Iterator[tuple[str, int, int]]:
+    """``(normalised unit, start, stop)`` of a line; units of marks and white space alone are left out."""
+    for m in UNIT.finditer(line):
+        unit = " ".join(m[0].rstrip(MARKS).lower().split())
+        if unit:
+            yield unit, m.start(), m.end()
 
 
-def normalised(line: str) -> tuple[str, int]:
-    """The unit that is hashed, and its number of words."""
-    words = line.lower().split()
-    return " ".join(words), len(words)
+def digest(unit: str) -> int:
+    from xxhash import xxh3_64_intdigest
 
+    h = xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.col(id_col).alias("row_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
 
+def repeated_spans(text: str, elsewhere: set[int], min_chars: int) -> list[tuple[int, int]]:
+    """The spans, one a line at most for each run, of ``text``'s runs of repeated units.
 
-def line_units(rows: DataFrame, min_words: int) -> DataFrame:
-    """``(row_id, row_hash, digest, start)`` of every line of at least ``min_words`` words."""
+    A unit repeats if its digest is ``elsewhere`` (it stands in an earlier text) or stood before in this one.
+    """
+    spans: list[tuple[int, int]] = []
+    seen: set[int] = set()
+    run: list[tuple[int, int]] = []  # the open run's span in each of its lines
+    size = at = 0
+
+    def close() -> None:
+        nonlocal run, size
+        if size >= min_chars:
+            spans.extend(run)
+        run, size = [], 0
+
+    for line in text.split("\n"):
+        fresh = True  # no span of the open run in this line yet
+        for unit, start, stop in units_of(line):
+            d = digest(unit)
+            if d in elsewhere or d in seen:
+                run = [*run, (at + start, at + stop)] if fresh else [*run[:-1], (run[-1][0], at + stop)]
+                size, fresh = size + len(unit) + 1, False
+            else:
+                seen.add(d)
+                close()
+                fresh = True
+        at += len(line) + 1
+    close()
+    return spans
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the spans; a line that loses all but white space goes with its line end."""
+    kept, at, k = [], 0, 0
+    for line in text.split("\n"):
+        rest, pos, cut = [], 0, False
+        while k < len(spans) and spans[k][0] < at + len(line) + 1:
+            rest.append(line[pos:spans[k][0] - at])
+            pos, cut, k = spans[k][1] - at, True, k + 1
+        rest = "".join([*rest, line[pos:]])
+        if not cut or rest.strip():
+            kept.append(rest)
+        at += len(line) + 1
+    return "\n".join(kept)
+
+
+def text_units(rows: DataFrame) -> DataFrame:
+    """``(row_id, row_hash, digest)``: the distinct units of every text."""
     id_type = rows.schema["row_id"].dataType.simpleString()
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
         for batch in batches:
-            row, digest, start = [], [], []
+            row, digests = [], []
             for k, text in enumerate(batch.column(2)):
-                at = 0
-                for line in (text.as_py() or "").split("\n"):
-                    unit, n = normalised(line)
-                    if n >= min_words:
-                        row.append(k)
-                        digest.append(xxh3_128_digest(unit.encode("utf-8", "surrogatepass")))
-                        start.append(at)
-                    at += len(line) + 1
+                found = {digest(u) for line in (text.as_py() or "").split("\n") for u, _, _ in units_of(line)}
+                row += [k] * len(found)
+                digests += found
             take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(digest, pa.binary()), pa.array(start, pa.int64())],
-                names=["row_id", "row_hash", "digest", "start"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(digests, pa.int64())],
+                                             names=["row_id", "row_hash", "digest"])
 
-    return text_batches(rows).mapInArrow(units, f"row_id {id_type}, row_hash long, digest binary, start long")
+    return text_batches(rows).mapInArrow(units, f"row_id {id_type}, row_hash long, digest long")
 
 
-def removed_starts(rows: DataFrame, min_words: int) -> DataFrame:
-    """``(row_id, row_hash, starts)``: where the lines begin that each text loses."""
-    units = stored(line_units(rows, min_words))
-    place = F.struct("row_id", "row_hash", "start")
+def earlier_units(rows: DataFrame) -> DataFrame:
+    """``(row_id, row_hash, digests)``: the units of each text that an earlier ranked text has too."""
+    units = stored(text_units(rows))
+    place = F.struct("row_id", "row_hash")
     first = units.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = join_keyed(units, first, "digest", "n", units.count()).where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("row_id", "row_hash").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy("row_id", "row_hash").agg(F.collect_set("digest").alias("digests"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``df`` with repeated lines cut out of ``text_col``, and ``removed``: their original spans.
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """``df`` with repeated runs cut out of ``text_col``, and ``removed``: their original spans.
 
-    Occurrences rank by id (null first), then by the text's hash where ids repeat, then by
-    offset; the first keeps its line.  ``removed`` holds (start, stop) in code points of the
-    original text, in order.  Null text stays null and loses nothing; rows equal in id and text
-    are one text and lose the same lines; other columns pass through.
+    Texts rank by id (null first), then by the text's hash where ids repeat; the first one with a unit keeps it,
+    and in a text its first place does.  ``removed`` holds (start, stop) in code points of the original text, in
+    order, one span for each line that a run touches.  A line that loses all its text goes with its line end.
+    Null text stays null and loses nothing; rows equal in id and text are one text and lose the same; other
+    columns pass through, but for one named ``removed``.  Empty input gives no rows.
     """
-    found = removed_starts(_keyed(df, id_col, text_col), min_words)
-    found = found.select(F.col("row_id").alias("__id"), F.col("row_hash").alias("__hash"), F.col("starts").alias("removed"))
+    keyed = df.select(F.col(id_col).alias("row_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
+    found = earlier_units(keyed).select(F.col("row_id").alias("__id"), F.col("row_hash").alias("__hash"), F.col("digests").alias("removed"))
     rest = df.drop("removed") if "removed" in df.columns else df
     joined = rest.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")), "left")
     joined = joined.drop("__id", "__hash")
@@ -82,19 +134,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             texts, spans = [], []
-            for text, starts in zip(batch.column(text_col).to_pylist(), batch.column("removed").to_pylist(), strict=True):
-                gone: list[dict] = []
-                if text is not None and starts:
-                    drop, at, kept = set(starts), 0, []
-                    for line in text.split("\n"):
-                        if at in drop:
-                            gone.append({"start": at, "stop": at + len(line)})
-                        else:
-                            kept.append(line)
-                        at += len(line) + 1
-                    text = "\n".join(kept)
-                texts.append(text)
-                spans.append(gone)
+            for text, digests in zip(batch.column(text_col), batch.column("removed"), strict=True):
+                text = text.as_py()
+                gone = [] if text is None else repeated_spans(text, set(digests.as_py() or ()), min_chars)
+                texts.append(without(text, gone) if gone else text)
+                spans.append([{"start": a, "stop": b} for a, b in gone])
             k = batch.schema.get_field_index(text_col)
             batch = batch.set_column(k, text_col, pa.array(texts, batch.column(k).type))
             yield batch.set_column(batch.schema.get_field_index("removed"), "removed", pa.array(spans, span))

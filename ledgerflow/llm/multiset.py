@@ -48,7 +48,11 @@ def phrases_of(paragraph: Column) -> Column:
 
 def paragraph_rows(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
     """One row a phrase: ``keys``, the paragraph's hashes, ``at`` (0 on its first phrase) and ``phrase``."""
-    paragraphs = df.select(*keys, F.explode(F.split(text, "\n")).alias("paragraph"))
+    return phrase_rows(df.select(*keys, F.explode(F.split(text, "\n")).alias("paragraph")), keys)
+
+
+def phrase_rows(paragraphs: DataFrame, keys: list[str]) -> DataFrame:
+    """``paragraph_rows`` of rows that hold one paragraph each."""
     # the lane comes first: after the paragraph it would only hash the paragraph's one hash again
     hashes = [F.xxhash64(F.lit(k + 101), "paragraph").alias(name) for k, name in enumerate(EXACT)]
     return paragraphs.select(*keys, *hashes, F.posexplode(phrases_of(F.col("paragraph"))).alias("at", "phrase"))
@@ -81,7 +85,12 @@ def vector() -> Column:
 
 def text_vectors(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
     """``keys`` and ``lanes``: the summed vector of ``text`` for each distinct ``keys``."""
-    rows = paragraph_rows(df, text, keys)
+    return paragraph_vectors(df.select(*keys, F.explode(F.split(text, "\n")).alias("paragraph")), keys)
+
+
+def paragraph_vectors(paragraphs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``lanes``: the summed vector of the column ``paragraph`` for each distinct ``keys``."""
+    rows = phrase_rows(paragraphs, keys)
     hashes = [F.xxhash64(F.lit(k + 1), "phrase").alias(f"h{k}") for k in range(SKETCH_HASHES)]
     rows = rows.select(*keys, *EXACT, "at", *hashes)
     return rows.groupBy(*keys).agg(*summed_lanes()).select(*keys, vector().alias("lanes"))
@@ -152,6 +161,9 @@ def neighbour_blocks(df: DataFrame, id_col: str) -> DataFrame:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of every text, of its edited text, and their likeness; one row for each row.
 
+    Each paragraph is hashed once: the edited text's vector is the sum of the paragraphs it keeps, of
+    those it takes and of the joint between them (``combine``).
+
     The edited text is the first half with the last floor(n/2) code points replaced by the first
     as many of the next document's (descending id; after the last, the first).  Null text counts
     as empty; repeated ids follow each other by text; a single row is its own next.  Other columns
@@ -160,24 +172,48 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     order = Window.partitionBy("block").orderBy("guest", F.desc_nulls_last("id"), "text")
-    placed = neighbour_blocks(docs, "id")
-    rows = placed.select("block", "guest", "id", "text", F.row_number().over(order).alias("pos"),
-                         F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"))
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    rows = rows.select("block", "guest", "pos", "id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    rows = rows.withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
-    own, changed = (F.struct(F.lit(k).alias("edit"), F.coalesce(c, F.lit("")).alias("t")) for k, c in ((0, "text"), (1, "edited")))
-    versions = rows.select("block", "pos", "guest", "id", "n_chars", "sha", F.explode(
-        F.when(F.col("guest") == 0, F.array(own, changed)).otherwise(F.array(own))).alias("v"))
-    keys = ["block", "pos", "guest", "id", "n_chars", "sha", "edit"]
-    found = text_vectors(versions.select("*", "v.edit", "v.t"), F.col("t"), keys)
-    both = found.groupBy("block", "pos", "guest", "id", "n_chars", "sha").agg(
-        F.max(F.when(F.col("edit") == 0, F.col("lanes"))).alias("own"),
-        F.max(F.when(F.col("edit") == 1, F.col("lanes"))).alias("changed"))
-    after = F.lead("own").over(Window.partitionBy("block").orderBy("pos"))
-    both = both.withColumn("after", after).where("guest = 0")
-    return both.select(F.col("id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"),
+    placed = neighbour_blocks(docs, "id").select("block", "guest", "id", "text", n.alias("n"), half.alias("half"))
+    rows = placed.select("*", F.row_number().over(order).alias("pos"), F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"),
+                         F.coalesce(F.lag("half").over(order), F.lit(0)).alias("lent"))
+    rows = rows.withColumn("kept", F.substring("text", F.lit(1), F.col("n") - F.col("half")))
+    rows = rows.withColumn("put", F.substring("next_text", F.lit(1), F.col("half")))
+    rows = rows.withColumn("sha", F.sha2(F.concat("kept", "put").cast("binary"), 256))
+    keys = ["block", "pos", "guest", "id", "n", "sha"]
+    # every paragraph is hashed once; the edited text's vector is put together from sums over parts of both texts
+    parts = rows.select(*keys, F.explode(_marked_paragraphs()).alias("p")).select(*keys, "p.part", "p.paragraph")
+    sums = paragraph_vectors(parts, [*keys, "part"])
+    by_part = sums.groupBy(*keys).agg(*[F.max(F.when(F.col("part") == k, F.col("lanes"))).alias(f"v{k}") for k in range(JOINT + 1)])
+    none = F.array_repeat(F.lit(0).cast("long"), EXACT_LANES + SKETCH_LANES + 2)
+    v = [F.coalesce(f"v{k}", none) for k in range(JOINT + 1)]
+    both = by_part.select(*keys, combine(combine(v[0], v[KEPT]), combine(v[LENT], v[KEPT + LENT])).alias("own"),
+                          combine(combine(v[KEPT], v[KEPT + LENT]), v[JOINT]).alias("stays"), combine(v[LENT], v[KEPT + LENT]).alias("lent"))
+    following = Window.partitionBy("block").orderBy("pos")
+    both = both.withColumn("after", F.lead("own").over(following)).withColumn("comes", F.coalesce(F.lead("lent").over(following), none))
+    both = both.where("guest = 0").withColumn("changed", combine(F.col("stays"), F.col("comes")))
+    return both.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), F.col("sha").alias("edited_sha256"),
                        shown(F.col("own")).alias("fingerprint"), shown(F.col("changed")).alias("edited_fingerprint"),
                        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
                        likeness(F.col("own"), F.col("after")).alias("near_next"))
+
+
+#: Parts of a text's paragraphs: those its edit keeps, those it lends to the edit of the text before it (the sum of
+#: both marks: either), and the paragraphs of its edit that are whole in neither text.
+KEPT, LENT, JOINT = 1, 2, 4
+
+
+def _marked_paragraphs() -> Column:
+    """``(paragraph, part)`` of a text and, if it is no guest, of the joint of its edit.
+
+    Whole paragraphs before the cut are kept; whole paragraphs inside what the text before takes are lent.  At the
+    joint the cut paragraph runs on into the first one taken, and the last one taken may be cut off.
+    """
+    kept, put = F.split("kept", "\n"), F.split("put", "\n")
+    whole = F.size(kept) - 1
+    taken = F.size(F.split(F.substring("text", F.lit(1), F.col("lent")), "\n"))
+    own = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
+        x.alias("paragraph"), (F.when(i < whole, KEPT).otherwise(0) + F.when((i > 0) & (i < taken - 1), LENT).otherwise(0)).alias("part")))
+    seam = F.concat(F.element_at(kept, -1), F.element_at(put, 1))
+    joint = F.when(F.size(put) > 1, F.array(seam, F.element_at(put, -1))).otherwise(F.array(seam))
+    joint = F.transform(joint, lambda x: F.struct(x.alias("paragraph"), F.lit(JOINT).alias("part")))
+    return F.when(F.col("guest") == 0, F.concat(own, joint)).otherwise(own)

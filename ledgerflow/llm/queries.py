@@ -49,31 +49,54 @@ def op3_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that occur earlier, with their offsets."""
+    """Every document without the passages that occur earlier, with their offsets."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["stop"]))
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.concat_ws(",", spans).alias("removed"))
 
 
-ORACLES["op4_line_dedup"] = """
+ORACLES["op4_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ), placed AS (
-  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS unit
+  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_start
   FROM lines
+), pieces AS (
+  SELECT doc_id, k, line_start, generate_subscripts(u, 1) AS j, unnest(u) AS piece
+  FROM (SELECT doc_id, k, line_start, regexp_extract_all(line, '[^MARKS]*[MARKS]+|[^MARKS]+') AS u FROM placed)
+), units AS (
+  SELECT *, line_start + coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, k ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         trim(regexp_replace(lower(regexp_replace(piece, '[MARKS]+$', '')), '\s+', ' ', 'g')) AS unit
+  FROM pieces
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS again FROM units WHERE unit <> ''
+), runs AS (
+  SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM ranked
+), judged AS (
+  SELECT doc_id, k, j, again AND sum(CASE WHEN again THEN length(unit) + 1 ELSE 0 END) OVER (PARTITION BY doc_id, run) >= 150 AS gone FROM runs
 ), marked AS (
-  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= 10 AND unit <> ''
-            AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1 AS gone
-  FROM placed
+  SELECT u.doc_id, u.k, u.j, u.start, u.piece,
+         coalesce(g.gone, last_value(g.gone IGNORE NULLS) OVER (PARTITION BY u.doc_id, u.k ORDER BY u.j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                          AND first_value(g.gone IGNORE NULLS) OVER (PARTITION BY u.doc_id, u.k ORDER BY u.j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                  FALSE) AS gone
+  FROM units u LEFT JOIN judged g ON g.doc_id = u.doc_id AND g.k = u.k AND g.j = u.j
+), spans0 AS (
+  SELECT *, sum(CASE WHEN gone THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, k ORDER BY j) AS part FROM marked
+), spans AS (
+  SELECT doc_id, min(start) AS a, max(start + length(piece)) AS b FROM spans0 WHERE gone GROUP BY doc_id, k, part
+), cut AS (
+  SELECT doc_id, k, bool_or(gone) AS touched, coalesce(string_agg(piece, '' ORDER BY j) FILTER (NOT gone), '') AS rest FROM marked GROUP BY doc_id, k
+), texts AS (
+  SELECT l.doc_id, coalesce(string_agg(coalesce(c.rest, l.line), chr(10) ORDER BY l.k)
+                            FILTER (NOT (coalesce(c.touched, FALSE) AND regexp_matches(c.rest, '^\s*$'))), '') AS text
+  FROM lines l LEFT JOIN cut c ON c.doc_id = l.doc_id AND c.k = l.k GROUP BY l.doc_id
 )
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text,
-       count(*) FILTER (gone) AS n_removed,
-       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT), ',' ORDER BY k) FILTER (gone), '') AS removed
-FROM marked GROUP BY doc_id
-"""
+SELECT t.doc_id, t.text, coalesce(s.n, 0) AS n_removed, coalesce(s.removed, '') AS removed
+FROM texts t LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(CAST(a AS BIGINT) || '-' || CAST(b AS BIGINT), ',' ORDER BY a) AS removed
+                        FROM spans GROUP BY doc_id) s ON s.doc_id = t.doc_id
+""".replace("MARKS", line_dedup.MARKS)
 
 
 @query

@@ -139,16 +139,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``df`` whose id is its component's; of repeated ids the smallest text stays."""
-    from pyspark.sql import Window
-
-    found = near_duplicates(df, id_col, text_col, shingle_words, distance)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
-    keep = stored(keep)
-    # the join leaves rows dealt out by id, which the window needs as well
-    kept = df.join(keep, F.col(id_col) == F.col("__keep"), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    named = kept.withColumn("__copy", first).where("__copy = 1").select(*df.columns)
-    nameless = df.where(F.col(id_col).isNull()).orderBy(text_col).limit(1).withColumn("__one", F.lit(1))
-    stays = keep.where("__keep is null").select(F.lit(1).alias("__one")).distinct()
-    return named.unionByName(nameless.join(stays, "__one", "left_semi").select(*df.columns))
+    """One row of each component of near copies: the one with the smallest id, then the smallest hash of the text.
+
+    A row that is no near copy of another always stays, whatever its id: a null id counts as larger than
+    any other, rows of one id and unlike texts are told apart by their texts, and of rows that are equal in
+    id and text one stays.  Null and empty texts are near copies of each other.
+    """
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    keyed = df.select(key.alias("__key"), F.col(text_col).alias("__text"))
+    found = near_duplicates(keyed, "__key", "__text", shingle_words, distance)
+    keep = stored(found.where(F.col("__key") == F.col("component_id")).select("__key.id", "__key.hash").distinct())
+    keep = keep.select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
+    kept = df.join(keep, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")), "left_semi")
+    return kept.dropDuplicates([id_col, text_col])

@@ -172,22 +172,88 @@ def test_components_of_chain_star_and_loop(spark):
 
 # ---------------------------------------------------------------- line dedup
 
-def test_line_dedup_keeps_the_first_and_the_offsets(spark):
-    long = " ".join(f"w{k}" for k in range(12))
-    texts = [f"a short one\n{long}\nz", f"{long.upper()}  \nmore", None, "", f"a short one\n{long}\n{long}", long]
+def dedup_brute(rows, min_chars):
+    """Runs of repeated units by their definition: every unit of the table in rank order, then maximal runs."""
+    units = []  # (rank, place in the text, line, start, stop, unit)
+    for rank, (_, text) in enumerate(sorted(rows, key=lambda r: r[0])):
+        at = place = 0
+        for n, line in enumerate((text or "").split("\n")):
+            for m in re.finditer(f"[^{line_dedup.MARKS}]*[{line_dedup.MARKS}]+|[^{line_dedup.MARKS}]+", line):
+                unit = " ".join(m[0].rstrip(line_dedup.MARKS).lower().split())
+                if unit:
+                    units.append((rank, place, n, at + m.start(), at + m.end(), unit))
+                    place += 1
+            at += len(line) + 1
+    first = {}
+    for u in units:
+        first.setdefault(u[5], u[:2])
+    out = []
+    for rank, (i, text) in enumerate(sorted(rows, key=lambda r: r[0])):
+        mine, spans = [u for u in units if u[0] == rank], []
+        for again, run in itertools.groupby(mine, key=lambda u: first[u[5]] != u[:2]):
+            run = list(run)
+            if again and sum(len(u[5]) + 1 for u in run) >= min_chars:
+                for _, part in itertools.groupby(run, key=lambda u: u[2]):
+                    part = list(part)
+                    spans.append((part[0][3], part[-1][4]))
+        gone = {c for a, b in spans for c in range(a, b)}
+        kept, at = [], 0
+        for line in (text or "").split("\n"):
+            rest = "".join(ch for k, ch in enumerate(line) if at + k not in gone)
+            if rest.strip() or not gone & set(range(at, at + len(line))):
+                kept.append(rest)
+            at += len(line) + 1
+        out.append((i, None if text is None else "\n".join(kept), spans))
+    return out
+
+
+def dedup_found(df, **kw):
+    return sorted((r["doc_id"], r["text"], [tuple(s) for s in r["removed"]]) for r in line_dedup.dedup_lines(df, **kw).collect())
+
+
+PASSAGE = ("the first clause of it stands here, and another one comes after that; then a third one: with more words in it. "
+           "A new sentence begins at this place, runs on for a while, and ends. One more of them closes the passage, as it must!")
+
+
+def test_passages_inside_lines_in_wrapped_text_and_without_spaces(spark):
+    own = [f"{prose(50 + k, 30)} , only in {k}" for k in range(8)]
+    cjk = "".join(chr(0x4E00 + 7 * k % 3000) + ("\u3002" if k % 17 == 16 else "\uff0c" if k % 6 == 5 else "") for k in range(260))
+    wrapped = PASSAGE.replace("; ", ";\n").replace(". ", ".\n")
+    texts = [f"{own[0]} {PASSAGE} {own[1]}", f"{own[2]}, {PASSAGE.upper()} {own[3]}", f"{own[4]}.\n{wrapped}\n\n{own[5]}", f"{own[6]}\n{cjk}",
+             f"{own[7]}, {cjk}", PASSAGE, f"{PASSAGE}\n{PASSAGE}", None, "", own[0], "and another one comes after that, at this place."]
     df = frame(spark, texts).withColumnRenamed("source", "removed")  # a clashing name
-    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
-    assert [got[k]["text"] for k in range(6)] == [texts[0], "more", None, "", "a short one", ""]
-    for k, t in enumerate(texts):
-        for s in got[k]["removed"]:
-            assert " ".join(t[s["start"]:s["stop"]].lower().split()) == long
-    assert [len(got[k]["removed"]) for k in range(6)] == [0, 1, 0, 0, 2, 1]
+    got = dedup_found(df)
+    assert got == dedup_brute(list(enumerate(texts)), line_dedup.MIN_CHARS)
+    words = lambda t: set(re.findall(r"\w+", (t or "").lower()))
+    assert got[0][2] == [] and got[10][2] == []  # the first place stays, and so do a few common clauses
+    for k in (1, 2, 5, 6):
+        left = words(got[k][1])
+        assert got[k][2] and len(words(PASSAGE) & left) < 0.35 * len(words(PASSAGE)), k
+    assert got[4][2] and len(got[4][1]) < len(texts[4]) - 0.8 * len(cjk)
+    assert got[5][1] == "" and got[6][1] == "" and got[7][1] is None
+
+
+@pytest.mark.parametrize("min_chars", [1, 20, 60])
+def test_line_dedup_equals_brute_force(spark, min_chars):
+    rng = random.Random(min_chars)
+    bits = ["alpha beta", "gamma, delta", "one two three.", "x", " ", ",", "\n", "\n\n", "!", "last words here", "AL\tpha  beta;"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(60)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    df = frame(spark, texts).repartition(4)
+    assert dedup_found(df, min_chars=min_chars) == dedup_brute(rows, min_chars)
+
+
+def test_line_dedup_query_equals_its_sql(spark):
+    from ledgerflow.plans.compare import compare, duckdb_connection
+
+    found = compare(QUERIES["op4_line_dedup"](spark, SF), ORACLES["op4_line_dedup"], duckdb_connection(SF))
+    assert found["ok"], found
 
 
 def test_line_dedup_of_repeated_ids(spark):
-    a, b = " ".join(["alpha"] * 12), " ".join(["beta"] * 12)
-    got = line_dedup.dedup_lines(frame(spark, [a, a, b + "\n" + a], [1, 1, 1])).collect()
-    assert sorted(r["text"] for r in got) in ([a, a, b], sorted(["", "", b + "\n" + a]))
+    a, b = ", ".join(f"alpha {k} of them all" for k in range(12)), ", ".join(f"beta {k} of them all" for k in range(12))
+    got = line_dedup.dedup_lines(frame(spark, [a, a, b + "\n" + a, a], [1, 1, 1, None])).collect()
+    assert sorted(r["text"] for r in got if r["doc_id"] == 1) == sorted(["", "", b]) and [r["text"] for r in got if r["doc_id"] is None] == [a]
 
 
 # ---------------------------------------------------------------- suffixes
@@ -299,6 +365,36 @@ def test_exact_lanes_are_hashed_apart(spark):
     assert len(set(chained)) == 2 * len(multiset.EXACT)
 
 
+def test_edited_fingerprint_is_that_of_the_edited_text(spark):
+    """Put together from parts, it equals the fingerprint of the whole edited text, likeness included."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    texts = odd_texts() + ["".join(rng.choices(["word", " ", "\n", "é", "\n\n", "more of it", "日本"], k=rng.randint(0, 40))) for _ in range(60)]
+    texts += ["one line\nx", "one line\nx", None]
+    ids = [*range(len(texts) - 3), 7, 7, None]
+    rows = multiset.fingerprints(frame(spark, texts, ids).repartition(3)).collect()
+    by_text = {t or "": None for t in texts}
+    order = sorted(zip(ids, [t or "" for t in texts], strict=True), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    edited = [t[:len(t) - len(t) // 2] + order[(k + 1) % len(order)][1][:len(t) // 2] for k, (_, t) in enumerate(order)]
+    every = list(dict.fromkeys([*by_text, *edited]))
+    whole = multiset.text_vectors(spark.createDataFrame(list(enumerate(every)), "k int, t string"), F.col("t"), ["k"])
+    lanes = {every[r["k"]]: r["lanes"] for r in whole.collect()}
+    shown = lambda v: "".join(f"{x:08x}" for x in v)
+    signs = lambda v: [2 * x - v[multiset.EXACT_LANES + multiset.SKETCH_LANES] for x in v[multiset.EXACT_LANES:multiset.EXACT_LANES + multiset.SKETCH_LANES]]
+
+    def like(a, b):
+        x, y = np.array(signs(lanes[a]), float), np.array(signs(lanes[b]), float)
+        norm = np.linalg.norm(x) * np.linalg.norm(y)
+        return 1.0 if lanes[a] == lanes[b] else min(1.0, max(0.0, float(x @ y) / norm if norm else 0.0))
+
+    want = sorted((repr(i), len(t), hashlib.sha256(e.encode()).hexdigest(), shown(lanes[t]), shown(lanes[e]), round(like(t, e), 9),
+                   round(like(t, order[(k + 1) % len(order)][1]), 9)) for k, ((i, t), e) in enumerate(zip(order, edited, strict=True)))
+    got = sorted((repr(r["doc_id"]), r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9),
+                  round(r["near_next"], 9)) for r in rows)
+    assert got == want
+
+
 def test_multiset_hash_is_homomorphic(spark):
     from pyspark.sql import functions as F
 
@@ -535,10 +631,19 @@ def test_empty_tables_give_no_rows(spark, run):
     assert run(frame(spark, [])).count() == 0
 
 
+def test_no_row_is_lost_that_is_no_near_copy(spark):
+    texts = [prose(100 + k, 60) for k in range(5)]
+    kept = simhash.keep_one_of_each(frame(spark, texts, [3, 3, None, None, 7])).collect()
+    assert sorted(r["text"] for r in kept) == sorted(texts)
+    kept = simhash.keep_one_of_each(frame(spark, [texts[0], texts[0], texts[0], texts[1], None, "", None], [None, 5, 5, 5, 1, 2, None])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, texts[0]), (5, texts[1]), (1, None)], key=repr) or \
+        sorted((repr(r["doc_id"]), repr(r["text"])) for r in kept) == sorted([("5", repr(texts[0])), ("5", repr(texts[1])), ("1", "None")])
+
+
 def test_null_ids_and_repeated_rows_pass(spark):
     df = frame(spark, ["a b c d", "a b c d", None, "x"], [None, 3, 3, None])
     assert simhash.near_duplicates(df).count() == 4
     assert tokens.count_tokens(df, vocabulary("word_bpe_49k.json")).count() == 4
     assert suffix_dedup.remove_repeats(df).count() == 4
     assert line_dedup.dedup_lines(df).count() == 4
-    assert simhash.keep_one_of_each(df).count() == 2
+    assert simhash.keep_one_of_each(df).count() == 3
