@@ -38,12 +38,18 @@ EXACT = [f"e{k}" for k in range(EXACT_LANES // 2)]
 SKETCH = [f"s{k}" for k in range(SKETCH_LANES // 2)]
 
 
-def phrases_of(paragraph: Column) -> Column:
-    """Pairs of neighbouring words (letters in long runs) of a paragraph; a single one by itself."""
+def units_of(paragraph: Column) -> Column:
+    """Words of a paragraph; where there are long runs, their letters instead."""
     words = F.split(paragraph, SPACES)
-    units = F.flatten(F.transform(words, lambda w: F.when(F.octet_length(w) > LONG_RUN_BYTES, F.split(w, "")).otherwise(F.array(w))))
-    pairs = F.zip_with(units, F.slice(units, F.lit(2), F.size(units)), lambda x, y: F.concat(x, F.lit(" "), y))
-    return F.when(F.size(units) < 2, units).otherwise(F.slice(pairs, F.lit(1), F.size(units) - 1))
+    long = lambda w: F.octet_length(w) > LONG_RUN_BYTES
+    letters = F.flatten(F.transform(words, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))
+    return F.when(F.exists(words, long), letters).otherwise(words)
+
+
+def phrases_of(units: Column) -> Column:
+    """Pairs ``(x, y)`` of neighbouring units; a single one by itself, with a null beside it."""
+    first = F.slice(units, F.lit(1), F.greatest(F.size(units) - 1, F.lit(1)))
+    return F.arrays_zip(first.alias("x"), F.slice(units, F.lit(2), F.size(units)).alias("y"))
 
 
 def paragraph_rows(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
@@ -55,7 +61,8 @@ def phrase_rows(paragraphs: DataFrame, keys: list[str]) -> DataFrame:
     """``paragraph_rows`` of rows that hold one paragraph each."""
     # the lane comes first: after the paragraph it would only hash the paragraph's one hash again
     hashes = [F.xxhash64(F.lit(k + 101), "paragraph").alias(name) for k, name in enumerate(EXACT)]
-    return paragraphs.select(*keys, *hashes, F.posexplode(phrases_of(F.col("paragraph"))).alias("at", "phrase"))
+    rows = paragraphs.select(*keys, *hashes, units_of(F.col("paragraph")).alias("units"))
+    return rows.select(*keys, *EXACT, F.posexplode(phrases_of(F.col("units"))).alias("at", "phrase"))
 
 
 def summed_lanes() -> list[Column]:
@@ -91,7 +98,7 @@ def text_vectors(df: DataFrame, text: Column, keys: list[str]) -> DataFrame:
 def paragraph_vectors(paragraphs: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``lanes``: the summed vector of the column ``paragraph`` for each distinct ``keys``."""
     rows = phrase_rows(paragraphs, keys)
-    hashes = [F.xxhash64(F.lit(k + 1), "phrase").alias(f"h{k}") for k in range(SKETCH_HASHES)]
+    hashes = [F.xxhash64(F.lit(k + 1), "phrase.x", "phrase.y").alias(f"h{k}") for k in range(SKETCH_HASHES)]
     rows = rows.select(*keys, *EXACT, "at", *hashes)
     return rows.groupBy(*keys).agg(*summed_lanes()).select(*keys, vector().alias("lanes"))
 
