@@ -1,7 +1,8 @@
 """Training-corpus pipeline: documents are filtered, deduplicated, cleaned and packed.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet
-and read again as the next stage's ``docs``; all but the last keep the columns of documents.
+and read again as the next stage's ``docs``; all but the last keep the columns of documents and
+drop others.  An empty table passes every stage as one.
 """
 
 from __future__ import annotations
@@ -15,18 +16,24 @@ from ledgerflow.llm.queries import vocabulary
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go (threshold of the document's language)."""
+    """Documents that the classifier rejects go (threshold of the document's language).
+
+    Null texts are scored as empty ones; without labelled documents the classifier rejects nothing.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.classify(docs, model).where(~F.col("rejected")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies one document stays, that with the smallest id (a null id last).
+
+    Documents that are no near copies all stay, whatever their ids; null and empty texts are copies of each other.
+    """
     return simhash.keep_one_of_each(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document or place has go; ``n_chars`` follows the text."""
+    """Passages that an earlier document or place has go; ``n_chars`` follows the text (null texts stay as they are)."""
     cut = line_dedup.dedup_lines(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
