@@ -34,3 +34,24 @@ def test_pipeline_stages(spark):
     for r in pieces:
         ends[r["sequence_id"]] = max(ends.get(r["sequence_id"], 0), r["offset"] + r["length"])
     assert all(e == 1024 or np.log2(e) % 1 == 0 for e in ends.values())
+
+
+def test_stages_with_nulls_extra_columns_and_empty_tables(spark):
+    text = " ".join(f"word{k} of the text," for k in range(40))
+    own = "Other words first. " + " ".join(f"own{k} thing{k % 7}." for k in range(90))
+    rows = [(None, None, None, None, None, "r"), (1, text, "en", "s", None, "r"), (1, text, "en", "s", None, "r"), (2, "", "en", None, 0, None),
+            (3, f"{own} {text}", None, "s", 5, "x"), (None, "a text without an id", "en", "s", 1, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, removed string"  # a clashing name
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.stored(stage(spark, docs, SF).select(*[c for c in docs.columns if c in ("doc_id", "text", "lang", "source", "n_chars")]))
+        left = {(r["doc_id"], r["text"]) for r in docs.collect()}
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+        if not given:
+            assert left == set() and pieces == []
+            continue
+        assert (1, text) in left and (None, "a text without an id") in left and (2, "") in left
+        third = next(t for i, t in left if i == 3)
+        assert own in third and len(third) < len(own) + 0.2 * len(text)
+        assert {r["doc_id"] for r in pieces} == {i for i, _ in left}
