@@ -1,8 +1,8 @@
 """Training-corpus pipeline: documents are filtered, deduplicated, cleaned and packed.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet
-and read again as the next stage's ``docs``; all but the last keep the columns of documents and
-drop others.  An empty table passes every stage as one.
+and read again as the next stage's ``docs``; all but the last keep the columns that they are
+given.  An empty table passes every stage as one.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ledgerflow.llm.queries import vocabulary
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go (threshold of the document's language).
 
-    Null texts are scored as empty ones; without labelled documents the classifier rejects nothing.
+    Null texts are scored as empty ones.
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.classify(docs, model).where(~F.col("rejected")).select(*docs.columns)
