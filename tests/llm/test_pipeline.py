@@ -37,10 +37,11 @@ def test_pipeline_stages(spark):
 
 
 def test_stages_with_nulls_extra_columns_and_empty_tables(spark):
-    text = " ".join(f"word{k} of the text," for k in range(40))
-    own = "Other words first. " + " ".join(f"own{k} thing{k % 7}." for k in range(90))
-    rows = [(None, None, None, None, None, "r"), (1, text, "en", "s", None, "r"), (1, text, "en", "s", None, "r"), (2, "", "en", None, 0, None),
-            (3, f"{own} {text}", None, "s", 5, "x"), (None, "a text without an id", "en", "s", 1, None)]
+    text = " ".join(f"{'abcdefgh'[k % 8]}{k * k}q," for k in range(120))  # no shingle twice, which would rule the fingerprint
+    own = "Other words first. " + " ".join(f"{'stuvwxyz'[k % 8]}{k * k + 5}m." for k in range(200))
+    # ids without a label, so that the classifier says nothing
+    rows = [(None, None, None, None, None, "r"), (9_000_001, text, "en", "s", None, "r"), (9_000_001, text, "en", "s", None, "r"), (9_000_002, "", "en", None, 0, None),
+            (9_000_003, f"{own} {text}", None, "s", 5, "x"), (None, "a text without an id", "en", "s", 1, None)]
     schema = "doc_id long, text string, lang string, source string, n_chars long, removed string"  # a clashing name
     for given in (rows, []):
         docs = spark.createDataFrame(given, schema)
@@ -51,7 +52,7 @@ def test_stages_with_nulls_extra_columns_and_empty_tables(spark):
         if not given:
             assert left == set() and pieces == []
             continue
-        assert (1, text) in left and (None, "a text without an id") in left and (2, "") in left
-        third = next(t for i, t in left if i == 3)
+        assert (9_000_001, text) in left and (None, "a text without an id") in left and (9_000_002, "") in left
+        third = next(t for i, t in left if i == 9_000_003)
         assert own in third and len(third) < len(own) + 0.2 * len(text)
         assert {r["doc_id"] for r in pieces} == {i for i, _ in left}
