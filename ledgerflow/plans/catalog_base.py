@@ -12,7 +12,7 @@ from ..operators import ledger, plan
 from ..sources import files
 from .catalog import M, money_cols, register
 from .context import Ctx
-from .oracle_preamble import half_up
+from .oracle_preamble import BUDGET_CENTS, half_up
 
 # ======================================================================== calendar
 @register("holidays", "SELECT holiday_date FROM holidays")
@@ -347,6 +347,24 @@ def q_prog_budget(ctx: Ctx) -> DataFrame:
     return money_cols(ctx.L.programme.select("programme_id", "total_budget_eur"), "total_budget_eur")
 
 
+#: Last period key that counts for a programme's budget: what it overran afterwards does not raise it.
+BUDGET_BASELINE = {"PRG-AUTO": 199806, "PRG-HOME": 199912}
+
+
+@register("programme_budget_baseline", """
+, cut AS (
+  SELECT programme_id, sum(period_cost) AS total, count(*) AS n FROM prog_monthly
+  WHERE fiscal_year * 100 + fiscal_period <= CASE programme_id {cases} ELSE 999912 END GROUP BY programme_id
+)
+SELECT m.programme_id, {budget} AS total_budget_eur FROM prog_master m JOIN cut b ON b.programme_id = m.programme_id
+""".format(cases=" ".join(f"WHEN '{k}' THEN {v}" for k, v in BUDGET_BASELINE.items()),
+           budget=M(f"CAST(CAST({BUDGET_CENTS} AS DECIMAL(30, 0)) * 0.01 AS DECIMAL(28, 2))")))
+def q_prog_budget_baseline(ctx: Ctx) -> DataFrame:
+    """PL4 — programme budgets from the burn up to a baseline period, before the overruns of two programmes."""
+    out = plan.programme_budget_derive(ctx.L.journal, ctx.L.programme_master, baseline=BUDGET_BASELINE)
+    return money_cols(out.select("programme_id", "total_budget_eur"), "total_budget_eur")
+
+
 @register("close_calendar", "SELECT * FROM close_tasks")
 def q_close_calendar(ctx: Ctx) -> DataFrame:
     """PL5 — entity x period x task schedule (due = n-th working day, delay, open tasks)."""

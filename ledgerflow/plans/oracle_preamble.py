@@ -23,7 +23,7 @@ _MIRROR_LOCAL = half_up(
 
 _FORECAST_MEAN = half_up("sum(c)", "count(*)")
 _FORECAST_AMOUNT = half_up("base_c * 12 + (pull_c - base_c) * (fp - after)", "12")
-_BUDGET_CENTS = half_up(
+BUDGET_CENTS = half_up(
     "CAST(b.total * 100 AS HUGEINT) * 105 * ((year(m.end_date) - year(m.start_date)) * 12 + month(m.end_date)"
     " - month(m.start_date) + 1)", "b.n * 100")
 
@@ -379,7 +379,7 @@ prog_budget AS (
 ),
 programme AS (
   SELECT m.programme_id, m.programme_name, m.programme_type, m.lead_company_code, m.start_date, m.end_date,
-         CAST(coalesce(CAST({_BUDGET_CENTS} AS DECIMAL(30, 0)) * 0.01, 0) AS DECIMAL(28, 2)) AS total_budget_eur,
+         CAST(coalesce(CAST({BUDGET_CENTS} AS DECIMAL(30, 0)) * 0.01, 0) AS DECIMAL(28, 2)) AS total_budget_eur,
          CASE WHEN m.end_date < DATE '2001-06-30' THEN 'CLOSED' ELSE 'ACTIVE' END AS status
   FROM prog_master m LEFT JOIN prog_budget b ON b.programme_id = m.programme_id
 ),
