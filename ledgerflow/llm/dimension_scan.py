@@ -9,7 +9,8 @@ distance to be a chance result.  What survives all blocks is scored exactly on t
 vectors in double precision.
 
 How many lists a query probes is fitted too: the share that finds RECALL of the sample's true
-neighbours.  Data without clusters so lead to many probes rather than to lost neighbours.
+neighbours.  Data without clusters so lead to many probes rather than to lost neighbours.  Where the
+probed lists hold too few vectors, a query goes on to its next nearest list until they are enough.
 """
 
 from __future__ import annotations
@@ -86,6 +87,20 @@ def fit_lists(sample, lists: int, k: int, seed: int = 5):
     return centroids, min(lists, probes)
 
 
+def lists_to_probe(near, sizes, probes: int, wanted: int):
+    """Lists that each query probes, as (query's row, list): the ``probes`` nearest ones, and further
+    ones in order of nearness until they hold ``wanted`` rows or no list is left.
+
+    ``near``: nearness of each query (row) to each list; ``sizes``: rows of each list.
+    """
+    import numpy as np
+
+    order = np.argsort(-near, axis=1, kind="stable")
+    reach = (sizes[order].cumsum(axis=1) < wanted).sum(axis=1) + 1
+    taken = np.arange(near.shape[1]) < np.minimum(np.maximum(reach, probes), near.shape[1])[:, None]
+    return np.nonzero(taken)[0], order[taken]
+
+
 def scan(queries, rows, k: int):
     """For each query (unit, rotated) the indexes of its ``k`` nearest ``rows``, by adaptive scan."""
     import numpy as np
@@ -130,7 +145,8 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
 
     ``is_query``: condition on the id column.  Ties go to the smaller id.  Rows with a null id and
     vectors that are null, zero, hold null or non-finite components, or have another length than
-    most, take no part.  Repeated rows count once.  With no other row a query has no result.
+    most, take no part.  Repeated rows count once.  A query has ``k`` neighbours wherever there are as
+    many other rows, and all other rows where there are fewer.
     """
     sound = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(vector_col, lambda x: x != 0)
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"),
@@ -154,29 +170,35 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
     centroids, probes = fit_lists(sample, min(MOST_LISTS, max(1, n_classes // LIST_ROWS)), k + 1)
     shared = df.sparkSession.sparkContext.broadcast((centroids, rotation(dims)))  # at most MOST_LISTS rows
 
-    def assigned(wanted: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import numpy as np
-
-            for batch in batches:
-                near = unit(_matrix(batch.column("v"), dims)) @ shared.value[0].T
-                lists = np.argpartition(-near, wanted - 1, axis=1)[:, :wanted] if wanted < near.shape[1] else np.tile(np.arange(near.shape[1]), (len(near), 1))
-                take = pa.array(np.repeat(np.arange(batch.num_rows), lists.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.ravel(), pa.int32()), *[c.take(take) for c in batch.columns]],
-                                                 names=["list", *batch.schema.names])
-        return run
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = unit(_matrix(batch.column("v"), dims)) @ shared.value[0].T
+            yield pa.RecordBatch.from_arrays([pa.array(near.argmax(axis=1), pa.int32()), *batch.columns], names=["list", *batch.schema.names])
 
-    listed = classes.mapInArrow(assigned(1), f"list int, digest string, ids array<{id_type}>, v array<double>")
+    listed = classes.mapInArrow(dealt, f"list int, digest string, ids array<{id_type}>, v array<double>")
     sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count("*").alias("n")).collect()}  # at most MOST_LISTS rows
-    cells = F.create_map(*[F.lit(x) for kv in sizes.items() for x in (kv[0], -(-kv[1] // CELL_ROWS))])
-    listed = listed.withColumn("cell", F.pmod(F.xxhash64("digest"), cells[F.col("list")]).cast("int"))
+    held = [sizes.get(x, 0) for x in range(len(centroids))]
+
+    def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            near = unit(_matrix(batch.column("v"), dims)) @ shared.value[0].T
+            rows_of, lists = lists_to_probe(near, np.array(held), probes, k + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *[c.take(pa.array(rows_of)) for c in batch.columns]],
+                                             names=["list", *batch.schema.names])
 
     seekers = classes.join(asking.select("digest").distinct(), "digest", "left_semi").select("digest", "v")
-    asked = seekers.mapInArrow(assigned(probes), "list int, digest string, v array<double>")
-    groups = max(1, -(-asking.count() * probes // max(1, len(sizes)) // CELL_QUERIES))
-    asked = asked.withColumn("seekers", F.pmod(F.xxhash64("digest"), F.lit(groups)).cast("int")) \
-        .withColumn("cell", F.explode(F.sequence(F.lit(0), cells[F.col("list")] - 1)))
-    listed = listed.withColumn("seekers", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = seekers.mapInArrow(probing, "list int, digest string, v array<double>").where(F.col("list").isin(list(sizes)))
+    probed = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}  # at most MOST_LISTS rows
+    # rows and queries of one list meet in pieces of bounded size: a list is copied as often as its own queries need
+    pieces = F.create_map(*[F.lit(x) for key, n in sizes.items()
+                            for x in (key, F.struct(F.lit(-(-n // CELL_ROWS)).alias("cells"), F.lit(-(-probed.get(key, 0) // CELL_QUERIES)).alias("groups")))])
+    listed = listed.withColumn("p", pieces[F.col("list")]).where(F.col("p.groups") > 0)
+    listed = listed.withColumn("cell", F.pmod(F.xxhash64("digest"), F.col("p.cells")).cast("int")) \
+        .withColumn("seekers", F.explode(F.sequence(F.lit(0), F.col("p.groups") - 1))).drop("p")
+    asked = asked.withColumn("p", pieces[F.col("list")]).withColumn("seekers", F.pmod(F.xxhash64("digest"), F.col("p.groups")).cast("int")) \
+        .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("p.cells") - 1))).drop("p")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         import numpy as np

@@ -475,6 +475,33 @@ def test_dimension_scan(spark):
     assert dimension_scan.nearest(df.where("vec_id = 50"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_lonely_vectors_get_all_their_neighbours(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 16)) * 5
+    x = centres[rng.integers(0, 8, 2000)] + 0.1 * rng.normal(size=(2000, 16))
+    x = np.concatenate((x, -50 * centres.sum(axis=0) + 0.01 * rng.normal(size=(3, 16))))
+    ids = [*(100 * np.arange(2000) + 1).tolist(), 0, 50, 75]
+    df = spark.createDataFrame(list(zip(ids, x.tolist(), strict=True)), "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(dimension_scan, "LIST_ROWS", 100)
+    monkeypatch.setattr(dimension_scan, "CELL_ROWS", 64)
+    got: dict = {}
+    for r in dimension_scan.nearest(df, F.col("vec_id") % 25 == 0).collect():
+        got.setdefault(r["query_id"], []).append(r["rank"])
+    assert {q: sorted(ranks) for q, ranks in got.items()} == {q: [1, 2, 3, 4, 5] for q in (0, 50, 75)}
+    few = dimension_scan.nearest(df.where("vec_id in (0, 50, 75)"), F.col("vec_id") % 25 == 0).groupBy("query_id").count().collect()
+    assert {r[0]: r[1] for r in few} == {0: 2, 50: 2, 75: 2}
+
+
+def test_lists_to_probe_go_on_until_enough():
+    near = np.array([[0.9, 0.5, 0.1, 0.0], [0.0, 0.1, 0.2, 0.3]])
+    rows, lists = dimension_scan.lists_to_probe(near, np.array([1, 0, 2, 9]), 1, 3)
+    assert list(zip(rows.tolist(), lists.tolist(), strict=True)) == [(0, 0), (0, 1), (0, 2), (1, 3)]
+    rows, lists = dimension_scan.lists_to_probe(near, np.array([1, 0, 2, 9]), 2, 99)
+    assert np.bincount(rows).tolist() == [4, 4]
+
+
 # ---------------------------------------------------------------- pages
 
 def test_wrappers_find_optional_and_repeated_parts():
@@ -521,6 +548,55 @@ def test_names_that_mention_furniture_keep_their_text(shell):
         "Head", ("body text " * 20).strip(), "after svg", "clip", "end", "last"]
 
 
+def _main_text(page):
+    return wrappers.article(page, *wrappers.region(wrappers.wrapper_of(wrappers.parse(page))))
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<p title=it's>alpha</p><p>second para don't</p><p>third</p>", ["alpha", "second para don't", "third"]),
+    ("<p title=it's>alpha</p><p>beta</p>", ["alpha", "beta"]),
+    ("<p title=\"a > b\" class='x > y'>alpha</p><p data-x = '>'>beta</p>", ["alpha", "beta"]),
+    ("<p title=\"open>alpha</p><p>beta</p>", ["alpha", "beta"]),
+    ("<p a'b\"c>alpha</p><p =\"x\">beta</p>", ["alpha", "beta"]),
+    ("<p>alpha<svg><path d='M0'><p>beta</p><p>third</p>", ["alpha", "beta", "third"]),
+    ("<p>alpha <svg><g><text>drawn</text></g><foreignObject><div>drawn</div></foreignObject></svg>beta</p>", ["alpha beta"]),
+    ("<video src=a><source src=b></video><p>alpha</p><video src=c><p>beta</p>", ["alpha", "beta"]),
+    ("<canvas><p>alpha</p><object data=x>none</object><p>beta</p>", ["alpha", "beta"]),
+    ("<p>alpha <select><option>one<option>two</select>beta</p><math><mi>x</mi></math><p>third</p>", ["alpha beta", "third"]),
+    ("<!-->alpha<!-- <p>no</p> --!><p>beta</p></ x><p>third</p><p>fourth <b", ["alpha", "beta", "third", "fourth"]),
+    ("<a href=/x/>alpha</a> beta<p>1 < 2 && 3 > 2</p>", ["alpha beta", "1 < 2 && 3 > 2"]),
+    ("<script>if (a < b) '</p>'</SCRIPT ><p>alpha</p><textarea><p>no</textarea><p>beta</p>", ["alpha", "beta"]),
+])
+def test_broken_markup_keeps_its_text(body, want):
+    assert _main_text("<html><body>" + body).split("\n") == want
+
+
+@pytest.mark.parametrize("shell", ["{}", "<article>{}</article>"])
+def test_deep_pages(spark, shell):
+    deep = "<html><body>" + shell.format("<div>" * 5000 + "<p>alpha</p><span>" * 700 + "beta" + "</div>" * 5000 + "<p>omega</p>") + "</body></html>"
+    rows = [(k, "http://deep.example/", deep) for k in (1, 1, None)] + [(4, None, "")]
+    got = sorted((str(r[0]), r[2]) for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert [i for i, _ in got] == ["1", "1", "4", "None"]
+    texts = [t.split("\n") for i, t in got if i != "4"]
+    # without an article the region is the element that holds most of the text
+    want = ["alpha"] * 700 + ["beta"] + ["omega"] * ("article" in shell)
+    assert all(t == want for t in texts) and ("4", "") in got
+
+
+def test_wrappers_survive_their_json():
+    w = wrappers.wrapper_of(wrappers.parse("<ul class=a><li>x<li>y</ul><p>one <b>two</b><p>" + "long " * 99))
+    assert wrappers._load(wrappers._dump(w)) == w
+
+
+def test_partial_wrappers_passed_on_early_give_the_same_text(spark, monkeypatch):
+    rows = [(k, f"http://h{k % 3}.example/", f"<body><div class=menu>m</div><article><h1>T{k}</h1>" + "<p>text" * (k % 5) + "</article>") for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    want = {r[0]: r[2] for r in wrappers.extract(df).collect()}
+    monkeypatch.setattr(wrappers, "PASS_ON_CHARS", 100)
+    assert {r[0]: r[2] for r in wrappers.extract(df).collect()} == want
+    assert want[4] == "T4" + "\ntext" * 4
+
+
 @pytest.mark.parametrize("n", [3, 9, 12])
 def test_constant_article_text_stays_at_every_host_size(spark, n):
     def page(k):
