@@ -37,8 +37,9 @@ def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of every document, and whether decoding restores its text."""
-    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    """Pieces of every document under log scores fitted to all of them, and whether decoding restores its text."""
+    docs, path = table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    return sentence_pieces.round_trip(docs, path, scores=sentence_pieces.fit(docs, path))
 
 
 @query

@@ -1,11 +1,15 @@
-"""SentencePiece encoding and decoding by the search of the file's own model (operator 2).
+"""SentencePiece encoding and decoding (operator 2).
 
-The trainer type in a model file says what its scores are.  A unigram model's are log scores
-(``Pieces``): its pieces are put into a double-array trie over bytes, all new parts of a batch are
-segmented together, the trie is walked for all of them at once in numpy, and the Viterbi score of
-every later position is updated.  A BPE model's are minus the rank of a merge and must not be added
-up (``MergedPieces``): neighbours that make a piece are merged, the best score first, the leftmost
-of equal ones.
+Unigram search (``Pieces``): the pieces are put into a double-array trie over bytes, all new parts of
+a batch are segmented together, the trie is walked for all of them at once in numpy, and the Viterbi
+score of every later position is updated.  It needs log scores.  A unigram model's file has them; a
+BPE model's scores are minus the rank of a merge and must not be added up, so ``fit`` learns log
+scores for its pieces from the whole corpus: Viterbi rounds over the counted parts of all texts, from
+scores that fall with the rank by Zipf's law.
+
+``MergedPieces`` is the search of a BPE model itself, which gives the ids of the library:
+neighbours that make a piece are merged, the best score first, the leftmost of equal ones.  It is
+what ``encode`` and ``round_trip`` use for such a file if they are given no scores.
 
 A text is marked (space becomes the marker, one marker in front) and cut where no piece can cross,
 so its segmentation is that of its parts.  A letter that no piece covers becomes its bytes, and
@@ -19,12 +23,14 @@ import heapq
 import re
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import stored, text_batches
 
 MARK = "▁"
 #: Kinds of pieces in a model file.
@@ -37,6 +43,10 @@ QUEUE_LETTERS = 100
 UNKNOWN_PENALTY = 10.0
 CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 TABLE_ENTRIES, SLICE_CHARS = 600_000, 1 << 20
+#: Different parts, and their letters, that a task counts before it passes the counts on.
+COUNTED_PARTS, COUNTED_CHARS = 500_000, 1 << 24
+#: Viterbi rounds of ``fit``.
+ROUNDS = 1
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -138,9 +148,10 @@ class DoubleArray:
 
 
 class Pieces:
-    """Encoder and decoder of one model file, by best sum of scores."""
+    """Encoder and decoder of one model file, by best sum of log scores (``scores``, or the file's own)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, scores=None):
+        self.given = scores
         self.pieces, self.prefix = read_model(path)
         plain = [k for k, (_, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER, UNUSED)]
         self.unknown = next((k for k, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
@@ -155,8 +166,8 @@ class Pieces:
         import numpy as np
 
         self.trie = DoubleArray([self.pieces[k][0].encode("utf-8") for k in plain], plain)
-        normal = [s for _, s, kind in self.pieces if kind == NORMAL]
-        self.scores = np.array([s for _, s, _ in self.pieces], np.float32)
+        self.scores = np.array([s for _, s, _ in self.pieces] if self.given is None else self.given, np.float32)
+        normal = [float(s) for s, (_, _, kind) in zip(self.scores, self.pieces, strict=True) if kind == NORMAL]
         self.scores[[k for k in plain if self.pieces[k][2] == UNUSED]] = -np.inf
         top = max(normal, default=0.0)
         for k in plain:  # a user's piece wins over any segmentation of its letters
@@ -402,21 +413,114 @@ class MergedPieces(Pieces):
 
 
 @functools.lru_cache(maxsize=2)
-def pieces_of(path: str) -> Pieces:
-    """One for each Python worker."""
+def pieces_of(path: str, scores: bytes | None = None) -> Pieces:
+    """One for each Python worker; ``scores``: fitted log scores as doubles."""
+    if scores is not None:
+        import numpy as np
+
+        return Pieces(path, np.frombuffer(scores))
     return MergedPieces(path) if model_type(path) == BPE else Pieces(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids)``: the pieces' ids of every text.  Null and empty texts have none; repeated rows
-    each get theirs; other columns are not read."""
+def first_scores(path: str):
+    """Log scores to fit from: a unigram file's own; for a BPE file log(1 / (rank * total)) by merge rank."""
+    import numpy as np
+
+    pieces, _ = read_model(path)
+    scores = np.array([s for _, s, _ in pieces], np.float64)
+    if model_type(path) == BPE:
+        normal = np.array([k for k, p in enumerate(pieces) if p[2] == NORMAL])
+        rank = np.empty(len(normal))
+        rank[np.argsort(-scores[normal], kind="stable")] = np.arange(1, len(normal) + 1)
+        scores[normal] = -np.log(rank) - np.log((1 / rank).sum())
+    return scores
+
+
+def count_parts(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``(part, n)``: the parts that the search cuts the texts into, counted over all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, counts, chars = pieces_of(path, first), Counter(), 0
+        for batch in batches:
+            for text in batch.column(0):
+                parts = Counter(pieces.parts(text.as_py() or ""))
+                chars += sum(len(p) for p in parts if p not in counts)
+                counts.update(parts)
+                if len(counts) >= COUNTED_PARTS or chars >= COUNTED_CHARS:
+                    yield _counted(counts)
+                    counts, chars = Counter(), 0
+        yield _counted(counts)
+
+    first = first_scores(path).tobytes()
+    partial = text_batches(df).select(text_col).mapInArrow(run, "part string, n long")
+    return partial.groupBy("part").agg(F.sum("n").alias("n"))
+
+
+def _counted(counts: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["part", "n"])
+
+
+def count_pieces(parts: DataFrame, path: str, scores: bytes) -> dict[int, int]:
+    """How often the best segmentation under ``scores`` uses each piece; at most one entry a piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        pieces = pieces_of(path, scores)
+        used = np.zeros(len(pieces.pieces), np.int64)
+        for batch in batches:
+            rows = sorted(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), key=lambda x: len(x[0]))
+            at = 0
+            while at < len(rows):  # parts of like length together, in slices of bounded size
+                end, longest = at + 1, len(rows[at][0]) + 8
+                while end < len(rows) and len(rows[end][0]) <= longest and (end - at) * longest < SLICE_CHARS // 4:
+                    end += 1
+                found = pieces.segment([p.encode("utf-8") for p, _ in rows[at:end]])
+                each = np.repeat([n for _, n in rows[at:end]], [len(f) // 4 for f in found])
+                np.add.at(used, np.frombuffer(b"".join(found), "<u4"), each)
+                at = end
+        ids = np.flatnonzero(used)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(used[ids])], names=["piece", "n"])
+
+    counted = parts.mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return {r["piece"]: r["n"] for r in counted.collect()}  # at most one row a piece of the file
+
+
+def fit(df: DataFrame, path: str, text_col: str = "text", rounds: int = ROUNDS):
+    """Log scores of a file's pieces, fitted to all texts of ``df`` (an array by piece id).
+
+    Each round segments every part of every text under the present scores and takes a piece's share
+    of all pieces used, with the first scores as prior (one piece of prior for each piece of the
+    file).  Counts are exact, so the scores do not depend on the layout of the table.  Without any
+    text (an empty table, null or empty texts) the first scores are the result.
+    """
+    import numpy as np
+
+    first = first_scores(path)
+    normal = np.array([k for k, p in enumerate(read_model(path)[0]) if p[2] == NORMAL])
+    prior = np.exp(first[normal])
+    parts = count_parts(df, path, text_col)
+    if rounds > 1:
+        parts = stored(parts)
+    scores = first.copy()
+    for _ in range(rounds):
+        used = count_pieces(parts, path, scores.tobytes())
+        n = np.array([used.get(k, 0) for k in normal.tolist()], np.float64) + len(normal) * prior / prior.sum()
+        scores[normal] = np.log(n / n.sum())
+    return scores
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", scores=None) -> DataFrame:
+    """``(id, ids)``: the pieces' ids of every text, by ``scores`` of ``fit`` or else by the file's own
+    search.  Null and empty texts have none; repeated rows each get theirs; other columns are not read."""
     id_type = df.schema[id_col].dataType.simpleString()
+    fitted = None if scores is None else scores.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            found = pieces_of(path).encode_all([t or "" for t in batch.column(1).to_pylist()])
+            found = pieces_of(path, fitted).encode_all([t or "" for t in batch.column(1).to_pylist()])
             at = np.concatenate(([0], np.cumsum([len(b) // 4 for b in found]))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
@@ -436,15 +540,20 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     return text_batches(df).select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {id_type}, text string")
 
 
-def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_pieces, n_byte_pieces, ids_crc32, restored)`` of every text, encoded and decoded in
-    one pass; ``restored``: decoding gave the text back."""
+def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", scores=None) -> DataFrame:
+    """``(id, n_pieces, n_byte_pieces, ids_crc32, restored)`` of every text, encoded (see ``encode``)
+    and decoded in one pass; ``restored``: decoding gave the text back.
+
+    Null and empty texts have no pieces and are restored as empty; a null id and repeated rows each
+    keep their row; other columns, whatever their names, are not read; an empty table gives no rows.
+    """
     id_type = df.schema[id_col].dataType.simpleString()
+    fitted = None if scores is None else scores.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        pieces = pieces_of(path)
+        pieces = pieces_of(path, fitted)
         is_byte = np.array([p[2] == BYTE for p in pieces.pieces])
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

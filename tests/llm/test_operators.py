@@ -613,9 +613,11 @@ def test_constant_article_text_stays_at_every_host_size(spark, n):
 
 # ---------------------------------------------------------------- pieces
 
-def test_pieces_are_the_best_segmentation_and_decode(spark, docs, given):
+@pytest.mark.parametrize("fitted", [False, True])
+def test_pieces_are_the_best_segmentation_and_decode(spark, docs, given, fitted):
     path = vocabulary("piece_bpe_32k.model")
-    pieces = sentence_pieces.Pieces(path)
+    scores = sentence_pieces.fit(docs, path) if fitted else None
+    pieces = sentence_pieces.Pieces(path, scores)
     score = {p[0]: s for p, s in zip(pieces.pieces, pieces.scores.tolist(), strict=True) if p[2] == sentence_pieces.NORMAL}
 
     def best(text):
@@ -640,10 +642,37 @@ def test_pieces_are_the_best_segmentation_and_decode(spark, docs, given):
             else:
                 got, k = got + score[pieces.pieces[ids[k]][0]], k + 1
         assert abs(got - best(text)) <= 1e-5 * abs(got) + 1e-3, text[:60]
-    encoded = sentence_pieces.encode(docs, path)
+    encoded = sentence_pieces.encode(docs, path, scores=scores)
     back = {r[0]: r[1] for r in sentence_pieces.decode(encoded, path).collect()}
     assert back == {k: t or "" for k, t in enumerate(odd_texts())}
-    assert all(r["restored"] for r in sentence_pieces.round_trip(docs, path).collect())
+    assert all(r["restored"] for r in sentence_pieces.round_trip(docs, path, scores=scores).collect())
+
+
+def test_fitted_scores_are_shares_of_the_pieces_used(spark, given, monkeypatch):
+    path = vocabulary("piece_bpe_32k.model")
+    texts = [*odd_texts(), *[t for _, t in given[:40]], given[0][1], None, ""]
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, part string")
+    first = sentence_pieces.first_scores(path)
+    normal = [k for k, p in enumerate(sentence_pieces.read_model(path)[0]) if p[2] == sentence_pieces.NORMAL]
+    assert abs(np.exp(first[normal]).sum() - 1) < 1e-9
+
+    def plain(rounds):
+        scores = first
+        for _ in range(rounds):
+            used = Counter(np.frombuffer(b"".join(sentence_pieces.Pieces(path, scores).encode_all([t or "" for t in texts])), "<u4").tolist())
+            n = np.array([used[k] for k in normal]) + len(normal) * np.exp(first[normal])
+            scores = first.copy()
+            scores[normal] = np.log(n / n.sum())
+        return scores
+
+    for rounds, slices in ((1, 1), (2, 5)):
+        if slices > 1:
+            monkeypatch.setattr(sentence_pieces, "COUNTED_PARTS", 50)  # counts are passed on in many pieces
+        got = sentence_pieces.fit(df.repartition(slices), path, rounds=rounds)
+        assert np.allclose(got, plain(rounds), rtol=0, atol=1e-12)
+    assert np.allclose(sentence_pieces.fit(df.limit(0), path), first, rtol=0, atol=1e-9)
+    twice = sentence_pieces.round_trip(df.selectExpr("null AS doc_id", "text", "part AS n_pieces").union(df.select("doc_id", "text", "part")), path, scores=got)
+    assert twice.count() == 2 * len(texts) and twice.where("restored").count() == 2 * len(texts)
 
 
 def _decodes(data):
