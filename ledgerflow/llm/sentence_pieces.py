@@ -43,8 +43,8 @@ QUEUE_LETTERS = 100
 UNKNOWN_PENALTY = 10.0
 CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 TABLE_ENTRIES, SLICE_CHARS = 600_000, 1 << 20
-#: Different parts, and their letters, that a task counts before it passes the counts on.
-COUNTED_PARTS, COUNTED_CHARS = 500_000, 1 << 24
+#: Different parts, and letters of texts, that a task counts before it passes the counts on.
+COUNTED_PARTS, COUNTED_CHARS = 500_000, 1 << 25
 #: Viterbi rounds of ``fit``.
 ROUNDS = 1
 
@@ -176,6 +176,8 @@ class Pieces:
         self.unknown_score = np.float32(min(normal, default=0.0) - UNKNOWN_PENALTY)
 
     def parts(self, text: str) -> list[str]:
+        if self.prefix and text and MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return [MARK + word for word in text.split(" ")]  # what the cut gives where spaces are single
         return CUT.split(self.marked(text)) if text else []
 
     def marked(self, text: str) -> str:
@@ -189,52 +191,53 @@ class Pieces:
             return []
         lengths = np.array([len(p) for p in parts])
         width = int(lengths.max())
-        letters = np.zeros((len(parts), width + 1), np.int32)
-        for k, p in enumerate(parts):
-            letters[k, :len(p)] = np.frombuffer(p, np.uint8)
-        best = np.full((len(parts), width + 1), -np.inf, np.float32)
-        best[:, 0] = 0
-        via = np.full((len(parts), width + 1), -1, np.int32)  # piece that ends here, -2: unknown letter
-        back = np.zeros((len(parts), width + 1), np.int32)
+        # a row for each position, a column for each part: a step reads its row in order
+        letters = np.zeros((width + 1, len(parts)), np.int32)
+        for n in np.unique(lengths):
+            which = np.flatnonzero(lengths == n)
+            letters[:n, which] = np.frombuffer(b"".join([parts[k] for k in which]), np.uint8).reshape(len(which), n).T
+        best = np.full((width + 1, len(parts)), -np.inf, np.float32)
+        best[0] = 0
+        via = np.full((width + 1, len(parts)), -1, np.int32)  # piece that ends here, -2: unknown letter
+        back = np.zeros((width + 1, len(parts)), np.int32)
         base, check, value = self.trie.base, self.trie.check, self.trie.value
         starts = (letters & 0xC0) != 0x80
         step = np.where(letters < 0x80, 1, np.where(letters < 0xE0, 2, np.where(letters < 0xF0, 3, 4)))
         for i in range(width):
-            rows = np.flatnonzero((lengths > i) & starts[:, i])
+            rows = np.flatnonzero((lengths > i) & starts[i])
             if not len(rows):
                 continue
-            score, state, single = best[rows, i], np.zeros(len(rows), np.int32), np.zeros(len(rows), bool)
-            live, at = np.arange(len(rows)), i
+            score, size, single = best[i][rows], step[i][rows], np.zeros(len(rows), bool)
+            live, who, state, at = np.arange(len(rows)), rows, np.zeros(len(rows), np.int32), i
             while len(live):
-                b = letters[rows[live], at]
-                nxt = base[state[live]] + b + 1
-                fits = (check[nxt] == state[live]) & (at < lengths[rows[live]])
-                live, nxt = live[fits], nxt[fits]
+                nxt = base[state] + letters[at][who] + 1
+                fits = np.flatnonzero((check[nxt] == state) & (at < lengths[who]))
+                live, who, state = live[fits], who[fits], nxt[fits]
                 at += 1
-                state[live] = nxt
-                ends = value[nxt] >= 0
-                if ends.any():
-                    who, piece = live[ends], value[nxt[ends]]
-                    r, total = rows[who], score[who] + self.scores[piece]
-                    single[who] |= at - i == step[r, i]
-                    better = total > best[r, at]
-                    r, piece = r[better], piece[better]
-                    best[r, at], via[r, at], back[r, at] = total[better], piece, i
+                piece = value[state]
+                ends = np.flatnonzero(piece >= 0)
+                if len(ends):
+                    k, r, piece = live[ends], who[ends], piece[ends]
+                    single[k] |= at - i == size[k]
+                    total = score[k] + self.scores[piece]
+                    better = np.flatnonzero(total > best[at][r])
+                    r = r[better]
+                    best[at][r], via[at][r], back[at][r] = total[better], piece[better], i
                 if at > width:
                     break
             lone = rows[~single]
             if len(lone):
-                end = i + step[lone, i]
-                total = best[lone, i] + self.unknown_score
-                better = total > best[lone, end]
+                end = i + step[i][lone]
+                total = best[i][lone] + self.unknown_score
+                better = total > best[end, lone]
                 r, end = lone[better], end[better]
-                best[r, end], via[r, end], back[r, end] = total[better], -2, i
+                best[end, r], via[end, r], back[end, r] = total[better], -2, i
         # all parts back from their ends at once; unknown letters are opened up part by part
         rows, at, taken = np.arange(len(parts)), lengths.copy(), []
         while (at > 0).any():
-            piece = np.where(at > 0, via[rows, at], -1)
+            piece = np.where(at > 0, via[at, rows], -1)
             taken.append(piece)
-            at = np.where(at > 0, back[rows, at], 0)
+            at = np.where(at > 0, back[at, rows], 0)
         steps = np.stack(taken[::-1], axis=1)
         there = steps != -1
         data = steps[there].astype("<u4").tobytes()
@@ -244,7 +247,7 @@ class Pieces:
             ids: list[int] = []
             pos = int(lengths[k])
             while pos:
-                piece, start = int(via[k, pos]), int(back[k, pos])
+                piece, start = int(via[pos, k]), int(back[pos, k])
                 if piece >= 0:
                     ids.append(piece)
                 elif self.byte_ids:
@@ -279,13 +282,13 @@ class Pieces:
         return out + self._group(group)
 
     def _group(self, group: list[list[str]]) -> list[bytes]:
-        new = {p for parts in group for p in parts if p}.difference(self.known)
+        new = set().union(*group).difference(self.known)
         if len(self.known) + len(new) > TABLE_ENTRIES:
             short = {p: v for p, v in self.known.items() if len(p) <= 8}
             self.known = short if len(short) < TABLE_ENTRIES // 2 else {}
-            new = {p for parts in group for p in parts if p}.difference(self.known)
+            new = set().union(*group).difference(self.known)
         self.learn(new)
-        return [b"".join(map(self.known.__getitem__, filter(None, parts))) for parts in group]
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in group]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: bytes are joined, markers become spaces, the marker in front goes."""
@@ -442,10 +445,9 @@ def count_parts(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, counts, chars = pieces_of(path, first), Counter(), 0
         for batch in batches:
-            for text in batch.column(0):
-                parts = Counter(pieces.parts(text.as_py() or ""))
-                chars += sum(len(p) for p in parts if p not in counts)
-                counts.update(parts)
+            for text in batch.column(0).to_pylist():
+                counts.update(pieces.parts(text or ""))
+                chars += len(text or "")
                 if len(counts) >= COUNTED_PARTS or chars >= COUNTED_CHARS:
                     yield _counted(counts)
                     counts, chars = Counter(), 0
