@@ -470,8 +470,9 @@ def count_pieces(parts: DataFrame, path: str, scores: bytes) -> dict[int, int]:
 
         pieces = pieces_of(path, scores)
         used = np.zeros(len(pieces.pieces), np.int64)
-        for batch in batches:
-            rows = sorted(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), key=lambda x: len(x[0]))
+
+        def add(rows: list[tuple[str, int]]) -> None:
+            rows.sort(key=lambda x: len(x[0]))
             at = 0
             while at < len(rows):  # parts of like length together, in slices of bounded size
                 end, longest = at + 1, len(rows[at][0]) + 8
@@ -481,6 +482,16 @@ def count_pieces(parts: DataFrame, path: str, scores: bytes) -> dict[int, int]:
                 each = np.repeat([n for _, n in rows[at:end]], [len(f) // 4 for f in found])
                 np.add.at(used, np.frombuffer(b"".join(found), "<u4"), each)
                 at = end
+
+        held, chars = [], 0  # small Arrow batches are put together
+        for batch in batches:
+            for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.append((part, n))
+                chars += len(part)
+                if chars >= SLICE_CHARS:
+                    add(held)
+                    held, chars = [], 0
+        add(held)
         ids = np.flatnonzero(used)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(used[ids])], names=["piece", "n"])
 
