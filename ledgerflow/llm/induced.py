@@ -12,8 +12,9 @@ first ``depth`` symbols), each with the length it has in common with the one bef
 * once rising from the smallest symbol for falling (L) suffixes, once falling for rising (S) ones.
 
 The queue takes and gives whole runs of tuples as arrays.  Within a bucket they come out as they
-went in, which is their order.  Runs beyond a memory budget are kept on disk, so a shard may be
-far larger than memory; the files live in a folder that goes with the sort.
+went in, which is their order.  Runs beyond a memory budget are kept on disk, in a folder that
+goes with the sort.  The shard's text, types, S* names and the bucket at hand stay in memory, some
+tens of bytes a symbol, so the caller bounds its shards.
 """
 
 from __future__ import annotations

@@ -7,11 +7,14 @@ are sorted in shards, and what must be sorted is first narrowed down without los
    smallest.  Equal windows have equal anchors, so only anchors that occur twice matter.
 2. An occurrence's *context* is all that windows with this anchor can reach.  Equal contexts are
    carried once, with their number.
-3. Contexts are dealt to shards by where their anchor occurs first, so that neighbouring contexts
-   stay together and overlapping ones merge; all occurrences of an anchor meet in one shard.
-4. Each shard's suffixes are sorted by induction (``induced``); neighbours in suffix order with
+3. An anchor with more than ``HOT_BYTES`` of different contexts is cut up: its windows fall into
+   runs by how far they start before it, and each run has a longer anchor, the bytes that all its
+   windows hold.  What is still hot is cut into single windows, whose contexts are all equal.
+4. Contexts are dealt to shards by where their anchor occurs first, so that neighbouring contexts
+   stay together and overlapping ones merge; all contexts of an anchor meet in one shard.
+5. Each shard's suffixes are sorted by induction (``induced``); neighbours in suffix order with
    a common prefix of at least ``length`` are repeats.
-5. What is found for a context holds for all its occurrences, and is cut out of the texts.
+6. What is found for a context holds for all its occurrences, and is cut out of the texts.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ LENGTH = 400
 #: Bytes of the first occurrence's text that share a shard, and context bytes meant for a bucket.
 HOME_BLOCK = 1024
 BUCKET_BYTES = 12_000_000
+#: Bytes of different contexts above which an anchor is cut up, and the window starts of a run at each step.
+HOT_BYTES = 1_000_000
+RUN_STARTS = (16, 1)
 #: Windows of a text whose anchors are looked for at a time.
 RUN_WINDOWS = 1 << 20
 SEPARATOR, FIRST_BYTE, SYMBOLS = 1, 2, 258
@@ -92,7 +98,7 @@ def _anchors(data: bytes, length: int):
 
 
 def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
-    """``(anchor, ctx, id, h, lo, hi)`` of every anchor: its hash, its context's hash and bounds."""
+    """``(anchor, ctx, id, h, lo, hi, lead)`` of every anchor: its hash, its context's hash and bounds, its place therein."""
     id_type = rows.schema["id"].dataType.simpleString()
     k = kgram(length)
 
@@ -101,7 +107,7 @@ def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
         from xxhash import xxh3_64_intdigest
 
         for batch in batches:
-            take, hashes, ctx, los, his = [], [], [], [], []
+            take, hashes, ctx, los, his, leads = [], [], [], [], [], []
             for j, text in enumerate(batch.column(2)):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 if len(data) < length:
@@ -112,15 +118,51 @@ def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
                 hashes.append(h)
                 los.append(lo)
                 his.append(hi)
+                leads.append(at - lo)
                 ctx += [xxh3_64_intdigest(data[a:e], q - a) for q, a, e in zip(at.tolist(), lo.tolist(), hi.tolist(), strict=True)]
             join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
             index = pa.array(join(take, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(join(hashes, np.uint64).view(np.int64)), pa.array(np.array(ctx, np.uint64).view(np.int64)),
-                 batch.column(0).take(index), batch.column(1).take(index), pa.array(join(los, np.int32)), pa.array(join(his, np.int32))],
-                names=["anchor", "ctx", "id", "h", "lo", "hi"])
+                 batch.column(0).take(index), batch.column(1).take(index), pa.array(join(los, np.int32)), pa.array(join(his, np.int32)),
+                 pa.array(join(leads, np.int32))],
+                names=["anchor", "ctx", "id", "h", "lo", "hi", "lead"])
 
-    return text_batches(rows).mapInArrow(found, f"anchor long, ctx long, id {id_type}, h long, lo int, hi int")
+    return text_batches(rows).mapInArrow(found, f"anchor long, ctx long, id {id_type}, h long, lo int, hi int, lead int")
+
+
+def _cut_up(length: int, starts: int):
+    """Rows of the contexts' parts: one for each run of ``starts`` windows, counted back from the anchor.
+
+    A part's own anchor is what all windows of the run hold, whether or not the text reaches far
+    enough for each of them, so parts of different contexts meet wherever they share a window.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        signed = lambda x: x - (x >> 63 << 64)
+        for batch in batches:
+            out: list[list] = [[] for _ in PARTS]
+            for key, h, text, marks in zip(*(batch.column(c) for c in ("id", "h", "text", "marks")), strict=True):
+                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                for m in marks.as_py():
+                    lo, hi, q = m["lo"], m["hi"], m["lo"] + m["lead"]
+                    for back in range((q - hi + length) // starts * starts, q - lo + 1, starts):
+                        core = data[q - back:q - back - starts + 1 + length]
+                        a, e = max(lo, q - back - starts + 1), min(hi, q - back + length)
+                        row = (m["anchor"], m["ctx"], a - lo, signed(xxh3_64_intdigest(core, starts)),
+                               signed(xxh3_64_intdigest(data[a:e], q - a & (1 << 64) - 1)), key.as_py(), h.as_py(), a, e, q - a, m["n"])
+                        for column, value in zip(out, row, strict=True):
+                            column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), batch.schema.field("id").type, pa.int64(),
+                     pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=PARTS)
+
+    return run
+
+
+PARTS = ["whole_anchor", "whole_ctx", "at", "anchor", "ctx", "id", "h", "lo", "hi", "lead", "n"]
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,38 +257,75 @@ def _sorted_shards(length: int):
     return run
 
 
-def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
-    """``(id, h, spans)`` of ``rows (id, h, text)``: covered byte spans, not merged."""
-    k = F.struct("id", "h", "lo")
-    found = _anchor_rows(rows, length)
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min(k).alias("home")).where("n > 1")
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose anchor occurs twice or more, with the ``place`` of its first occurrence."""
+    homes = rows.groupBy("anchor").agg(F.sum("n").alias("times"), F.min(F.struct("id", "h", "lo")).alias("home")).where("times > 1")
     place = F.xxhash64("home.id", "home.h", F.floor(F.col("home.lo") / HOME_BLOCK))
-    repeated = stored(repeated.select("anchor", place.alias("place")))  # a plain side: a hot anchor's join can be split
-    occurrences = stored(found.join(repeated, "anchor").select("anchor", "ctx", "id", "h", "lo", "hi", "place"))
-    contexts = stored(occurrences.groupBy("anchor", "ctx").agg(
-        F.min(F.struct("id", "h", "lo", "hi")).alias("rep"), F.count("*").alias("n"), F.min("place").alias("place")))
-    size = contexts.agg(F.sum(F.col("rep.hi") - F.col("rep.lo"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    mark = F.struct("anchor", "ctx", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"), "n",
-                    F.pmod("place", F.lit(buckets)).cast("int").alias("bucket"))
+    homes = stored(homes.select("anchor", place.alias("place")))  # a plain side: a hot anchor's join can be split
+    return stored(rows.join(homes, "anchor"))
+
+
+def _contexts(rows: DataFrame) -> DataFrame:
+    """Different contexts of ``rows``: one to stand for the equal ones, and their number."""
+    return stored(rows.groupBy("anchor", "ctx").agg(
+        F.min(F.struct("id", "h", "lo", "hi", "lead")).alias("rep"), F.sum("n").alias("n"), F.min("place").alias("place")))
+
+
+def _bytes():
+    return F.sum(F.col("rep.hi") - F.col("rep.lo"))
+
+
+def _marked(rows: DataFrame, contexts: DataFrame, *more) -> DataFrame:
+    """``(id, h, text, marks)`` of the texts that stand for contexts."""
+    mark = F.struct("anchor", "ctx", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"), "n", *more)
     wanted = contexts.groupBy(F.col("rep.id").alias("rep_id"), F.col("rep.h").alias("rep_h")).agg(F.collect_list(mark).alias("marks"))
-    once = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("h") == F.col("rep_h"))).select("text", "marks")
+    return rows.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("h") == F.col("rep_h"))).select("id", "h", "text", "marks")
+
+
+def repeated_spans(rows: DataFrame, length: int, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """``(id, h, spans)`` of ``rows (id, h, text)``: covered byte spans, not merged."""
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"whole_anchor long, whole_ctx long, at int, anchor long, ctx long, id {id_type}, h long, lo int, hi int, lead int, n long"
+    occurrences = _repeated(_anchor_rows(rows, length).withColumn("n", F.lit(1).cast("long")))
+    contexts, steps = _contexts(occurrences), []
+    settled = []
+    for starts in RUN_STARTS:
+        hot = stored(contexts.groupBy("anchor").agg(_bytes().alias("size")).where(F.col("size") > hot_bytes).select("anchor"))
+        if hot.isEmpty():
+            break
+        settled.append(contexts.join(hot, "anchor", "left_anti"))
+        whole = _marked(rows, contexts.join(hot, "anchor", "left_semi"), F.col("rep.lead").alias("lead"))
+        steps.append(_repeated(stored(text_batches(whole).mapInArrow(_cut_up(length, starts), schema))))
+        contexts = _contexts(steps[-1])
+    for earlier in settled:
+        contexts = contexts.unionByName(earlier)
+    size = contexts.agg(_bytes()).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    once = _marked(rows, contexts, F.pmod("place", F.lit(buckets)).cast("int").alias("bucket")).select("text", "marks")
     regions = once.mapInArrow(_regions, f"bucket int, region binary, marks {MARKS_DDL}")
     shards = regions.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     spans = shards.mapInArrow(_sorted_shards(length), "anchor long, ctx long, a int, b int")
+    if steps:
+        spans = stored(spans)
+    for parts in reversed(steps):  # what is found for a part holds for the contexts that it was cut from
+        of_parts = parts.select("whole_anchor", "whole_ctx", "at", "anchor", "ctx").join(spans, ["anchor", "ctx"])
+        spans = spans.unionByName(of_parts.select(F.col("whole_anchor").alias("anchor"), F.col("whole_ctx").alias("ctx"),
+                                                  (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b")))
     return (occurrences.join(spans, ["anchor", "ctx"])
             .groupBy("id", "h").agg(F.collect_set(F.struct((F.col("lo") + F.col("a")).alias("start"), (F.col("lo") + F.col("b")).alias("stop"))).alias("spans")))
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Rows ``(id, n_bytes, spans, kept)``, one for each row of ``df``.
 
     ``spans`` are the maximal removed (start, stop) runs in bytes of the whole text's UTF-8 form,
     judged on the input; ``kept`` is what is left.  Null text counts as empty.  Repeated rows are
     occurrences like any other, so both lose what they share.  Other columns are not read.
+    The result does not depend on ``hot_bytes`` (see the module).
     """
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    spans = repeated_spans(rows, length).select(F.col("id").alias("span_id"), F.col("h").alias("span_h"), "spans")
+    spans = repeated_spans(rows, length, hot_bytes).select(F.col("id").alias("span_id"), F.col("h").alias("span_h"), "spans")
     joined = rows.join(spans, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("h") == F.col("span_h")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -299,20 +299,39 @@ def naive_removal(texts, length):
     return out
 
 
-@pytest.mark.parametrize("length", [12, 50])
-def test_suffix_dedup_equals_brute_force(spark, length):
+@pytest.mark.parametrize(("length", "hot_bytes"), [(12, 1 << 20), (50, 1 << 20), (50, 600), (50, 0)])
+def test_suffix_dedup_equals_brute_force(spark, length, hot_bytes):
+    """With a low limit, anchors of several contexts are cut up; with none, all are, down to single windows."""
     rng = random.Random(length)
     shared = [prose(100 + k, 30) for k in range(4)]
     texts = odd_texts()[:5] + ["ab" * 100, "é" * 80, "abcabcabd" * 9]
     for k in range(30):
         texts.append(prose(k, rng.randint(0, 30)) + rng.choice(shared)[rng.randint(0, 20):] + prose(k + 50, 20))
     texts += texts[-3:]
-    got = {r[0]: r for r in suffix_dedup.remove_repeats(frame(spark, texts), length=length).collect()}
+    got = {r[0]: r for r in suffix_dedup.remove_repeats(frame(spark, texts), length=length, hot_bytes=hot_bytes).collect()}
     for k, (removed, spans, kept) in enumerate(naive_removal(texts, length)):
         assert bytes(got[k]["kept"]) == kept, k
         assert (sum(s["stop"] - s["start"] for s in got[k]["spans"]), len(got[k]["spans"])) == (removed, spans)
 
 
+def test_a_hot_anchor_is_cut_up(spark, monkeypatch):
+    """A line that all texts share: its contexts do not meet in one shard, and being short it stays."""
+    line = prose(7, 100)[:300]
+    texts = [prose(1000 + k, 60) + line + prose(2000 + k, 60) for k in range(120)]
+    largest = []
+    whole = suffix_dedup._contexts
+
+    def watched(rows):
+        contexts = whole(rows)
+        largest.append(contexts.groupBy("anchor").agg(suffix_dedup._bytes().alias("n")).agg({"n": "max"}).first()[0] or 0)
+        return contexts
+
+    monkeypatch.setattr(suffix_dedup, "_contexts", watched)
+    got = suffix_dedup.remove_repeats(frame(spark, texts), hot_bytes=20_000).collect()
+    assert largest[0] > 20_000 >= largest[-1]
+    assert len(got) == 120 and not any(r["spans"] for r in got)
+
+
 def test_anchors_of_a_long_text_are_those_of_its_windows(monkeypatch):
     data = (prose(1, 400) + "ab" * 60 + prose(2, 200)).encode()
     at, h = suffix_dedup.anchors(data, 50)
