@@ -7,11 +7,11 @@ are sorted in shards, and what must be sorted is first narrowed down without los
    smallest.  Equal windows have equal anchors, so only anchors that occur twice matter.
 2. An occurrence's *context* is all that windows with this anchor can reach.  Equal contexts are
    carried once, with their number.
-3. An anchor with more than ``HOT_BYTES`` of different contexts is cut up: its windows fall into
-   runs by how far they start before it, and each run has a longer anchor, the bytes that all its
-   windows hold.  What is still hot is cut into single windows, whose contexts are all equal.
-4. Contexts are dealt to shards by where their anchor occurs first, so that neighbouring contexts
+3. Contexts are dealt to shards by where their anchor occurs first, so that neighbouring contexts
    stay together and overlapping ones merge; all contexts of an anchor meet in one shard.
+4. Contexts of one place that do not fit a shard are cut up: their windows fall into runs by how far
+   they start before the anchor, and each run has a longer anchor, the bytes that all its windows
+   hold.  What still does not fit is cut into single windows; those of one anchor are all equal.
 5. Each shard's suffixes are sorted by induction (``induced``); neighbours in suffix order with
    a common prefix of at least ``length`` are repeats.
 6. What is found for a context holds for all its occurrences, and is cut out of the texts.
@@ -32,8 +32,8 @@ LENGTH = 400
 #: Bytes of the first occurrence's text that share a shard, and context bytes meant for a bucket.
 HOME_BLOCK = 1024
 BUCKET_BYTES = 12_000_000
-#: Bytes of different contexts above which an anchor is cut up, and the window starts of a run at each step.
-HOT_BYTES = 1_000_000
+#: Bytes of different contexts above which those of a place are cut up, and the window starts of a run at each step.
+HOT_BYTES = BUCKET_BYTES
 RUN_STARTS = (16, 1)
 #: Windows of a text whose anchors are looked for at a time.
 RUN_WINDOWS = 1 << 20
@@ -257,10 +257,11 @@ def _sorted_shards(length: int):
     return run
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Those of ``rows`` whose anchor occurs twice or more, with the ``place`` of its first occurrence."""
+def _repeated(rows: DataFrame, place=None) -> DataFrame:
+    """Those of ``rows`` whose anchor occurs twice or more, with their ``place`` (else that of its first occurrence)."""
     homes = rows.groupBy("anchor").agg(F.sum("n").alias("times"), F.min(F.struct("id", "h", "lo")).alias("home")).where("times > 1")
-    place = F.xxhash64("home.id", "home.h", F.floor(F.col("home.lo") / HOME_BLOCK))
+    if place is None:
+        place = F.xxhash64("home.id", "home.h", F.floor(F.col("home.lo") / HOME_BLOCK))
     homes = stored(homes.select("anchor", place.alias("place")))  # a plain side: a hot anchor's join can be split
     return stored(rows.join(homes, "anchor"))
 
@@ -287,16 +288,19 @@ def repeated_spans(rows: DataFrame, length: int, hot_bytes: int = HOT_BYTES) ->
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"whole_anchor long, whole_ctx long, at int, anchor long, ctx long, id {id_type}, h long, lo int, hi int, lead int, n long"
     occurrences = _repeated(_anchor_rows(rows, length).withColumn("n", F.lit(1).cast("long")))
-    contexts, steps = _contexts(occurrences), []
-    settled = []
+    contexts, settled, steps, alike = _contexts(occurrences), [], [], None
     for starts in RUN_STARTS:
-        hot = stored(contexts.groupBy("anchor").agg(_bytes().alias("size")).where(F.col("size") > hot_bytes).select("anchor"))
+        hot = stored(contexts.groupBy("place").agg(_bytes().alias("size")).where(F.col("size") > hot_bytes).select("place"))
         if hot.isEmpty():
             break
-        settled.append(contexts.join(hot, "anchor", "left_anti"))
-        whole = _marked(rows, contexts.join(hot, "anchor", "left_semi"), F.col("rep.lead").alias("lead"))
-        steps.append(_repeated(stored(text_batches(whole).mapInArrow(_cut_up(length, starts), schema))))
+        settled.append(contexts.join(hot, "place", "left_anti"))
+        whole = _marked(rows, contexts.join(hot, "place", "left_semi"), F.col("rep.lead").alias("lead"))
+        parts = stored(text_batches(whole).mapInArrow(_cut_up(length, starts), schema))
+        steps.append(_repeated(parts, F.xxhash64("anchor")))
         contexts = _contexts(steps[-1])
+        if starts == 1:  # a window each: nothing to sort, equal ones with the anchor at one place are counted
+            alike = contexts.where("n > 1").select("anchor", "ctx", F.lit(0).alias("a"), F.lit(length).alias("b"))
+            contexts = settled.pop()
     for earlier in settled:
         contexts = contexts.unionByName(earlier)
     size = contexts.agg(_bytes()).first()[0] or 0
@@ -305,6 +309,8 @@ def repeated_spans(rows: DataFrame, length: int, hot_bytes: int = HOT_BYTES) ->
     regions = once.mapInArrow(_regions, f"bucket int, region binary, marks {MARKS_DDL}")
     shards = regions.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     spans = shards.mapInArrow(_sorted_shards(length), "anchor long, ctx long, a int, b int")
+    if alike is not None:
+        spans = spans.unionByName(alike)
     if steps:
         spans = stored(spans)
     for parts in reversed(steps):  # what is found for a part holds for the contexts that it was cut from

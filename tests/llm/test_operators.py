@@ -323,7 +323,7 @@ def test_a_hot_anchor_is_cut_up(spark, monkeypatch):
 
     def watched(rows):
         contexts = whole(rows)
-        largest.append(contexts.groupBy("anchor").agg(suffix_dedup._bytes().alias("n")).agg({"n": "max"}).first()[0] or 0)
+        largest.append(contexts.where("n = 1").groupBy("place").agg(suffix_dedup._bytes().alias("n")).agg({"n": "max"}).first()[0] or 0)
         return contexts
 
     monkeypatch.setattr(suffix_dedup, "_contexts", watched)
