@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import hierarchy, ordering
@@ -89,6 +90,29 @@ def test_numbers_of_a_hot_document(spark, spread, slices):
     assert Counter((r["d"], r["a"], r["b"], r["line"]) for r in got) == want
 
 
+def test_only_hot_documents_are_dealt_to_slices(spark, monkeypatch):
+    """Numbers of hot and other documents are those of one window; without a hot key nothing is dealt to slices."""
+    from ledgerflow.operators.ledger import number_lines
+
+    rows = [("hot" if k % 3 == 0 else f"d{k % 50}", k % 2, (k * 37) % 1000, k) for k in range(900)] + [(None, 0, 1, 1)]
+    df = spark.createDataFrame(rows, "d string, r int, a int, b int").repartition(5)
+    window = Window.partitionBy("d", "r").orderBy("a", "b")
+    want = sorted(map(tuple, df.where("d is not null").withColumn("line", F.row_number().over(window)).collect()))
+
+    def number():
+        return number_lines(df, "d", lambda lines: lines.where("d is not null"), df.select("d"), ["d", "r"], ["a", "b"], "line")
+
+    monkeypatch.setattr(ordering, "HOT_ROWS", 100)
+    assert [r["d"] for r in ordering.heavy_keys(df, "d").collect()] == ["hot"]
+    assert sorted(map(tuple, number().collect())) == want
+    monkeypatch.setattr(ordering, "HOT_ROWS", 1000)
+    assert ordering.heavy_keys(df, "d") is None
+    plain = number()
+    assert sorted(map(tuple, plain.collect())) == want
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
 def test_slices_of_a_hot_document_are_even(spark, spread):
     df = spark.range(0, 90000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("d"), "id")
     sizes = sorted(r["n"] for r in ordering.in_order(df, "d", "id").groupBy("__slice").agg(F.count("*").alias("n")).collect())
