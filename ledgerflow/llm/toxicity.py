@@ -2,9 +2,10 @@
 
 A word is embedded as the mean of a few hashed rows (the word itself and its first letters).
 Filters over one, two and three words slide over the whole text; each keeps its maximum, and a
-logistic layer weighs the maxima.  The classifier is trained in numpy on a bounded sample of
-labelled documents and then scores every document where it is read.  Part of the sample is kept
-from training: it fixes the scale of the scores and one decision threshold for each language.
+logistic layer weighs the maxima.  The weights start from a bounded sample that is trained in numpy;
+then every labelled document is learned from in tasks, whose weights are averaged.  A fold of the labelled
+documents is kept from training: all of it, counted by logit, fixes the scale of the scores and one decision
+threshold for each language.  The classifier scores every document where it is read.
 """
 
 from __future__ import annotations
@@ -20,9 +21,16 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 
-#: Labelled documents taken of each class, and the most words of one of them.
+#: Labelled documents of each class from which the weights start, and the most words of one of them.
 SAMPLE_OF_CLASS = 1500
 SAMPLE_WORDS = 50_000
+#: Labelled documents that a task learns from, and its learning rate.
+TASK_DOCS = 4096
+TASK_RATE = 0.002
+#: Weights are averaged as whole multiples of this, so that the sum has no order.
+WEIGHT_STEP = 2.0 ** -24
+#: Logits are counted in bins of this width, up to the bound.
+LOGIT_STEP, LOGIT_BOUND = 1 / 256, 100.0
 #: A language needs so many positive validation documents for a threshold of its own.
 LANGUAGE_POSITIVES = 20
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 17, 16, 16, (1, 2, 3)
@@ -51,6 +59,11 @@ def buckets_of(words: list[str]):
     return rows % BUCKETS
 
 
+def slices_of(words: list[str]) -> list[list[str]]:
+    """A text's words in overlapping slices, one where they fit."""
+    return [words[at:at + SLICE_WORDS + PAD] for at in range(0, max(1, len(words)), SLICE_WORDS)]
+
+
 @dataclass
 class Model:
     embedding: object
@@ -91,11 +104,16 @@ class Model:
 
         if self.constant is not None:
             return np.full(len(texts), self.constant)
+        a, b = self.scale
+        return 1 / (1 + np.exp(-np.clip(a * self.raw(texts) + b, -60, 60)))
+
+    def raw(self, texts: list[str | None]):
+        """Logits of whole texts before their scale."""
+        import numpy as np
+
         logits, group, owners, size = np.full(len(texts), -np.inf), [], [], 0
         for k, text in enumerate(texts):
-            words = words_of(text)
-            for at in range(0, max(1, len(words)), SLICE_WORDS):
-                part = words[at:at + SLICE_WORDS + PAD]
+            for part in slices_of(words_of(text)):
                 group.append(part)
                 owners.append(k)
                 size += len(part)
@@ -104,8 +122,7 @@ class Model:
                     group, owners, size = [], [], 0
         if group:
             np.maximum.at(logits, owners, self._group(group))
-        a, b = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * logits + b, -60, 60)))
+        return logits
 
     def _group(self, group: list[list[str]]):
         import numpy as np
@@ -125,10 +142,10 @@ class Model:
 
 
 class Adam:
-    def __init__(self, *params):
+    def __init__(self, *params, rate: float = RATE):
         import numpy as np
 
-        self.params, self.t = params, 0
+        self.params, self.t, self.rate = params, 0, rate
         self.m = [np.zeros_like(p) for p in params]
         self.v = [np.zeros_like(p) for p in params]
 
@@ -139,7 +156,133 @@ class Adam:
         for p, g, m, v in zip(self.params, grads, self.m, self.v, strict=True):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            p -= RATE * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8)
+            p -= self.rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8)
+
+
+def gradients(model: Model, emb, texts: list, y):
+    """Gradients of the mean loss: of ``emb``, the filters, bias, output and output bias; ``texts`` hold rows of ``emb``."""
+    import numpy as np
+
+    n_rows = 1 + len(PREFIXES)
+    lengths = np.array([len(t) for t in texts])
+    starts = np.concatenate(([0], np.cumsum(lengths + PAD)[:-1]))
+    rows = np.full((int((lengths + PAD).sum()) + 1, n_rows), -1)
+    for t, s in zip(texts, starts, strict=True):
+        rows[s:s + len(t)] = t
+    vectors = emb[rows].mean(axis=1) if len(emb) else np.zeros((len(rows), DIMS), np.float32)
+    vectors[rows[:, 0] < 0] = 0
+    parts = model.maxima(np.arange(len(rows)), vectors, starts, lengths)
+    hidden = np.concatenate([p for _, p in parts], axis=1) + model.bias
+    logit = np.maximum(hidden, 0) @ model.out + model.out_bias
+    g = (1 / (1 + np.exp(-logit)) - y) / len(texts)
+    d_hidden = (g[:, None] * model.out) * (hidden > 0)
+    d_emb, d_filters = np.zeros_like(emb), [np.zeros_like(f) for f in model.filters]
+    for j, (w, (z, _)) in enumerate(zip(WIDTHS, parts, strict=True)):
+        d = d_hidden[:, j * FILTERS:(j + 1) * FILTERS]
+        best = np.stack([s + z[s:s + max(n, 1)].argmax(axis=0) for s, n in zip(starts, lengths, strict=True)])
+        for k in range(w):
+            at_word = best + k
+            d_filters[j][k] += np.einsum("bfd,bf->df", vectors[at_word], d)
+            flow = d[:, :, None] * model.filters[j][k].T[None] / n_rows
+            real = rows[at_word][:, :, 0] >= 0
+            for r in range(n_rows):
+                np.add.at(d_emb, rows[at_word][:, :, r][real], flow[real])
+    return (d_emb, *d_filters, d_hidden.sum(axis=0), (np.maximum(hidden, 0) * g[:, None]).sum(axis=0),
+            g.sum(keepdims=True))
+
+
+class TaskTrainer:
+    """Learns from a task's documents batch by batch, from given weights on; only touched embedding rows move."""
+
+    def __init__(self, model: Model):
+        import numpy as np
+
+        self.model = Model(model.embedding.copy(), [f.copy() for f in model.filters], model.bias.copy(), model.out.copy(), model.out_bias)
+        self.out_bias = np.array([model.out_bias], np.float32)
+        self.dense = Adam(*self.model.filters, self.model.bias, self.model.out, self.out_bias, rate=TASK_RATE)
+        self.m, self.v = np.zeros_like(model.embedding), np.zeros_like(model.embedding)
+        self.touched = np.zeros(len(model.embedding), np.int64)
+        self.docs = 0
+
+    def learn(self, texts: list, labels: list) -> None:
+        import numpy as np
+
+        # of a text in slices, the one that gives the score
+        parts = [max(s, key=lambda w: self.model.raw([" ".join(w)])[0]) if len(s) > 1 else s[0]
+                 for s in (slices_of(words_of(t)) for t in texts)]
+        seen: dict[str, int] = {}
+        codes = [np.array([seen.setdefault(w, len(seen)) for w in words], np.int64) for words in parts]
+        used, rows = np.unique(buckets_of(list(seen)), return_inverse=True)
+        rows = rows.reshape(-1, 1 + len(PREFIXES))
+        emb = self.model.embedding[used]
+        d_emb, *rest = gradients(self.model, emb, [rows[c] for c in codes], np.asarray(labels, np.float32))
+        moved = np.flatnonzero(np.abs(d_emb).sum(axis=1))
+        at, g = used[moved], d_emb[moved]
+        self.touched[at] += 1
+        self.m[at] += 0.1 * (g - self.m[at])
+        self.v[at] += 0.001 * (g * g - self.v[at])
+        t = self.touched[at][:, None]
+        self.model.embedding[at] -= TASK_RATE * (self.m[at] / (1 - 0.9 ** t)) / (np.sqrt(self.v[at] / (1 - 0.999 ** t)) + 1e-8)
+        self.dense.step(*rest)
+        self.model.out_bias = float(self.out_bias[0])
+        self.docs += len(texts)
+
+    def weights(self):
+        """``(row, part, share, values)`` of what moved: embedding rows from 0, everything else in parts of row -1."""
+        import numpy as np
+
+        at = np.flatnonzero(self.touched)
+        flat = np.concatenate([*[f.ravel() for f in self.model.filters], self.model.bias, self.model.out, self.out_bias])
+        flat = np.append(flat, np.zeros(-len(flat) % DIMS, np.float32)).reshape(-1, DIMS)
+        row = np.concatenate([at, np.full(len(flat), -1)])
+        part = np.concatenate([np.zeros(len(at), np.int64), np.arange(len(flat))])
+        share = np.concatenate([self.touched[at], np.full(len(flat), self.docs)])
+        return row, part, share, np.concatenate([self.model.embedding[at], flat])
+
+
+def learn_from_all(model: Model, rows: DataFrame, n: int) -> None:
+    """Moves the weights by every one of the ``n`` labelled ``rows`` (text, y): each task learns from its share, and the
+    weights are averaged, those of an embedding row over the tasks that moved it.
+
+    Rows are dealt and ordered by hash, and weights are added as whole numbers, so the outcome does not hang on how
+    the rows lay.
+    """
+    import numpy as np
+
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    columns = [f"w{k}" for k in range(DIMS)]
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, texts, labels = TaskTrainer(shared.value), [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            labels += batch.column("y").to_pylist()
+            while len(texts) >= BATCH:
+                trainer.learn(texts[:BATCH], labels[:BATCH])
+                del texts[:BATCH], labels[:BATCH]
+        if texts:
+            trainer.learn(texts, labels)
+        if trainer.docs:
+            row, part, share, values = trainer.weights()
+            whole = np.rint(values.astype(np.float64) / WEIGHT_STEP).astype(np.int64) * share[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (row, part, share, *whole.T)], names=["row", "part", "share", *columns])
+
+    key = F.xxhash64("text", "y")
+    dealt = rows.repartition(max(1, -(-n // TASK_DOCS)), key).sortWithinPartitions(key)
+    moved = text_batches(dealt).mapInArrow(learned, "row long, part long, share long, " + ", ".join(f"{c} long" for c in columns))
+    total = moved.groupBy("row", "part").agg(F.sum("share").alias("share"), *[F.sum(F.col(c).cast("decimal(38,0)")).cast("double").alias(c) for c in columns])
+    got = total.toArrow().sort_by([("row", "ascending"), ("part", "ascending")])  # at most the weights of one model
+    if not got.num_rows:
+        return
+    row = got.column("row").to_numpy()
+    share = got.column("share").to_numpy()
+    values = np.stack([got.column(c).to_numpy() for c in columns], axis=1) * WEIGHT_STEP / share[:, None]
+    model.embedding[row[row >= 0]] = values[row >= 0]
+    flat, at = values[row < 0].ravel().astype(np.float32), 0
+    for f in [*model.filters, model.bias, model.out]:
+        f[...] = flat[at:at + f.size].reshape(f.shape)
+        at += f.size
+    model.out_bias = float(flat[at])
 
 
 def train(texts: list, labels, seed: int = 7) -> Model:
@@ -158,52 +301,29 @@ def train(texts: list, labels, seed: int = 7) -> Model:
     texts = [np.searchsorted(used, t) for t in texts]
     emb = model.embedding[used]
     adam = Adam(emb, *model.filters, model.bias, model.out, out_bias)
-    n_rows = 1 + len(PREFIXES)
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             batch = order[at:at + BATCH]
-            lengths = np.array([len(texts[i]) for i in batch])
-            starts = np.concatenate(([0], np.cumsum(lengths + PAD)[:-1]))
-            rows = np.full((int((lengths + PAD).sum()) + 1, n_rows), -1)
-            for i, s in zip(batch, starts, strict=True):
-                rows[s:s + len(texts[i])] = texts[i]
-            vectors = emb[rows].mean(axis=1)
-            vectors[rows[:, 0] < 0] = 0
             model.out_bias = float(out_bias[0])
-            parts = model.maxima(np.arange(len(rows)), vectors, starts, lengths)
-            hidden = np.concatenate([p for _, p in parts], axis=1) + model.bias
-            logit = np.maximum(hidden, 0) @ model.out + model.out_bias
-            g = (1 / (1 + np.exp(-logit)) - y[batch]) / len(batch)
-            d_hidden = (g[:, None] * model.out) * (hidden > 0)
-            d_emb, d_filters = np.zeros_like(emb), [np.zeros_like(f) for f in model.filters]
-            for j, (w, (z, _)) in enumerate(zip(WIDTHS, parts, strict=True)):
-                d = d_hidden[:, j * FILTERS:(j + 1) * FILTERS]
-                best = np.stack([s + z[s:s + max(n, 1)].argmax(axis=0) for s, n in zip(starts, lengths, strict=True)])
-                for k in range(w):
-                    at_word = best + k
-                    d_filters[j][k] += np.einsum("bfd,bf->df", vectors[at_word], d)
-                    flow = d[:, :, None] * model.filters[j][k].T[None] / n_rows
-                    real = rows[at_word][:, :, 0] >= 0
-                    for r in range(n_rows):
-                        np.add.at(d_emb, rows[at_word][:, :, r][real], flow[real])
-            adam.step(d_emb, *d_filters, d_hidden.sum(axis=0), (np.maximum(hidden, 0) * g[:, None]).sum(axis=0),
-                      g.sum(keepdims=True))
+            adam.step(*gradients(model, emb, [texts[i] for i in batch], y[batch]))
     model.embedding[used] = emb
     model.out_bias = float(out_bias[0])
     return model
 
 
-def calibrate(model: Model, texts: list, labels, langs: list, positive_share: float) -> None:
-    """Scale so that scores follow the labels' frequency, and the threshold of each language."""
+def calibrate(model: Model, logits, labels, langs: list, counts, positive_share: float) -> None:
+    """Scale so that scores follow the labels' frequency, and the threshold of each language.
+
+    ``counts`` documents of the held-back fold have the same logit, label and language.
+    """
     import numpy as np
 
-    y = np.asarray(labels, np.float64)
+    y, counts, logits = np.asarray(labels, np.float64), np.asarray(counts, np.float64), np.asarray(logits, np.float64)
     if len(y) == 0 or y.min() == y.max():
         return
-    logits = np.concatenate([_logits_of(model, t) for t in texts]).astype(np.float64)
-    share = y.mean()
-    weight = np.where(y == 1, positive_share / share, (1 - positive_share) / (1 - share))
+    share = y @ counts / counts.sum()
+    weight = counts * np.where(y == 1, positive_share / share, (1 - positive_share) / (1 - share))
     a, b = 1.0, 0.0
     for _ in range(30):  # damped Newton steps; the prior a ~ 1 keeps separable data finite
         p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
@@ -220,7 +340,7 @@ def calibrate(model: Model, texts: list, labels, langs: list, positive_share: fl
     langs = np.array([x or "" for x in langs])
     for lang in sorted(set(langs)):
         own = langs == lang
-        if y[own].sum() >= LANGUAGE_POSITIVES and (y[own] == 0).any():
+        if y[own] @ counts[own] >= LANGUAGE_POSITIVES and (y[own] == 0).any():
             model.thresholds[lang] = _best_cut(score[own], y[own], weight[own])
 
 
@@ -238,23 +358,28 @@ def _best_cut(score, y, weight) -> float:
     return float(1 / (1 + np.exp(-(logit(s[k]) + logit(below)) / 2)))
 
 
-def _logits_of(model: Model, rows):
-    import numpy as np
+def logit_counts(model: Model, rows: DataFrame):
+    """``(lang, y, bin, n)`` of all ``rows`` (text, y, lang): how many have a logit in the bin, in steps of LOGIT_STEP."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            logits = np.clip(shared.value.raw(batch.column("text").to_pylist()), -LOGIT_BOUND, LOGIT_BOUND)
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("y"), pa.array(np.rint(logits / LOGIT_STEP).astype(np.int64))],
+                                             names=["lang", "y", "bin"])
 
-    n = len(rows)
-    vectors = np.zeros((n + 1, DIMS), np.float32)
-    if n:
-        vectors[:n] = model.embedding[rows].mean(axis=1)
-    codes = np.concatenate([np.arange(n), np.full(PAD + 1, n)])
-    return model.logits(codes, vectors, np.array([0]), np.array([n]))
+    return (text_batches(rows).select("text", "lang", "y").mapInArrow(binned, "lang string, y int, bin long")
+            .groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str | None = "lang", label_col: str = "toxic", of_class: int = SAMPLE_OF_CLASS) -> Model:
-    """Train on at most ``of_class`` labelled documents of each class (bounded by parameter).
+    """Train on every labelled document; the weights start from at most ``of_class`` of each class.
 
     Only labels of ids whose crc32 mod 5 is not 0 are read; remainder 1 calibrates, the rest
-    trains.  The language serves the calibration of thresholds, never a score.  With labels of
+    trains, whatever a text's length.  The language serves the calibration of thresholds, never a score.  With labels of
     one class or none, every text gets that share as its score.
     """
     import numpy as np
@@ -268,35 +393,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = F.xxhash64(F.col(id_col).cast("string"))
     sample = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(order, id_col).limit(of_class)
+        part = known.where((F.col("y") == y) & (fold > 1)).orderBy(order, id_col).limit(of_class)
         sample = part if sample is None else sample.unionByName(part)
     lang = F.col(lang_col) if lang_col else F.lit(None)
-    rows = (text_batches(docs).select(id_col, F.col(text_col).alias("text"), lang.cast("string").alias("lang"))
-            .join(F.broadcast(sample), id_col))  # at most 2 * of_class rows
+    texts_of = text_batches(docs).select(id_col, F.col(text_col).alias("text"), lang.cast("string").alias("lang"))
+    rows = texts_of.join(F.broadcast(sample), id_col)  # at most 2 * of_class rows
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for text, lg, y, f in zip(batch.column("text"), batch.column("lang"), batch.column("y"), batch.column("fold"), strict=True):
+            out: list[list] = [[], []]
+            for text, y in zip(batch.column("text"), batch.column("y"), strict=True):
                 words = words_of(text.as_py())
                 if len(words) <= SAMPLE_WORDS:
-                    for column, v in zip(out, (buckets_of(words).astype("<i4").tobytes(), lg.as_py(), y.as_py(), f.as_py()), strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.string()),
-                                              pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())],
-                                             names=["rows", "lang", "y", "fold"])
-
-    got = rows.select("text", "lang", F.col("y").cast("int").alias("y"), fold.cast("int").alias("fold"), id_col).drop(id_col) \
-        .mapInArrow(hashed, "rows binary, lang string, y int, fold int").toArrow()
-    found = sorted(zip(*(got.column(c).to_pylist() for c in ("rows", "lang", "y", "fold")), strict=True),
-                   key=lambda r: (zlib.crc32(r[0]), r[2], r[3], r[1] or ""))
-    texts = [np.frombuffer(r[0], "<i4").reshape(-1, 1 + len(PREFIXES)) for r in found]
-    learn = [k for k, r in enumerate(found) if r[3] != 1]
-    tune = [k for k, r in enumerate(found) if r[3] == 1]
-    if len({found[k][2] for k in learn}) < 2:
+                    out[0].append(buckets_of(words).astype("<i4").tobytes())
+                    out[1].append(y.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int32())], names=["rows", "y"])
+
+    got = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(hashed, "rows binary, y int").toArrow()
+    found = sorted(zip(*(got.column(c).to_pylist() for c in ("rows", "y")), strict=True), key=lambda r: (zlib.crc32(r[0]), r[1]))
+    labelled = texts_of.join(known, id_col).select("text", "lang", F.col("y").cast("int").alias("y"), fold.alias("fold"))
+    learn = labelled.where(F.col("fold") > 1).select("text", "y")
+    learned = {r["y"]: r["n"] for r in texts_of.select(id_col).join(known, id_col).where(fold > 1).groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(learned) < 2:
         return Model(None, [], None, None, 0.0, constant=counts[1] / sum(counts.values()))
-    model = train([texts[k] for k in learn], [found[k][2] for k in learn])
-    calibrate(model, [texts[k] for k in tune], [found[k][2] for k in tune], [found[k][1] for k in tune],
+    model = train([np.frombuffer(r[0], "<i4").reshape(-1, 1 + len(PREFIXES)) for r in found], [r[1] for r in found])
+    learn_from_all(model, learn, sum(learned.values()))
+    tune = logit_counts(model, labelled.where(F.col("fold") == 1))
+    tune = sorted(tune, key=lambda r: (r["bin"], r["y"], r["lang"] or "", r["lang"] is None))
+    calibrate(model, [r["bin"] * LOGIT_STEP for r in tune], [r["y"] for r in tune], [r["lang"] for r in tune], [r["n"] for r in tune],
               counts[1] / sum(counts.values()))
     return model
 

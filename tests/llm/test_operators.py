@@ -454,6 +454,51 @@ def test_toxicity_learns_and_keeps_folds_apart(spark):
     assert {r["score"] for r in toxicity.classify(df, empty).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_documents_outside_the_sample(spark):
+    """A mark that no sampled document has, and one behind the longest sampled text, are learned all the same."""
+    rng = random.Random(6)
+    texts, labels = [], []
+    for k in range(1500):
+        words = prose(k, rng.randint(5, 30)).split(" ")
+        if k % 2 == 0:
+            words[rng.randrange(len(words))] = "vileword"
+        texts.append(" ".join(words))
+        labels.append((k, int(k % 2 == 0)))
+    df = frame(spark, texts)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    few = toxicity.fit(df, marks, of_class=8)
+    held = [k for k in range(1500) if zlib.crc32(str(k).encode()) % 5 == 0]
+    scores = few.score([texts[k] for k in held])
+    assert sum((s >= 0.5) == (k % 2 == 0) for k, s in zip(held, scores, strict=True)) >= 0.95 * len(held)
+
+
+def test_task_trainer_takes_texts_of_any_length(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = toxicity.train([toxicity.buckets_of(["a", "b"]), toxicity.buckets_of(["bad"])], [0, 1])
+    trainer = toxicity.TaskTrainer(model)
+    monkeypatch.setattr(toxicity, "SLICE_WORDS", 50)
+    texts = [None, "", " ".join(f"w{n}" for n in rng.integers(0, 40, 400)) + " bad"]
+    for _ in range(5):
+        trainer.learn(texts, [0, 0, 1])
+    row, part, share, values = trainer.weights()
+    assert trainer.docs == 15 and (share > 0).all() and np.isfinite(values).all() and (row >= 0).any()
+    assert not np.array_equal(trainer.model.embedding, model.embedding)
+
+
+def test_calibration_counts_as_rows():
+    """Equal logits counted together give what the rows one by one give."""
+    rng = np.random.default_rng(3)
+    logits = np.repeat(np.round(rng.normal(size=60), 2), 5)
+    y = (logits + rng.normal(size=300) > 0.5).astype(int)
+    langs = ["en" if k % 2 else "de" for k in range(300)]
+    single, counted = toxicity.Model(None, [], None, None, 0.0), toxicity.Model(None, [], None, None, 0.0)
+    toxicity.calibrate(single, logits, y, langs, [1] * 300, 0.3)
+    cells = Counter(zip(logits.tolist(), y.tolist(), langs, strict=True))
+    toxicity.calibrate(counted, [c[0] for c in cells], [c[1] for c in cells], [c[2] for c in cells], list(cells.values()), 0.3)
+    assert np.allclose(single.scale, counted.scale) and single.thresholds.keys() == counted.thresholds.keys()
+    assert np.allclose(list(single.thresholds.values()), [counted.thresholds[k] for k in single.thresholds])
+
+
 def test_long_text_scores_as_its_slices(monkeypatch):
     model = toxicity.Model(np.random.default_rng(0).normal(size=(toxicity.BUCKETS, toxicity.DIMS)).astype(np.float32),
                            [np.random.default_rng(w).normal(size=(w, toxicity.DIMS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS],
