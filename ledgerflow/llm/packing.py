@@ -2,8 +2,8 @@
 
 Documents are tokenized where they are read and dealt to shards of bounded size in reading
 order, so nothing is shuffled.  Each shard builds a BM25 inverted index over the token ids of
-its documents.  A seed document asks the index for unused neighbours; they fill the rest of
-its window best first, and the neighbour that crosses the window's end is cut there and is
+its documents.  A seed document asks the index for unused neighbours until its window is full or
+no other document of the shard shares a term with it; they fill the window best first, and the neighbour that crosses the window's end is cut there and is
 the next seed, so no position is lost to padding.  The last window of a shard is cut into
 sequences whose lengths are powers of two, which need no padding either.
 """
@@ -22,7 +22,8 @@ from .tokens import IdEncoder, encoder
 #: Documents and tokens at which a shard is closed (a longer document makes a shard by itself).
 SHARD_DOCS = 2048
 SHARD_TOKENS = 4_000_000
-#: A seed is looked up by its so many terms of most BM25 weight; so many neighbours come back.
+#: A seed is first looked up by its so many terms of most BM25 weight, and neighbours come back so many at a time;
+#: where these do not fill the window, the others follow, and then what shares any other term.
 QUERY_TERMS = 24
 NEIGHBOURS = 16
 K1, BM25_B = 1.2, 0.75
@@ -59,8 +60,8 @@ class ShardIndex:
         self.post_at = np.concatenate(([0], np.cumsum(df.astype(np.int64))))
         self.df, self.n = df, n
 
-    def neighbours(self, doc: int, used) -> list[int]:
-        """Unused documents that share one of the seed's terms of most weight, best first."""
+    def neighbours(self, doc: int, used, query_terms: int | None = QUERY_TERMS) -> list[int]:
+        """The best unused documents that share one of the seed's ``query_terms`` of most weight (None: any), best first."""
         np = self.np
         a, b = self.starts[doc], self.starts[doc + 1]
         terms, weight = self.doc_terms[a:b], self.doc_weight[a:b]
@@ -68,8 +69,8 @@ class ShardIndex:
         terms, weight = terms[alone], weight[alone]
         if not len(terms):
             return []
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
+        if query_terms is not None and len(terms) > query_terms:
+            terms = terms[np.argpartition(-weight, query_terms)[:query_terms]]
         spans = [slice(self.post_at[t], self.post_at[t + 1]) for t in terms]
         scores = np.bincount(np.concatenate([self.post_doc[s] for s in spans]),
                              np.concatenate([self.post_weight[s] for s in spans]), minlength=self.n)
@@ -103,12 +104,11 @@ def packing_order(docs: list, window: int) -> list[int]:
                 fresh += 1
             seed = fresh
             place(seed)
-        found, crossed = index.neighbours(seed, used), None
-        for doc in found:
-            if place(doc):
-                crossed = doc
-                break
-        seed = crossed if crossed is not None else found[-1] if found else None
+        crossed = None
+        for query_terms in (QUERY_TERMS, None):  # first by the terms of most weight, then by any
+            while crossed is None and (found := index.neighbours(seed, used, query_terms)):
+                crossed = next((doc for doc in found if place(doc)), None)
+        seed = crossed
     return order
 
 
