@@ -241,7 +241,7 @@ class TaskTrainer:
 
 
 def learn_from_all(model: Model, rows: DataFrame, n: int) -> None:
-    """Moves the weights by every one of the ``n`` labelled ``rows`` (text, y): each task learns from its share, and the
+    """Moves the weights by every one of the ``n`` labelled ``rows`` (id, text, y): each task learns from its share, and the
     weights are averaged, those of an embedding row over the tasks that moved it.
 
     Rows are dealt and ordered by hash, and weights are added as whole numbers, so the outcome does not hang on how
@@ -267,8 +267,8 @@ def learn_from_all(model: Model, rows: DataFrame, n: int) -> None:
             whole = np.rint(values.astype(np.float64) / WEIGHT_STEP).astype(np.int64) * share[:, None]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (row, part, share, *whole.T)], names=["row", "part", "share", *columns])
 
-    key = F.xxhash64("text", "y")
-    dealt = rows.repartition(max(1, -(-n // TASK_DOCS)), key).sortWithinPartitions(key)
+    key = F.xxhash64(*rows.columns)  # with the id, so that copies of a text are spread
+    dealt = rows.repartition(max(1, -(-n // TASK_DOCS)), key).sortWithinPartitions(key).select("text", "y")
     moved = text_batches(dealt).mapInArrow(learned, "row long, part long, share long, " + ", ".join(f"{c} long" for c in columns))
     total = moved.groupBy("row", "part").agg(F.sum("share").alias("share"), *[F.sum(F.col(c).cast("decimal(38,0)")).cast("double").alias(c) for c in columns])
     got = total.toArrow().sort_by([("row", "ascending"), ("part", "ascending")])  # at most the weights of one model
@@ -411,8 +411,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     got = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(hashed, "rows binary, y int").toArrow()
     found = sorted(zip(*(got.column(c).to_pylist() for c in ("rows", "y")), strict=True), key=lambda r: (zlib.crc32(r[0]), r[1]))
-    labelled = texts_of.join(known, id_col).select("text", "lang", F.col("y").cast("int").alias("y"), fold.alias("fold"))
-    learn = labelled.where(F.col("fold") > 1).select("text", "y")
+    labelled = texts_of.join(known, id_col).select(id_col, "text", "lang", F.col("y").cast("int").alias("y"), fold.alias("fold"))
+    learn = labelled.where(F.col("fold") > 1).select(id_col, "text", "y")
     learned = {r["y"]: r["n"] for r in texts_of.select(id_col).join(known, id_col).where(fold > 1).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(learned) < 2:
         return Model(None, [], None, None, 0.0, constant=counts[1] / sum(counts.values()))
