@@ -27,6 +27,8 @@ SAMPLE_WORDS = 50_000
 #: Labelled documents that a task learns from, and its learning rate.
 TASK_DOCS = 4096
 TASK_RATE = 0.002
+#: Bits of the filter for labelled ids: so many for each label, and the most (128 MB); with fewer it only lets more through.
+BITS_PER_LABEL, MOST_BITS = 8, 1 << 30
 #: Weights are averaged as whole multiples of this, so that the sum has no order.
 WEIGHT_STEP = 2.0 ** -24
 #: Logits are counted in bins of this width, up to the bound.
@@ -358,22 +360,42 @@ def _best_cut(score, y, weight) -> float:
     return float(1 / (1 + np.exp(-(logit(s[k]) + logit(below)) / 2)))
 
 
-def logit_counts(model: Model, rows: DataFrame):
-    """``(lang, y, bin, n)`` of all ``rows`` (text, y, lang): how many have a logit in the bin, in steps of LOGIT_STEP."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def logit_counts(model: Model, docs: DataFrame, known: DataFrame, id_col: str):
+    """``(lang, y, bin, n)`` of all ``docs`` (id, text, lang) with a label in ``known`` (id, y): how many have a logit in the
+    bin, in steps of LOGIT_STEP.  Logits are taken where the texts are read; only they are joined with the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
             logits = np.clip(shared.value.raw(batch.column("text").to_pylist()), -LOGIT_BOUND, LOGIT_BOUND)
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("y"), pa.array(np.rint(logits / LOGIT_STEP).astype(np.int64))],
-                                             names=["lang", "y", "bin"])
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("lang"), pa.array(np.rint(logits / LOGIT_STEP).astype(np.int64))],
+                                             names=[id_col, "lang", "bin"])
 
-    return (text_batches(rows).select("text", "lang", "y").mapInArrow(binned, "lang string, y int, bin long")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return (text_batches(docs).select(id_col, "text", "lang").mapInArrow(binned, f"`{id_col}` {id_type}, lang string, bin long")
+            .join(known.select(id_col, F.col("y").cast("int").alias("y")), id_col)
             .groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).collect())
 
 
+def likely_known(docs: DataFrame, known: DataFrame, id_col: str, n: int) -> DataFrame:
+    """``docs`` without most of those that have no row in ``known`` (``n`` rows), dropped where they are read.
+
+    The ids of ``known`` set bits by hash, BITS_PER_LABEL as many as ids and MOST_BITS at most, which are broadcast.  No
+    document with a label is dropped; an exact join has to follow.
+    """
+    if docs.schema[id_col].dataType != known.schema[id_col].dataType:
+        return docs  # equal ids of two types may have two hashes
+    bits = min(MOST_BITS, max(1 << 15, 1 << (BITS_PER_LABEL * n).bit_length()))
+    slot = F.pmod(F.xxhash64(id_col), F.lit(bits))
+    place = F.bitmap_bit_position(slot)
+    marks = known.groupBy(F.bitmap_bucket_number(slot).alias("__bucket")).agg(F.bitmap_construct_agg(place).alias("__bits"))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
+    return docs.join(F.broadcast(marks), (F.bitmap_bucket_number(slot) == F.col("__bucket")) & is_set, "left_semi")
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str | None = "lang", label_col: str = "toxic", of_class: int = SAMPLE_OF_CLASS) -> Model:
     """Train on every labelled document; the weights start from at most ``of_class`` of each class.
@@ -411,14 +433,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     got = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(hashed, "rows binary, y int").toArrow()
     found = sorted(zip(*(got.column(c).to_pylist() for c in ("rows", "y")), strict=True), key=lambda r: (zlib.crc32(r[0]), r[1]))
-    labelled = texts_of.join(known, id_col).select(id_col, "text", "lang", F.col("y").cast("int").alias("y"), fold.alias("fold"))
-    learn = labelled.where(F.col("fold") > 1).select(id_col, "text", "y")
+    # the labels grow with the documents, so they are not broadcast at any size
+    likely = likely_known(texts_of, known, id_col, sum(counts.values()))
+    learn = likely.where(fold > 1).join(known.hint("merge"), id_col).select(id_col, "text", F.col("y").cast("int").alias("y"))
     learned = {r["y"]: r["n"] for r in texts_of.select(id_col).join(known, id_col).where(fold > 1).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(learned) < 2:
         return Model(None, [], None, None, 0.0, constant=counts[1] / sum(counts.values()))
     model = train([np.frombuffer(r[0], "<i4").reshape(-1, 1 + len(PREFIXES)) for r in found], [r[1] for r in found])
     learn_from_all(model, learn, sum(learned.values()))
-    tune = logit_counts(model, labelled.where(F.col("fold") == 1))
+    tune = logit_counts(model, likely.where(fold == 1), known, id_col)
     tune = sorted(tune, key=lambda r: (r["bin"], r["y"], r["lang"] or "", r["lang"] is None))
     calibrate(model, [r["bin"] * LOGIT_STEP for r in tune], [r["y"] for r in tune], [r["lang"] for r in tune], [r["n"] for r in tune],
               counts[1] / sum(counts.values()))

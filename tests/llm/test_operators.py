@@ -467,6 +467,25 @@ def test_toxicity_learns_and_keeps_folds_apart(spark):
     assert {r["score"] for r in toxicity.classify(df, empty).collect()} == {0.0}
 
 
+def test_unlabelled_texts_are_dropped_where_they_are_read(spark):
+    """op8 disk: texts without a label are not shuffled to the labels, and logits are counted without moving texts."""
+    known = spark.createDataFrame([(i * 37, i % 2) for i in range(500)], "doc_id long, y int")
+    docs = spark.createDataFrame([(i, f"text {i}", "en" if i % 3 else None) for i in [*range(20000), 37, 37]] + [(None, "x", "en")],
+                                 "doc_id long, text string, lang string")
+    left = toxicity.likely_known(docs, known, "doc_id", 500)
+    ids = Counter(r["doc_id"] for r in left.select("doc_id").collect())
+    assert all(ids[i * 37] == (3 if i == 1 else 1) for i in range(500)) and ids.total() < 6000
+    assert "Exchange hashpartitioning(doc_id" not in left._jdf.queryExecution().toString()
+    ints = docs.selectExpr("cast(doc_id AS int) AS doc_id", "text", "lang")
+    assert toxicity.likely_known(ints, known, "doc_id", 500).count() == 20003
+    model = toxicity.train([toxicity.buckets_of(["text", str(k)]) for k in range(8)], [0, 1] * 4)
+    got = Counter({(r["lang"], r["y"], r["bin"]): r["n"] for r in toxicity.logit_counts(model, left, known, "doc_id")})
+    label = {r["doc_id"]: r["y"] for r in known.collect()}
+    rows = [r for r in docs.collect() if r["doc_id"] in label]
+    bins = np.rint(np.clip(model.raw([r["text"] for r in rows]), -toxicity.LOGIT_BOUND, toxicity.LOGIT_BOUND) / toxicity.LOGIT_STEP)
+    assert got == Counter((r["lang"], label[r["doc_id"]], int(b)) for r, b in zip(rows, bins, strict=True))
+
+
 def test_toxicity_learns_from_documents_outside_the_sample(spark):
     """A mark that no sampled document has, and one behind the longest sampled text, are learned all the same."""
     rng = random.Random(6)
