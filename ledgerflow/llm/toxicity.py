@@ -38,6 +38,8 @@ LANGUAGE_POSITIVES = 20
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 17, 16, 16, (1, 2, 3)
 PREFIXES = (5, 4)
 EPOCHS, BATCH, RATE = 8, 32, 0.01
+#: Rows of the embedding drawn or moved at a time, which bounds what training holds besides the weights.
+BLOCK_ROWS = 4096
 #: Words scored at a time.
 SLICE_WORDS = 60_000
 PAD = max(WIDTHS) - 1
@@ -155,10 +157,12 @@ class Adam:
         import numpy as np
 
         self.t += 1
-        for p, g, m, v in zip(self.params, grads, self.m, self.v, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= self.rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8)
+        for whole in zip(self.params, grads, self.m, self.v, strict=True):
+            for at in range(0, len(whole[0]), BLOCK_ROWS):
+                p, g, m, v = (x[at:at + BLOCK_ROWS] for x in whole)
+                m += 0.1 * (g - m)
+                v += 0.001 * (g * g - v)
+                p -= self.rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8)
 
 
 def gradients(model: Model, emb, texts: list, y):
@@ -272,15 +276,19 @@ def learn_from_all(model: Model, rows: DataFrame, n: int) -> None:
     key = F.xxhash64(*rows.columns)  # with the id, so that copies of a text are spread
     dealt = rows.repartition(max(1, -(-n // TASK_DOCS)), key).sortWithinPartitions(key).select("text", "y")
     moved = text_batches(dealt).mapInArrow(learned, "row long, part long, share long, " + ", ".join(f"{c} long" for c in columns))
-    total = moved.groupBy("row", "part").agg(F.sum("share").alias("share"), *[F.sum(F.col(c).cast("decimal(38,0)")).cast("double").alias(c) for c in columns])
-    got = total.toArrow().sort_by([("row", "ascending"), ("part", "ascending")])  # at most the weights of one model
+    means = [(F.sum(F.col(c).cast("decimal(38,0)")).cast("double") * F.lit(WEIGHT_STEP) / F.sum("share")).cast("float").alias(c) for c in columns]
+    # at most the weights of one model
+    got = moved.groupBy("row", "part").agg(*means).select(F.col("row").cast("int").alias("row"), F.col("part").cast("int").alias("part"), *columns).toArrow()
+    shared.destroy()
     if not got.num_rows:
         return
-    row = got.column("row").to_numpy()
-    share = got.column("share").to_numpy()
-    values = np.stack([got.column(c).to_numpy() for c in columns], axis=1) * WEIGHT_STEP / share[:, None]
-    model.embedding[row[row >= 0]] = values[row >= 0]
-    flat, at = values[row < 0].ravel().astype(np.float32), 0
+    flat = np.zeros((sum(f.size for f in [*model.filters, model.bias, model.out]) // DIMS + 1, DIMS), np.float32)
+    for batch in got.to_batches():
+        row, part = batch.column("row").to_numpy(), batch.column("part").to_numpy()
+        values = np.stack([batch.column(c).to_numpy() for c in columns], axis=1)
+        model.embedding[row[row >= 0]] = values[row >= 0]
+        flat[part[row < 0]] = values[row < 0]
+    flat, at = flat.ravel(), 0
     for f in [*model.filters, model.bias, model.out]:
         f[...] = flat[at:at + f.size].reshape(f.shape)
         at += f.size
@@ -293,14 +301,21 @@ def train(texts: list, labels, seed: int = 7) -> Model:
 
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
-    model = Model(rng.normal(0, 0.3, (BUCKETS, DIMS)).astype(np.float32),
+    embedding = np.empty((BUCKETS, DIMS), np.float32)
+    for at in range(0, BUCKETS, BLOCK_ROWS):
+        block = embedding[at:at + BLOCK_ROWS]
+        block[...] = rng.normal(0, 0.3, block.shape)
+    model = Model(embedding,
                   [rng.normal(0, 0.3, (w, DIMS, FILTERS)).astype(np.float32) for w in WIDTHS],
                   np.zeros(FILTERS * len(WIDTHS), np.float32),
                   rng.normal(0, 0.1, FILTERS * len(WIDTHS)).astype(np.float32), 0.0)
     out_bias = np.zeros(1, np.float32)
     # rows of the embedding that the sample uses; the others are never read in training
-    used = np.unique(np.concatenate([t.ravel() for t in texts]) if texts else np.zeros(0, np.int64))
-    texts = [np.searchsorted(used, t) for t in texts]
+    is_used = np.zeros(BUCKETS, bool)
+    for t in texts:
+        is_used[t] = True
+    used, place = np.flatnonzero(is_used), (np.cumsum(is_used) - 1).astype(np.int32)
+    texts = [place[t] for t in texts]
     emb = model.embedding[used]
     adam = Adam(emb, *model.filters, model.bias, model.out, out_bias)
     for _ in range(EPOCHS):
@@ -374,9 +389,11 @@ def logit_counts(model: Model, docs: DataFrame, known: DataFrame, id_col: str):
                                              names=[id_col, "lang", "bin"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return (text_batches(docs).select(id_col, "text", "lang").mapInArrow(binned, f"`{id_col}` {id_type}, lang string, bin long")
-            .join(known.select(id_col, F.col("y").cast("int").alias("y")), id_col)
-            .groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).collect())
+    found = (text_batches(docs).select(id_col, "text", "lang").mapInArrow(binned, f"`{id_col}` {id_type}, lang string, bin long")
+             .join(known.select(id_col, F.col("y").cast("int").alias("y")), id_col)
+             .groupBy("lang", "y", "bin").agg(F.count("*").alias("n")).collect())
+    shared.destroy()
+    return found
 
 
 def likely_known(docs: DataFrame, known: DataFrame, id_col: str, n: int) -> DataFrame:
@@ -433,13 +450,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     got = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(hashed, "rows binary, y int").toArrow()
     found = sorted(zip(*(got.column(c).to_pylist() for c in ("rows", "y")), strict=True), key=lambda r: (zlib.crc32(r[0]), r[1]))
+    del got  # the sample's words are held once
     # the labels grow with the documents, so they are not broadcast at any size
     likely = likely_known(texts_of, known, id_col, sum(counts.values()))
     learn = likely.where(fold > 1).join(known.hint("merge"), id_col).select(id_col, "text", F.col("y").cast("int").alias("y"))
     learned = {r["y"]: r["n"] for r in texts_of.select(id_col).join(known, id_col).where(fold > 1).groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(learned) < 2:
         return Model(None, [], None, None, 0.0, constant=counts[1] / sum(counts.values()))
-    model = train([np.frombuffer(r[0], "<i4").reshape(-1, 1 + len(PREFIXES)) for r in found], [r[1] for r in found])
+    labels_of, found = [r[1] for r in found], [np.frombuffer(r[0], "<i4").reshape(-1, 1 + len(PREFIXES)) for r in found]
+    model = train(found, labels_of)
+    del found
     learn_from_all(model, learn, sum(learned.values()))
     tune = logit_counts(model, likely.where(fold == 1), known, id_col)
     tune = sorted(tune, key=lambda r: (r["bin"], r["y"], r["lang"] or "", r["lang"] is None))

@@ -517,6 +517,23 @@ def test_task_trainer_takes_texts_of_any_length(monkeypatch):
     assert not np.array_equal(trainer.model.embedding, model.embedding)
 
 
+def test_training_holds_little_besides_the_weights():
+    """Five arrays of the embedding's size and one batch, though the sample touches every row of it."""
+    import tracemalloc
+
+    per_text = 3 * 512
+    texts = [np.arange(at, at + per_text).reshape(-1, 3) % toxicity.BUCKETS for at in range(0, toxicity.BUCKETS, per_text)]
+    size = toxicity.BUCKETS * toxicity.DIMS * 4
+    tracemalloc.start()
+    try:
+        model = toxicity.train(texts, [k % 2 for k in range(len(texts))])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.embedding.nbytes == size
+    assert peak < 6.5 * size
+
+
 def test_calibration_counts_as_rows():
     """Equal logits counted together give what the rows one by one give."""
     rng = np.random.default_rng(3)
